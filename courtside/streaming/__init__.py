@@ -1,0 +1,4 @@
+"""No streaming operators: every table of the league is built in batch.
+
+Late data arrives as a newer version of a row and is handled by ``newest_per_key``.
+"""
