@@ -136,6 +136,11 @@ def _level(text: Column) -> Column:
     return F.when((text != "") & ~text.startswith("⚪ CONTEXT"), tagged)
 
 
+def _is_level(level: str):
+    # One parameter only: Spark passes the position to a second one.
+    return lambda text: _level(text) == level
+
+
 def extract_signals(games: DataFrame, purpose: str = "preview") -> DataFrame:
     """Texts of the tagged insights, in display order, as one block per level.
 
@@ -147,7 +152,7 @@ def extract_signals(games: DataFrame, purpose: str = "preview") -> DataFrame:
     texts = F.array(*fields)
     blocks = {}
     for level in levels:
-        of_level = F.filter(texts, lambda text, level=level: _level(text) == level)
+        of_level = F.filter(texts, _is_level(level))
         blocks[f"{level.lower()}_signals"] = F.array_join(of_level, "\n")
         blocks[f"{level.lower()}_count"] = F.size(of_level).cast("bigint")
     return games.withColumns(blocks)
