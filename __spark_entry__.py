@@ -28,7 +28,8 @@ from courtside.sources.schemas import PREVIEW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SMALL_GROUP_ROWS = 50
+# Far below the default, so that the supplied tables take the way of a too large entity.
+SMALL_GROUP_ROWS = 400
 STAGING = [
     "games", "game_results", "team_game_stats", "player_game_stats", "team_quarter_stats",
     "player_quarter_stats", "referee_assignments", "broadcast_schedule", "betting_lines",

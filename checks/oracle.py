@@ -147,6 +147,13 @@ _ALTITUDE = f"""
 SELECT {_CONTEXT_KEYS}, home_arena_altitude, home_prev_altitude, home_altitude_change, away_arena_altitude,
   away_prev_altitude, away_altitude_change, altitude_fatigue_advantage FROM m_context"""
 
+
+
+def _letters(name: str) -> str:
+    """Names of the two feeds are compared by their letters and blanks alone."""
+    return f"lower(regexp_replace({name}, '[^a-zA-Z ]', '', 'g'))"
+
+
 _RETURNING = f"""
 SELECT l.player_name, l.team_id, l.last_day AS last_game_date, date_diff('day', l.last_day, DATE '{RETURN_DAY}') AS days_since_last_game,
   b.pts_season_avg, b.reb_season_avg, b.ast_season_avg,
@@ -162,7 +169,7 @@ JOIN m_appearances a ON a.player_name = l.player_name AND a.team_id = l.team_id
 WHERE b.pts_season_avg >= 15 AND date_diff('day', l.last_day, DATE '{RETURN_DAY}') BETWEEN 7 AND 45
   AND EXISTS (SELECT 1 FROM m_games t WHERE t.game_date = DATE '{RETURN_DAY}' AND l.team_id IN (t.home_team_id, t.away_team_id))
   AND NOT EXISTS (SELECT 1 FROM m_injuries i WHERE i.game_date = DATE '{RETURN_DAY}' AND i.status IN ('Out', 'Doubtful')
-    AND i.team_id = l.team_id AND i.player_name = l.player_name)"""
+    AND i.team_id = l.team_id AND {_letters('i.player_name')} = {_letters('l.player_name')})"""
 
 _PUBLISHED = f"""
 SELECT p.*, s.inserted_hour, s.model_vs_line, s.model_total, s.is_national_broadcast, s.home_record, s.away_record,

@@ -20,49 +20,47 @@ _PACE_COLUMNS = [
 ]
 
 
+def _side_box(team_stats: DataFrame, side: str) -> DataFrame:
+    columns = [f"{column} AS {side}_{short}" for column, short in WIDE_BOX.items()]
+    return team_stats.where(F.col("home_away") == side).selectExpr(
+        "game_id", f"team_id AS {side}_team_id", *columns
+    )
+
+
+def quarter_points(quarters: DataFrame) -> DataFrame:
+    """Points per side and period as columns, and the overtimes of the home side."""
+    points = [
+        f"max(CASE WHEN home_away = '{side}' AND quarter = '{period}' THEN points END) "
+        f"AS {side}_pts_{period.lower()}"
+        for side in SIDES
+        for period in PERIODS
+    ]
+    overtimes = "count_if(home_away = 'home' AND startswith(quarter, 'OT')) AS quarter_overtimes"
+    return quarters.groupBy("game_id").agg(*[F.expr(c) for c in (*points, overtimes)])
+
+
 def wide_game(games: DataFrame, team_stats: DataFrame, quarters: DataFrame) -> DataFrame:
     """Games with a box score on both sides, one row each, quarter points as columns.
 
-    Each side's box score becomes columns by one aggregation per table, so every table is scanned
-    once and everything is partitioned by game.
+    Every input is partitioned by game once; the side filter reaches the scan of the box scores.
     """
-    on_side = lambda side, column: F.max(F.when(F.col("home_away") == side, F.col(column)))
-    box = team_stats.groupBy("game_id").agg(
-        *[on_side(side, "team_id").alias(f"{side}_team_id") for side in SIDES],
-        *[
-            on_side(side, column).alias(f"{side}_{short}")
-            for side in SIDES
-            for column, short in WIDE_BOX.items()
-        ],
-    )
-    both_sides = box.where(F.col("home_team_id").isNotNull() & F.col("away_team_id").isNotNull())
-    by_quarter = quarters.groupBy("game_id").agg(
-        *[
-            F.max(
-                F.when((F.col("home_away") == side) & (F.col("quarter") == period), F.col("points"))
-            ).alias(f"{side}_pts_{period.lower()}")
-            for side in SIDES
-            for period in PERIODS
-        ],
-        F.count_if((F.col("home_away") == "home") & F.col("quarter").startswith("OT")).alias("ot"),
-    )
-    home, away = F.col("home_points"), F.col("away_points")
-    home_won = home > away
     shorts = [short for short in WIDE_BOX.values() if short != "points"]
+    home_won = "home_points > away_points"
     return (
         games.select("game_id", "game_date", "season", "arena_id", "tipoff_time")
-        .join(both_sides, "game_id")
-        .join(by_quarter, "game_id", "left")
-        .select(
+        .join(_side_box(team_stats, "home"), "game_id")
+        .join(_side_box(team_stats, "away"), "game_id")
+        .join(quarter_points(quarters), "game_id", "left")
+        .selectExpr(
             "game_id", "game_date", "season", "arena_id", "tipoff_time",
             "home_team_id", "away_team_id", "home_points", "away_points",
-            (home - away).alias("point_differential"),
-            F.when(home_won, F.col("home_team_id")).otherwise(F.col("away_team_id")).alias("winner_team_id"),
-            F.when(home_won, F.lit("home")).otherwise(F.lit("away")).alias("winner_home_away"),
-            (home + away).alias("total_points"),
+            "home_points - away_points AS point_differential",
+            f"if({home_won}, home_team_id, away_team_id) AS winner_team_id",
+            f"if({home_won}, 'home', 'away') AS winner_home_away",
+            "home_points + away_points AS total_points",
             *[f"{side}_{short}" for side in SIDES for short in shorts],
             *[f"{side}_pts_{period.lower()}" for side in SIDES for period in PERIODS],
-            F.coalesce("ot", F.lit(0).cast("bigint")).alias("overtime_periods"),
+            "coalesce(quarter_overtimes, 0L) AS overtime_periods",
         )
     )
 
@@ -74,16 +72,15 @@ def _possessions(side: str) -> Column:
 
 def with_pace(scores: DataFrame, results: DataFrame) -> DataFrame:
     """Add possessions, pace and the overtime count of the result feed to played games."""
-    overtime = results.select("game_id", F.col("overtime_periods").alias("_ot"))
+    overtime = results.selectExpr("game_id", "overtime_periods AS _ot")
     minutes = F.col("total_minutes")
     per_regulation = lambda possessions: round_half_up(possessions / minutes * REGULATION_MINUTES, 1)
     home, away = F.col("_home"), F.col("_away")
-    zero = F.lit(0).cast("bigint")
     return (
         scores.withColumnRenamed("overtime_periods", "quarter_overtimes")
         .join(overtime, "game_id", "left")
         .withColumns({
-            "overtime_periods": F.coalesce("_ot", zero),
+            "overtime_periods": F.coalesce("_ot", F.lit(0).cast("bigint")),
             "_home": _possessions("home"),
             "_away": _possessions("away"),
         })

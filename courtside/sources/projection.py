@@ -7,8 +7,9 @@ data at any scale. The rules are plain arithmetic on keys; they carry no sports
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from courtside.sources.readers import RawTables
 from courtside.sources.schemas import PREVIEW_INSIGHTS
@@ -34,42 +35,74 @@ _ARENA_ZONES = [
 ]
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def _team(number: str) -> str:
+    return f"concat('T', lpad({number}, 2, '0'))"
 
 
-def _padded(value: Column, width: int) -> Column:
-    return F.lpad(_text(value), width, "0")
+def _choice(value: str, mapping: dict[str, str]) -> str:
+    branches = " ".join(f"WHEN '{key}' THEN '{result}'" for key, result in mapping.items())
+    return f"CASE {value} {branches} END"
 
 
-def _team(number: Column) -> Column:
-    return F.concat(F.lit("T"), _padded(number, 2))
+def _named(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
-def _lookup(value: Column, mapping: dict[str, str]) -> Column:
-    chain = F
-    for key, result in mapping.items():
-        chain = chain.when(value == key, F.lit(result))
-    return chain.otherwise(F.lit(None))
+def insight_text(level: str, field: str) -> str:
+    """Tagged, late-tagged, blank and missing texts, by ``level`` 0 to 5."""
+    return f"""CASE {level} WHEN 0 THEN '🔴 STRONG {field} 7-2' WHEN 1 THEN '🟡 MEDIUM {field} 5-4'
+        WHEN 2 THEN '⚪ CONTEXT {field} 3-3' WHEN 3 THEN 'plain words before STRONG {field}'
+        WHEN 4 THEN '' END"""
 
 
-def _long(value: Column) -> Column:
-    return value.cast("bigint")
+_SIDE = "CASE WHEN l_linestatus = 'O' THEN 'home' ELSE 'away' END"
+_QUARTER = "concat(if(l_linenumber <= 4, 'Q', 'OT'), if(l_linenumber <= 4, l_linenumber, l_linenumber - 4))"
+_SIDE_TEAM = "if(home_away = 'home', home_team_id, away_team_id)"
 
+_PLAYER_BOX = _named({
+    "steals": "s % 5",
+    "blocks": "p % 4",
+    "turnovers": "q % 6",
+    "personal_fouls": "s % 6",
+    "field_goals_made": "q % 12",
+    "field_goals_attempted": "12 + q % 13",
+    "three_pointers_made": "p % 6",
+    "three_pointers_attempted": "6 + p % 7",
+    "free_throws_made": "s % 8",
+    "free_throws_attempted": "8 + s % 9",
+})
 
-def _days_after(day: str, days: Column) -> Column:
-    return F.date_add(F.lit(day).cast("date"), days.cast("int"))
+_MODEL = {
+    "composite_score": "((event_id * 7) % 81 - 40) / 100D",
+    "model_vs_market": "((event_id * 13) % 31 - 15) / 100D",
+    "model_vs_line": "CAST((event_id * 11) % 15 - 7 AS DOUBLE)",
+    "spread_home": "(event_id * 3) % 25 - 12 + 0.5D",
+    "over_under": "event_id % 40 + 200.5D",
+}
+_LABELS = {
+    "overall_lean": "concat('LEAN ', event_id % 3)",
+    "market_divergence": "concat('DIV ', event_id % 5)",
+    "total_insight": "concat('TOTAL ', event_id % 7)",
+}
 
 
-def insight_text(level: Column, field: str) -> Column:
-    """Tagged, untagged, late-tagged, blank and missing texts, by ``level`` 0 to 5."""
-    return (
-        F.when(level == 0, F.lit(f"🔴 STRONG {field} 7-2"))
-        .when(level == 1, F.lit(f"🟡 MEDIUM {field} 5-4"))
-        .when(level == 2, F.lit(f"⚪ CONTEXT {field} 3-3"))
-        .when(level == 3, F.lit(f"plain words before STRONG {field}"))
-        .when(level == 4, F.lit(""))
-    )
+def _team_box(points: str, attempts: str, turnovers: str) -> list[str]:
+    return _named({
+        "field_goals_made": "30 + q % 15",
+        "field_goals_attempted": attempts,
+        "three_pointers_made": "5 + q % 12",
+        "three_pointers_attempted": "20 + p % 20",
+        "free_throws_made": "10 + s % 15",
+        "free_throws_attempted": "15 + s % 21",
+        "offensive_rebounds": "5 + s % 11",
+        "defensive_rebounds": "25 + p % 16",
+        "assists": "15 + q % 16",
+        "steals": "4 + s % 9",
+        "blocks": "2 + p % 8",
+        "turnovers": turnovers,
+        "personal_fouls": "14 + s % 12",
+        "points": points,
+    })
 
 
 class SuppliedTables:
@@ -79,9 +112,9 @@ class SuppliedTables:
         self.spark = spark
         self.folder = folder
         self._makers: dict[str, Callable[[], DataFrame]] = {
-            "games": self.games,
+            "games": lambda: self.games,
             "game_results": self.game_results,
-            "team_game_stats": self.team_game_stats,
+            "team_game_stats": lambda: self.team_game_stats,
             "player_game_stats": self.player_game_stats,
             "team_quarter_stats": self.team_quarter_stats,
             "player_quarter_stats": self.player_quarter_stats,
@@ -106,372 +139,215 @@ class SuppliedTables:
 
     # -- schedule ---------------------------------------------------------------------------
 
+    @cached_property
     def games(self) -> DataFrame:
         orders, customers = self.read("orders"), self.read("customer")
-        ok, home = F.col("o_orderkey"), F.col("c_nationkey")
-        away = (home + 1 + ok % 24) % 25
-        year = F.year("o_orderdate")
-        return orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-            _text(ok).alias("game_id"),
-            F.to_date("o_orderdate").alias("game_date"),
-            F.concat(_text(year - 1), F.lit("-"), _padded(year % 100, 2)).alias("season"),
-            _team(home).alias("home_team_id"),
-            _team(away).alias("away_team_id"),
-            _long(F.when(ok % 50 == 0, away).otherwise(home)).alias("arena_id"),
-            F.concat(_text(12 + ok % 11), F.lit(":30:00")).alias("tipoff_time"),
-            F.col("o_orderdate").alias("loaded_at"),
-        )
-
-    def _lines(self) -> DataFrame:
-        side = F.when(F.col("l_linestatus") == "O", F.lit("home")).otherwise(F.lit("away"))
-        return self.read("lineitem").withColumn("home_away", side)
-
-    def _with_team(self, lines: DataFrame) -> DataFrame:
-        """Give each line summary the team on its side of the game."""
-        teams = self.games().select("game_id", "home_team_id", "away_team_id")
-        team = F.when(F.col("home_away") == "home", F.col("home_team_id")).otherwise(
-            F.col("away_team_id")
-        )
-        return (
-            lines.withColumn("game_id", _text(F.col("l_orderkey")))
-            .drop("l_orderkey")
-            .join(teams, "game_id")
-            .withColumn("team_id", team)
-            .drop("home_team_id", "away_team_id")
+        away = "(c_nationkey + 1 + o_orderkey % 24) % 25"
+        return orders.join(customers, orders.o_custkey == customers.c_custkey).selectExpr(
+            "CAST(o_orderkey AS STRING) AS game_id",
+            "CAST(o_orderdate AS DATE) AS game_date",
+            "concat(year(o_orderdate) - 1, '-', lpad(year(o_orderdate) % 100, 2, '0')) AS season",
+            f"{_team('c_nationkey')} AS home_team_id",
+            f"{_team(away)} AS away_team_id",
+            f"CAST(if(o_orderkey % 50 = 0, {away}, c_nationkey) AS BIGINT) AS arena_id",
+            "concat(12 + o_orderkey % 11, ':30:00') AS tipoff_time",
+            "o_orderdate AS loaded_at",
         )
 
-    @staticmethod
-    def _sums() -> list[Column]:
-        return [
-            _long(F.sum("l_quantity")).alias("q"),
-            F.sum("l_partkey").alias("p"),
-            F.sum("l_suppkey").alias("s"),
-            F.max("l_shipdate").alias("loaded_at"),
-        ]
-
-    @staticmethod
-    def _team_box(points: Column, attempts: Column, turnovers: Column) -> list[Column]:
-        q, p, s = F.col("q"), F.col("p"), F.col("s")
-        return [
-            (30 + q % 15).alias("field_goals_made"),
-            attempts.alias("field_goals_attempted"),
-            (5 + q % 12).alias("three_pointers_made"),
-            (20 + p % 20).alias("three_pointers_attempted"),
-            (10 + s % 15).alias("free_throws_made"),
-            (15 + s % 21).alias("free_throws_attempted"),
-            (5 + s % 11).alias("offensive_rebounds"),
-            (25 + p % 16).alias("defensive_rebounds"),
-            (15 + q % 16).alias("assists"),
-            (4 + s % 9).alias("steals"),
-            (2 + p % 8).alias("blocks"),
-            turnovers.alias("turnovers"),
-            (14 + s % 12).alias("personal_fouls"),
-            points.alias("points"),
-            F.col("loaded_at"),
-        ]
-
+    @cached_property
+    def _game_teams(self) -> DataFrame:
+        return self.games.select("game_id", "home_team_id", "away_team_id")
+
+    def _summed(self, lines: DataFrame, *keys: str) -> DataFrame:
+        return lines.groupBy("l_orderkey", *keys).agg(
+            F.expr("CAST(sum(l_quantity) AS BIGINT) AS q"),
+            F.expr("sum(l_partkey) AS p"),
+            F.expr("sum(l_suppkey) AS s"),
+            F.expr("max(l_shipdate) AS loaded_at"),
+            F.expr("min(l_linenumber) AS first_line"),
+            F.expr("min(l_partkey) AS low_part"),
+            F.expr("max(l_partkey) AS high_part"),
+        ).withColumn("game_id", F.expr("CAST(l_orderkey AS STRING)"))
+
+    @cached_property
     def team_game_stats(self) -> DataFrame:
-        q, p = F.col("q"), F.col("p")
-        sides = self._lines().groupBy("l_orderkey", "home_away").agg(*self._sums())
-        box = self._team_box(points=85 + q % 50, attempts=75 + p % 25, turnovers=8 + q % 13)
-        return self._with_team(sides).select("game_id", "team_id", "home_away", *box)
+        lines = self.read("lineitem").selectExpr("*", f"{_SIDE} AS home_away")
+        sides = self._summed(lines, "home_away").join(self._game_teams, "game_id")
+        box = _team_box(points="85 + q % 50", attempts="75 + p % 25", turnovers="8 + q % 13")
+        return sides.selectExpr("game_id", f"{_SIDE_TEAM} AS team_id", "home_away", *box, "loaded_at")
 
     def team_quarter_stats(self) -> DataFrame:
-        q, p, s = F.col("q"), F.col("p"), F.col("s")
-        quarters = (
-            self._lines()
-            .where(F.col("l_linenumber") <= 6)
-            .groupBy("l_orderkey", "home_away", "l_linenumber")
-            .agg(*self._sums())
-        )
-        box = self._team_box(points=15 + q % 25, attempts=15 + s % 12, turnovers=1 + p % 6)
-        return self._with_team(quarters).select(
-            "game_id", "team_id", "home_away", self._quarter().alias("quarter"), *box
-        )
-
-    @staticmethod
-    def _quarter() -> Column:
-        number = F.col("l_linenumber")
-        return F.when(number <= 4, F.concat(F.lit("Q"), _text(number))).otherwise(
-            F.concat(F.lit("OT"), _text(number - 4))
+        lines = self.read("lineitem").where("l_linenumber <= 6").selectExpr("*", f"{_SIDE} AS home_away")
+        quarters = self._summed(lines, "home_away", "l_linenumber").join(self._game_teams, "game_id")
+        box = _team_box(points="15 + q % 25", attempts="15 + s % 12", turnovers="1 + p % 6")
+        return quarters.selectExpr(
+            "game_id", f"{_SIDE_TEAM} AS team_id", "home_away", f"{_QUARTER} AS quarter", *box, "loaded_at"
         )
 
     def game_results(self) -> DataFrame:
-        ok = F.col("ok")
-        points = lambda tag: F.max(F.when(F.col("home_away") == tag, F.col("points")))
-        scores = (
-            self.team_game_stats()
-            .groupBy("game_id")
-            .agg(
-                points("home").alias("home_score"),
-                points("away").alias("away_score"),
-                F.max("loaded_at").alias("loaded_at"),
-            )
-            .where(F.col("home_score").isNotNull() & F.col("away_score").isNotNull())
-            .withColumn("ok", F.col("game_id").cast("bigint"))
-        )
-        overtime = (
-            F.when(ok % 24 == 0, 2).when(ok % 12 == 0, 1).when(ok % 5 == 0, F.lit(None)).otherwise(0)
+        side = lambda tag: self.team_game_stats.where(F.col("home_away") == tag).selectExpr(
+            "game_id", f"points AS {tag}_score", f"loaded_at AS {tag}_loaded"
         )
-        return scores.select(
+        return side("home").join(side("away"), "game_id").selectExpr(
             "game_id", "home_score", "away_score",
-            (ok % 12 == 0).alias("overtime_flag"),
-            _long(overtime).alias("overtime_periods"),
-            "loaded_at",
+            "CAST(game_id AS BIGINT) % 12 = 0 AS overtime_flag",
+            """CAST(CASE WHEN CAST(game_id AS BIGINT) % 24 = 0 THEN 2 WHEN CAST(game_id AS BIGINT) % 12 = 0 THEN 1
+               WHEN CAST(game_id AS BIGINT) % 5 <> 0 THEN 0 END AS BIGINT) AS overtime_periods""",
+            "greatest(home_loaded, away_loaded) AS loaded_at",
         )
 
     # -- players ----------------------------------------------------------------------------
 
-    def _player_lines(self) -> DataFrame:
-        suppliers = self.read("supplier").select("s_suppkey", "s_name")
-        lines = self.read("lineitem")
-        return lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-
-    @staticmethod
-    def _player_box() -> list[Column]:
-        q, p, s = F.col("q"), F.col("p"), F.col("s")
-        return [
-            (s % 5).alias("steals"),
-            (p % 4).alias("blocks"),
-            (q % 6).alias("turnovers"),
-            (s % 6).alias("personal_fouls"),
-            (q % 12).alias("field_goals_made"),
-            (12 + q % 13).alias("field_goals_attempted"),
-            (p % 6).alias("three_pointers_made"),
-            (6 + p % 7).alias("three_pointers_attempted"),
-            (s % 8).alias("free_throws_made"),
-            (8 + s % 9).alias("free_throws_attempted"),
-        ]
+    @cached_property
+    def _suppliers(self) -> DataFrame:
+        return self.read("supplier").selectExpr("s_suppkey AS l_suppkey", "s_name AS player_name")
 
     def player_game_stats(self) -> DataFrame:
-        q, p = F.col("q"), F.col("p")
-        orders = self.read("orders").select("o_orderkey", "o_orderdate")
-        first = F.col("first_line")
-        per_game = (
-            self._player_lines()
-            .groupBy("l_orderkey", "l_suppkey", "s_name")
-            .agg(
-                *self._sums(),
-                F.min("l_linenumber").alias("first_line"),
-                F.min("l_partkey").alias("low_part"),
-                F.max("l_partkey").alias("high_part"),
-            )
+        orders = self.read("orders").selectExpr("o_orderkey AS l_orderkey", "o_orderdate")
+        per_game = self._summed(self.read("lineitem"), "l_suppkey")
+        listed = per_game.join(orders, "l_orderkey").where(
+            f"NOT (l_suppkey % 3 = 0 AND o_orderdate > TIMESTAMP_NTZ '{ABSENT_AFTER}')"
         )
-        absent = (F.col("l_suppkey") % 3 == 0) & (F.col("o_orderdate") > F.lit(ABSENT_AFTER).cast("timestamp_ntz"))
-        clock = F.concat(
-            _text(F.col("low_part") % 40), F.lit(":"), _text(F.col("high_part") % 60)
-        )
-        return (
-            per_game.join(orders, per_game.l_orderkey == orders.o_orderkey)
-            .where(~absent)
-            .select(
-                _text(F.col("l_orderkey")).alias("game_id"),
-                F.col("s_name").alias("player_name"),
-                _team(F.col("l_suppkey") % 25).alias("team_id"),
-                (first <= 3).alias("starter"),
-                F.when(first == 7, F.lit(None)).when(first == 6, F.lit("")).otherwise(clock).alias("minutes"),
-                q.alias("points"),
-                (p % 16).alias("rebounds"),
-                (p % 13).alias("assists"),
-                *self._player_box(),
-                (p % 41 - 20).alias("plus_minus"),
-                "loaded_at",
-            )
+        return listed.join(self._suppliers, "l_suppkey").selectExpr(
+            "game_id", "player_name", f"{_team('l_suppkey % 25')} AS team_id", "first_line <= 3 AS starter",
+            """CASE WHEN first_line = 6 THEN '' WHEN first_line <> 7
+               THEN concat(low_part % 40, ':', high_part % 60) END AS minutes""",
+            "q AS points", "p % 16 AS rebounds", "p % 13 AS assists", *_PLAYER_BOX,
+            "p % 41 - 20 AS plus_minus", "loaded_at",
         )
 
     def player_quarter_stats(self) -> DataFrame:
-        q, p = F.col("q"), F.col("p")
-        per_quarter = (
-            self._player_lines()
-            .where(F.col("l_linenumber") <= 6)
-            .groupBy("l_orderkey", "l_suppkey", "s_name", "l_linenumber")
-            .agg(*self._sums())
-        )
-        return per_quarter.select(
-            _text(F.col("l_orderkey")).alias("game_id"),
-            F.col("s_name").alias("player_name"),
-            _team(F.col("l_suppkey") % 25).alias("team_id"),
-            self._quarter().alias("quarter"),
-            _text(p % 13).alias("minutes"),
-            (q % 20).alias("points"),
-            (p % 3).alias("offensive_rebounds"),
-            (p % 5).alias("defensive_rebounds"),
-            (p % 7).alias("assists"),
-            *self._player_box(),
-            (p % 21 - 10).alias("plus_minus"),
-            "loaded_at",
+        lines = self.read("lineitem").where("l_linenumber <= 6")
+        per_quarter = self._summed(lines, "l_suppkey", "l_linenumber")
+        return per_quarter.join(self._suppliers, "l_suppkey").selectExpr(
+            "game_id", "player_name", f"{_team('l_suppkey % 25')} AS team_id", f"{_QUARTER} AS quarter",
+            "CAST(p % 13 AS STRING) AS minutes", "q % 20 AS points", "p % 3 AS offensive_rebounds",
+            "p % 5 AS defensive_rebounds", "p % 7 AS assists", *_PLAYER_BOX,
+            "p % 21 - 10 AS plus_minus", "loaded_at",
         )
 
     def injuries(self) -> DataFrame:
-        number = F.col("user_id") % 100
-        return self.read("events").select(
-            _days_after(INJURY_DAY_ONE, F.dayofmonth("ts") - 1).alias("game_date"),
-            F.concat(_padded(F.hour("ts"), 2), F.lit(":"), _padded(F.minute("ts"), 2)).alias("game_time"),
-            F.concat(_team(number % 25), F.lit("@"), _team((number + 1) % 25)).alias("matchup"),
-            _team(number % 25).alias("team_id"),
-            F.concat(F.lit("Supplier#"), _padded(number, 9)).alias("player_name"),
-            _lookup(F.col("event_type"), _INJURY_STATUS).alias("status"),
-            F.col("event_type").alias("reason"),
-            F.concat(F.lit("report-"), _padded(F.col("event_id"), 12)).alias("pdf_url"),
-            F.col("ts").alias("scraped_at"),
+        number = "user_id % 100"
+        return self.read("events").selectExpr(
+            f"date_add(DATE '{INJURY_DAY_ONE}', dayofmonth(ts) - 1) AS game_date",
+            "concat(lpad(hour(ts), 2, '0'), ':', lpad(minute(ts), 2, '0')) AS game_time",
+            f"concat({_team(f'{number} % 25')}, '@', {_team(f'({number} + 1) % 25')}) AS matchup",
+            f"{_team(f'{number} % 25')} AS team_id",
+            f"concat('Supplier#', lpad({number}, 9, '0')) AS player_name",
+            f"{_choice('event_type', _INJURY_STATUS)} AS status",
+            "event_type AS reason",
+            "concat('report-', lpad(event_id, 12, '0')) AS pdf_url",
+            "ts AS scraped_at",
         )
 
     # -- officials, broadcast, lines --------------------------------------------------------
 
     def referee_assignments(self) -> DataFrame:
-        ck, ok = F.col("o_custkey"), F.col("o_orderkey")
-        return self.read("orders").select(
-            _text(ok).alias("game_id"),
-            _text(ck % 17).alias("referee_1"),
-            _text((ck + 5) % 17).alias("referee_2"),
-            F.when(ok % 7 != 0, _text((ck + 10) % 17)).alias("referee_3"),
-            F.col("o_orderdate").alias("loaded_at"),
+        return self.read("orders").selectExpr(
+            "CAST(o_orderkey AS STRING) AS game_id",
+            "CAST(o_custkey % 17 AS STRING) AS referee_1",
+            "CAST((o_custkey + 5) % 17 AS STRING) AS referee_2",
+            "if(o_orderkey % 7 <> 0, CAST((o_custkey + 10) % 17 AS STRING), NULL) AS referee_3",
+            "o_orderdate AS loaded_at",
         )
 
     def broadcast_schedule(self) -> DataFrame:
-        ok = F.col("o_orderkey")
-        return self.read("orders").where(ok % 3 == 0).select(
-            F.to_date("o_orderdate").alias("game_date"),
-            _text(ok).alias("game_id"),
-            (ok % 2 == 0).alias("is_national_broadcast"),
-            F.col("o_orderdate").alias("loaded_at"),
+        return self.read("orders").where("o_orderkey % 3 = 0").selectExpr(
+            "CAST(o_orderdate AS DATE) AS game_date",
+            "CAST(o_orderkey AS STRING) AS game_id",
+            "o_orderkey % 2 = 0 AS is_national_broadcast",
+            "o_orderdate AS loaded_at",
         )
 
-    def _line_columns(self) -> list[Column]:
-        ok = F.col("game_id").cast("bigint")
-        return [
-            (F.lit(200.5) + ok % 40).alias("over_under"),
-            (F.lit(0.5) + ok % 25 - 12).alias("home_line"),
-        ]
+    def _lines(self, *more: str) -> DataFrame:
+        return self.games.selectExpr(
+            "game_date", "season", "home_team_id AS home_team", "away_team_id AS away_team",
+            "CAST(game_id AS BIGINT) % 40 + 200.5D AS over_under",
+            "CAST(game_id AS BIGINT) % 25 - 12 + 0.5D AS home_line",
+            *more,
+        )
 
     def betting_lines(self) -> DataFrame:
-        return self.games().select(
-            "game_date", "season",
-            F.col("home_team_id").alias("home_team"),
-            F.col("away_team_id").alias("away_team"),
-            *self._line_columns(),
-            "loaded_at",
-        )
+        return self._lines("loaded_at")
 
     def odds(self, days_before: int) -> DataFrame:
-        ok = F.col("game_id").cast("bigint")
-        return self.games().select(
-            "game_date", "season",
-            F.col("home_team_id").alias("home_team"),
-            F.col("away_team_id").alias("away_team"),
-            *self._line_columns(),
-            (F.lit(-110.0) - ok % 90).alias("home_moneyline"),
-            (F.lit(100.0) + ok % 90).alias("away_moneyline"),
-            F.concat(F.lit("odds-"), F.col("game_id")).alias("odds_api_game_id"),
-            (F.col("loaded_at") - F.expr(f"INTERVAL {days_before} DAY")).alias("captured_at"),
+        return self._lines(
+            "-110D - CAST(game_id AS BIGINT) % 90 AS home_moneyline",
+            "100D + CAST(game_id AS BIGINT) % 90 AS away_moneyline",
+            "concat('odds-', game_id) AS odds_api_game_id",
+            f"loaded_at - INTERVAL {days_before} DAY AS captured_at",
         )
 
     # -- dimensions -------------------------------------------------------------------------
 
     def dim_arenas(self) -> DataFrame:
-        n = _long(F.col("n_nationkey"))
-        known = n != 24
         zones = {str(i): zone for i, zone in enumerate(_ARENA_ZONES)}
-        return self.read("nation").select(
-            n.alias("arena_id"),
-            F.col("n_name").alias("city"),
-            F.when(known, (25 + (n * 7) % 24).cast("double")).alias("latitude"),
-            F.when(known, (-70 - (n * 11) % 52).cast("double")).alias("longitude"),
-            ((n * n * 37) % 5300).alias("altitude_feet"),
-            _lookup(_text(n % 5), zones).alias("timezone"),
+        numbered = self.read("nation").selectExpr("CAST(n_nationkey AS BIGINT) AS arena_id", "n_name AS city")
+        return numbered.selectExpr(
+            "arena_id", "city",
+            "if(arena_id <> 24, CAST(25 + (arena_id * 7) % 24 AS DOUBLE), NULL) AS latitude",
+            "if(arena_id <> 24, CAST(-70 - (arena_id * 11) % 52 AS DOUBLE), NULL) AS longitude",
+            "(arena_id * arena_id * 37) % 5300 AS altitude_feet",
+            f"{_choice('CAST(arena_id % 5 AS STRING)', zones)} AS timezone",
         )
 
     def dim_referees(self) -> DataFrame:
-        numbers = self.read("orders").select((F.col("o_custkey") % 17).alias("referee_id")).distinct()
-        return numbers.select(
-            "referee_id", F.concat(F.lit("Official "), _text(F.col("referee_id"))).alias("full_name")
-        )
+        numbers = self.read("orders").selectExpr("o_custkey % 17 AS referee_id").distinct()
+        return numbers.selectExpr("referee_id", "concat('Official ', referee_id) AS full_name")
 
     # -- scored games -----------------------------------------------------------------------
 
+    @cached_property
     def _scored_events(self) -> DataFrame:
         """Each event rescores one of the first 400 games (so the game side has 400 rows at most)."""
-        games = self.games().where(F.col("game_id").cast("bigint") < 400)
-        names = games.select("game_id", "home_team_id", "away_team_id", "tipoff_time")
-        e = F.col("event_id")
-        return (
-            self.read("events")
-            .withColumn("game_id", _text(e % 400))
-            .join(F.broadcast(names), "game_id")
-            .withColumn("game_date", _days_after(TRACKER_DAY_ONE, (e % 400) % 28))
+        games = self.games.where("CAST(game_id AS BIGINT) < 400").select(
+            "game_id", "home_team_id", "away_team_id", "tipoff_time"
         )
-
-    @staticmethod
-    def _model_columns() -> dict[str, Column]:
-        e = F.col("event_id")
-        return {
-            "composite_score": ((e * 7) % 81 - 40) / 100.0,
-            "model_vs_market": ((e * 13) % 31 - 15) / 100.0,
-            "model_vs_line": ((e * 11) % 15 - 7).cast("double"),
-            "spread_home": (F.lit(0.5) + (e * 3) % 25 - 12),
-            "over_under": (F.lit(200.5) + e % 40),
-        }
+        events = self.read("events").selectExpr(
+            "event_id", "ts", "CAST(event_id % 400 AS STRING) AS game_id",
+            f"date_add(DATE '{TRACKER_DAY_ONE}', CAST(event_id % 400 % 28 AS INT)) AS game_date",
+        )
+        return events.join(F.broadcast(games), "game_id")
 
     def scored_games(self) -> DataFrame:
-        e = F.col("event_id")
-        model = self._model_columns()
-        insights = [
-            insight_text((e * (i + 5) + i) % 6, field).alias(field)
+        insights = {
+            field: insight_text(f"(event_id * {i + 5} + {i}) % 6", field)
             for i, field in enumerate(PREVIEW_INSIGHTS)
-        ]
-        return self._scored_events().select(
-            "game_date", "home_team_id", "away_team_id", "tipoff_time",
-            F.col("ts").alias("inserted_at"),
-            (e % 3 == 0).alias("is_national_broadcast"),
-            *[column.alias(name) for name, column in model.items()],
-            (model["over_under"] + model["model_vs_line"]).alias("model_total"),
-            F.concat(F.lit("LEAN "), _text(e % 3)).alias("overall_lean"),
-            F.concat(F.lit("DIV "), _text(e % 5)).alias("market_divergence"),
-            F.concat(F.lit("TOTAL "), _text(e % 7)).alias("total_insight"),
-            F.concat(_text(e % 50), F.lit("-"), _text(e % 30)).alias("home_record"),
-            F.concat(_text(e % 40), F.lit("-"), _text(e % 35)).alias("away_record"),
-            F.concat(F.lit("Official "), _text(e % 17)).alias("crew_chief_name"),
-            *insights,
+        }
+        return self._scored_events.selectExpr(
+            "game_date", "home_team_id", "away_team_id", "tipoff_time", "ts AS inserted_at",
+            "event_id % 3 = 0 AS is_national_broadcast",
+            *_named(_MODEL),
+            f"{_MODEL['over_under']} + {_MODEL['model_vs_line']} AS model_total",
+            *_named(_LABELS),
+            "concat(event_id % 50, '-', event_id % 30) AS home_record",
+            "concat(event_id % 40, '-', event_id % 35) AS away_record",
+            "concat('Official ', event_id % 17) AS crew_chief_name",
+            *_named(insights),
         )
 
     def model_tracker(self) -> DataFrame:
         from courtside.functions import pick_text as pt
 
-        e = F.col("event_id")
-        model = self._model_columns()
-        return self._scored_events().select(
-            "game_date", "home_team_id", "away_team_id",
-            F.col("ts").alias("scored_at"),
-            pt.divergence_strength(model["model_vs_market"]).alias("divergence_strength"),
-            pt.signal_strength(model["composite_score"]).alias("signal_strength"),
-            pt.total_strength(model["model_vs_line"]).alias("ou_signal_strength"),
-            F.when(e % 7 != 0, e % 2 == 0).alias("divergence_correct"),
-            F.when(e % 8 != 0, e % 3 == 0).alias("model_ou_correct"),
-            model["model_vs_market"].alias("model_vs_market"),
-            model["model_vs_line"].alias("model_vs_line"),
-            model["spread_home"].alias("spread_home"),
-            model["over_under"].alias("over_under"),
-            F.when(e % 9 != 0, e % 41 - 20).alias("actual_margin"),
-            F.when(e % 9 != 0, 180 + e % 70).alias("actual_total"),
+        graded = self._scored_events.selectExpr(
+            "game_date", "home_team_id", "away_team_id", "ts AS scored_at", *_named(_MODEL),
+            "if(event_id % 7 <> 0, event_id % 2 = 0, NULL) AS divergence_correct",
+            "if(event_id % 8 <> 0, event_id % 3 = 0, NULL) AS model_ou_correct",
+            "if(event_id % 9 <> 0, event_id % 41 - 20, NULL) AS actual_margin",
+            "if(event_id % 9 <> 0, 180 + event_id % 70, NULL) AS actual_total",
         )
+        return graded.withColumns({
+            "divergence_strength": pt.divergence_strength("model_vs_market"),
+            "signal_strength": pt.signal_strength("composite_score"),
+            "ou_signal_strength": pt.total_strength("model_vs_line"),
+        }).drop("composite_score")
 
     def game_previews(self) -> DataFrame:
         """Previews already published: one for every third game."""
-        e = F.col("event_id")
-        model = self._model_columns()
-        events = self._scored_events().where((e < 400) & (e % 3 == 0))
-        return events.select(
+        model = {name: rule for name, rule in _MODEL.items() if name != "model_vs_line"}
+        return self._scored_events.where("event_id < 400 AND event_id % 3 = 0").selectExpr(
             "game_date", "home_team_id", "away_team_id", "tipoff_time",
-            (e % 5 == 0).alias("is_free_game"),
-            model["composite_score"].alias("composite_score"),
-            F.concat(F.lit("LEAN "), _text(e % 3)).alias("overall_lean"),
-            F.concat(F.lit("DIV "), _text(e % 5)).alias("market_divergence"),
-            model["model_vs_market"].alias("model_vs_market"),
-            F.concat(F.lit("TOTAL "), _text(e % 7)).alias("total_insight"),
-            model["spread_home"].alias("spread_home"),
-            model["over_under"].alias("over_under"),
-            F.concat(F.lit("preview "), _text(e)).alias("preview_text"),
-            F.lit(False).alias("posted_substack"),
-            F.lit(False).alias("posted_reddit"),
-            F.col("ts").alias("generated_at"),
+            "event_id % 5 = 0 AS is_free_game", *_named(model), *_named(_LABELS),
+            "concat('preview ', event_id) AS preview_text",
+            "false AS posted_substack", "false AS posted_reddit", "ts AS generated_at",
         )
