@@ -6,7 +6,7 @@ from checks.league_sql import (
     LIBRARY, MODELS, NEWEST_VERSION, PLAYER_QUARTER_MEANS, RAW, TEAM_QUARTER_MEANS, strengths,
 )
 from checks.sql_tools import assemble, listed, named, one_decimal, plus_signed, rounded
-from courtside.functions.text import NAME_PROFILES
+from courtside.functions.text import NAME_PROFILES, SUFFIX
 from courtside.sources.schemas import PICK_INSIGHTS, PREVIEW_COLUMNS, PREVIEW_INSIGHTS
 
 SCORE_DAY = "2024-01-14"
@@ -16,7 +16,7 @@ RETURN_DAY = "2001-08-01"
 def _normalized(text: str, profile: str) -> str:
     quote = lambda value: "'" + value.replace("'", "''") + "'"
     cleaned = text
-    for pattern, replacement in NAME_PROFILES[profile]:
+    for pattern, replacement in [*NAME_PROFILES[profile], (SUFFIX, "")]:
         cleaned = f"regexp_replace({cleaned}, {quote(pattern)}, {quote(replacement)}, 'g')"
     breaks = r"""\s\[\](){}/|\\<>!?@"^#$&~_,.:;*%+\-"""
     tokens = f"regexp_extract_all({cleaned}, {quote(f'[{breaks}]|[^{breaks}]+')})"

@@ -23,12 +23,13 @@ COMMON_SPELLING = [
 ]
 # Mojibake rules; the two feeds apply them before or after the common block.
 MOJIBAKE_SPELLING = [("Å", "S"), ("Ã¼", "u")]
-# What every name loses at the end.
-TAIL_SPELLING = [(r"[^\x00-\x7F]", ""), (r"\s+(III|II|IV|V|II)$", "")]
+# Letters outside the rules are dropped, then a generation suffix.
+NOT_PLAIN = r"[^\x00-\x7F]"
+SUFFIX = r"\s+(III|II|IV|V|II)\z"
 
 NAME_PROFILES = {
-    "box_score": MOJIBAKE_SPELLING + COMMON_SPELLING + TAIL_SPELLING,
-    "injury": COMMON_SPELLING + MOJIBAKE_SPELLING + TAIL_SPELLING,
+    "box_score": MOJIBAKE_SPELLING + COMMON_SPELLING + [(NOT_PLAIN, "")],
+    "injury": COMMON_SPELLING + MOJIBAKE_SPELLING + [(NOT_PLAIN, "")],
 }
 
 # Characters after which a new word starts; an apostrophe does not start one.
@@ -45,11 +46,16 @@ def title_case(text: Column) -> Column:
 
 
 def normalize_name(text: Column | str, profile: str) -> Column:
-    """Plain-letter, suffix-free, title-cased player name; the profile fixes the rule order."""
-    cleaned = F.col(text) if isinstance(text, str) else text
+    """Plain-letter, suffix-free, title-cased player name; the profile fixes the rule order.
+
+    Every spelling rule needs a character outside ASCII, so plain names skip them all.
+    """
+    name = F.col(text) if isinstance(text, str) else text
+    spelled = name
     for pattern, replacement in NAME_PROFILES[profile]:
-        cleaned = F.regexp_replace(cleaned, pattern, replacement)
-    return title_case(cleaned)
+        spelled = F.regexp_replace(spelled, pattern, replacement)
+    plain = F.when(name.rlike(NOT_PLAIN), spelled).otherwise(name)
+    return title_case(F.regexp_replace(plain, SUFFIX, ""))
 
 
 def match_key(name: Column | str) -> Column:

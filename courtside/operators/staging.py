@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +41,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def concurrently(*steps: Callable[[], Any]) -> list[Any]:
+    """Results of independent steps whose Spark jobs may run side by side."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        return [future.result() for future in [pool.submit(step) for step in steps]]

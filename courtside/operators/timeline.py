@@ -70,6 +70,10 @@ class Timeline:
     def select(self, *columns: str | Column) -> DataFrame:
         return self.rows.select(*columns)
 
+    def joined(self, values: DataFrame) -> Timeline:
+        """Add one row of values per entity; entities without one are left out as a whole."""
+        return replace(self, rows=self.rows.join(values, list(self.entity)))
+
     def with_columns(self, columns: Mapping[str, Column]) -> Timeline:
         return replace(self, rows=self.rows.withColumns(dict(columns)))
 
@@ -183,7 +187,8 @@ def current_run(
     """Flag and length of the run each entity is in at its last row.
 
     Only aggregates: the last row of either flag per entity, then a count of the rows after the
-    last row with the other flag. No ordered pass over the history is needed.
+    last row with the other flag. No ordered pass over the history is needed. The one row per
+    entity is staged, so that a few entities are broadcast instead of shuffling all rows by them.
     """
     moment = F.struct(*order)
     last = rows.groupBy(entity).agg(
@@ -193,10 +198,13 @@ def current_run(
     now_one = F.col("_last_zero").isNull() | F.coalesce(
         F.col("_last_one") > F.col("_last_zero"), F.lit(False)
     )
-    ends = last.select(
-        F.col(entity),
-        F.when(now_one, 1).otherwise(0).cast("bigint").alias("_now"),
-        F.when(now_one, F.col("_last_zero")).otherwise(F.col("_last_one")).alias("_other"),
+    ends = stage(
+        last.select(
+            F.col(entity),
+            F.when(now_one, 1).otherwise(0).cast("bigint").alias("_now"),
+            F.when(now_one, F.col("_last_zero")).otherwise(F.col("_last_one")).alias("_other"),
+        ),
+        "run_ends",
     )
     inside = rows.join(ends, entity).where(
         F.col("_other").isNull() | (moment > F.col("_other"))

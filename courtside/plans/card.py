@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from courtside.operators.keyed import with_flag, with_total
 from courtside.operators.pairs import pair_record, with_pair_key
 from courtside.operators.shape import SIDES
-from courtside.operators.staging import stage
+from courtside.operators.staging import concurrently, stage
 from courtside.plans import teams
 from courtside.sources.schemas import PERIODS
 
@@ -61,6 +61,13 @@ def season_pairs(scores: DataFrame, season_now: DataFrame) -> DataFrame:
     )
 
 
+def crew_chiefs(tendencies: DataFrame) -> DataFrame:
+    return tendencies.select(
+        F.col("referee_id").alias("referee_1"),
+        *[F.col(source).alias(name) for source, name in CREW_CHIEF.items()],
+    )
+
+
 def game_card(
     games: DataFrame,
     played: DataFrame,
@@ -78,18 +85,14 @@ def game_card(
     Tables by game meet on the game id. Team, pair and official tables are aggregated to one row
     per key and staged first: the optimizer then knows their size and broadcasts only small ones.
     """
-    profile = stage(team_profile(rows, season_now), "team_profile")
-    pairs = stage(season_pairs(played, season_now), "season_pairs")
-    chiefs = stage(
-        tendencies.select(
-            F.col("referee_id").alias("referee_1"),
-            *[F.col(source).alias(name) for source, name in CREW_CHIEF.items()],
+    profile, pairs, chiefs, effect = concurrently(
+        lambda: stage(team_profile(rows, season_now), "team_profile"),
+        lambda: stage(season_pairs(played, season_now), "season_pairs"),
+        lambda: stage(crew_chiefs(tendencies), "crew_chiefs"),
+        lambda: stage(
+            official_effect.select("team_id", "referee_id", "games_with_referee", "weighted_ref_effect"),
+            "official_effect",
         ),
-        "crew_chiefs",
-    )
-    effect = stage(
-        official_effect.select("team_id", "referee_id", "games_with_referee", "weighted_ref_effect"),
-        "official_effect",
     )
 
     scored = with_flag(played, broadcasts, "game_id", "is_national_broadcast")

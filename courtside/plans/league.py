@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
-from courtside.operators.staging import stage
+from courtside.operators.staging import concurrently, stage
 from courtside.operators.timeline import Timeline
 from courtside.plans import card, games, officials, picks, players, recap, schedule, staging, teams
 from courtside.sources.readers import RawTables
@@ -73,10 +73,17 @@ class League:
 
     # -- teams ------------------------------------------------------------------------------
 
+    @cached_property
+    def _paced_rows(self) -> DataFrame:
+        """Team games with pace, from the written wide games where those exist already."""
+        written = "played" in self.__dict__
+        paced = self.played if written else games.with_pace(self.game_scores, self.stg("game_results"))
+        return games.team_rows(paced)
+
     @cached_property
     def paced_timeline(self) -> Timeline:
         """Team games with pace, in order."""
-        return teams.team_timeline(games.team_rows(self.played), self.max_group_rows)
+        return teams.team_timeline(self._paced_rows, self.max_group_rows)
 
     @cached_property
     def timeline(self) -> Timeline:
@@ -111,12 +118,8 @@ class League:
             rolling, self.stg("referee_assignments"), self.season_now
         )
 
-    @cached_property
-    def _team_rows(self) -> DataFrame:
-        return stage(games.team_rows(games.with_pace(self.game_scores, self.stg("game_results"))), "team_rows")
-
     def team_summary(self) -> DataFrame:
-        return teams.team_summary(self._team_rows, self.stg("team_quarter_stats"))
+        return teams.team_summary(stage(self._paced_rows, "team_rows"), self.stg("team_quarter_stats"))
 
     # -- schedule ---------------------------------------------------------------------------
 
@@ -166,24 +169,27 @@ class League:
     # -- players ----------------------------------------------------------------------------
 
     @cached_property
-    def appearances(self) -> DataFrame:
-        return stage(
-            players.appearances(self.stg("player_game_stats"), self.game_scores), "appearances"
-        )
+    def player_timeline(self) -> Timeline:
+        rows = players.appearances(self.stg("player_game_stats"), self.game_scores)
+        return players.player_timeline(rows, self.max_group_rows)
 
     @cached_property
-    def baseline(self) -> DataFrame:
-        return players.season_baseline(self.appearances, self.season_now)
+    def appearances(self) -> DataFrame:
+        """Player games with time on the court, written once."""
+        rows = players.appearances(self.stg("player_game_stats"), self.game_scores)
+        return stage(rows, "appearances")
 
     @cached_property
-    def player_timeline(self) -> Timeline:
-        return players.player_timeline(self.appearances, self.baseline, self.max_group_rows)
+    def baseline(self) -> DataFrame:
+        """Season means, one row per player, written once: several models look them up."""
+        rows = self.player_timeline.rows if "player_timeline" in self.__dict__ else self.appearances
+        return stage(players.season_baseline(rows, self.season_now), "baseline")
 
     def player_rolling_averages(self) -> DataFrame:
-        return players.player_rolling_averages(self.player_timeline)
+        return players.player_rolling_averages(self.player_timeline, self.baseline)
 
     def player_streaks(self) -> DataFrame:
-        return players.player_streaks(self.player_timeline)
+        return players.player_streaks(self.player_timeline, self.baseline)
 
     def player_summary(self) -> DataFrame:
         return players.player_summary(
@@ -207,16 +213,21 @@ class League:
     # -- card and picks ---------------------------------------------------------------------
 
     def game_card(self) -> DataFrame:
+        assignments = self.stg("referee_assignments")
+        _ = self._schedule_rows, self.season_now
+        played, context, travel = concurrently(
+            lambda: self.played, lambda: self.schedule_context, self.travel
+        )
         return card.game_card(
             games=self.stg("games"),
-            played=self.played,
+            played=played,
             broadcasts=self.stg("broadcast_schedule"),
-            context=self.schedule_context,
-            travel=self.travel(),
+            context=context,
+            travel=travel,
             rows=self.paced_timeline.rows,
             season_now=self.season_now,
-            assignments=self.stg("referee_assignments"),
-            tendencies=officials.official_tendencies(self.stg("referee_assignments"), self.played),
+            assignments=assignments,
+            tendencies=officials.official_tendencies(assignments, played),
             official_effect=self.team_referee_record(),
         )
 

@@ -37,6 +37,12 @@ SEASON_WEIGHTS = {0: 100, 1: 40, 2: 15}
 EVEN_CHANCE = 0.5
 
 
+def by_official(game_rows: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Rows of games once per official: joined by game first, so the shuffle moves each row once."""
+    crewed = game_rows.join(assignments.select("game_id", *SLOTS), "game_id")
+    return unpivot_slots(crewed, game_rows.columns, SLOTS, "referee_id")
+
+
 def official_games(assignments: DataFrame) -> DataFrame:
     return unpivot_slots(assignments, ["game_id"], SLOTS, "referee_id")
 
@@ -50,8 +56,7 @@ def _game_totals(scores: DataFrame) -> list[Column]:
 
 
 def official_tendencies(assignments: DataFrame, scores: DataFrame) -> DataFrame:
-    totals = scores.select("game_id", "game_date", *_game_totals(scores))
-    rows = official_games(assignments).join(totals, "game_id")
+    rows = by_official(scores.select("game_id", "game_date", *_game_totals(scores)), assignments)
     return rows.groupBy("referee_id").agg(
         F.count("*").alias("games_officiated"),
         *[round_mean(name, 1).alias(f"avg_{name}") for name in GAME_TOTALS],
@@ -67,7 +72,7 @@ def _seasonal_sums(assignments: DataFrame, played: DataFrame) -> DataFrame:
         "game_id", "game_date", "season", *_game_totals(played),
         as_units("game_pace", 1).alias("pace_tenths"),
     )
-    rows = official_games(assignments).join(totals, "game_id")
+    rows = by_official(totals, assignments)
     return rows.groupBy("referee_id", "season").agg(
         F.count("*").alias("games"),
         *[F.sum(name).alias(name) for name in (*GAME_TOTALS, "home_win", "pace_tenths")],
@@ -168,7 +173,7 @@ def team_official_effect(
         season_now,
     ).where(age <= max(SEASON_WEIGHTS))
     expected = as_units(F.coalesce("win_pct_last10", F.lit(EVEN_CHANCE)), 3)
-    rows = recent.join(official_games(assignments), "game_id").withColumns({
+    rows = by_official(recent, assignments).withColumns({
         "_weight": _season_weight(age),
         "_effect": F.col("win") * 1000 - expected,
         "_known": as_units("win_pct_last10", 3),

@@ -12,7 +12,7 @@ from courtside.functions.text import match_key
 from courtside.operators.keyed import newest_per_key, with_total
 from courtside.operators.shape import quarter_profile
 from courtside.operators.timeline import Timeline, current_run, trailing_mean
-from courtside.plans.officials import official_games
+from courtside.plans.officials import by_official
 
 PLAYER_ORDER = ("game_date", "game_id", "team_id")
 
@@ -69,11 +69,8 @@ def season_baseline(player_games: DataFrame, season_now: DataFrame) -> DataFrame
     )
 
 
-def player_timeline(
-    player_games: DataFrame, baseline: DataFrame, max_group_rows: int | None = None
-) -> Timeline:
-    rows = player_games.join(baseline, "player_name")
-    return Timeline.of(rows, ["player_name"], PLAYER_ORDER, max_group_rows)
+def player_timeline(player_games: DataFrame, max_group_rows: int | None = None) -> Timeline:
+    return Timeline.of(player_games, ["player_name"], PLAYER_ORDER, max_group_rows)
 
 
 def _with_form(timeline: Timeline) -> Timeline:
@@ -97,8 +94,9 @@ def _with_form(timeline: Timeline) -> Timeline:
     })
 
 
-def player_rolling_averages(timeline: Timeline) -> DataFrame:
-    return _with_form(timeline).select(
+def player_rolling_averages(timeline: Timeline, baseline: DataFrame) -> DataFrame:
+    """Season and rolling means of players with a baseline, one row per appearance."""
+    return _with_form(timeline.joined(baseline)).select(
         "player_name", "team_id", "game_id", "game_date", *_LAST_LINE, "starter", "games_played",
         *BASELINE.values(), *ROLLING_COLUMNS, *[f"pts_above_avg_last{n}" for n in ROLLING_SIZES],
     )
@@ -127,15 +125,11 @@ def _streak_columns() -> list[Column]:
     ]
 
 
-def player_streaks(timeline: Timeline) -> DataFrame:
+def player_streaks(timeline: Timeline, baseline: DataFrame) -> DataFrame:
     """Hot and cold flags and runs, for players with enough games this season."""
-    form = _with_form(timeline)
-    # games_played is one value per player, so this drops whole players and keeps every run whole.
-    enough = Timeline(
-        form.rows.where(F.col("games_played") >= MIN_STREAK_GAMES),
-        form.entity, form.order, form.chunk_rows,
-    )
-    flagged = enough.with_columns({**heat_flags(), "hot_game": _hot_game()})
+    regulars = baseline.where(F.col("games_played") >= MIN_STREAK_GAMES)
+    form = _with_form(timeline.joined(regulars))
+    flagged = form.with_columns({**heat_flags(), "hot_game": _hot_game()})
     runs = flagged.with_runs("hot_game", "streak_length")
     return runs.select(
         "player_name", "team_id", "game_id", "game_date", "points", "rebounds", "assists",
@@ -211,9 +205,7 @@ def player_official_outliers(
     on_court = player_stats.where(F.col("minutes_played") > 0).select(
         "player_name", "team_id", "game_id", "points", "plus_minus"
     )
-    rows = on_court.join(current.select("game_id"), "game_id").join(
-        official_games(assignments), "game_id"
-    )
+    rows = by_official(on_court.join(current.select("game_id"), "game_id"), assignments)
     under = (
         rows.groupBy("player_name", "team_id", "referee_id")
         .agg(

@@ -299,7 +299,7 @@ class SuppliedTables:
 
     @cached_property
     def _scored_events(self) -> DataFrame:
-        """Each event rescores one of the first 400 games (so the game side has 400 rows at most)."""
+        """Each event rescores one of the first 400 games."""
         games = self.games.where("CAST(game_id AS BIGINT) < 400").select(
             "game_id", "home_team_id", "away_team_id", "tipoff_time"
         )
@@ -307,7 +307,7 @@ class SuppliedTables:
             "event_id", "ts", "CAST(event_id % 400 AS STRING) AS game_id",
             f"date_add(DATE '{TRACKER_DAY_ONE}', CAST(event_id % 400 % 28 AS INT)) AS game_date",
         )
-        return events.join(F.broadcast(games), "game_id")
+        return events.join(games, "game_id")
 
     def scored_games(self) -> DataFrame:
         insights = {

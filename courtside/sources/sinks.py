@@ -36,12 +36,11 @@ def publish_table(df: DataFrame, name: str, layer: str | None = "marts") -> str:
 def publish_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table; ``partition_by`` lets later reads skip whole folders.
 
-    Rows are first spread by the partition columns plus a file split, so that no task writes to
-    every folder and a large partition is still written by many tasks.
+    Rows are gathered by the partition columns first, so that no task writes to every folder; the
+    rebalance hint lets adaptive execution split a folder that is too large for one task.
     """
     if partition_by:
-        df = df.withColumn("_split", F.spark_partition_id() % 32)
-        df = df.repartition(*partition_by, "_split").drop("_split")
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
