@@ -61,7 +61,7 @@ def _with_league(build: Callable[[League], DataFrame]) -> Query:
 
 def current_record_and_streak(lg: League) -> DataFrame:
     """Each team's record and the streak it is on."""
-    rows = stage(games.team_rows(lg.game_scores), "team_rows")
+    rows = stage(games.team_rows(lg.boxes), "team_rows")
     return teams.record(rows).join(teams.current_streak(rows), "team_id")
 
 
@@ -72,12 +72,12 @@ def crew_averages(lg: League) -> DataFrame:
 
 
 def pace_bucket_record(lg: League) -> DataFrame:
-    paced = games.with_pace(lg.game_scores, lg.stg("game_results"))
+    paced = games.with_pace(lg.boxes, lg.stg("game_results"))
     return teams.pace_record(stage(games.team_rows(paced), "team_rows"))
 
 
 def official_seasons(lg: League) -> DataFrame:
-    played = games.with_pace(lg.game_scores, lg.stg("game_results"))
+    played = games.with_pace(lg.boxes, lg.stg("game_results"))
     return officials.season_summary(lg.stg("referee_assignments"), played)
 
 
@@ -170,7 +170,7 @@ def queries() -> dict[str, Query]:
         "player_streaks_in_chunks": _model("player_streaks", **in_chunks),
         "rest_days_in_chunks": _model("rest_days", **in_chunks),
         "current_record_and_streak": _with_league(current_record_and_streak),
-        "team_rows": _with_league(lambda lg: games.team_rows(lg.game_scores)),
+        "team_rows": _with_league(lambda lg: games.team_rows(lg.boxes)),
         "official_slots": _with_league(
             lambda lg: officials.official_games(lg.stg("referee_assignments"))
         ),
@@ -178,7 +178,7 @@ def queries() -> dict[str, Query]:
         "crew_averages": _with_league(crew_averages),
         "pace_bucket_record": _with_league(pace_bucket_record),
         "home_away_splits": _with_league(
-            lambda lg: teams.home_away_splits(games.team_rows(lg.game_scores))
+            lambda lg: teams.home_away_splits(games.team_rows(lg.boxes))
         ),
         "team_quarter_profile": _with_league(
             lambda lg: teams.team_quarters(lg.stg("team_quarter_stats"))
@@ -189,7 +189,7 @@ def queries() -> dict[str, Query]:
         "season_baseline": _with_league(lambda lg: lg.baseline),
         "official_seasons": _with_league(official_seasons),
         "season_pair_record": _with_league(
-            lambda lg: card.season_pairs(lg.game_scores, lg.season_now)
+            lambda lg: card.season_pairs(lg.boxes, lg.season_now)
         ),
         "teams_by_game_day": _with_league(teams_by_game_day),
         "recap_weeks": _with_league(recap_weeks),

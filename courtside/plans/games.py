@@ -39,8 +39,8 @@ def quarter_points(quarters: DataFrame) -> DataFrame:
     return quarters.groupBy("game_id").agg(*[F.expr(c) for c in (*points, overtimes)])
 
 
-def wide_game(games: DataFrame, team_stats: DataFrame, quarters: DataFrame) -> DataFrame:
-    """Games with a box score on both sides, one row each, quarter points as columns.
+def box_scores(games: DataFrame, team_stats: DataFrame) -> DataFrame:
+    """Games with a box score on both sides, one row each, both sides as columns.
 
     Every input is partitioned by game once; the side filter reaches the scan of the box scores.
     """
@@ -50,7 +50,6 @@ def wide_game(games: DataFrame, team_stats: DataFrame, quarters: DataFrame) -> D
         games.select("game_id", "game_date", "season", "arena_id", "tipoff_time")
         .join(_side_box(team_stats, "home"), "game_id")
         .join(_side_box(team_stats, "away"), "game_id")
-        .join(quarter_points(quarters), "game_id", "left")
         .selectExpr(
             "game_id", "game_date", "season", "arena_id", "tipoff_time",
             "home_team_id", "away_team_id", "home_points", "away_points",
@@ -59,12 +58,18 @@ def wide_game(games: DataFrame, team_stats: DataFrame, quarters: DataFrame) -> D
             f"if({home_won}, 'home', 'away') AS winner_home_away",
             "home_points + away_points AS total_points",
             *[f"{side}_{short}" for side in SIDES for short in shorts],
-            *[f"{side}_pts_{period.lower()}" for side in SIDES for period in PERIODS],
-            "coalesce(quarter_overtimes, 0L) AS overtime_periods",
         )
     )
 
 
+def wide_game(boxes: DataFrame, quarters: DataFrame) -> DataFrame:
+    """Box scores with the quarter points as columns and the overtimes among the quarters."""
+    joined = boxes.join(quarter_points(quarters), "game_id", "left")
+    return joined.withColumn(
+        "overtime_periods", F.expr("coalesce(quarter_overtimes, 0L)")
+    ).drop("quarter_overtimes")
+
+
 def _possessions(side: str) -> Column:
     fga, oreb, tov, fta = (F.col(f"{side}_{c}") for c in ("fga", "oreb", "tov", "fta"))
     return (fga - oreb + tov) + F.lit(FREE_THROW_SHARE) * fta
@@ -77,7 +82,7 @@ def with_pace(scores: DataFrame, results: DataFrame) -> DataFrame:
     per_regulation = lambda possessions: round_half_up(possessions / minutes * REGULATION_MINUTES, 1)
     home, away = F.col("_home"), F.col("_away")
     return (
-        scores.withColumnRenamed("overtime_periods", "quarter_overtimes")
+        scores.drop("overtime_periods")
         .join(overtime, "game_id", "left")
         .withColumns({
             "overtime_periods": F.coalesce("_ot", F.lit(0).cast("bigint")),

@@ -51,11 +51,24 @@ class League:
 
     # -- games ------------------------------------------------------------------------------
 
+    @cached_property
+    def boxes(self) -> DataFrame:
+        """Played games without the quarters, which most models do not need.
+
+        The optimizer keeps an unused left join, so leaving it out saves a scan and a shuffle.
+        """
+        return games.box_scores(self.stg("games"), self.stg("team_game_stats"))
+
+    @cached_property
+    def _paced(self) -> DataFrame:
+        """Box scores with pace, from the written wide games where those exist already."""
+        if "played" in self.__dict__:
+            return self.played
+        return games.with_pace(self.boxes, self.stg("game_results"))
+
     @cached_property
     def game_scores(self) -> DataFrame:
-        return games.wide_game(
-            self.stg("games"), self.stg("team_game_stats"), self.stg("team_quarter_stats")
-        )
+        return games.wide_game(self.boxes, self.stg("team_quarter_stats"))
 
     @cached_property
     def played(self) -> DataFrame:
@@ -63,39 +76,32 @@ class League:
         return stage(games.with_pace(self.game_scores, self.stg("game_results")), "played")
 
     def game_pace(self) -> DataFrame:
-        return games.game_pace(self.game_scores, self.stg("game_results"))
+        return games.game_pace(self.boxes, self.stg("game_results"))
 
     def national_broadcast_flag(self) -> DataFrame:
-        return games.national_broadcast_flag(self.game_scores, self.stg("broadcast_schedule"))
+        return games.national_broadcast_flag(self.boxes, self.stg("broadcast_schedule"))
 
     def head_to_head(self) -> DataFrame:
-        return games.head_to_head(self.game_scores)
+        return games.head_to_head(self.boxes)
 
     # -- teams ------------------------------------------------------------------------------
 
-    @cached_property
-    def _paced_rows(self) -> DataFrame:
-        """Team games with pace, from the written wide games where those exist already."""
-        written = "played" in self.__dict__
-        paced = self.played if written else games.with_pace(self.game_scores, self.stg("game_results"))
-        return games.team_rows(paced)
-
     @cached_property
     def paced_timeline(self) -> Timeline:
         """Team games with pace, in order."""
-        return teams.team_timeline(self._paced_rows, self.max_group_rows)
+        return teams.team_timeline(games.team_rows(self._paced), self.max_group_rows)
 
     @cached_property
     def timeline(self) -> Timeline:
         """Team games in order, without pace: for models that need the result alone."""
-        return teams.team_timeline(games.team_rows(self.game_scores), self.max_group_rows)
+        return teams.team_timeline(games.team_rows(self.boxes), self.max_group_rows)
 
     def team_record(self) -> DataFrame:
         return teams.running_record(self.timeline)
 
     def season_team_record(self) -> DataFrame:
         by_season = Timeline.of(
-            games.team_rows(self.game_scores), ["team_id", "season"], teams.TEAM_ORDER,
+            games.team_rows(self.boxes), ["team_id", "season"], teams.TEAM_ORDER,
             self.max_group_rows,
         )
         return teams.running_record(by_season, by_season=True)
@@ -107,10 +113,11 @@ class League:
         return teams.rolling_averages(self.paced_timeline)
 
     def team_performance_by_pace(self) -> DataFrame:
-        crews = teams.crew_average(
-            self.stg("referee_assignments"), stage(self.referee_tendencies(), "tendencies")
+        tendencies, timeline = concurrently(
+            lambda: stage(self.referee_tendencies(), "tendencies"), lambda: self.paced_timeline
         )
-        return teams.performance_by_pace(self.paced_timeline, crews)
+        crews = teams.crew_average(self.stg("referee_assignments"), tendencies)
+        return teams.performance_by_pace(timeline, crews)
 
     def team_referee_record(self) -> DataFrame:
         rolling = teams.rolling_timeline(self.paced_timeline).rows
@@ -119,7 +126,7 @@ class League:
         )
 
     def team_summary(self) -> DataFrame:
-        return teams.team_summary(stage(self._paced_rows, "team_rows"), self.stg("team_quarter_stats"))
+        return teams.team_summary(stage(games.team_rows(self._paced), "team_rows"), self.stg("team_quarter_stats"))
 
     # -- schedule ---------------------------------------------------------------------------
 
@@ -152,31 +159,30 @@ class League:
 
     def altitude_fatigue_by_player(self) -> DataFrame:
         return schedule.altitude_by_player(
-            self.stg("player_quarter_stats"), self.game_scores, self.altitude_fatigue()
+            self.stg("player_quarter_stats"), self.boxes, self.altitude_fatigue()
         )
 
     # -- officials --------------------------------------------------------------------------
 
     def referee_tendencies(self) -> DataFrame:
-        return officials.official_tendencies(self.stg("referee_assignments"), self.game_scores)
+        return officials.official_tendencies(self.stg("referee_assignments"), self.boxes)
 
     def referee_summary(self) -> DataFrame:
-        played = games.with_pace(self.game_scores, self.stg("game_results"))
         return officials.official_summary(
-            self.stg("referee_assignments"), played, self.stg("dim_referees")
+            self.stg("referee_assignments"), self._paced, self.stg("dim_referees")
         )
 
     # -- players ----------------------------------------------------------------------------
 
     @cached_property
     def player_timeline(self) -> Timeline:
-        rows = players.appearances(self.stg("player_game_stats"), self.game_scores)
+        rows = players.appearances(self.stg("player_game_stats"), self.boxes)
         return players.player_timeline(rows, self.max_group_rows)
 
     @cached_property
     def appearances(self) -> DataFrame:
         """Player games with time on the court, written once."""
-        rows = players.appearances(self.stg("player_game_stats"), self.game_scores)
+        rows = players.appearances(self.stg("player_game_stats"), self.boxes)
         return stage(rows, "appearances")
 
     @cached_property
