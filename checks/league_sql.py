@@ -24,6 +24,10 @@ def _team(number: str) -> str:
     return f"concat('T', lpad(CAST({number} AS VARCHAR), 2, '0'))"
 
 
+def _player(digits: str) -> str:
+    return f"concat('Supplier P', translate({digits}, '0123456789', 'abcdefghij'))"
+
+
 _SUMS = """CAST(sum(l_quantity) AS BIGINT) AS q, CAST(sum(l_partkey) AS BIGINT) AS p,
   CAST(sum(l_suppkey) AS BIGINT) AS s, max(l_shipdate) AS loaded_at"""
 
@@ -114,7 +118,7 @@ JOIN x_games g ON g.game_id = CAST(b.l_orderkey AS VARCHAR)""",
 SELECT g.game_id, CASE home_away WHEN 'home' THEN g.home_team_id ELSE g.away_team_id END AS team_id, home_away,
   {_QUARTER} AS quarter, {_team_box('15 + q % 25', '15 + s % 12', '1 + p % 6')}, b.loaded_at
 FROM (SELECT l_orderkey, l_linenumber, {_side()} AS home_away, {_SUMS}
-      FROM lineitem WHERE l_linenumber <= 6 GROUP BY ALL) b
+      FROM lineitem GROUP BY ALL) b
 JOIN x_games g ON g.game_id = CAST(b.l_orderkey AS VARCHAR)""",
     "x_game_results": """
 SELECT game_id, home_score, away_score, ok % 12 = 0 AS overtime_flag,
@@ -125,29 +129,29 @@ FROM (SELECT h.game_id, h.points AS home_score, a.points AS away_score, CAST(h.g
       FROM x_team_game_stats h JOIN x_team_game_stats a USING (game_id)
       WHERE h.home_away = 'home' AND a.home_away = 'away')""",
     "x_player_game_stats": f"""
-SELECT CAST(l_orderkey AS VARCHAR) AS game_id, s_name AS player_name, {_team('l_suppkey % 25')} AS team_id,
+SELECT CAST(l_orderkey AS VARCHAR) AS game_id, {_player('substr(s_name, 10)')} AS player_name, {_team('l_suppkey % 25')} AS team_id,
   first_line <= 3 AS starter,
   CASE first_line WHEN 7 THEN NULL WHEN 6 THEN ''
     ELSE concat(CAST(low_part % 40 AS VARCHAR), ':', CAST(high_part % 60 AS VARCHAR)) END AS minutes,
   q AS points, p % 16 AS rebounds, p % 13 AS assists, {_PLAYER_BOX}, p % 41 - 20 AS plus_minus, loaded_at
-FROM (SELECT l_orderkey, l_suppkey, s_name, min(l_linenumber) AS first_line, min(l_partkey) AS low_part,
+FROM (SELECT l_orderkey, l_suppkey, s_name, s_nationkey, min(l_linenumber) AS first_line, min(l_partkey) AS low_part,
         max(l_partkey) AS high_part, {_SUMS}
-      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_orderkey, l_suppkey, s_name)
+      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_orderkey, l_suppkey, s_name, s_nationkey)
 JOIN orders ON o_orderkey = l_orderkey
-WHERE NOT (l_suppkey % 3 = 0 AND o_orderdate > TIMESTAMP '2001-07-10')""",
+WHERE s_nationkey >= 8 OR o_orderdate <= TIMESTAMP '2001-07-10'""",
     "x_player_quarter_stats": f"""
-SELECT CAST(l_orderkey AS VARCHAR) AS game_id, s_name AS player_name, {_team('l_suppkey % 25')} AS team_id,
+SELECT CAST(l_orderkey AS VARCHAR) AS game_id, {_player('substr(s_name, 10)')} AS player_name, {_team('l_suppkey % 25')} AS team_id,
   {_QUARTER} AS quarter, CAST(p % 13 AS VARCHAR) AS minutes, q % 20 AS points, p % 3 AS offensive_rebounds,
   p % 5 AS defensive_rebounds, p % 7 AS assists, {_PLAYER_BOX}, p % 21 - 10 AS plus_minus, loaded_at
 FROM (SELECT l_orderkey, l_suppkey, s_name, l_linenumber, {_SUMS}
-      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linenumber <= 6
+      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
       GROUP BY l_orderkey, l_suppkey, s_name, l_linenumber)""",
     "x_injuries": f"""
 SELECT CAST(DATE '2001-07-03' + CAST(day(ts) - 1 AS INTEGER) AS DATE) AS game_date,
   strftime(ts, '%H:%M') AS game_time,
   concat({_team('user_id % 100 % 25')}, '@', {_team('(user_id % 100 + 1) % 25')}) AS matchup,
   {_team('user_id % 100 % 25')} AS team_id,
-  concat('Supplier#', lpad(CAST(user_id % 100 AS VARCHAR), 9, '0')) AS player_name,
+  {_player("lpad(CAST(user_id % 100 AS VARCHAR), 9, '0')")} AS player_name,
   CASE event_type WHEN 'error' THEN 'Out' WHEN 'signup' THEN 'Doubtful' WHEN 'click' THEN 'Questionable'
     WHEN 'view' THEN 'Probable' WHEN 'purchase' THEN 'Available' END AS status,
   event_type AS reason, concat('report-', lpad(CAST(event_id AS VARCHAR), 12, '0')) AS pdf_url, ts AS scraped_at
@@ -160,8 +164,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS game_id, CAST(o_custkey % 17 AS VARCHAR) A
 FROM orders""",
     "x_broadcast_schedule": """
 SELECT CAST(o_orderdate AS DATE) AS game_date, CAST(o_orderkey AS VARCHAR) AS game_id,
-  o_orderkey % 2 = 0 AS is_national_broadcast, o_orderdate AS loaded_at
-FROM orders WHERE o_orderkey % 3 = 0""",
+  o_orderpriority = '1-URGENT' AS is_national_broadcast, o_orderdate AS loaded_at
+FROM orders WHERE o_orderpriority <= '2-HIGH'""",
     "x_lines": """
 SELECT game_date, season, home_team_id AS home_team, away_team_id AS away_team,
   CAST(CAST(game_id AS BIGINT) % 40 AS DOUBLE) + 200.5e0 AS over_under,
@@ -212,7 +216,7 @@ SELECT game_date, home_team_id, away_team_id, tipoff_time, event_id % 5 = 0 AS i
   concat('TOTAL ', CAST(event_id % 7 AS VARCHAR)) AS total_insight,
   concat('preview ', CAST(event_id AS VARCHAR)) AS preview_text, false AS posted_substack,
   false AS posted_reddit, ts AS generated_at
-FROM x_scored_events WHERE event_id < 400 AND event_id % 3 = 0""",
+FROM x_scored_events WHERE event_type = 'purchase' AND home_team_id < 'T10'""",
 }
 
 # ---------------------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from courtside.functions.text import NAME_PROFILES, SUFFIX
 from courtside.sources.schemas import PICK_INSIGHTS, PREVIEW_COLUMNS, PREVIEW_INSIGHTS
 
 SCORE_DAY = "2024-01-14"
-RETURN_DAY = "2001-08-01"
+RETURN_DAY = "2001-07-28"
 
 
 def _normalized(text: str, profile: str) -> str:

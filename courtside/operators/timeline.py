@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from courtside.operators.staging import stage
 
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
+# Beyond this many chunks they grow instead: planning a shuffle has a cost per partition.
+MAX_CHUNKS = 20_000
 MAX_GROUP_ROWS_CONF = "spark.courtside.maxGroupRows"
 
 SEQ = "_seq"
@@ -60,7 +62,7 @@ class Timeline:
         largest, total = (sizes[0] or 0), (sizes[1] or 0)
         if largest <= limit:
             return cls(staged, tuple(entity), tuple(order))
-        chunks = max(2, ceil(total / limit))
+        chunks = min(max(2, ceil(total / limit)), MAX_CHUNKS)
         ranged = staged.repartitionByRange(chunks, *entity, *order).withColumn(
             CHUNK, F.spark_partition_id()
         )

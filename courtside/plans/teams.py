@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from courtside.functions.numeric import bucketize, flag, ratio, round_half_up, round_mean
-from courtside.operators.keyed import newest_per_key, with_max
+from courtside.operators.keyed import newest_per_key, with_max, with_total
 from courtside.operators.shape import bucket_record, quarter_profile
 from courtside.operators.timeline import Timeline, current_run, trailing_mean
 
@@ -119,7 +119,8 @@ def performance_by_pace(timeline: Timeline, crews: DataFrame) -> DataFrame:
         whole={"_games": ("sum", F.lit(1).cast("bigint"))},
     ).rows
     recency = F.col("_games") - F.col("_place") + 1
-    rows = with_max(numbered.join(crews, "game_id", "left"), "season", "_season")
+    newest = timeline.rows.agg(F.max("season").alias("_season"))
+    rows = with_total(numbered.join(crews, "game_id", "left"), newest)
     return rows.select(
         "team_id", "game_id", "game_date", "win", "home_away", "team_points", "opp_points",
         "game_pace", "overtime_periods", "season", pace_bucket("game_pace").alias("pace_bucket"),
@@ -174,8 +175,6 @@ def record(rows: DataFrame) -> DataFrame:
 
 def season_record(rows: DataFrame, season_now: DataFrame) -> DataFrame:
     """Record in the current season only; ``season_now`` is one row with ``current_season``."""
-    from courtside.operators.keyed import with_total
-
     current = with_total(rows, season_now).where(F.col("season") == F.col("current_season"))
     return record(current)
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from courtside.sources.readers import RawTables
 from courtside.sources.schemas import PREVIEW_INSIGHTS
 
-# Last order date of the players whose later games are left out, to create absences.
+# Players of the first nations play no game after this day, which creates absences.
+ABSENT_NATIONS = 8
 ABSENT_AFTER = "2001-07-10"
 INJURY_DAY_ONE = "2001-07-03"
 TRACKER_DAY_ONE = "2024-01-01"
@@ -39,6 +40,11 @@ def _team(number: str) -> str:
     return f"concat('T', lpad({number}, 2, '0'))"
 
 
+def _player(digits: str) -> str:
+    """A name of letters alone: names of the two feeds are compared by their letters."""
+    return f"concat('Supplier P', translate({digits}, '0123456789', 'abcdefghij'))"
+
+
 def _choice(value: str, mapping: dict[str, str]) -> str:
     branches = " ".join(f"WHEN '{key}' THEN '{result}'" for key, result in mapping.items())
     return f"CASE {value} {branches} END"
@@ -177,7 +183,7 @@ class SuppliedTables:
         return sides.selectExpr("game_id", f"{_SIDE_TEAM} AS team_id", "home_away", *box, "loaded_at")
 
     def team_quarter_stats(self) -> DataFrame:
-        lines = self.read("lineitem").where("l_linenumber <= 6").selectExpr("*", f"{_SIDE} AS home_away")
+        lines = self.read("lineitem").selectExpr("*", f"{_SIDE} AS home_away")
         quarters = self._summed(lines, "home_away", "l_linenumber").join(self._game_teams, "game_id")
         box = _team_box(points="15 + q % 25", attempts="15 + s % 12", turnovers="1 + p % 6")
         return quarters.selectExpr(
@@ -200,15 +206,16 @@ class SuppliedTables:
 
     @cached_property
     def _suppliers(self) -> DataFrame:
-        return self.read("supplier").selectExpr("s_suppkey AS l_suppkey", "s_name AS player_name")
+        return self.read("supplier").selectExpr(
+            "s_suppkey AS l_suppkey", f"{_player('substr(s_name, 10)')} AS player_name", "s_nationkey"
+        )
 
     def player_game_stats(self) -> DataFrame:
         orders = self.read("orders").selectExpr("o_orderkey AS l_orderkey", "o_orderdate")
         per_game = self._summed(self.read("lineitem"), "l_suppkey")
-        listed = per_game.join(orders, "l_orderkey").where(
-            f"NOT (l_suppkey % 3 = 0 AND o_orderdate > TIMESTAMP_NTZ '{ABSENT_AFTER}')"
-        )
-        return listed.join(self._suppliers, "l_suppkey").selectExpr(
+        listed = per_game.join(orders, "l_orderkey").join(self._suppliers, "l_suppkey")
+        present = f"s_nationkey >= {ABSENT_NATIONS} OR o_orderdate <= TIMESTAMP_NTZ '{ABSENT_AFTER}'"
+        return listed.where(present).selectExpr(
             "game_id", "player_name", f"{_team('l_suppkey % 25')} AS team_id", "first_line <= 3 AS starter",
             """CASE WHEN first_line = 6 THEN '' WHEN first_line <> 7
                THEN concat(low_part % 40, ':', high_part % 60) END AS minutes""",
@@ -217,8 +224,7 @@ class SuppliedTables:
         )
 
     def player_quarter_stats(self) -> DataFrame:
-        lines = self.read("lineitem").where("l_linenumber <= 6")
-        per_quarter = self._summed(lines, "l_suppkey", "l_linenumber")
+        per_quarter = self._summed(self.read("lineitem"), "l_suppkey", "l_linenumber")
         return per_quarter.join(self._suppliers, "l_suppkey").selectExpr(
             "game_id", "player_name", f"{_team('l_suppkey % 25')} AS team_id", f"{_QUARTER} AS quarter",
             "CAST(p % 13 AS STRING) AS minutes", "q % 20 AS points", "p % 3 AS offensive_rebounds",
@@ -233,7 +239,7 @@ class SuppliedTables:
             "concat(lpad(hour(ts), 2, '0'), ':', lpad(minute(ts), 2, '0')) AS game_time",
             f"concat({_team(f'{number} % 25')}, '@', {_team(f'({number} + 1) % 25')}) AS matchup",
             f"{_team(f'{number} % 25')} AS team_id",
-            f"concat('Supplier#', lpad({number}, 9, '0')) AS player_name",
+            f"{_player(f"lpad({number}, 9, '0')")} AS player_name",
             f"{_choice('event_type', _INJURY_STATUS)} AS status",
             "event_type AS reason",
             "concat('report-', lpad(event_id, 12, '0')) AS pdf_url",
@@ -252,10 +258,10 @@ class SuppliedTables:
         )
 
     def broadcast_schedule(self) -> DataFrame:
-        return self.read("orders").where("o_orderkey % 3 = 0").selectExpr(
+        return self.read("orders").where("o_orderpriority <= '2-HIGH'").selectExpr(
             "CAST(o_orderdate AS DATE) AS game_date",
             "CAST(o_orderkey AS STRING) AS game_id",
-            "o_orderkey % 2 = 0 AS is_national_broadcast",
+            "o_orderpriority = '1-URGENT' AS is_national_broadcast",
             "o_orderdate AS loaded_at",
         )
 
@@ -300,11 +306,9 @@ class SuppliedTables:
     @cached_property
     def _scored_events(self) -> DataFrame:
         """Each event rescores one of the first 400 games."""
-        games = self.games.where("CAST(game_id AS BIGINT) < 400").select(
-            "game_id", "home_team_id", "away_team_id", "tipoff_time"
-        )
+        games = self.games.select("game_id", "home_team_id", "away_team_id", "tipoff_time")
         events = self.read("events").selectExpr(
-            "event_id", "ts", "CAST(event_id % 400 AS STRING) AS game_id",
+            "event_id", "ts", "event_type", "CAST(event_id % 400 AS STRING) AS game_id",
             f"date_add(DATE '{TRACKER_DAY_ONE}', CAST(event_id % 400 % 28 AS INT)) AS game_date",
         )
         return events.join(games, "game_id")
@@ -343,9 +347,10 @@ class SuppliedTables:
         }).drop("composite_score")
 
     def game_previews(self) -> DataFrame:
-        """Previews already published: one for every third game."""
+        """Previews already published: those of the first ten home teams."""
         model = {name: rule for name, rule in _MODEL.items() if name != "model_vs_line"}
-        return self._scored_events.where("event_id < 400 AND event_id % 3 = 0").selectExpr(
+        published = "event_type = 'purchase' AND home_team_id < 'T10'"
+        return self._scored_events.where(published).selectExpr(
             "game_date", "home_team_id", "away_team_id", "tipoff_time",
             "event_id % 5 = 0 AS is_free_game", *_named(model), *_named(_LABELS),
             "concat('preview ', event_id) AS preview_text",
