@@ -14,6 +14,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from courtside.sources.readers import RawTables
 from courtside.sources.schemas import PREVIEW_INSIGHTS
 
+# Columns of the supplied tables that the projection reads.
+SUPPLIED_SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+}
+
 # Players of the first nations play no game after this day, which creates absences.
 ABSENT_NATIONS = 8
 ABSENT_AFTER = "2001-07-10"
@@ -141,7 +152,8 @@ class SuppliedTables:
         return RawTables(lambda name: self._makers[name]())
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        schema = SUPPLIED_SCHEMAS[name]
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}.parquet")
 
     # -- schedule ---------------------------------------------------------------------------
 
