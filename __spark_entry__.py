@@ -17,10 +17,8 @@ from checks.oracle import RETURN_DAY, SCORE_DAY, all_oracles
 from courtside import League
 from courtside.functions.dates import recap_monday, recap_sunday
 from courtside.functions.text import normalize_name
-from courtside.operators.keyed import with_max
-from courtside.operators.shape import unpivot_slots
 from courtside.operators.staging import stage, staging_path
-from courtside.plans import card, games, officials, picks, schedule, teams
+from courtside.plans import card, games, officials, picks, players, teams
 from courtside.sources import sinks
 from courtside.sources.projection import SuppliedTables
 from courtside.sources.readers import RawTables
@@ -184,7 +182,7 @@ def queries() -> dict[str, Query]:
             lambda lg: teams.team_quarters(lg.stg("team_quarter_stats"))
         ),
         "player_quarter_profile": _with_league(
-            lambda lg: players_quarters(lg)
+            lambda lg: players.player_quarters(lg.stg("player_quarter_stats"))
         ),
         "season_baseline": _with_league(lambda lg: lg.baseline),
         "official_seasons": _with_league(official_seasons),
@@ -226,12 +224,6 @@ def queries() -> dict[str, Query]:
     }
 
 
-def players_quarters(lg: League) -> DataFrame:
-    from courtside.plans import players
-
-    return players.player_quarters(lg.stg("player_quarter_stats"))
-
-
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL with ordinary windows, for the second engine."""
     return all_oracles()

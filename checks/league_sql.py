@@ -7,7 +7,7 @@ windows over whole entities; it checks what the distributed versions compute.
 from __future__ import annotations
 
 from checks.sql_tools import listed, mean, named, rounded, total, units
-from courtside.sources.schemas import PERIODS, PREVIEW_INSIGHTS, TEAM_BOX, WIDE_BOX
+from courtside.sources.schemas import PERIODS, PREVIEW_INSIGHTS, WIDE_BOX
 
 SIDES = ("home", "away")
 
