@@ -24,6 +24,11 @@ from courtside.sources.projection import SuppliedTables
 from courtside.sources.readers import RawTables
 from courtside.sources.schemas import PREVIEW_COLUMNS
 
+try:  # the text operators are an optional part
+    from courtside.llm import queries as text_queries
+except ImportError:
+    text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Far below the default, so that the supplied tables take the way of a too large entity.
@@ -221,12 +226,13 @@ def queries() -> dict[str, Query]:
         "preview_batches": preview_batches,
         "published_view": published_view,
         "published_table": published_table,
+        **(text_queries.queries() if text_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL with ordinary windows, for the second engine."""
-    return all_oracles()
+    return {**all_oracles(), **(text_queries.oracle_sql() if text_queries else {})}
 
 
 def entry(spark: SparkSession) -> DataFrame:
