@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from courtside.llm.byte_bpe import op3_byte_bpe
 from courtside.llm.common import read_table
 from courtside.llm.language_id import op10_language_id
 
@@ -18,6 +20,7 @@ def _on(table: str, run: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_byte_bpe": _on("documents", lambda docs: op3_byte_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)),
         "op10_language_id": _on("documents", op10_language_id),
     }
 
