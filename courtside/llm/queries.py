@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from courtside.llm.byte_bpe import op3_byte_bpe
 from courtside.llm.common import read_table
 from courtside.llm.language_id import op10_language_id
+from courtside.llm.packing import op6_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,7 @@ def _on(table: str, run: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op3_byte_bpe": _on("documents", lambda docs: op3_byte_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)),
+        "op6_packing": _on("documents", lambda docs: op6_packing(docs, public_tokenizers.path("word_bpe_49k.json"))),
         "op10_language_id": _on("documents", op10_language_id),
     }
 
