@@ -93,6 +93,17 @@ def word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray
     return hashes, np.searchsorted(starts, limits)
 
 
+def distinct_runs(found: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sort each found[limits[i]:limits[i+1]] and drop its repeats; the values left and their limits."""
+    for a, b in zip(limits[:-1], limits[1:]):
+        found[a:b].sort()
+    owner = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
+    fresh = np.ones(len(found), bool)
+    fresh[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+    sizes = np.bincount(owner[fresh], minlength=len(limits) - 1)
+    return found[fresh], np.concatenate([[0], np.cumsum(sizes)])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): one row (node, component), component the smallest node.
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from courtside.llm.common import components, passes, range_hashes, save, utf8, word_hashes
+from courtside.llm.common import components, distinct_runs, passes, range_hashes, save, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT * |union| <= 100 * |intersection|.
@@ -38,13 +38,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
     limits = np.concatenate([[0], np.cumsum(grams)])
     owner = np.repeat(np.arange(len(texts)), grams)
     starts = first[:-1][owner] + np.arange(limits[-1]) - limits[:-1][owner]
-    found = range_hashes(hashes, starts, starts + np.minimum(words, count[owner]))
-    for a, b in zip(limits[:-1], limits[1:]):
-        found[a:b].sort()
-    fresh = np.ones(len(found), bool)
-    fresh[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
-    sizes = np.bincount(owner[fresh], minlength=len(texts))
-    return found[fresh], np.concatenate([[0], np.cumsum(sizes)])
+    return distinct_runs(range_hashes(hashes, starts, starts + np.minimum(words, count[owner])), limits)
 
 
 def _least(n):

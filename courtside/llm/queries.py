@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from courtside.llm.byte_bpe import op3_byte_bpe
 from courtside.llm.common import read_table
 from courtside.llm.language_id import op10_language_id
+from courtside.llm.line_dedup import op9_line_dedup
 from courtside.llm.ngram_join import op5_ngram_join
 from courtside.llm.packing import op6_packing
 
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op3_byte_bpe": _on("documents", lambda docs: op3_byte_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)),
         "op5_ngram_join": _on("documents", op5_ngram_join),
         "op6_packing": _on("documents", lambda docs: op6_packing(docs, public_tokenizers.path("word_bpe_49k.json"))),
+        "op9_line_dedup": _on("documents", op9_line_dedup),
         "op10_language_id": _on("documents", op10_language_id),
     }
 
