@@ -82,15 +82,25 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words [^\\x20\\x09-\\x0D]+ of all texts, and where each text's words begin."""
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' joined bytes, begin and end of each word [^\\x20\\x09-\\x0D]+, and each text's first word."""
     data = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
     white = _WHITE[data]
     starts = np.flatnonzero(white[:-1] & ~white[1:]) + 1
     ends = np.flatnonzero(~white[:-1] & white[1:]) + 1
-    hashes = range_hashes(_TABLE[_LOWER[data] if lower else data], starts, ends)
     limits = np.cumsum([1, *(len(x) + 1 for x in texts)])
-    return hashes, np.searchsorted(starts, limits)
+    return data, starts, ends, np.searchsorted(starts, limits)
+
+
+def hashed_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """A 64-bit hash of each word; A-Z count as a-z if lower."""
+    return range_hashes(_TABLE[_LOWER[data] if lower else data], starts, ends)
+
+
+def word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where each text's words begin."""
+    data, starts, ends, first = word_spans(texts)
+    return hashed_words(data, starts, ends, lower), first
 
 
 def distinct_runs(found: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
