@@ -14,6 +14,7 @@ from courtside.llm.line_dedup import op9_line_dedup
 from courtside.llm.ngram_join import op5_ngram_join
 from courtside.llm.packing import op6_packing
 from courtside.llm.span_dedup import op7_span_dedup
+from courtside.llm.vector_dedup import op8_vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
         "op5_ngram_join": _on("documents", op5_ngram_join),
         "op6_packing": _on("documents", lambda docs: op6_packing(docs, public_tokenizers.path("word_bpe_49k.json"))),
         "op7_span_dedup": _on("documents", op7_span_dedup),
+        "op8_vector_dedup": _on("embeddings", op8_vector_dedup),
         "op9_line_dedup": _on("documents", op9_line_dedup),
         "op10_language_id": _on("documents", op10_language_id),
     }
