@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from courtside.llm.common import save
 
-#: Most words that the dictionary takes from the corpus. It bounds the literal to about 40 MB.
-MAX_WORDS = 1 << 18
+#: Most words that the dictionary takes from the corpus. It bounds the literal to about 100 MB.
+MAX_WORDS = 1 << 20
 _PAIR_BUCKETS = 1 << 17
-_WORD_BUCKETS = 1 << 18
+_WORD_BUCKETS = 1 << 20
 _KNOWN, _PAIRS, _PIECES = "__known", "__pairs", "__pieces"
 _SPACES = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
