@@ -13,6 +13,7 @@ from courtside.llm.language_id import op10_language_id
 from courtside.llm.line_dedup import op9_line_dedup
 from courtside.llm.ngram_join import op5_ngram_join
 from courtside.llm.packing import op6_packing
+from courtside.llm.quality_rules import op4_quality_rules
 from courtside.llm.span_dedup import op7_span_dedup
 from courtside.llm.vector_dedup import op8_vector_dedup
 
@@ -26,6 +27,7 @@ def _on(table: str, run: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op3_byte_bpe": _on("documents", lambda docs: op3_byte_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)),
+        "op4_quality_rules": _on("documents", op4_quality_rules),
         "op5_ngram_join": _on("documents", op5_ngram_join),
         "op6_packing": _on("documents", lambda docs: op6_packing(docs, public_tokenizers.path("word_bpe_49k.json"))),
         "op7_span_dedup": _on("documents", op7_span_dedup),
