@@ -32,11 +32,11 @@ def save(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def passes(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about PASS_BYTES together."""
+def passes(texts: list[bytes], size: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about `size` bytes together."""
     first = total = 0
     for i, text in enumerate(texts):
-        if total and total + len(text) > PASS_BYTES:
+        if total and total + len(text) > size:
             yield first, i
             first, total = i, 0
         total += len(text) + 1

@@ -9,40 +9,54 @@ the number of classes, whatever the input.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
+from tokenizers import Tokenizer
 
-from courtside.llm.common import save
+from courtside.llm.common import passes, save, utf8
 
 CAPACITY = 2048
 UNIT = 16
 CLASSES = CAPACITY // UNIT
 END_ID = 1
 #: Words whose ids a Python worker remembers; beyond it the memory starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 800_000
 #: Bytes of text split into words at once.
 SPLIT_BYTES = 4 << 20
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_PLAIN = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
+_MARKS = np.isin(np.arange(256), np.frombuffer(b".,!?;:*$%&#|<>()[]{}/=+-_@~^\"", np.uint8))
+
+
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer that no white space joins: each distinct word is encoded once."""
+    """Ids of whole texts by a lower-casing tokenizer that no white space joins: each distinct word is encoded once.
+
+    The tokenizer splits before its merges wherever a mark follows a letter or a digit, so that such words can be
+    split there beforehand and fewer are distinct. An apostrophe isn't one of these marks: it can join.
+    """
 
     _open: dict[str, "WordTokenizer"] = {}
 
     def __init__(self, path: str) -> None:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.ends = np.zeros(1 << 16, np.int64)  # where the ids of the k-th known word end
 
     @classmethod
     def of(cls, path: str) -> "WordTokenizer":
@@ -51,39 +65,46 @@ class WordTokenizer:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _ids(self, words: list[str]) -> list[bytes]:
+    def _learn(self, words: list[str]) -> None:
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(found), np.uint32)
+            n, last = len(self.known), int(self.ends[len(self.known) - 1]) if self.known else 0
+            if last + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)])
+            if n + len(some) > len(self.ends):
+                self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(some)), np.int64)])
+            self.ids[last : last + len(flat)] = flat
+            self.ends[n : n + len(some)] = last + np.cumsum([len(x) for x in found])
+            self.known.update(zip(some, range(n, n + len(some))))
+
+    def _codes(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
+            self._forget()
             new = words
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return [self.known[w] for w in words]
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts (string, without nulls), and where each text's ids begin and end."""
-        split = pc.ascii_split_whitespace(texts)
-        words = split.values.dictionary_encode() if len(split.values) else pa.array([], pa.string()).dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist())
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        begins = np.concatenate([[0], np.cumsum(sizes)])
-        codes = words.indices.to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
-        limits = ends[split.offsets.to_numpy()]
-        at = np.repeat(begins[codes] - ends[:-1], sizes[codes]) + np.arange(ends[-1])
-        return flat[at], limits
-
-
-def _text_parts(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Runs of rows of about SPLIT_BYTES, null as empty; yields the first row's number and the texts."""
-    texts = pc.fill_null(column.cast(pa.large_string()), "").cast(pa.string())
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // SPLIT_BYTES
-    starts = np.flatnonzero(np.diff(sizes, prepend=-1)) if len(sizes) else []
-    for a, b in zip(starts, [*starts[1:], len(texts)]):
-        yield int(a), pa.array(texts.slice(a, b - a).to_pylist(), pa.string())
+        self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and where each text's ids begin and end."""
+        data = _LOWER[np.frombuffer(b"".join(texts), np.uint8)]
+        cuts = np.flatnonzero(_PLAIN[data[:-1]] & _MARKS[data[1:]]) + 1 if len(data) else np.zeros(0, np.int64)
+        limits = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+        cuts = cuts[~np.isin(cuts, limits)]
+        limits = limits + np.searchsorted(cuts, limits)
+        buffers = [None, pa.py_buffer(limits.astype(np.int32)), pa.py_buffer(np.insert(data, cuts, 32))]
+        split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(texts), buffers))
+        words = split.flatten().dictionary_encode()
+        code = self._codes(words.dictionary.to_pylist())
+        ends = self.ends[code]
+        begins = np.where(code > 0, self.ends[code - 1], 0)
+        at = words.indices.to_numpy(zero_copy_only=False)
+        sizes = (ends - begins)[at]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.repeat(begins[at] - upto[:-1], sizes) + np.arange(upto[-1])
+        return self.ids[places], upto[split.offsets.to_numpy()]
 
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
@@ -98,7 +119,9 @@ def cut(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.of(tokenizer_path)
         for batch in batches:
-            for first, texts in _text_parts(batch.column(1)):
+            whole = utf8(batch.column(1))
+            for first, last in passes(whole, SPLIT_BYTES):
+                texts = whole[first:last]
                 ids, limits = tokenizer.encode(texts)
                 rows: list[tuple[int, int, int, int, int]] = []
                 for i in range(len(texts)):
