@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm.byte_bpe import op3_byte_bpe
 from courtside.llm.common import read_table
+from courtside.llm.html_extract import op1_html_extract
 from courtside.llm.language_id import op10_language_id
 from courtside.llm.license_scan import op2_license_scan
 from courtside.llm.line_dedup import op9_line_dedup
@@ -27,6 +28,7 @@ def _on(table: str, run: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_extract": _on("pages", op1_html_extract),
         "op2_license_scan": _on("documents", op2_license_scan),
         "op3_byte_bpe": _on("documents", lambda docs: op3_byte_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)),
         "op4_quality_rules": _on("documents", op4_quality_rules),
