@@ -114,6 +114,10 @@ def distinct_runs(found: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np
     return found[fresh], np.concatenate([[0], np.cumsum(sizes)])
 
 
+#: Links that a task of a component step takes, about; small steps then write few files.
+TASK_LINKS = 100_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): one row (node, component), component the smallest node.
 
@@ -121,26 +125,21 @@ def components(links: DataFrame) -> DataFrame:
     minimum per node, combined before the shuffle, and a join back that adaptive execution can split.
     Nodes without links are absent; null ends and self-links are ignored.
     """
-    edges = save(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
-    state = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    edges = save(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    summary = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    state, before = summary(), None
+    while state != before:
+        few = lambda x: x.coalesce(1 + state[0] // TASK_LINKS)  # noqa: E731, B023
+        both = few(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = few(both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(lowest.select("u", F.col("m").alias("v")))
         )
-        edges = save(small.distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+        edges = save(few(few(small).distinct()))
+        state, before = summary(), state
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
 

@@ -22,7 +22,7 @@ WORDS = 5
 #: Two sets link when PERCENT * |union| <= 100 * |intersection|.
 PERCENT = 75
 #: One in SPARE n-grams is added to the prefix, so that a pair must share about as many there.
-SPARE = 16
+SPARE = 32
 #: N-grams of all sets that one task joins; larger groups are split into pairs of parts.
 TASK_GRAMS = 1 << 20
 
@@ -83,7 +83,7 @@ def _groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     rare_first = F.array_sort(F.collect_list(F.struct("df", "gram")))
     sets = shared.groupBy("node", "n").agg(rare_first.alias("grams")).where(F.size("grams") >= needed)
     kept = F.slice("grams", F.lit(1), (F.size("grams") - needed + 1).cast("int"))
-    blocks = sets.select("node", F.explode(kept).alias("x")).select("node", F.col("x.gram").alias("gram"))
+    blocks = save(sets.select("node", F.explode(kept).alias("x")).select("node", F.col("x.gram").alias("gram")))
     first = blocks.groupBy("gram").agg(F.min("node").alias("b"))
     return components(blocks.join(first, "gram").select(F.col("node").alias("a"), "b"))
 
