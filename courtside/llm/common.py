@@ -20,15 +20,21 @@ _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def save(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediates that driver and executors share: spark.checkpoint.dir.
 
-    The folder is spark.checkpoint.dir. Only where that is unset, as in tests, a temporary one is set.
+    Only where that is unset, as in tests, a temporary one is set.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def save(df: DataFrame) -> DataFrame:
+    """Write df to the shared folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
