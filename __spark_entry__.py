@@ -25,6 +25,7 @@ from courtside.sources.readers import RawTables
 from courtside.sources.schemas import PREVIEW_COLUMNS
 
 try:  # the text operators are an optional part
+    import corpus_pipeline
     from courtside.llm import queries as text_queries
 except ImportError:
     text_queries = None
@@ -226,7 +227,7 @@ def queries() -> dict[str, Query]:
         "preview_batches": preview_batches,
         "published_view": published_view,
         "published_table": published_table,
-        **(text_queries.queries() if text_queries else {}),
+        **({**text_queries.queries(), "pipeline": corpus_pipeline.run} if text_queries else {}),
     }
 
 
