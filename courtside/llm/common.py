@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -33,9 +34,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def save(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and cut its lineage."""
+    """Write df to the shared folder and cut its lineage; what only led to it can then be freed.
+
+    Shuffle files go when the driver's garbage collector finds their plans unused, which may be long after.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    saved = df.checkpoint()
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return saved
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows, to bound what a Python worker holds of them."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
 
 
 def passes(texts: list[bytes], size: int = PASS_BYTES) -> Iterator[tuple[int, int]]:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from courtside.llm.common import mix, passes
+from courtside.llm.common import mix, passes, slices
 
 #: Hash buckets of all n-grams together; with the number of languages it bounds the broadcast matrix.
 BUCKETS = 1 << 16
@@ -92,7 +92,7 @@ def count_grams(rows: DataFrame, text: str, lang: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             langs = np.array(batch.column(1).to_pylist(), object)
             texts = batch.column(0).to_pylist()
             for a, b, part in _parts(texts):
@@ -145,7 +145,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = rest.index(text)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             names, scores = held.value.predict(texts) if held.value.languages else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*rest, "lang_pred", "score"])

@@ -11,9 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from courtside.llm.common import components, distinct_runs, mix, passes, range_hashes, save
+from courtside.llm.common import components, distinct_runs, mix, passes, range_hashes, save, slices
 
 #: Characters in a shingle; a shorter line is one shingle.
 WIDTH = 8
@@ -80,7 +80,7 @@ def _band_rows(docs: DataFrame, text: str) -> DataFrame:
     """(band, line): the bands of every line, once for the repeats that a task meets in one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lines = list({x for text in batch.column(0).to_pylist() for x in lines_of(text or "")[1]})
             for a, b in _passes(lines):
                 own = np.array([line_id(x) for x in lines[a:b]], np.int64)
@@ -94,7 +94,7 @@ def _all_lines(docs: DataFrame, key: str, text: str, with_line: bool) -> DataFra
     kind = docs.select(F.col(key).alias("owner")).schema["owner"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [lines_of(x or "") for x in batch.column(1).to_pylist()]
             if with_line:
                 lines = list({x for _, own in rows for x in own})
@@ -117,7 +117,7 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             left, right = (batch.column(i).to_pylist() for i in (2, 3))
             for a, b in _passes([x + y for x, y in zip(left, right)]):
                 chosen = pa.array(alike(left[a:b], right[a:b]))
@@ -130,22 +130,21 @@ def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     """Links (a, b) between ids of different lines.
 
     Lines of a band value are compared with the smallest id among them; those that don't link to it are
-    compared among themselves again, until each has met a line it links to or has led a round. No band value
-    is too large for this, and none is gathered in one place.
+    compared among themselves again, until each has met a line it links to or has led a round. A band value's
+    ids pass one task in order, as a stream that may spill; its lines are compared wherever the pairs fall.
     """
-    rows = _band_rows(docs, text)
-    spread = lambda x: x.groupBy("band").agg(F.min("line").alias("lead"), F.max("line").alias("top")).where("lead < top")
-    left = save(rows.join(spread(rows).select("band", "lead"), "band").distinct())
-    candidates = left.select("line").distinct()
+    smallest = F.first("line").over(Window.partitionBy("band").orderBy("line"))
+    led = lambda rows: rows.withColumn("lead", smallest).where("line <> lead").distinct()
+    left = save(led(_band_rows(docs, text)))
+    candidates = left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct()
     contents = save(_all_lines(docs, docs.columns[0], text, True).join(candidates, "line", "left_semi").dropDuplicates(["line"]))
     links = None
     while not left.isEmpty():
-        pairs = left.where("line <> lead").select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
+        pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
         found = save(_verified(pairs, contents))
         links = found if links is None else links.unionByName(found)
         linked = found.select(F.col("a").alias("line"), F.col("b").alias("lead"))
-        rest = left.where("line <> lead").join(linked, ["line", "lead"], "left_anti").select("band", "line")
-        left = save(rest.join(spread(rest).select("band", "lead"), "band"))
+        left = save(led(left.join(linked, ["line", "lead"], "left_anti").select("band", "line")))
     return links if links is not None else docs.sparkSession.createDataFrame([], "a long, b long")
 
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from courtside.llm.common import components, distinct_runs, passes, range_hashes, save, utf8, word_hashes
+from courtside.llm.common import components, distinct_runs, passes, range_hashes, save, slices, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT * |union| <= 100 * |intersection|.
@@ -55,7 +55,7 @@ def _sets(docs: DataFrame, keep: str, key: str = "doc_id", text: str = "text", e
         schema = schema.add("grams", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = utf8(batch.column(0))
             for a, b in passes(texts):
                 grams, limits = shingle_sets(texts[a:b])

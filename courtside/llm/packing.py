@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tokenizers import Tokenizer
 
-from courtside.llm.common import passes, save, utf8
+from courtside.llm.common import passes, save, slices, utf8
 
 CAPACITY = 2048
 UNIT = 16
@@ -118,7 +118,7 @@ def cut(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.of(tokenizer_path)
-        for batch in batches:
+        for batch in slices(batches, 2000):
             whole = utf8(batch.column(1))
             for first, last in passes(whole, SPLIT_BYTES):
                 texts = whole[first:last]

@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from courtside.llm.common import hashed_words, passes, range_hashes, save, utf8, word_spans
+from courtside.llm.common import hashed_words, passes, range_hashes, save, slices, utf8, word_spans
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -76,7 +76,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType([*docs.select(rest).schema.fields, *(T.StructField(c, T.LongType()) for c in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = utf8(batch.column(0))
             for a, b in passes(texts):
                 columns = [*(x.slice(a, b - a) for x in batch.columns[1:]), *map(pa.array, text_counts(texts[a:b]).T.copy())]

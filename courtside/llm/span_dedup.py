@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from courtside.llm.common import hashed_words, mix, passes, range_hashes, utf8, word_spans
+from courtside.llm.common import hashed_words, mix, passes, range_hashes, slices, utf8, word_spans
 
 MIN_SENTENCES = 2
 MIN_WORDS = 15
@@ -52,7 +52,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("owner", kind), T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = utf8(batch.column(1))
             for a, b in passes(texts):
                 owner, at, n, h1, h2 = spans(texts[a:b])
@@ -95,7 +95,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     at = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             marked = batch.column(len(rest)).to_pylist()
             rows = [_cut(x or b"", [(y["at"], y["n"]) for y in found or ()]) for x, found in zip(texts, marked)]
