@@ -6,6 +6,8 @@ Every query runs the league's models on the projection of the supplied tables.
 from __future__ import annotations
 
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -17,11 +19,10 @@ from checks.oracle import RETURN_DAY, SCORE_DAY, all_oracles
 from courtside import League
 from courtside.functions.dates import recap_monday, recap_sunday
 from courtside.functions.text import normalize_name
-from courtside.operators.staging import stage, staging_path
 from courtside.plans import card, games, officials, picks, players, teams
 from courtside.sources import sinks
 from courtside.sources.projection import SuppliedTables
-from courtside.sources.readers import RawTables
+from courtside.sources.readers import RawTables, catalog_league
 from courtside.sources.schemas import PREVIEW_COLUMNS
 
 try:  # the text operators are an optional part
@@ -32,8 +33,6 @@ except ImportError:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Far below the default, so that the supplied tables take the way of a too large entity.
-SMALL_GROUP_ROWS = 400
 STAGING = [
     "games", "game_results", "team_game_stats", "player_game_stats", "team_quarter_stats",
     "player_quarter_stats", "referee_assignments", "broadcast_schedule", "betting_lines",
@@ -50,13 +49,31 @@ MODELS = [
 KEY = ["game_date", "home_team_id", "away_team_id"]
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; a temporary one only where none is configured."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="courtside-")
+    return f"{shared}/courtside-{uuid.uuid4().hex}"
+
+
 def league(spark: SparkSession, folder: str, **options) -> League:
     return League(SuppliedTables(spark, folder).raw(), **options)
 
 
 def _model(name: str, **options) -> Query:
     day = RETURN_DAY if name == "returning_players" else SCORE_DAY
-    return lambda spark, folder: getattr(league(spark, folder, as_of_date=day, **options), name)()
+
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        shared = {"work_folder": work_folder(spark)} if name == "game_card" else {}
+        return getattr(league(spark, folder, as_of_date=day, **shared, **options), name)()
+
+    return build
+
+
+def _positions(name: str, report: str, columns: list[str], *within: str) -> Query:
+    """The place of each row of a model in its published order."""
+    return lambda spark, folder: sinks.with_position(_model(name)(spark, folder), report, *within).select(
+        *columns, "position"
+    )
 
 
 def _with_league(build: Callable[[League], DataFrame]) -> Query:
@@ -65,24 +82,20 @@ def _with_league(build: Callable[[League], DataFrame]) -> Query:
 
 def current_record_and_streak(lg: League) -> DataFrame:
     """Each team's record and the streak it is on."""
-    rows = stage(games.team_rows(lg.boxes), "team_rows")
+    rows = games.team_rows(lg.boxes)
     return teams.record(rows).join(teams.current_streak(rows), "team_id")
 
 
 def crew_averages(lg: League) -> DataFrame:
-    return teams.crew_average(
-        lg.stg("referee_assignments"), stage(lg.referee_tendencies(), "tendencies")
-    )
+    return teams.crew_average(lg.stg("referee_assignments"), lg.referee_tendencies())
 
 
 def pace_bucket_record(lg: League) -> DataFrame:
-    paced = games.with_pace(lg.boxes, lg.stg("game_results"))
-    return teams.pace_record(stage(games.team_rows(paced), "team_rows"))
+    return teams.pace_record(games.team_rows(lg.paced), lg.season_now)
 
 
 def official_seasons(lg: League) -> DataFrame:
-    played = games.with_pace(lg.boxes, lg.stg("game_results"))
-    return officials.season_summary(lg.stg("referee_assignments"), played)
+    return officials.season_summary(lg.stg("referee_assignments"), lg.paced)
 
 
 def teams_by_game_day(lg: League) -> DataFrame:
@@ -138,14 +151,16 @@ def merged_picks(lg: League) -> DataFrame:
 def preview_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Append the early batch of a day, then the late one, which leaves out what is published."""
     raw = SuppliedTables(spark, folder).raw()
-    path = staging_path(spark, "previews")
+    path = work_folder(spark)
     sinks.append_previews(League(raw, as_of_date=SCORE_DAY).preview_batch("early"), path)
     appended = lambda: spark.read.schema(raw["game_previews"].schema).parquet(path)
     published = raw["game_previews"].unionByName(appended().select(raw["game_previews"].columns))
     later = RawTables.of({"scored_games": raw["scored_games"], "game_previews": published})
-    late = stage(League(later, as_of_date=SCORE_DAY).preview_batch("late"), "late_batch")
-    sinks.append_previews(late, path)
-    return appended().select(*PREVIEW_COLUMNS)
+    # Read before it is appended to: a batch must not read the folder that it writes.
+    late = work_folder(spark)
+    sinks.append_previews(League(later, as_of_date=SCORE_DAY).preview_batch("late"), late)
+    both = appended().unionByName(spark.read.schema(raw["game_previews"].schema).parquet(late))
+    return both.select(*PREVIEW_COLUMNS)
 
 
 def published_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,23 +171,41 @@ def published_view(spark: SparkSession, folder: str) -> DataFrame:
 def published_table(spark: SparkSession, folder: str) -> DataFrame:
     """Wide games written in folders by season and read back."""
     scores = league(spark, folder).game_scores
-    path = staging_path(spark, "game_scores")
+    path = work_folder(spark)
     sinks.publish_parquet(scores, path, ["season"])
     return spark.read.schema(scores.schema).parquet(path).select(scores.columns)
 
 
+def catalog_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A model published as a managed table of the marts layer and read back by name."""
+    record = league(spark, folder).team_record()
+    return spark.table(sinks.publish_table(record, f"team_record_{uuid.uuid4().hex}"))
+
+
+def catalog_games(spark: SparkSession, folder: str) -> DataFrame:
+    """The schedule, read from a catalog database by its physical name."""
+    SuppliedTables(spark, folder).raw()["games"].createOrReplaceGlobalTempView("games")
+    return League(catalog_league(spark, "global_temp")).stg("games")
+
+
+def published_layers(spark: SparkSession, folder: str) -> DataFrame:
+    """Views published in each layer, found by their names, with their rows."""
+    lg = league(spark, folder)
+    views = [
+        sinks.publish_view(lg.stg("games"), "games", "staging"),
+        sinks.publish_view(lg.team_record(), "team_record", "intermediate"),
+        sinks.publish_view(lg.team_summary(), "team_summary", "marts"),
+    ]
+    counts = [spark.sql(f"SELECT '{view}' AS view_name, count(*) AS view_rows FROM {view}") for view in views]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 def queries() -> dict[str, Query]:
     """One entry per model and per operator that stands on its own."""
-    in_chunks = {"max_group_rows": SMALL_GROUP_ROWS}
     return {
         **{f"stg_{name}": _with_league(lambda lg, name=name: lg.stg(name)) for name in STAGING},
         "game_scores": _with_league(lambda lg: lg.game_scores),
         **{name: _model(name) for name in MODELS},
-        "team_record_in_chunks": _model("team_record", **in_chunks),
-        "team_streaks_in_chunks": _model("team_streaks", **in_chunks),
-        "team_rolling_in_chunks": _model("team_rolling_averages", **in_chunks),
-        "player_streaks_in_chunks": _model("player_streaks", **in_chunks),
-        "rest_days_in_chunks": _model("rest_days", **in_chunks),
         "current_record_and_streak": _with_league(current_record_and_streak),
         "team_rows": _with_league(lambda lg: games.team_rows(lg.boxes)),
         "official_slots": _with_league(
@@ -227,6 +260,19 @@ def queries() -> dict[str, Query]:
         "preview_batches": preview_batches,
         "published_view": published_view,
         "published_table": published_table,
+        "catalog_table": catalog_table,
+        "catalog_games": catalog_games,
+        "published_layers": published_layers,
+        "returning_players_order": _positions("returning_players", "returning_players", ["player_name"]),
+        "player_referee_order": _positions(
+            "player_referee_stats", "player_referee_stats", ["player_name", "team_id", "referee_name"]
+        ),
+        "recap_order": _positions("recap_lines", "recap_lines", ["pick_type", *KEY], "pick_type"),
+        "display_order": _with_league(
+            lambda lg: sinks.with_position(picks.free_game_flag(latest(lg)), "display", "game_date").select(
+                *KEY, "position"
+            )
+        ),
         **({**text_queries.queries(), "pipeline": corpus_pipeline.run} if text_queries else {}),
     }
 

@@ -7,7 +7,7 @@ windows over whole entities; it checks what the distributed versions compute.
 from __future__ import annotations
 
 from checks.sql_tools import listed, mean, named, rounded, total, units
-from courtside.sources.schemas import PERIODS, PREVIEW_INSIGHTS, WIDE_BOX
+from checks.rules import PERIOD_LABELS as PERIODS, PREVIEW_TEXTS as PREVIEW_INSIGHTS, SHORT_BOX as WIDE_BOX
 
 SIDES = ("home", "away")
 
@@ -75,6 +75,9 @@ _MODEL = {
     "spread_home": "CAST((event_id * 3) % 25 - 12 AS DOUBLE) + 5e-1",
     "over_under": "CAST(event_id % 40 AS DOUBLE) + 200.5e0",
 }
+_MISSING_LINES = {
+    name: f"CASE WHEN event_id % {k} <> 0 THEN {_MODEL[name]} END" for name, k in (("spread_home", 11), ("over_under", 13))
+}
 
 
 def _insight(position: int, field: str) -> str:
@@ -105,7 +108,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS game_id, CAST(o_orderdate AS DATE) AS game
   concat(CAST(year(o_orderdate) - 1 AS VARCHAR), '-', lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0')) AS season,
   {_team('home_n')} AS home_team_id, {_team('away_n')} AS away_team_id,
   CASE WHEN o_orderkey % 50 = 0 THEN away_n ELSE home_n END AS arena_id,
-  concat(CAST(12 + o_orderkey % 11 AS VARCHAR), ':30:00') AS tipoff_time, o_orderdate AS loaded_at
+  concat(CAST(9 + o_orderkey % 14 AS VARCHAR), ':30:00') AS tipoff_time, o_orderdate AS loaded_at
 FROM (SELECT o.*, CAST(c_nationkey AS BIGINT) AS home_n,
         (CAST(c_nationkey AS BIGINT) + 1 + o_orderkey % 24) % 25 AS away_n
       FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey)""",
@@ -134,11 +137,9 @@ SELECT CAST(l_orderkey AS VARCHAR) AS game_id, {_player('substr(s_name, 10)')} A
   CASE first_line WHEN 7 THEN NULL WHEN 6 THEN ''
     ELSE concat(CAST(low_part % 40 AS VARCHAR), ':', CAST(high_part % 60 AS VARCHAR)) END AS minutes,
   q AS points, p % 16 AS rebounds, p % 13 AS assists, {_PLAYER_BOX}, p % 41 - 20 AS plus_minus, loaded_at
-FROM (SELECT l_orderkey, l_suppkey, s_name, s_nationkey, min(l_linenumber) AS first_line, min(l_partkey) AS low_part,
+FROM (SELECT l_orderkey, l_suppkey, s_name, min(l_linenumber) AS first_line, min(l_partkey) AS low_part,
         max(l_partkey) AS high_part, {_SUMS}
-      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_orderkey, l_suppkey, s_name, s_nationkey)
-JOIN orders ON o_orderkey = l_orderkey
-WHERE s_nationkey >= 8 OR o_orderdate <= TIMESTAMP '2001-07-10'""",
+      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_orderkey, l_suppkey, s_name)""",
     "x_player_quarter_stats": f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS game_id, {_player('substr(s_name, 10)')} AS player_name, {_team('l_suppkey % 25')} AS team_id,
   {_QUARTER} AS quarter, CAST(p % 13 AS VARCHAR) AS minutes, q % 20 AS points, p % 3 AS offensive_rebounds,
@@ -149,9 +150,9 @@ FROM (SELECT l_orderkey, l_suppkey, s_name, l_linenumber, {_SUMS}
     "x_injuries": f"""
 SELECT CAST(DATE '2001-07-03' + CAST(day(ts) - 1 AS INTEGER) AS DATE) AS game_date,
   strftime(ts, '%H:%M') AS game_time,
-  concat({_team('user_id % 100 % 25')}, '@', {_team('(user_id % 100 + 1) % 25')}) AS matchup,
-  {_team('user_id % 100 % 25')} AS team_id,
-  {_player("lpad(CAST(user_id % 100 AS VARCHAR), 9, '0')")} AS player_name,
+  concat({_team('user_id % 25')}, '@', {_team('(user_id + 1) % 25')}) AS matchup,
+  {_team('user_id % 25')} AS team_id,
+  {_player("lpad(CAST(user_id AS VARCHAR), 9, '0')")} AS player_name,
   CASE event_type WHEN 'error' THEN 'Out' WHEN 'signup' THEN 'Doubtful' WHEN 'click' THEN 'Questionable'
     WHEN 'view' THEN 'Probable' WHEN 'purchase' THEN 'Available' END AS status,
   event_type AS reason, concat('report-', lpad(CAST(event_id AS VARCHAR), 12, '0')) AS pdf_url, ts AS scraped_at
@@ -165,7 +166,7 @@ FROM orders""",
     "x_broadcast_schedule": """
 SELECT CAST(o_orderdate AS DATE) AS game_date, CAST(o_orderkey AS VARCHAR) AS game_id,
   o_orderpriority = '1-URGENT' AS is_national_broadcast, o_orderdate AS loaded_at
-FROM orders WHERE o_orderpriority <= '2-HIGH'""",
+FROM orders""",
     "x_lines": """
 SELECT game_date, season, home_team_id AS home_team, away_team_id AS away_team,
   CAST(CAST(game_id AS BIGINT) % 40 AS DOUBLE) + 200.5e0 AS over_under,
@@ -184,8 +185,8 @@ SELECT DISTINCT CAST(o_custkey % 17 AS VARCHAR) AS referee_id,
   concat('Official ', CAST(o_custkey % 17 AS VARCHAR)) AS full_name FROM orders""",
     "x_scored_events": """
 SELECT e.*, g.home_team_id, g.away_team_id, g.tipoff_time,
-  CAST(DATE '2024-01-01' + CAST(event_id % 400 % 28 AS INTEGER) AS DATE) AS game_date
-FROM events e JOIN x_games g ON g.game_id = CAST(e.event_id % 400 AS VARCHAR)""",
+  CAST(DATE '2024-01-01' + CAST(event_id // 350 AS INTEGER) AS DATE) AS game_date
+FROM events e JOIN x_games g ON g.game_id = CAST(e.event_id // 25 AS VARCHAR)""",
     "x_scored_games": f"""
 SELECT game_date, home_team_id, away_team_id, tipoff_time, ts AS inserted_at,
   event_id % 3 = 0 AS is_national_broadcast, {named(_MODEL)},
@@ -202,7 +203,7 @@ FROM x_scored_events""",
 SELECT game_date, home_team_id, away_team_id, scored_at, {named(strengths())},
   divergence_correct, model_ou_correct, model_vs_market, model_vs_line, spread_home, over_under,
   actual_margin, actual_total
-FROM (SELECT game_date, home_team_id, away_team_id, ts AS scored_at, {named(_MODEL)},
+FROM (SELECT game_date, home_team_id, away_team_id, ts AS scored_at, {named(_MODEL | _MISSING_LINES)},
         CASE WHEN event_id % 7 <> 0 THEN event_id % 2 = 0 END AS divergence_correct,
         CASE WHEN event_id % 8 <> 0 THEN event_id % 3 = 0 END AS model_ou_correct,
         CASE WHEN event_id % 9 <> 0 THEN event_id % 41 - 20 END AS actual_margin,
@@ -216,7 +217,7 @@ SELECT game_date, home_team_id, away_team_id, tipoff_time, event_id % 5 = 0 AS i
   concat('TOTAL ', CAST(event_id % 7 AS VARCHAR)) AS total_insight,
   concat('preview ', CAST(event_id AS VARCHAR)) AS preview_text, false AS posted_substack,
   false AS posted_reddit, ts AS generated_at
-FROM x_scored_events WHERE event_type = 'purchase' AND home_team_id < 'T10'""",
+FROM x_scored_events WHERE event_type = 'purchase' AND value >= 100""",
 }
 
 # ---------------------------------------------------------------------------------------------

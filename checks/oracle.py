@@ -6,8 +6,9 @@ from checks.league_sql import (
     LIBRARY, MODELS, NEWEST_VERSION, PLAYER_QUARTER_MEANS, RAW, TEAM_QUARTER_MEANS, strengths,
 )
 from checks.sql_tools import assemble, listed, named, one_decimal, plus_signed, rounded
-from courtside.functions.text import NAME_PROFILES, SUFFIX
-from courtside.sources.schemas import PICK_INSIGHTS, PREVIEW_COLUMNS, PREVIEW_INSIGHTS
+from checks.rules import (
+    GENERATION, NAME_RULES, PICK_TEXTS as PICK_INSIGHTS, PREVIEW_TEXTS as PREVIEW_INSIGHTS, PUBLISHED as PREVIEW_COLUMNS,
+)
 
 SCORE_DAY = "2024-01-14"
 RETURN_DAY = "2001-07-28"
@@ -16,7 +17,7 @@ RETURN_DAY = "2001-07-28"
 def _normalized(text: str, profile: str) -> str:
     quote = lambda value: "'" + value.replace("'", "''") + "'"
     cleaned = text
-    for pattern, replacement in [*NAME_PROFILES[profile], (SUFFIX, "")]:
+    for pattern, replacement in [*NAME_RULES[profile], (GENERATION, "")]:
         cleaned = f"regexp_replace({cleaned}, {quote(pattern)}, {quote(replacement)}, 'g')"
     breaks = r"""\s\[\](){}/|\\<>!?@"^#$&~_,.:;*%+\-"""
     tokens = f"regexp_extract_all({cleaned}, {quote(f'[{breaks}]|[^{breaks}]+')})"
@@ -86,7 +87,7 @@ _SCORE_NAMES = [
 
 
 def _unpublished(early: bool) -> str:
-    batch = " AND tipoff_time < '18:00:00'" if early else ""
+    batch = " AND CAST(split_part(tipoff_time, ':', 1) AS INTEGER) < 18" if early else ""
     return f"""
 SELECT * FROM (
   SELECT * FROM x_scored_games WHERE game_date = DATE '{SCORE_DAY}'{batch}
@@ -132,10 +133,10 @@ _result = "CASE WHEN correct THEN '✅ WIN' WHEN NOT correct THEN '❌ LOSS' ELS
 _RECAP = f"""
 SELECT game_date, home_team_id, away_team_id, pick_type,
   concat(away_team_id, ' @ ', home_team_id, ' — ', CAST(game_date AS VARCHAR)) AS heading,
-  CASE pick_type WHEN 'spread' THEN concat('Line: ', home_team_id, ' ', {plus_signed('spread_home')}, ' | Pick: ',
+  CASE pick_type WHEN 'spread' THEN concat('Line: ', home_team_id, ' ', coalesce({plus_signed('spread_home')}, 'N/A'), ' | Pick: ',
       CASE WHEN {_edge} >= 1e-1 THEN concat(home_team_id, ' (HOME)') ELSE concat(away_team_id, ' (AWAY)') END,
       ' | Result: ', {_result})
-    ELSE concat('Total: ', {one_decimal('over_under')}, ' | Pick: ', {_total_side(' pts')}, ' | Result: ', {_result}) END AS detail,
+    ELSE concat('Total: ', coalesce({one_decimal('over_under')}, 'N/A'), ' | Pick: ', {_total_side(' pts')}, ' | Result: ', {_result}) END AS detail,
   CASE pick_type WHEN 'spread' THEN 'Final margin: ' || CASE WHEN actual_margin >= 0 THEN '+' ELSE '' END || CAST(actual_margin AS VARCHAR)
     ELSE 'Final total: ' || CAST(actual_total AS VARCHAR) END AS final
 FROM m_graded JOIN m_week ON game_date BETWEEN monday AND sunday"""
@@ -222,12 +223,6 @@ QUERIES = {
     "player_summary": "SELECT * FROM m_player_summary",
     "referee_summary": "SELECT * FROM m_official_summary",
     "game_card": "SELECT * FROM m_card",
-    # the same ordered operators over chunks, as for an entity too large for one task
-    "team_record_in_chunks": "SELECT * FROM m_record",
-    "team_streaks_in_chunks": "SELECT * FROM m_streaks",
-    "team_rolling_in_chunks": "SELECT * FROM m_rolling",
-    "player_streaks_in_chunks": "SELECT * FROM m_player_streaks",
-    "rest_days_in_chunks": _REST,
     # operators on their own
     "current_record_and_streak": """
 SELECT r.team_id, r.wins, r.losses, r.games_played, r.win_pct, s.streak_label, s.streak_length
@@ -267,12 +262,14 @@ SELECT game_date, home_team_id, away_team_id, divergence_strength, signal_streng
     "unpublished_late": _unpublished(False),
     "published_with_scores": _PUBLISHED,
     "merged_picks": f"""
-SELECT home_team_id, away_team_id, min(tipoff_time) AS tipoff_time,
+SELECT game_date, home_team_id, away_team_id, min(tipoff_time) AS tipoff_time, max(composite_score) AS composite_score,
+  max(model_vs_market) AS model_vs_market, max(model_vs_line) AS model_vs_line, max(model_total) AS model_total,
+  max(spread_home) AS spread_home, max(over_under) AS over_under,
   arg_max(blurb, tipoff_time || blurb) FILTER (WHERE pick_type = 'spread') AS picks_blurb,
   arg_max(blurb, tipoff_time || blurb) FILTER (WHERE pick_type = 'ou') AS ou_picks_blurb
 FROM (SELECT *, CASE pick_type WHEN 'spread' THEN concat(spread_pick_team, ' ', spread_pick_line) ELSE total_pick END AS blurb
       FROM (SELECT *, {_SIDES} FROM m_picks))
-GROUP BY home_team_id, away_team_id""",
+GROUP BY game_date, home_team_id, away_team_id""",
     "preview_batches": f"""
 SELECT {_PREVIEW_LIST} FROM m_early UNION ALL SELECT {_PREVIEW_LIST} FROM m_late""",
     "pick_record": _RECORD,
@@ -280,6 +277,25 @@ SELECT {_PREVIEW_LIST} FROM m_early UNION ALL SELECT {_PREVIEW_LIST} FROM m_late
     # sinks
     "published_view": "SELECT * EXCLUDE (game_recency) FROM m_record",
     "published_table": "SELECT * FROM m_scores",
+    "catalog_table": "SELECT * FROM m_record",
+    "catalog_games": "SELECT * FROM m_games",
+    "published_layers": """
+SELECT 'staging_games' AS view_name, count(*) AS view_rows FROM m_games
+UNION ALL SELECT 'intermediate_team_record', count(*) FROM m_record
+UNION ALL SELECT 'marts_team_summary', count(*) FROM m_team_summary""",
+    # published orders, as positions
+    "returning_players_order": f"""
+SELECT player_name, row_number() OVER (ORDER BY days_since_last_game DESC, player_name, team_id) AS position FROM ({_RETURNING})""",
+    "player_referee_order": """
+SELECT player_name, team_id, referee_name,
+  row_number() OVER (ORDER BY pts_diff_vs_season_avg DESC, player_name, team_id, referee_name) AS position FROM m_player_officials""",
+    "recap_order": f"""
+SELECT pick_type, game_date, home_team_id, away_team_id,
+  row_number() OVER (PARTITION BY pick_type ORDER BY game_date, home_team_id, away_team_id) AS position FROM ({_RECAP})""",
+    "display_order": """
+SELECT game_date, home_team_id, away_team_id,
+  row_number() OVER (PARTITION BY game_date ORDER BY is_free_game DESC, tipoff_time, home_team_id, away_team_id) AS position
+FROM m_free_games""",
 }
 
 

@@ -15,6 +15,7 @@ HOME_EDGE = 0.10
 OVER_EDGE = 5.0
 
 # Wording shown to readers.
+MISSING = "N/A"
 WIN, LOSS, PUSH = "✅ WIN", "❌ LOSS", "➖ PUSH"
 
 
@@ -80,6 +81,7 @@ def record_text(correct: Column, total: Column) -> Column:
     )
 
 
+# Wording of the flags in the two functions below.
 def total_flag(model_vs_line: Column | str) -> Column:
     edge = or_zero(model_vs_line)
     size = one_decimal(F.abs(edge))

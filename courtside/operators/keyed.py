@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: The current season: a year, or one row with ``current_season``.
+Season = int | DataFrame
+
 _RANK = "_rank"
 
 
@@ -30,12 +33,28 @@ def with_flag(df: DataFrame, flags: DataFrame, on: str, name: str) -> DataFrame:
 
 
 def with_total(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row (one row is always small enough to broadcast)."""
+    """Attach an aggregate without keys to every row.
+
+    ``totals`` must have exactly one row: more would multiply ``df``, and only one row is always
+    small enough to broadcast.
+    """
     return df.crossJoin(F.broadcast(totals))
 
 
-def with_max(df: DataFrame, column: str, name: str) -> DataFrame:
-    return with_total(df, df.agg(F.max(column).alias(name)))
+def in_season(df: DataFrame, season_now: Season) -> DataFrame:
+    """Rows of one season; a given year is a literal, which reaches the scan."""
+    if isinstance(season_now, int):
+        return df.where(F.col("season") == F.lit(season_now).cast("bigint"))
+    current = with_total(df, season_now).where(F.col("season") == F.col("current_season"))
+    return current.drop("current_season")
+
+
+def with_season_age(df: DataFrame, season_now: Season, name: str) -> DataFrame:
+    """Add how many seasons before the current one a row is."""
+    if isinstance(season_now, int):
+        return df.withColumn(name, F.lit(season_now).cast("bigint") - F.col("season"))
+    age = F.col("current_season") - F.col("season")
+    return with_total(df, season_now).withColumn(name, age).drop("current_season")
 
 
 def versus_population(df: DataFrame, columns: Sequence[str], carries: int) -> DataFrame:

@@ -2,48 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from typing import Any
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` and read it back.
 
-
-def staging_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only for a local session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="courtside-")
-    return _local_roots[app]
-
-
-def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/courtside/{label}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it back.
-
-    This cuts the lineage in a way that survives lost executors, and it gives the optimizer the
-    real size: a staged lookup is broadcast when it is below
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffled when it is not.
+    This cuts the lineage in a way that survives lost executors, and it gives the optimizer the real
+    size. The path must be in a folder that all executors share; the caller names it and clears it.
     """
-    spark = df.sparkSession
-    path = staging_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def concurrently(*steps: Callable[[], Any]) -> list[Any]:
-    """Results of independent steps whose Spark jobs may run side by side."""
-    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        return [future.result() for future in [pool.submit(step) for step in steps]]
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,36 +1,29 @@
 """Ordered computations per entity that stay distributed when one entity holds most of the rows.
 
-A window over ``partitionBy(entity)`` puts all rows of an entity into one task. That is the best
-plan while entities are small, so ``Timeline.of`` counts them first. When one is too large, the
-rows are range-partitioned on (entity, order) into even chunks, written once so that the chunk
-numbers are final, and each computation becomes a window inside (entity, chunk) plus what the
-earlier chunks carry over:
-
-* running values: one summary row per (entity, chunk), accumulated over the chunks, joined back;
-* windows with a fixed reach: chunks of consecutive positions, each with a copy of the few last
-  rows of the chunk before it;
-* runs: the first position of each run, by aggregation.
-
-Both ways give the same values.
+A window over ``partitionBy(entity)`` puts all rows of an entity into one task. ``Timeline`` never
+does: the first order column, a date, cuts each entity's rows into cells of one (entity, date), and
+
+* running values are a window inside the cell plus what earlier cells carry: one row of totals per
+  cell, combined before the shuffle, accumulated over an entity's dates and joined back;
+* windows with a fixed reach run over parts of ``PART_ROWS`` consecutive positions, each with a copy
+  of the few last rows of the part before it;
+* a run is as long as its row is away from the last row with the other flag, a running value.
+
+Which cell or part a row is in depends on the row and its position alone, so every size takes the
+same way, nothing is counted beforehand and nothing is written. Order columns must not be null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from courtside.operators.staging import stage
-
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-# Beyond this many chunks they grow instead: planning a shuffle has a cost per partition.
-MAX_CHUNKS = 20_000
-MAX_GROUP_ROWS_CONF = "spark.courtside.maxGroupRows"
+#: Consecutive rows of an entity that one window group of a fixed reach holds.
+PART_ROWS = 4096
 
 SEQ = "_seq"
-CHUNK = "_chunk"
 PART = "_part"
 
 _FOLDS = {"sum": F.sum, "max": F.max}
@@ -43,31 +36,11 @@ class Timeline:
     rows: DataFrame
     entity: tuple[str, ...]
     order: tuple[str, ...]
-    chunk_rows: int | None = None
+    part_rows: int = PART_ROWS
 
     @classmethod
-    def of(
-        cls,
-        rows: DataFrame,
-        entity: Sequence[str],
-        order: Sequence[str],
-        max_group_rows: int | None = None,
-    ) -> Timeline:
-        spark = rows.sparkSession
-        limit = max_group_rows or int(
-            spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS))
-        )
-        staged = stage(rows, "timeline")
-        sizes = staged.groupBy(*entity).count().agg(F.max("count"), F.sum("count")).first()
-        largest, total = (sizes[0] or 0), (sizes[1] or 0)
-        if largest <= limit:
-            return cls(staged, tuple(entity), tuple(order))
-        chunks = min(max(2, ceil(total / limit)), MAX_CHUNKS)
-        ranged = staged.repartitionByRange(chunks, *entity, *order).withColumn(
-            CHUNK, F.spark_partition_id()
-        )
-        cut = cls(stage(ranged, "chunks"), tuple(entity), tuple(order), limit)
-        return cut.with_running({SEQ: ("sum", F.lit(1).cast("bigint"))})
+    def of(cls, rows: DataFrame, entity: Sequence[str], order: Sequence[str]) -> Timeline:
+        return cls(rows, tuple(entity), tuple(order))
 
     def select(self, *columns: str | Column) -> DataFrame:
         return self.rows.select(*columns)
@@ -89,86 +62,59 @@ class Timeline:
         A fold is ("sum" | "max", column); sums must be of whole numbers.
         """
         whole = whole or {}
-        if self.chunk_rows is None:
-            upto = self._window(self.entity).rowsBetween(Window.unboundedPreceding, 0)
-            everything = Window.partitionBy(*self.entity)
-            added = {n: _FOLDS[k](c).over(upto) for n, (k, c) in running.items()}
-            added |= {n: _FOLDS[k](c).over(everything) for n, (k, c) in whole.items()}
-            return self.with_columns(added)
-
-        cell = (*self.entity, CHUNK)
-        folds = {**running, **whole}
+        cell = [*self.entity, self.order[0]]
         totals = self.rows.groupBy(*cell).agg(
-            *[_FOLDS[kind](column).alias(name) for name, (kind, column) in folds.items()]
+            *[_FOLDS[kind](column).alias(name) for name, (kind, column) in {**running, **whole}.items()]
         )
-        chunks = Window.partitionBy(*self.entity).orderBy(CHUNK)
-        before = chunks.rowsBetween(Window.unboundedPreceding, -1)
+        dates = Window.partitionBy(*self.entity).orderBy(self.order[0])
+        before = dates.rowsBetween(Window.unboundedPreceding, -1)
         everything = Window.partitionBy(*self.entity)
         carried = totals.select(
             *cell,
             *[_FOLDS[k](n).over(before).alias(f"_before_{n}") for n, (k, _) in running.items()],
             *[_FOLDS[k](n).over(everything).alias(n) for n, (k, _) in whole.items()],
         )
-        upto = self._window(cell).rowsBetween(Window.unboundedPreceding, 0)
-        inside = self.rows.withColumns(
-            {n: _FOLDS[k](c).over(upto) for n, (k, c) in running.items()}
-        )
-        joined = inside.join(carried, list(cell), "left")
+        inside = Window.partitionBy(*cell).orderBy(*self.order[1:] or self.order)
+        upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+        here = self.rows.withColumns({n: _FOLDS[k](c).over(upto) for n, (k, c) in running.items()})
         combined = {}
         for name, (kind, _) in running.items():
-            here, earlier = F.col(name), F.col(f"_before_{name}")
+            now, earlier = F.col(name), F.col(f"_before_{name}")
             if kind == "sum":
-                combined[name] = F.coalesce(here + earlier, here, earlier)
+                combined[name] = F.coalesce(now + earlier, now, earlier)
             else:
-                combined[name] = F.greatest(here, earlier)
-        rows = joined.withColumns(combined).drop(*[f"_before_{n}" for n in running])
-        return replace(self, rows=rows)
+                combined[name] = F.greatest(now, earlier)
+        joined = here.join(carried, cell)
+        return replace(self, rows=joined.withColumns(combined).drop(*[f"_before_{n}" for n in running]))
+
+    def positioned(self) -> Timeline:
+        """Number each entity's rows from 1, unless they are numbered already."""
+        if SEQ in self.rows.columns:
+            return self
+        return self.with_running({SEQ: ("sum", F.lit(1).cast("bigint"))})
 
     def with_windows(
         self, reach: int, columns: Mapping[str, Callable[[WindowSpec], Column]]
     ) -> Timeline:
         """Add window columns that look at most ``reach`` rows back."""
-        if self.chunk_rows is None:
-            window = self._window(self.entity)
-            return self.with_columns({name: make(window) for name, make in columns.items()})
-
-        size = max(self.chunk_rows, reach + 1)
+        placed = self.positioned()
+        size = max(self.part_rows, reach + 1)
         position = F.col(SEQ) - F.lit(1)
         home_part = F.floor(position / F.lit(size))
         near_end = position % F.lit(size) >= size - reach
         parts = F.when(near_end, F.array(home_part, home_part + 1)).otherwise(F.array(home_part))
-        copied = self.rows.withColumn(PART, F.explode(parts))
+        copied = placed.rows.withColumn(PART, F.explode(parts))
         window = Window.partitionBy(*self.entity, PART).orderBy(SEQ)
         computed = copied.withColumns({name: make(window) for name, make in columns.items()})
-        return replace(self, rows=computed.where(F.col(PART) == home_part).drop(PART))
+        return replace(placed, rows=computed.where(F.col(PART) == home_part).drop(PART))
 
     def with_runs(self, flag: str, length: str) -> Timeline:
-        """Add the position inside the run of equal 0/1 ``flag`` values that a row belongs to.
-
-        A run is known by its flag and by how many rows with the other flag came before it.
-        """
-        ones, zeros = "_ones", "_zeros"
-        counted = self.with_running(
-            {ones: ("sum", F.col(flag)), zeros: ("sum", F.lit(1) - F.col(flag))}
-        )
-        is_one = F.col(flag) == 1
-        placed = counted.with_columns(
-            {
-                "_run": F.when(is_one, F.col(zeros)).otherwise(F.col(ones)),
-                "_place": F.when(is_one, F.col(ones)).otherwise(F.col(zeros)),
-            }
-        )
-        run = [*self.entity, flag, "_run"]
-        if self.chunk_rows is None:
-            started = placed.with_columns({"_start": F.min("_place").over(Window.partitionBy(*run))})
-        else:
-            starts = placed.rows.groupBy(*run).agg(F.min("_place").alias("_start"))
-            started = replace(placed, rows=placed.rows.join(starts, run, "left"))
-        rows = started.rows.withColumn(length, F.col("_place") - F.col("_start") + 1)
-        return replace(self, rows=rows.drop(ones, zeros, "_run", "_place", "_start"))
-
-    def _window(self, group: Sequence[str]) -> WindowSpec:
-        return Window.partitionBy(*group).orderBy(*self.order)
+        """Add the position inside the run of equal 0/1 ``flag`` values that a row belongs to."""
+        ended = {f"_last_{value}": ("max", F.when(F.col(flag) == value, F.col(SEQ))) for value in (0, 1)}
+        placed = self.positioned().with_running(ended)
+        other = F.when(F.col(flag) == 1, F.col("_last_0")).otherwise(F.col("_last_1"))
+        position = F.col(SEQ) - F.coalesce(other, F.lit(0).cast("bigint"))
+        return replace(placed, rows=placed.rows.withColumn(length, position).drop(*ended))
 
 
 def trailing_mean(column: str, size: int, digits: int, carries: int = 0):
@@ -189,8 +135,7 @@ def current_run(
     """Flag and length of the run each entity is in at its last row.
 
     Only aggregates: the last row of either flag per entity, then a count of the rows after the
-    last row with the other flag. No ordered pass over the history is needed. The one row per
-    entity is staged, so that a few entities are broadcast instead of shuffling all rows by them.
+    last row with the other flag. No ordered pass over the history is needed.
     """
     moment = F.struct(*order)
     last = rows.groupBy(entity).agg(
@@ -200,13 +145,10 @@ def current_run(
     now_one = F.col("_last_zero").isNull() | F.coalesce(
         F.col("_last_one") > F.col("_last_zero"), F.lit(False)
     )
-    ends = stage(
-        last.select(
-            F.col(entity),
-            F.when(now_one, 1).otherwise(0).cast("bigint").alias("_now"),
-            F.when(now_one, F.col("_last_zero")).otherwise(F.col("_last_one")).alias("_other"),
-        ),
-        "run_ends",
+    ends = last.select(
+        F.col(entity),
+        F.when(now_one, 1).otherwise(0).cast("bigint").alias("_now"),
+        F.when(now_one, F.col("_last_zero")).otherwise(F.col("_last_one")).alias("_other"),
     )
     inside = rows.join(ends, entity).where(
         F.col("_other").isNull() | (moment > F.col("_other"))

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from courtside.operators.keyed import with_flag, with_total
+from courtside.operators.keyed import Season, in_season, with_flag
 from courtside.operators.pairs import pair_record, with_pair_key
 from courtside.operators.shape import SIDES
-from courtside.operators.staging import concurrently, stage
 from courtside.plans import teams
 from courtside.sources.schemas import PERIODS
 
@@ -40,21 +39,20 @@ PACE_RECORD = [
 ]
 
 
-def team_profile(rows: DataFrame, season_now: DataFrame) -> DataFrame:
+def team_profile(rows: DataFrame, season_now: Season) -> DataFrame:
     """What the card shows of a team, one narrow row per team, so that a card joins it twice."""
     season = teams.season_record(rows, season_now).drop("games_played")
     return (
         teams.current_rolling(rows)
         .join(teams.current_streak(rows), "team_id")
         .join(season, "team_id", "left")
-        .join(teams.pace_record(rows), "team_id", "left")
+        .join(teams.pace_record(rows, season_now), "team_id", "left")
     )
 
 
-def season_pairs(scores: DataFrame, season_now: DataFrame) -> DataFrame:
+def season_pairs(scores: DataFrame, season_now: Season) -> DataFrame:
     """Meetings of each pair in the current season; equal scores count for neither."""
-    current = with_total(scores, season_now).where(F.col("season") == F.col("current_season"))
-    record = pair_record(current, tie_rule="nobody")
+    record = pair_record(in_season(scores, season_now), tie_rule="nobody")
     return record.select(
         "team_a", "team_b", F.col("games_played").alias("h2h_games"), "team_a_wins", "team_b_wins",
         F.col("last_meeting").alias("h2h_last_meeting"),
@@ -75,7 +73,7 @@ def game_card(
     context: DataFrame,
     travel: DataFrame,
     rows: DataFrame,
-    season_now: DataFrame,
+    season_now: Season,
     assignments: DataFrame,
     tendencies: DataFrame,
     official_effect: DataFrame,
@@ -83,17 +81,12 @@ def game_card(
     """One row per scheduled game, played or not.
 
     Tables by game meet on the game id. Team, pair and official tables are aggregated to one row
-    per key and staged first: the optimizer then knows their size and broadcasts only small ones.
+    per key; adaptive execution broadcasts those that turn out small and splits hot keys of others.
     """
-    profile, pairs, chiefs, effect = concurrently(
-        lambda: stage(team_profile(rows, season_now), "team_profile"),
-        lambda: stage(season_pairs(played, season_now), "season_pairs"),
-        lambda: stage(crew_chiefs(tendencies), "crew_chiefs"),
-        lambda: stage(
-            official_effect.select("team_id", "referee_id", "games_with_referee", "weighted_ref_effect"),
-            "official_effect",
-        ),
-    )
+    profile = team_profile(rows, season_now)
+    pairs = season_pairs(played, season_now)
+    chiefs = crew_chiefs(tendencies)
+    effect = official_effect.select("team_id", "referee_id", "games_with_referee", "weighted_ref_effect")
 
     scored = with_flag(played, broadcasts, "game_id", "is_national_broadcast")
     results = scored.select(

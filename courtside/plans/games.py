@@ -20,11 +20,20 @@ _PACE_COLUMNS = [
 ]
 
 
-def _side_box(team_stats: DataFrame, side: str) -> DataFrame:
-    columns = [f"{column} AS {side}_{short}" for column, short in WIDE_BOX.items()]
-    return team_stats.where(F.col("home_away") == side).selectExpr(
-        "game_id", f"team_id AS {side}_team_id", *columns
-    )
+def _both_boxes(team_stats: DataFrame) -> DataFrame:
+    """Box scores of games with both sides, one row each: one scan, one grouping by game.
+
+    Of repeated rows of a side, each column's largest value counts.
+    """
+    of_side = lambda side, column: f"max(CASE WHEN home_away = '{side}' THEN {column} END)"
+    columns = [
+        f"{of_side(side, column)} AS {side}_{short}"
+        for side in SIDES
+        for column, short in {"team_id": "team_id", **WIDE_BOX}.items()
+    ]
+    present = [f"count_if(home_away = '{side}') AS _{side}" for side in SIDES]
+    sides = team_stats.groupBy("game_id").agg(*[F.expr(c) for c in (*columns, *present)])
+    return sides.where("_home > 0 AND _away > 0").drop("_home", "_away")
 
 
 def quarter_points(quarters: DataFrame) -> DataFrame:
@@ -42,14 +51,13 @@ def quarter_points(quarters: DataFrame) -> DataFrame:
 def box_scores(games: DataFrame, team_stats: DataFrame) -> DataFrame:
     """Games with a box score on both sides, one row each, both sides as columns.
 
-    Every input is partitioned by game once; the side filter reaches the scan of the box scores.
+    Every input is read and partitioned by game once.
     """
     shorts = [short for short in WIDE_BOX.values() if short != "points"]
     home_won = "home_points > away_points"
     return (
         games.select("game_id", "game_date", "season", "arena_id", "tipoff_time")
-        .join(_side_box(team_stats, "home"), "game_id")
-        .join(_side_box(team_stats, "away"), "game_id")
+        .join(_both_boxes(team_stats), "game_id")
         .selectExpr(
             "game_id", "game_date", "season", "arena_id", "tipoff_time",
             "home_team_id", "away_team_id", "home_points", "away_points",

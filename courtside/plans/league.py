@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
-from courtside.operators.staging import concurrently, stage
+from courtside.operators.keyed import Season
+from courtside.operators.staging import stage
 from courtside.operators.timeline import Timeline
 from courtside.plans import card, games, officials, picks, players, recap, schedule, staging, teams
 from courtside.sources.readers import RawTables
 
 
 class League:
-    """Models by name; everything is lazy except the few tables that many models share.
+    """Models by name; all of them are lazy.
 
-    ``played`` (wide games with pace) and the timelines are written once per league and read back,
-    because each of them feeds several models.
+    With ``work_folder``, a folder that all executors share, ``played`` (wide games with pace, on which
+    much of the card stands) is written there once and read back.
     """
 
     def __init__(
@@ -26,13 +28,13 @@ class League:
         season: int | None = None,
         as_of_date: dt.date | str | None = None,
         travel_scope: str = "side",
-        max_group_rows: int | None = None,
+        work_folder: str | None = None,
     ):
         self.raw = raw
         self.season = season
         self.as_of_date = as_of_date
         self.travel_scope = travel_scope
-        self.max_group_rows = max_group_rows
+        self.work_folder = work_folder
         self._staging: dict[str, DataFrame] = {}
 
     def stg(self, name: str) -> DataFrame:
@@ -42,12 +44,11 @@ class League:
         return self._staging[name]
 
     @cached_property
-    def season_now(self) -> DataFrame:
-        """The current season as one row: the given one, else the newest in the schedule."""
-        newest = self.stg("games").agg(F.max("season").alias("current_season"))
-        if self.season is None:
-            return newest
-        return newest.select(F.lit(self.season).cast("bigint").alias("current_season"))
+    def season_now(self) -> Season:
+        """The current season: the given year, else the newest in the schedule as one row."""
+        if self.season is not None:
+            return self.season
+        return self.stg("games").agg(F.max("season").alias("current_season"))
 
     # -- games ------------------------------------------------------------------------------
 
@@ -60,10 +61,8 @@ class League:
         return games.box_scores(self.stg("games"), self.stg("team_game_stats"))
 
     @cached_property
-    def _paced(self) -> DataFrame:
-        """Box scores with pace, from the written wide games where those exist already."""
-        if "played" in self.__dict__:
-            return self.played
+    def paced(self) -> DataFrame:
+        """Box scores with pace."""
         return games.with_pace(self.boxes, self.stg("game_results"))
 
     @cached_property
@@ -72,8 +71,9 @@ class League:
 
     @cached_property
     def played(self) -> DataFrame:
-        """Wide games with pace, written once."""
-        return stage(games.with_pace(self.game_scores, self.stg("game_results")), "played")
+        """Wide games with pace, written once if the league has a work folder."""
+        wide = games.with_pace(self.game_scores, self.stg("game_results"))
+        return stage(wide, f"{self.work_folder}/played-{uuid.uuid4().hex}") if self.work_folder else wide
 
     def game_pace(self) -> DataFrame:
         return games.game_pace(self.boxes, self.stg("game_results"))
@@ -89,20 +89,19 @@ class League:
     @cached_property
     def paced_timeline(self) -> Timeline:
         """Team games with pace, in order."""
-        return teams.team_timeline(games.team_rows(self._paced), self.max_group_rows)
+        return teams.team_timeline(games.team_rows(self.paced))
 
     @cached_property
     def timeline(self) -> Timeline:
         """Team games in order, without pace: for models that need the result alone."""
-        return teams.team_timeline(games.team_rows(self.boxes), self.max_group_rows)
+        return teams.team_timeline(games.team_rows(self.boxes))
 
     def team_record(self) -> DataFrame:
         return teams.running_record(self.timeline)
 
     def season_team_record(self) -> DataFrame:
         by_season = Timeline.of(
-            games.team_rows(self.boxes), ["team_id", "season"], teams.TEAM_ORDER,
-            self.max_group_rows,
+            games.team_rows(self.boxes), ["team_id", "season"], teams.TEAM_ORDER
         )
         return teams.running_record(by_season, by_season=True)
 
@@ -113,20 +112,17 @@ class League:
         return teams.rolling_averages(self.paced_timeline)
 
     def team_performance_by_pace(self) -> DataFrame:
-        tendencies, timeline = concurrently(
-            lambda: stage(self.referee_tendencies(), "tendencies"), lambda: self.paced_timeline
-        )
-        crews = teams.crew_average(self.stg("referee_assignments"), tendencies)
-        return teams.performance_by_pace(timeline, crews)
+        crews = teams.crew_average(self.stg("referee_assignments"), self.referee_tendencies())
+        return teams.performance_by_pace(self.paced_timeline, crews, self.season_now)
 
     def team_referee_record(self) -> DataFrame:
-        rolling = teams.rolling_timeline(self.paced_timeline).rows
+        rolling = teams.rolling_timeline(self.timeline, ["win_pct_last10"]).rows
         return officials.team_official_effect(
             rolling, self.stg("referee_assignments"), self.season_now
         )
 
     def team_summary(self) -> DataFrame:
-        return teams.team_summary(stage(games.team_rows(self._paced), "team_rows"), self.stg("team_quarter_stats"))
+        return teams.team_summary(games.team_rows(self.paced), self.stg("team_quarter_stats"))
 
     # -- schedule ---------------------------------------------------------------------------
 
@@ -136,9 +132,7 @@ class League:
 
     @cached_property
     def schedule_context(self) -> DataFrame:
-        return schedule.schedule_context(
-            schedule.schedule_timeline(self._schedule_rows, self.max_group_rows)
-        )
+        return schedule.schedule_context(schedule.schedule_timeline(self._schedule_rows))
 
     def rest_days(self) -> DataFrame:
         return schedule.rest_days(self.schedule_context)
@@ -151,7 +145,7 @@ class League:
 
     def travel(self) -> DataFrame:
         return schedule.travel_miles(
-            schedule.travel_timeline(self._schedule_rows, self.travel_scope, self.max_group_rows)
+            schedule.travel_timeline(self._schedule_rows, self.travel_scope)
         )
 
     def altitude_fatigue_by_quarter(self) -> DataFrame:
@@ -169,27 +163,24 @@ class League:
 
     def referee_summary(self) -> DataFrame:
         return officials.official_summary(
-            self.stg("referee_assignments"), self._paced, self.stg("dim_referees")
+            self.stg("referee_assignments"), self.paced, self.stg("dim_referees")
         )
 
     # -- players ----------------------------------------------------------------------------
 
     @cached_property
     def player_timeline(self) -> Timeline:
-        rows = players.appearances(self.stg("player_game_stats"), self.boxes)
-        return players.player_timeline(rows, self.max_group_rows)
+        return players.player_timeline(self.appearances)
 
     @cached_property
     def appearances(self) -> DataFrame:
-        """Player games with time on the court, written once."""
-        rows = players.appearances(self.stg("player_game_stats"), self.boxes)
-        return stage(rows, "appearances")
+        """Player games with time on the court."""
+        return players.appearances(self.stg("player_game_stats"), self.boxes)
 
     @cached_property
     def baseline(self) -> DataFrame:
-        """Season means, one row per player, written once: several models look them up."""
-        rows = self.player_timeline.rows if "player_timeline" in self.__dict__ else self.appearances
-        return stage(players.season_baseline(rows, self.season_now), "baseline")
+        """Season means, one row per player."""
+        return players.season_baseline(self.appearances, self.season_now)
 
     def player_rolling_averages(self) -> DataFrame:
         return players.player_rolling_averages(self.player_timeline, self.baseline)
@@ -220,20 +211,16 @@ class League:
 
     def game_card(self) -> DataFrame:
         assignments = self.stg("referee_assignments")
-        _ = self._schedule_rows, self.season_now
-        played, context, travel = concurrently(
-            lambda: self.played, lambda: self.schedule_context, self.travel
-        )
         return card.game_card(
             games=self.stg("games"),
-            played=played,
+            played=self.played,
             broadcasts=self.stg("broadcast_schedule"),
-            context=context,
-            travel=travel,
-            rows=self.paced_timeline.rows,
+            context=self.schedule_context,
+            travel=self.travel(),
+            rows=games.team_rows(self.played),
             season_now=self.season_now,
             assignments=assignments,
-            tendencies=officials.official_tendencies(assignments, played),
+            tendencies=officials.official_tendencies(assignments, self.played),
             official_effect=self.team_referee_record(),
         )
 

@@ -7,9 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from courtside.functions.numeric import (
     as_units, bucketize, one_if, ratio, round_half_up, round_mean,
 )
-from courtside.operators.keyed import newest_per_key, versus_population, with_total
+from courtside.operators.keyed import Season, newest_per_key, versus_population, with_season_age
 from courtside.operators.shape import unpivot_slots
-from courtside.operators.staging import stage
 
 SLOTS = ["referee_1", "referee_2", "referee_3"]
 
@@ -107,7 +106,7 @@ def _distance_label(column: str, high: str, low: str, middle: str) -> Column:
 
 def official_summary(assignments: DataFrame, played: DataFrame, referees: DataFrame) -> DataFrame:
     """Career, latest season, distance from the league mean and labels, one row per official."""
-    sums = stage(_seasonal_sums(assignments, played), "official_seasons")
+    sums = _seasonal_sums(assignments, played)
     added = (*GAME_TOTALS, "home_win", "pace_tenths", "games", "paced")
     career = (
         sums.groupBy("referee_id")
@@ -155,29 +154,29 @@ def _season_weight(age: Column) -> Column:
 
 
 def team_official_effect(
-    rolling: DataFrame, assignments: DataFrame, season_now: DataFrame
+    rolling: DataFrame, assignments: DataFrame, season_now: Season
 ) -> DataFrame:
     """Season-weighted record of each team under each official.
 
-    ``rolling`` holds team games with ``win_pct_last10``; ``season_now`` one row with
-    ``current_season``. The effect of a game is its win minus the last-10 share (which includes
+    ``rolling`` holds team games with ``win_pct_last10``. Only games of the current season and those
+    before it that have a weight count. The effect of a game is its win minus the last-10 share (which includes
     that game). All sums are of whole numbers (weights in hundredths, shares in thousandths), so
     that they do not depend on the order of the rows.
     """
-    age = F.col("current_season") - F.col("season")
-    recent = with_total(
+    recent = with_season_age(
         rolling.select(
             "team_id", "game_id", "season", "home_away", "win", "team_points", "opp_points",
             "win_pct_last10",
         ),
         season_now,
-    ).where(age <= max(SEASON_WEIGHTS))
+        "_age",
+    ).where(F.col("_age").between(min(SEASON_WEIGHTS), max(SEASON_WEIGHTS)))
     expected = as_units(F.coalesce("win_pct_last10", F.lit(EVEN_CHANCE)), 3)
     rows = by_official(recent, assignments).withColumns({
-        "_weight": _season_weight(age),
+        "_weight": _season_weight(F.col("_age")),
         "_effect": F.col("win") * 1000 - expected,
         "_known": as_units("win_pct_last10", 3),
-        "_now": age == 0,
+        "_now": F.col("_age") == 0,
         "_home": F.col("home_away") == "home",
     })
     weighted = lambda column: F.sum(F.col(column) * F.col("_weight"))

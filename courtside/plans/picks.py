@@ -7,13 +7,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions import pick_text as pt
-from courtside.functions.dates import as_date
+from courtside.functions.dates import as_date, minute_of_day
 from courtside.operators.keyed import newest_per_key
 from courtside.sources.schemas import PICK_INSIGHTS, PREVIEW_INSIGHTS
+from courtside.sources.sinks import in_report_order
 
 GAME_KEY = ["game_date", "home_team_id", "away_team_id"]
-EARLY_BEFORE = "18:00:00"
+EARLY_BEFORE = 18 * 60  # minutes of the day
 TAG_CHARACTERS = 15
+MODEL_COLUMNS = ["composite_score", "model_vs_market", "model_vs_line", "model_total", "spread_home", "over_under"]
 LEVELS = ("STRONG", "MEDIUM")
 
 
@@ -30,7 +32,7 @@ def latest_scores(scores: DataFrame, stamp: str = "inserted_at") -> DataFrame:
 def _in_batch(batch: str) -> Column:
     if batch not in ("early", "late"):
         raise ValueError("batch must be 'early' or 'late'")
-    return F.col("tipoff_time") < EARLY_BEFORE if batch == "early" else F.lit(True)
+    return minute_of_day("tipoff_time") < EARLY_BEFORE if batch == "early" else F.lit(True)
 
 
 def unpublished_games(
@@ -159,7 +161,7 @@ def extract_signals(games: DataFrame, purpose: str = "preview") -> DataFrame:
 
 
 def merge_pick_rows(picks: DataFrame) -> DataFrame:
-    """One row per pair of teams, with the text of its spread and of its total pick.
+    """One row per game, with its model columns and the text of its spread and of its total pick.
 
     Picks come with ``pick_type`` and ``blurb``; for several of one type the last by tip-off
     counts. A pick without a text is left out.
@@ -169,8 +171,9 @@ def merge_pick_rows(picks: DataFrame) -> DataFrame:
         F.when(F.col("pick_type") == kind, F.col("blurb")),
         F.when(F.col("pick_type") == kind, F.struct("tipoff_time", "blurb")),
     )
-    return written.groupBy("home_team_id", "away_team_id").agg(
+    return written.groupBy(*GAME_KEY).agg(
         F.min("tipoff_time").alias("tipoff_time"),
+        *[F.max(c).alias(c) for c in MODEL_COLUMNS],  # the picks of a game come from one row
         blurb("spread").alias("picks_blurb"),
         blurb("ou").alias("ou_picks_blurb"),
     )
@@ -186,4 +189,4 @@ def flagged_batch(
 
 def display_order(games: DataFrame) -> DataFrame:
     """Free game first, then by tip-off."""
-    return games.orderBy(F.col("is_free_game").desc(), "tipoff_time", "home_team_id", "away_team_id")
+    return in_report_order(games, "display")

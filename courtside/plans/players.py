@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from courtside.functions.dates import as_date
 from courtside.functions.numeric import bucketize, flag, one_if, round_half_up, round_mean
 from courtside.functions.text import match_key
-from courtside.operators.keyed import newest_per_key, with_total
+from courtside.operators.keyed import Season, in_season, newest_per_key
 from courtside.operators.shape import quarter_profile
 from courtside.operators.timeline import Timeline, current_run, trailing_mean
 from courtside.plans.officials import by_official
@@ -58,19 +58,16 @@ def appearances(player_stats: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def season_baseline(player_games: DataFrame, season_now: DataFrame) -> DataFrame:
-    """Means per player in one season, over all teams; ``season_now`` is one row."""
-    current = with_total(player_games, season_now).where(
-        F.col("season") == F.col("current_season")
-    )
-    return current.groupBy("player_name").agg(
+def season_baseline(player_games: DataFrame, season_now: Season) -> DataFrame:
+    """Means per player in one season, over all teams."""
+    return in_season(player_games, season_now).groupBy("player_name").agg(
         F.count("*").alias("games_played"),
         *[round_mean(source, 1).alias(name) for source, name in BASELINE.items()],
     )
 
 
-def player_timeline(player_games: DataFrame, max_group_rows: int | None = None) -> Timeline:
-    return Timeline.of(player_games, ["player_name"], PLAYER_ORDER, max_group_rows)
+def player_timeline(player_games: DataFrame) -> Timeline:
+    return Timeline.of(player_games, ["player_name"], PLAYER_ORDER)
 
 
 def _with_form(timeline: Timeline) -> Timeline:
@@ -190,7 +187,7 @@ def player_summary(player_games: DataFrame, baseline: DataFrame, quarters: DataF
 def player_official_outliers(
     player_stats: DataFrame,
     games: DataFrame,
-    season_now: DataFrame,
+    season_now: Season,
     assignments: DataFrame,
     form: DataFrame,
     referees: DataFrame,
@@ -199,9 +196,7 @@ def player_official_outliers(
 
     ``form`` holds each player's current team and season mean.
     """
-    current = with_total(games.select("game_id", "season"), season_now).where(
-        F.col("season") == F.col("current_season")
-    )
+    current = in_season(games.select("game_id", "season"), season_now)
     on_court = player_stats.where(F.col("minutes_played") > 0).select(
         "player_name", "team_id", "game_id", "points", "plus_minus"
     )
@@ -239,7 +234,7 @@ def teams_playing(games: DataFrame, day: Column) -> DataFrame:
 
 def returning_players(
     games: DataFrame,
-    season_now: DataFrame,
+    season_now: Season,
     player_stats: DataFrame,
     player_games: DataFrame,
     baseline: DataFrame,
@@ -252,9 +247,9 @@ def returning_players(
     with time on the court.
     """
     day = as_date(as_of_date)
-    season_games = with_total(games.select("game_id", "game_date", "season"), season_now).where(
-        F.col("season") == F.col("current_season")
-    )
+    season_games = in_season(games.select("game_id", "game_date", "season"), season_now)
+    # A player last seen longer ago isn't listed, whatever the games before.
+    season_games = season_games.where(F.col("game_date") >= F.date_sub(day, RETURN_TO_DAYS))
     per_team = (
         player_stats.select("player_name", "team_id", "game_id")
         .join(season_games.select("game_id", "game_date"), "game_id")

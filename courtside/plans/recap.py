@@ -68,6 +68,7 @@ def recap_lines(picks: DataFrame) -> DataFrame:
     """Heading, detail and final line of each graded pick."""
     spread = F.col("pick_type") == "spread"
     text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    known = lambda number: F.coalesce(number, F.lit(pt.MISSING))
     home, away = F.col("home_team_id"), F.col("away_team_id")
     side = pt.spread_side("model_vs_market", home, away)
     return picks.select(
@@ -75,10 +76,10 @@ def recap_lines(picks: DataFrame) -> DataFrame:
         text(away, " @ ", home, " — ", F.col("game_date").cast("string")).alias("heading"),
         F.when(
             spread,
-            text("Line: ", home, " ", pt.signed(F.col("spread_home")), " | Pick: ", side,
+            text("Line: ", home, " ", known(pt.signed(F.col("spread_home"))), " | Pick: ", side,
                  " | Result: ", pt.result_label("divergence_correct")),
         ).otherwise(
-            text("Total: ", pt.one_decimal(F.col("over_under")), " | Pick: ",
+            text("Total: ", known(pt.one_decimal(F.col("over_under"))), " | Pick: ",
                  pt.total_side("model_vs_line"), " | Result: ", pt.result_label("model_ou_correct")),
         ).alias("detail"),
         F.when(spread, text("Final margin: ", pt.margin_text(F.col("actual_margin"))))

@@ -24,8 +24,8 @@ def schedule_rows(games: DataFrame, arenas: DataFrame) -> DataFrame:
     return rows.join(arenas, "arena_id", "left")
 
 
-def schedule_timeline(rows: DataFrame, max_group_rows: int | None = None) -> Timeline:
-    return Timeline.of(rows, ["team_id"], TEAM_ORDER, max_group_rows)
+def schedule_timeline(rows: DataFrame) -> Timeline:
+    return Timeline.of(rows, ["team_id"], TEAM_ORDER)
 
 
 def schedule_context(timeline: Timeline) -> DataFrame:
@@ -91,14 +91,12 @@ def altitude_fatigue(context: DataFrame) -> DataFrame:
     )
 
 
-def travel_timeline(
-    rows: DataFrame, scope: str = "side", max_group_rows: int | None = None
-) -> Timeline:
+def travel_timeline(rows: DataFrame, scope: str = "side") -> Timeline:
     """``side`` looks back within a team's home games and its away games apart; ``all`` at any."""
     if scope not in TRAVEL_SCOPES:
         raise ValueError(f"scope must be one of {TRAVEL_SCOPES}")
     entity = ["team_id", "home_away"] if scope == "side" else ["team_id"]
-    return Timeline.of(rows, entity, TEAM_ORDER, max_group_rows)
+    return Timeline.of(rows, entity, TEAM_ORDER)
 
 
 def travel_miles(timeline: Timeline) -> DataFrame:

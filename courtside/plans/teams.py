@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions.numeric import bucketize, flag, ratio, round_half_up, round_mean
-from courtside.operators.keyed import newest_per_key, with_max, with_total
+from courtside.operators.keyed import Season, in_season, newest_per_key, with_season_age
 from courtside.operators.shape import bucket_record, quarter_profile
 from courtside.operators.timeline import Timeline, current_run, trailing_mean
 
@@ -38,9 +40,8 @@ TEAM_QUARTERS = {
 TEAM_QUARTER_NAMES = {"points": "pts", "turnovers": "tov", "field_goals_attempted": "fga"}
 
 
-
-def team_timeline(rows: DataFrame, max_group_rows: int | None = None) -> Timeline:
-    return Timeline.of(rows, ["team_id"], TEAM_ORDER, max_group_rows)
+def team_timeline(rows: DataFrame) -> Timeline:
+    return Timeline.of(rows, ["team_id"], TEAM_ORDER)
 
 
 def running_record(timeline: Timeline, by_season: bool = False) -> DataFrame:
@@ -76,11 +77,13 @@ def streak_label(won, length):
     return F.concat(F.when(won, F.lit("W")).otherwise(F.lit("L")), length.cast("string"))
 
 
-def rolling_timeline(timeline: Timeline) -> Timeline:
+def rolling_timeline(timeline: Timeline, names: Sequence[str] = ROLLING_COLUMNS) -> Timeline:
+    """Add the rolling means of the given names."""
     means = {
         f"{prefix}_last{size}": trailing_mean(source, size, digits, carries)
         for size in ROLLING_SIZES
         for source, prefix, digits, carries in ROLLING
+        if f"{prefix}_last{size}" in names
     }
     return timeline.with_windows(max(ROLLING_SIZES) - 1, means)
 
@@ -112,27 +115,26 @@ def crew_average(assignments: DataFrame, tendencies: DataFrame) -> DataFrame:
     )
 
 
-def performance_by_pace(timeline: Timeline, crews: DataFrame) -> DataFrame:
+def performance_by_pace(timeline: Timeline, crews: DataFrame, season_now: Season) -> DataFrame:
     """Team games with pace class, crew averages and the two filter flags."""
     numbered = timeline.with_running(
         {"_place": ("sum", F.lit(1).cast("bigint"))},
         whole={"_games": ("sum", F.lit(1).cast("bigint"))},
     ).rows
     recency = F.col("_games") - F.col("_place") + 1
-    newest = timeline.rows.agg(F.max("season").alias("_season"))
-    rows = with_total(numbered.join(crews, "game_id", "left"), newest)
+    rows = with_season_age(numbered.join(crews, "game_id", "left"), season_now, "_age")
     return rows.select(
         "team_id", "game_id", "game_date", "win", "home_away", "team_points", "opp_points",
         "game_pace", "overtime_periods", "season", pace_bucket("game_pace").alias("pace_bucket"),
         "crew_avg_total_points", "crew_avg_fta", "crew_avg_fouls", recency.alias("game_recency"),
-        flag(F.col("season") == F.col("_season")).alias("is_current_season"),
+        flag(F.col("_age") == 0).alias("is_current_season"),
         flag(recency <= 10).alias("is_last_10"),
     )
 
 
-def pace_record(rows: DataFrame) -> DataFrame:
+def pace_record(rows: DataFrame, season_now: Season) -> DataFrame:
     """Current-season record per team in each pace class, as columns."""
-    current = with_max(rows, "season", "_season").where(F.col("season") == F.col("_season"))
+    current = in_season(rows, season_now)
     paced = current.select("team_id", "win", pace_bucket("game_pace").alias("pace_bucket"))
     return bucket_record(paced, "team_id", "pace_bucket", PACE_PREFIXES)
 
@@ -161,26 +163,25 @@ def current_streak(rows: DataFrame) -> DataFrame:
     )
 
 
-def record(rows: DataFrame) -> DataFrame:
-    """Record of each team over the given games."""
+def record(rows: DataFrame, *more: Column) -> DataFrame:
+    """Record of each team over the given games, with more aggregates over the same rows."""
     totals = rows.groupBy("team_id").agg(
-        F.sum("win").alias("wins"), F.sum(F.lit(1) - F.col("win")).alias("losses")
+        F.sum("win").alias("wins"), F.sum(F.lit(1) - F.col("win")).alias("losses"), *more
     )
+    added = [c for c in totals.columns if c not in ("team_id", "wins", "losses")]
     played = F.col("wins") + F.col("losses")
     return totals.select(
         "team_id", "wins", "losses", played.alias("games_played"),
-        round_half_up(ratio("wins", played), 3).alias("win_pct"),
+        round_half_up(ratio("wins", played), 3).alias("win_pct"), *added,
     )
 
 
-def season_record(rows: DataFrame, season_now: DataFrame) -> DataFrame:
-    """Record in the current season only; ``season_now`` is one row with ``current_season``."""
-    current = with_total(rows, season_now).where(F.col("season") == F.col("current_season"))
-    return record(current)
+def season_record(rows: DataFrame, season_now: Season) -> DataFrame:
+    """Record in the current season only."""
+    return record(in_season(rows, season_now))
 
 
-def home_away_splits(rows: DataFrame) -> DataFrame:
-    """Points scored, allowed and margin at home and away; a side without games gives nulls."""
+def _splits() -> list[Column]:
     columns = []
     for side in ("home", "away"):
         here = F.col("home_away") == side
@@ -191,7 +192,12 @@ def home_away_splits(rows: DataFrame) -> DataFrame:
             round_mean(pick(F.col("team_points") - F.col("opp_points")), 1).alias(f"avg_margin_{side}"),
             F.nullif(F.count_if(here), F.lit(0).cast("bigint")).alias(f"{side}_games"),
         ]
-    return rows.groupBy("team_id").agg(*columns)
+    return columns
+
+
+def home_away_splits(rows: DataFrame) -> DataFrame:
+    """Points scored, allowed and margin at home and away; a side without games gives nulls."""
+    return rows.groupBy("team_id").agg(*_splits())
 
 
 def team_quarters(quarters: DataFrame) -> DataFrame:
@@ -202,9 +208,8 @@ def team_summary(rows: DataFrame, quarters: DataFrame) -> DataFrame:
     """Current record, streak, form, splits and quarter profile, one row per team."""
     streak = current_streak(rows).withColumnRenamed("streak_label", "current_streak")
     return (
-        record(rows)
+        record(rows, *_splits())
         .join(streak, "team_id", "left")
         .join(current_rolling(rows), "team_id", "left")
-        .join(home_away_splits(rows), "team_id", "left")
         .join(team_quarters(quarters), "team_id", "left")
     )

@@ -18,16 +18,13 @@ from courtside.sources.schemas import PREVIEW_INSIGHTS
 SUPPLIED_SCHEMAS = {
     "nation": "n_nationkey INT, n_name STRING",
     "customer": "c_custkey BIGINT, c_nationkey INT",
-    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
     "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
     "l_quantity DOUBLE, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
-    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
 }
 
-# Players of the first nations play no game after this day, which creates absences.
-ABSENT_NATIONS = 8
-ABSENT_AFTER = "2001-07-10"
 INJURY_DAY_ONE = "2001-07-03"
 TRACKER_DAY_ONE = "2024-01-01"
 
@@ -96,6 +93,11 @@ _MODEL = {
     "spread_home": "(event_id * 3) % 25 - 12 + 0.5D",
     "over_under": "event_id % 40 + 200.5D",
 }
+# Lines that a feed has not delivered.
+_GAPS = {
+    "spread_home": "if(event_id % 11 <> 0, (event_id * 3) % 25 - 12 + 0.5D, NULL)",
+    "over_under": "if(event_id % 13 <> 0, event_id % 40 + 200.5D, NULL)",
+}
 _LABELS = {
     "overall_lean": "concat('LEAN ', event_id % 3)",
     "market_divergence": "concat('DIV ', event_id % 5)",
@@ -168,7 +170,7 @@ class SuppliedTables:
             f"{_team('c_nationkey')} AS home_team_id",
             f"{_team(away)} AS away_team_id",
             f"CAST(if(o_orderkey % 50 = 0, {away}, c_nationkey) AS BIGINT) AS arena_id",
-            "concat(12 + o_orderkey % 11, ':30:00') AS tipoff_time",
+            "concat(9 + o_orderkey % 14, ':30:00') AS tipoff_time",
             "o_orderdate AS loaded_at",
         )
 
@@ -219,15 +221,12 @@ class SuppliedTables:
     @cached_property
     def _suppliers(self) -> DataFrame:
         return self.read("supplier").selectExpr(
-            "s_suppkey AS l_suppkey", f"{_player('substr(s_name, 10)')} AS player_name", "s_nationkey"
+            "s_suppkey AS l_suppkey", f"{_player('substr(s_name, 10)')} AS player_name"
         )
 
     def player_game_stats(self) -> DataFrame:
-        orders = self.read("orders").selectExpr("o_orderkey AS l_orderkey", "o_orderdate")
         per_game = self._summed(self.read("lineitem"), "l_suppkey")
-        listed = per_game.join(orders, "l_orderkey").join(self._suppliers, "l_suppkey")
-        present = f"s_nationkey >= {ABSENT_NATIONS} OR o_orderdate <= TIMESTAMP_NTZ '{ABSENT_AFTER}'"
-        return listed.where(present).selectExpr(
+        return per_game.join(self._suppliers, "l_suppkey").selectExpr(
             "game_id", "player_name", f"{_team('l_suppkey % 25')} AS team_id", "first_line <= 3 AS starter",
             """CASE WHEN first_line = 6 THEN '' WHEN first_line <> 7
                THEN concat(low_part % 40, ':', high_part % 60) END AS minutes""",
@@ -245,7 +244,7 @@ class SuppliedTables:
         )
 
     def injuries(self) -> DataFrame:
-        number = "user_id % 100"
+        number = "user_id"
         return self.read("events").selectExpr(
             f"date_add(DATE '{INJURY_DAY_ONE}', dayofmonth(ts) - 1) AS game_date",
             "concat(lpad(hour(ts), 2, '0'), ':', lpad(minute(ts), 2, '0')) AS game_time",
@@ -270,7 +269,7 @@ class SuppliedTables:
         )
 
     def broadcast_schedule(self) -> DataFrame:
-        return self.read("orders").where("o_orderpriority <= '2-HIGH'").selectExpr(
+        return self.read("orders").selectExpr(
             "CAST(o_orderdate AS DATE) AS game_date",
             "CAST(o_orderkey AS STRING) AS game_id",
             "o_orderpriority = '1-URGENT' AS is_national_broadcast",
@@ -317,11 +316,11 @@ class SuppliedTables:
 
     @cached_property
     def _scored_events(self) -> DataFrame:
-        """Each event rescores one of the first 400 games."""
+        """Each event rescores a game: 25 events in a row the same one, 14 games a day."""
         games = self.games.select("game_id", "home_team_id", "away_team_id", "tipoff_time")
         events = self.read("events").selectExpr(
-            "event_id", "ts", "event_type", "CAST(event_id % 400 AS STRING) AS game_id",
-            f"date_add(DATE '{TRACKER_DAY_ONE}', CAST(event_id % 400 % 28 AS INT)) AS game_date",
+            "event_id", "ts", "event_type", "value", "CAST(event_id DIV 25 AS STRING) AS game_id",
+            f"date_add(DATE '{TRACKER_DAY_ONE}', CAST(event_id DIV 350 AS INT)) AS game_date",
         )
         return events.join(games, "game_id")
 
@@ -346,7 +345,7 @@ class SuppliedTables:
         from courtside.functions import pick_text as pt
 
         graded = self._scored_events.selectExpr(
-            "game_date", "home_team_id", "away_team_id", "ts AS scored_at", *_named(_MODEL),
+            "game_date", "home_team_id", "away_team_id", "ts AS scored_at", *_named(_MODEL | _GAPS),
             "if(event_id % 7 <> 0, event_id % 2 = 0, NULL) AS divergence_correct",
             "if(event_id % 8 <> 0, event_id % 3 = 0, NULL) AS model_ou_correct",
             "if(event_id % 9 <> 0, event_id % 41 - 20, NULL) AS actual_margin",
@@ -359,9 +358,9 @@ class SuppliedTables:
         }).drop("composite_score")
 
     def game_previews(self) -> DataFrame:
-        """Previews already published: those of the first ten home teams."""
+        """Previews already published: one for each purchase of a high value."""
         model = {name: rule for name, rule in _MODEL.items() if name != "model_vs_line"}
-        published = "event_type = 'purchase' AND home_team_id < 'T10'"
+        published = "event_type = 'purchase' AND value >= 100"
         return self._scored_events.where(published).selectExpr(
             "game_date", "home_team_id", "away_team_id", "tipoff_time",
             "event_id % 5 = 0 AS is_free_game", *_named(model), *_named(_LABELS),

@@ -14,11 +14,8 @@ _TYPES = {
 }
 
 
-def _struct(**kinds: str) -> T.StructType:
-    """Columns by type; a value lists names separated by blanks, in table order per type."""
-    return T.StructType(
-        [T.StructField(n, _TYPES[kind]) for kind, names in kinds.items() for n in names.split()]
-    )
+def _struct(*columns: tuple[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
 
 
 # Column names of the box scores.
@@ -90,80 +87,263 @@ PREVIEW_INSIGHTS = [
     "away_cold_insight",
 ]
 
-_TEAM_LINE = " ".join(TEAM_BOX)
-_PLAYER_LINE = " ".join(["points", *COUNTS, *SHOOTING, "plus_minus"])
-_ODDS = "over_under home_line home_moneyline away_moneyline"
-
+# Columns and types of the raw tables, in table order.
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "games": _struct(
-        string="game_id season home_team_id away_team_id tipoff_time",
-        long="arena_id", date="game_date", timestamp="loaded_at",
+        ("game_id", "string"),
+        ("game_date", "date"),
+        ("season", "string"),
+        ("home_team_id", "string"),
+        ("away_team_id", "string"),
+        ("arena_id", "long"),
+        ("tipoff_time", "string"),
+        ("loaded_at", "timestamp"),
     ),
     "game_results": _struct(
-        string="game_id", long="home_score away_score overtime_periods",
-        boolean="overtime_flag", timestamp="loaded_at",
+        ("game_id", "string"),
+        ("home_score", "long"),
+        ("away_score", "long"),
+        ("overtime_flag", "boolean"),
+        ("overtime_periods", "long"),
+        ("loaded_at", "timestamp"),
     ),
     "team_game_stats": _struct(
-        string="game_id team_id home_away", long=_TEAM_LINE, timestamp="loaded_at"
+        ("game_id", "string"),
+        ("team_id", "string"),
+        ("home_away", "string"),
+        ("field_goals_made", "long"),
+        ("field_goals_attempted", "long"),
+        ("three_pointers_made", "long"),
+        ("three_pointers_attempted", "long"),
+        ("free_throws_made", "long"),
+        ("free_throws_attempted", "long"),
+        ("offensive_rebounds", "long"),
+        ("defensive_rebounds", "long"),
+        ("assists", "long"),
+        ("steals", "long"),
+        ("blocks", "long"),
+        ("turnovers", "long"),
+        ("personal_fouls", "long"),
+        ("points", "long"),
+        ("loaded_at", "timestamp"),
     ),
     "player_game_stats": _struct(
-        string="game_id player_name team_id minutes", boolean="starter",
-        long=f"rebounds {_PLAYER_LINE}", timestamp="loaded_at",
+        ("game_id", "string"),
+        ("player_name", "string"),
+        ("team_id", "string"),
+        ("starter", "boolean"),
+        ("minutes", "string"),
+        ("points", "long"),
+        ("rebounds", "long"),
+        ("assists", "long"),
+        ("steals", "long"),
+        ("blocks", "long"),
+        ("turnovers", "long"),
+        ("personal_fouls", "long"),
+        ("field_goals_made", "long"),
+        ("field_goals_attempted", "long"),
+        ("three_pointers_made", "long"),
+        ("three_pointers_attempted", "long"),
+        ("free_throws_made", "long"),
+        ("free_throws_attempted", "long"),
+        ("plus_minus", "long"),
+        ("loaded_at", "timestamp"),
     ),
     "team_quarter_stats": _struct(
-        string="game_id team_id home_away quarter", long=_TEAM_LINE, timestamp="loaded_at"
+        ("game_id", "string"),
+        ("team_id", "string"),
+        ("home_away", "string"),
+        ("quarter", "string"),
+        ("field_goals_made", "long"),
+        ("field_goals_attempted", "long"),
+        ("three_pointers_made", "long"),
+        ("three_pointers_attempted", "long"),
+        ("free_throws_made", "long"),
+        ("free_throws_attempted", "long"),
+        ("offensive_rebounds", "long"),
+        ("defensive_rebounds", "long"),
+        ("assists", "long"),
+        ("steals", "long"),
+        ("blocks", "long"),
+        ("turnovers", "long"),
+        ("personal_fouls", "long"),
+        ("points", "long"),
+        ("loaded_at", "timestamp"),
     ),
     "player_quarter_stats": _struct(
-        string="game_id player_name team_id quarter minutes",
-        long=f"offensive_rebounds defensive_rebounds {_PLAYER_LINE}", timestamp="loaded_at",
+        ("game_id", "string"),
+        ("player_name", "string"),
+        ("team_id", "string"),
+        ("quarter", "string"),
+        ("minutes", "string"),
+        ("points", "long"),
+        ("offensive_rebounds", "long"),
+        ("defensive_rebounds", "long"),
+        ("assists", "long"),
+        ("steals", "long"),
+        ("blocks", "long"),
+        ("turnovers", "long"),
+        ("personal_fouls", "long"),
+        ("field_goals_made", "long"),
+        ("field_goals_attempted", "long"),
+        ("three_pointers_made", "long"),
+        ("three_pointers_attempted", "long"),
+        ("free_throws_made", "long"),
+        ("free_throws_attempted", "long"),
+        ("plus_minus", "long"),
+        ("loaded_at", "timestamp"),
     ),
     "referee_assignments": _struct(
-        string="game_id referee_1 referee_2 referee_3", timestamp="loaded_at"
+        ("game_id", "string"),
+        ("referee_1", "string"),
+        ("referee_2", "string"),
+        ("referee_3", "string"),
+        ("loaded_at", "timestamp"),
     ),
     "broadcast_schedule": _struct(
-        date="game_date", string="game_id", boolean="is_national_broadcast", timestamp="loaded_at"
+        ("game_date", "date"),
+        ("game_id", "string"),
+        ("is_national_broadcast", "boolean"),
+        ("loaded_at", "timestamp"),
     ),
     "betting_lines": _struct(
-        date="game_date", string="season home_team away_team",
-        double="over_under home_line", timestamp="loaded_at",
+        ("game_date", "date"),
+        ("season", "string"),
+        ("home_team", "string"),
+        ("away_team", "string"),
+        ("over_under", "double"),
+        ("home_line", "double"),
+        ("loaded_at", "timestamp"),
     ),
     "opening_lines": _struct(
-        date="game_date", string="season home_team away_team odds_api_game_id",
-        double=_ODDS, timestamp="captured_at",
+        ("game_date", "date"),
+        ("season", "string"),
+        ("home_team", "string"),
+        ("away_team", "string"),
+        ("over_under", "double"),
+        ("home_line", "double"),
+        ("home_moneyline", "double"),
+        ("away_moneyline", "double"),
+        ("odds_api_game_id", "string"),
+        ("captured_at", "timestamp"),
     ),
     "closing_lines": _struct(
-        date="game_date", string="season home_team away_team odds_api_game_id",
-        double=_ODDS, timestamp="captured_at",
+        ("game_date", "date"),
+        ("season", "string"),
+        ("home_team", "string"),
+        ("away_team", "string"),
+        ("over_under", "double"),
+        ("home_line", "double"),
+        ("home_moneyline", "double"),
+        ("away_moneyline", "double"),
+        ("odds_api_game_id", "string"),
+        ("captured_at", "timestamp"),
     ),
     "injuries": _struct(
-        date="game_date", string="game_time matchup team_id player_name status reason pdf_url",
-        timestamp="scraped_at",
+        ("game_date", "date"),
+        ("game_time", "string"),
+        ("matchup", "string"),
+        ("team_id", "string"),
+        ("player_name", "string"),
+        ("status", "string"),
+        ("reason", "string"),
+        ("pdf_url", "string"),
+        ("scraped_at", "timestamp"),
     ),
     "dim_arenas": _struct(
-        long="arena_id altitude_feet", string="city timezone", double="latitude longitude"
+        ("arena_id", "long"),
+        ("city", "string"),
+        ("latitude", "double"),
+        ("longitude", "double"),
+        ("altitude_feet", "long"),
+        ("timezone", "string"),
+    ),
+    "dim_referees": _struct(
+        ("referee_id", "long"),
+        ("full_name", "string"),
     ),
-    "dim_referees": _struct(long="referee_id", string="full_name"),
     "scored_games": _struct(
-        date="game_date",
-        string="home_team_id away_team_id tipoff_time overall_lean market_divergence total_insight "
-        "home_record away_record crew_chief_name " + " ".join(PREVIEW_INSIGHTS),
-        timestamp="inserted_at", boolean="is_national_broadcast",
-        double="composite_score model_vs_market model_vs_line model_total spread_home over_under",
+        ("game_date", "date"),
+        ("home_team_id", "string"),
+        ("away_team_id", "string"),
+        ("tipoff_time", "string"),
+        ("inserted_at", "timestamp"),
+        ("is_national_broadcast", "boolean"),
+        ("composite_score", "double"),
+        ("model_vs_market", "double"),
+        ("model_vs_line", "double"),
+        ("model_total", "double"),
+        ("overall_lean", "string"),
+        ("market_divergence", "string"),
+        ("total_insight", "string"),
+        ("spread_home", "double"),
+        ("over_under", "double"),
+        ("home_record", "string"),
+        ("away_record", "string"),
+        ("crew_chief_name", "string"),
+        ("home_injury_insight", "string"),
+        ("away_injury_insight", "string"),
+        ("pace_insight", "string"),
+        ("form_insight", "string"),
+        ("margin_insight", "string"),
+        ("quality_insight", "string"),
+        ("timezone_insight", "string"),
+        ("streak_insight", "string"),
+        ("home_returning_insight", "string"),
+        ("away_returning_insight", "string"),
+        ("away_form_insight", "string"),
+        ("rest_insight", "string"),
+        ("ref_bias_insight", "string"),
+        ("home_ref_insight", "string"),
+        ("away_ref_insight", "string"),
+        ("home_ref_ats_insight", "string"),
+        ("away_ref_ats_insight", "string"),
+        ("ou_insight", "string"),
+        ("utah_insight", "string"),
+        ("blowout_insight", "string"),
+        ("home_player_ref_boost_insight", "string"),
+        ("home_player_ref_suppress_insight", "string"),
+        ("away_player_ref_boost_insight", "string"),
+        ("away_player_ref_suppress_insight", "string"),
+        ("home_hot_insight", "string"),
+        ("home_cold_insight", "string"),
+        ("away_hot_insight", "string"),
+        ("away_cold_insight", "string"),
     ),
     "model_tracker": _struct(
-        date="game_date",
-        string="home_team_id away_team_id divergence_strength signal_strength ou_signal_strength",
-        timestamp="scored_at", boolean="divergence_correct model_ou_correct",
-        double="model_vs_market model_vs_line spread_home over_under",
-        long="actual_margin actual_total",
+        ("game_date", "date"),
+        ("home_team_id", "string"),
+        ("away_team_id", "string"),
+        ("scored_at", "timestamp"),
+        ("divergence_strength", "string"),
+        ("signal_strength", "string"),
+        ("ou_signal_strength", "string"),
+        ("divergence_correct", "boolean"),
+        ("model_ou_correct", "boolean"),
+        ("model_vs_market", "double"),
+        ("model_vs_line", "double"),
+        ("spread_home", "double"),
+        ("over_under", "double"),
+        ("actual_margin", "long"),
+        ("actual_total", "long"),
     ),
     "game_previews": _struct(
-        date="game_date",
-        string="home_team_id away_team_id tipoff_time overall_lean market_divergence total_insight "
-        "preview_text",
-        boolean="is_free_game posted_substack posted_reddit",
-        double="composite_score model_vs_market spread_home over_under",
-        timestamp="generated_at",
+        ("game_date", "date"),
+        ("home_team_id", "string"),
+        ("away_team_id", "string"),
+        ("tipoff_time", "string"),
+        ("is_free_game", "boolean"),
+        ("composite_score", "double"),
+        ("overall_lean", "string"),
+        ("market_divergence", "string"),
+        ("model_vs_market", "double"),
+        ("total_insight", "string"),
+        ("spread_home", "double"),
+        ("over_under", "double"),
+        ("preview_text", "string"),
+        ("posted_substack", "boolean"),
+        ("posted_reddit", "boolean"),
+        ("generated_at", "timestamp"),
     ),
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.sources.schemas import PREVIEW_COLUMNS, RAW_SCHEMAS
 
@@ -44,6 +44,35 @@ def publish_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+# Final orders of published reports; ties are decided by the keys that follow.
+REPORT_ORDERS = {
+    "returning_players": ["days_since_last_game DESC", "player_name", "team_id"],
+    "player_referee_stats": ["pts_diff_vs_season_avg DESC", "player_name", "team_id", "referee_name"],
+    "recap_lines": ["game_date", "home_team_id", "away_team_id"],
+    "preview_games": ["tipoff_time", "home_team_id", "away_team_id"],
+    "display": ["is_free_game DESC", "tipoff_time", "home_team_id", "away_team_id"],
+}
+
+
+def _order(report: str) -> list[Column]:
+    pairs = [name.split() for name in REPORT_ORDERS[report]]
+    return [F.col(c).desc() if more else F.col(c).asc() for c, *more in pairs]
+
+
+def in_report_order(df: DataFrame, report: str) -> DataFrame:
+    """The rows as the report shows them."""
+    return df.orderBy(*_order(report))
+
+
+def with_position(df: DataFrame, report: str, *within: str) -> DataFrame:
+    """Add the place of each row in the report, from 1, counted anew for each value of ``within``.
+
+    A report is a list for readers, of a day or a season; without ``within`` one task numbers it.
+    """
+    place = F.row_number().over(Window.partitionBy(*within).orderBy(*_order(report)))
+    return df.withColumn("position", place.cast("bigint"))
+
+
 def preview_rows(flagged: DataFrame) -> DataFrame:
     """The sixteen published columns; the preview text and time may still be missing."""
     types = {f.name: f.dataType for f in RAW_SCHEMAS["game_previews"]}

@@ -292,3 +292,29 @@ def test_key_columns_are_unique(spark):
         (league.team_referee_record(), ["team_id", "referee_id"]), (league.game_card(), ["game_id"]),
     ):
         assert df.count() == df.select(*keys).distinct().count()
+
+
+def three_seasons():
+    games, stats = [], []
+    for year in (2024, 2025, 2026):
+        rows, boxes_ = series([(100, 90)] * 2, season=f"{year - 1}-{year % 100}", start=f"{year - 1}-11-01")
+        games += rows
+        stats += boxes_
+    crews = [{"game_id": g["game_id"], "referee_1": "7"} for g in games]
+    return dict(games=games, team_game_stats=stats, referee_assignments=crews)
+
+
+def test_a_given_season_leaves_later_ones_out(spark):
+    league = League(league_tables(spark, **three_seasons()), season=2025)
+    effect = as_dicts(league.team_referee_record(), "team_id")["AAA"]
+    assert (effect["games_with_referee"], effect["current_season_games"], effect["home_games"]) == (4, 2, 4)
+    flags = {(r.season, r.is_current_season) for r in league.team_performance_by_pace().collect()}
+    assert flags == {(2024, False), (2025, True), (2026, False)}
+
+
+def test_repeated_box_rows_count_once(spark):
+    rows, stats = series([(100, 90)])
+    scores = League(league_tables(spark, games=rows, team_game_stats=stats + stats)).boxes.collect()
+    assert [(r.home_points, r.away_points, r.home_team_id) for r in scores] == [(100, 90, "AAA")]
+    one_side = League(league_tables(spark, games=rows, team_game_stats=stats[:1])).boxes
+    assert one_side.count() == 0

@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 from helpers import frame
 
+from pyspark.sql import functions as F
+
 from courtside.plans import picks, recap
 from courtside.sources.schemas import PREVIEW_INSIGHTS
 
@@ -81,11 +83,34 @@ def test_signals(spark):
 
 
 def test_merged_picks(spark):
-    rows = [("A", "B", "19:00:00", "spread", "s1"), ("A", "B", "19:00:00", "ou", "t1"),
-            ("C", "D", "18:00:00", "ou", "t2"), ("E", "F", "18:00:00", "spread", None)]
-    df = spark.createDataFrame(rows, "home_team_id string, away_team_id string, tipoff_time string, pick_type string, blurb string")
-    merged = {r.home_team_id: (r.picks_blurb, r.ou_picks_blurb) for r in picks.merge_pick_rows(df).collect()}
-    assert merged == {"A": ("s1", "t1"), "C": (None, "t2")}
+    later = dt.date(2026, 3, 17)
+    rows = [(DAY, "A", "B", "19:00:00", "spread", "s1"), (DAY, "A", "B", "19:00:00", "ou", "t1"),
+            (DAY, "C", "D", "18:00:00", "ou", "t2"), (DAY, "E", "F", "18:00:00", "spread", None),
+            (later, "A", "B", "13:00:00", "ou", "t3")]
+    kinds = "game_date date, home_team_id string, away_team_id string, tipoff_time string, pick_type string, blurb string"
+    df = spark.createDataFrame(rows, kinds).withColumns({c: F.lit(1.5) for c in picks.MODEL_COLUMNS})
+    merged = {(r.game_date, r.home_team_id): (r.tipoff_time, r.picks_blurb, r.ou_picks_blurb) for r in picks.merge_pick_rows(df).collect()}
+    assert merged == {
+        (DAY, "A"): ("19:00:00", "s1", "t1"), (DAY, "C"): ("18:00:00", None, "t2"), (later, "A"): ("13:00:00", None, "t3"),
+    }
+    assert picks.merge_pick_rows(df).first().spread_home == 1.5
+
+
+def test_early_batch_compares_numbers(spark):
+    scores = frame(spark, "scored_games", [
+        score("A", "B", tipoff="9:30:00"), score("C", "D", tipoff="17:59:59"), score("E", "F", tipoff="18:00:00"), score("G", "H", tipoff=None),
+    ])
+    nothing = frame(spark, "game_previews", [])
+    assert {r.home_team_id for r in picks.unpublished_games(scores, nothing, DAY, "early").collect()} == {"A", "C"}
+    assert picks.unpublished_games(scores, nothing, DAY, "late").count() == 4
+
+
+def test_recap_lines_without_numbers(spark):
+    row = grade("A", dt.date(2026, 3, 2), True, False) | {"spread_home": None, "over_under": None}
+    lines = {r.pick_type: r.detail for r in recap.recap_lines(recap.week_picks(frame(spark, "model_tracker", [row]), "2026-03-09")).collect()}
+    assert lines == {
+        "spread": "Line: A N/A | Pick: A (HOME) | Result: ✅ WIN", "ou": "Total: N/A | Pick: UNDER (~6.0 pts) | Result: ❌ LOSS",
+    }
 
 
 def test_published_with_scores(spark):

@@ -75,27 +75,14 @@ def test_preview_append(spark, tmp_path):
     assert {(r.posted_substack, r.preview_text, r.composite_score) for r in back.collect()} == {(False, None, 0.3)}
 
 
-def test_staging_folder(spark, tmp_path):
-    root = staging.staging_root(spark)
-    assert root == spark.conf.get("spark.checkpoint.dir", root)
+def test_stage(spark, tmp_path):
     df = spark.range(5).selectExpr("id", "CAST(NULL AS STRING) AS t")
-    assert sorted(staging.stage(df, "test").collect()) == sorted(df.collect())
-    assert staging.stage(df.limit(0), "test").dtypes == df.dtypes
+    assert sorted(staging.stage(df, f"{tmp_path}/all").collect()) == sorted(df.collect())
+    assert staging.stage(df.limit(0), f"{tmp_path}/none").dtypes == df.dtypes
 
 
-def test_cluster_needs_a_shared_folder():
-    class Conf:
-        def get(self, key, default=None):
-            return "spark://host:7077" if key == "spark.master" else default
-
-    class Session:
-        conf = Conf()
-
-    with pytest.raises(ValueError):
-        staging.staging_root(Session())
-
-
-def test_concurrent_steps(spark):
-    assert staging.concurrently(*[lambda i=i: spark.range(i).count() for i in range(4)]) == [0, 1, 2, 3]
-    with pytest.raises(ZeroDivisionError):
-        staging.concurrently(lambda: 1 / 0, lambda: 1)
+def test_report_positions(spark):
+    df = spark.createDataFrame([("b", 9, "T"), ("a", 9, "T"), ("c", 40, "T")], "player_name string, days_since_last_game int, team_id string")
+    places = {r.player_name: r.position for r in sinks.with_position(df, "returning_players").collect()}
+    assert places == {"c": 1, "a": 2, "b": 3}
+    assert [r.player_name for r in sinks.in_report_order(df, "returning_players").collect()] == ["c", "a", "b"]

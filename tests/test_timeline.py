@@ -1,5 +1,7 @@
 import datetime as dt
 import random
+import re
+from dataclasses import replace
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -42,8 +44,8 @@ def brute(rows, reach):
     return out
 
 
-def computed(df, limit, reach):
-    timeline = Timeline.of(df, ["team"], ["day", "id"], max_group_rows=limit)
+def computed(df, part_rows, reach):
+    timeline = replace(Timeline.of(df, ["team"], ["day", "id"]), part_rows=part_rows)
     full = (
         timeline.with_running(
             {"wins": ("sum", F.col("win")), "best": ("max", F.col("pts"))},
@@ -58,21 +60,37 @@ def computed(df, limit, reach):
     return timeline, result
 
 
-@pytest.mark.parametrize("limit", [10_000, 40, 7])
+@pytest.mark.parametrize("part_rows", [10_000, 40, 7])
 @pytest.mark.parametrize("flip", [0.5, 0.02])
-def test_all_ways_equal_brute_force(spark, limit, flip):
+def test_equal_to_brute_force(spark, part_rows, flip):
     rows = make_rows({"A": 400, "B": 60, "C": 5, "D": 1}, flip=flip)
-    timeline, result = computed(spark.createDataFrame(rows, SCHEMA), limit, reach=10)
-    assert (timeline.chunk_rows is None) == (limit == 10_000)
+    _, result = computed(spark.createDataFrame(rows, SCHEMA), part_rows, reach=10)
     assert result == brute(rows, 10)
 
 
 def test_one_team_holds_most_rows(spark):
     rows = make_rows({"hot": 3000, **{f"t{i}": 20 for i in range(20)}}, flip=0.1)
-    timeline, result = computed(spark.createDataFrame(rows, SCHEMA), 100, reach=5)
+    _, result = computed(spark.createDataFrame(rows, SCHEMA), 100, reach=5)
     assert result == brute(rows, 5)
-    sizes = [r["count"] for r in timeline.rows.groupBy("_chunk").count().collect()]
-    assert len(sizes) > 20 and max(sizes) < 500
+
+
+def test_no_window_holds_an_entity(spark):
+    """Windows over rows are within a date or a part; only totals per date are ordered by entity."""
+    df = spark.createDataFrame(make_rows({"A": 50}), SCHEMA)
+    timeline = Timeline.of(df, ["team"], ["day", "id"]).with_runs("win", "length").with_windows(
+        4, {"mean": trailing_mean("pts", 5, 1)}
+    )
+    plan = timeline.rows._jdf.queryExecution().optimizedPlan().toString()
+    groups = re.findall(r"Window \[.*\], \[([^\]]*)\], \[", plan)
+    alone = [g for g in groups if re.fullmatch(r"team#\d+", g)]
+    below = [plan.split("\n")[i + 1] for i, line in enumerate(plan.split("\n")) if re.search(r"\], \[team#\d+\], \[", line)]
+    assert len(groups) > len(alone) and all("Aggregate [team" in line or "Project" in line or "Window" in line for line in below)
+
+
+def test_nothing_runs_while_models_are_built(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    Timeline.of(spark.createDataFrame(make_rows({"A": 30}), SCHEMA), ["team"], ["day", "id"]).with_runs("win", "n")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
 
 
 def test_reach_longer_than_a_chunk(spark):
@@ -87,10 +105,10 @@ def test_empty_input(spark):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(flags=st.lists(st.integers(0, 1), min_size=1, max_size=40), limit=st.integers(2, 50))
-def test_run_properties(spark, flags, limit):
+@given(flags=st.lists(st.integers(0, 1), min_size=1, max_size=40))
+def test_run_properties(spark, flags):
     rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(days=i), str(i), w, 0) for i, w in enumerate(flags)]
-    timeline = Timeline.of(spark.createDataFrame(rows, SCHEMA), ["team"], ["day", "id"], limit)
+    timeline = Timeline.of(spark.createDataFrame(rows, SCHEMA), ["team"], ["day", "id"])
     lengths = [r.n for r in sorted(timeline.with_runs("win", "n").rows.collect(), key=lambda r: r.day)]
     changes = sum(a != b for a, b in zip(flags, flags[1:]))
     assert lengths.count(1) == changes + 1
@@ -118,14 +136,3 @@ def test_newest_per_key_limits_before_the_shuffle(spark):
     assert {(r.team, r.id) for r in newest.collect()} == {("A", "000049"), ("B", "000001")}
     kept = newest_per_key(df, ["team"], [F.col("day").desc(), F.col("id").desc()], keep=3)
     assert kept.count() == 5 and "recency" in kept.columns
-
-
-def test_limit_comes_from_the_session(spark):
-    spark.conf.set("spark.courtside.maxGroupRows", "10")
-    try:
-        timeline = Timeline.of(
-            spark.createDataFrame(make_rows({"A": 30}), SCHEMA), ["team"], ["day", "id"]
-        )
-        assert timeline.chunk_rows == 10
-    finally:
-        spark.conf.unset("spark.courtside.maxGroupRows")
