@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+FILES_PER_CORE = 8
 #: Bytes of text that one numpy pass holds at once; a longer text is a pass of its own.
 PASS_BYTES = 1 << 20
 
@@ -33,13 +34,18 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """df in at most FILES_PER_CORE parts for each core: small tables shouldn't become many small files."""
+    return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def save(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and cut its lineage; what only led to it can then be freed.
 
     Shuffle files go when the driver's garbage collector finds their plans unused, which may be long after.
     """
     shared_folder(df.sparkSession)
-    saved = df.checkpoint()
+    saved = few_files(df).checkpoint()
     gc.collect()
     df.sparkSession._jvm.System.gc()
     return saved

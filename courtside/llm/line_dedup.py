@@ -52,11 +52,13 @@ def bands(lines: list[str]) -> np.ndarray:
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
     lowest = np.full(len(lines) * BINS, empty)
     np.minimum.at(lowest, owner * BINS + bins, mix(found) >> np.uint64(1))
-    lowest = lowest.reshape(len(lines), BINS)
-    step = 0
-    while (missing := lowest == empty).any():  # an empty bin takes the value of the next one that has any
-        step += 1
-        lowest = np.where(missing, np.roll(lowest, -1, axis=1), lowest)
+    known = lowest.reshape(len(lines), BINS)
+    lowest, draw = known.copy(), np.random.default_rng(BINS)
+    while len(rows := np.flatnonzero((lowest == empty).any(axis=1))):
+        # An empty bin takes the value of another one, drawn anew for each bin until that one has any. The draws
+        # are the same for all lines, so that like lines draw alike, but the bins of a line draw apart.
+        drawn = known[rows][:, draw.integers(0, BINS, BINS)]
+        lowest[rows] = np.where(lowest[rows] == empty, drawn, lowest[rows])
     weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64))
     values = (mix(lowest).reshape(len(lines), BANDS, ROWS) * weights).sum(axis=2, dtype=np.uint64)
     return mix(values + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
@@ -129,22 +131,30 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
 def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     """Links (a, b) between ids of different lines.
 
-    Lines of a band value are compared with the smallest id among them; those that don't link to it are
-    compared among themselves again, until each has met a line it links to or has led a round. A band value's
-    ids pass one task in order, as a stream that may spill; its lines are compared wherever the pairs fall.
+    Lines of a band value are compared with the smallest id among them; those that don't link to it with the
+    two smallest left, then the four smallest, until each has met a line it links to or has led a round. A band
+    value's ids pass one task in order, as a stream that may spill; its lines are compared wherever the pairs fall.
     """
     smallest = F.first("line").over(Window.partitionBy("band").orderBy("line"))
     led = lambda rows: rows.withColumn("lead", smallest).where("line <> lead").distinct()
     left = save(led(_band_rows(docs, text)))
     candidates = left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct()
     contents = save(_all_lines(docs, docs.columns[0], text, True).join(candidates, "line", "left_semi").dropDuplicates(["line"]))
-    links = None
+    links, leads = None, 1
+    in_band = Window.partitionBy("band").orderBy("line")
     while not left.isEmpty():
         pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
         found = save(_verified(pairs, contents))
         links = found if links is None else links.unionByName(found)
         linked = found.select(F.col("a").alias("line"), F.col("b").alias("lead"))
-        left = save(led(left.join(linked, ["line", "lead"], "left_anti").select("band", "line")))
+        met = left.join(linked, ["line", "lead"]).select("band", "line").distinct()
+        rest = left.where(F.col("place") > leads) if leads > 1 else left
+        rest = rest.select("band", "line").distinct().join(met, ["band", "line"], "left_anti")
+        leads *= 2
+        ranked = rest.withColumn("place", F.row_number().over(in_band))
+        first = ranked.where(F.col("place") <= leads).groupBy("band").agg(F.collect_list(F.struct("place", "line")).alias("first"))
+        paired = ranked.join(first, "band").select("band", "line", "place", F.explode("first").alias("x"))
+        left = save(paired.where("x.place < place").select("band", "line", "place", F.col("x.line").alias("lead")))
     return links if links is not None else docs.sparkSession.createDataFrame([], "a long, b long")
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm.byte_bpe import op3_byte_bpe
-from courtside.llm.common import read_table
+from courtside.llm.common import few_files, read_table
 from courtside.llm.html_extract import op1_html_extract
 from courtside.llm.language_id import op10_language_id
 from courtside.llm.license_scan import op2_license_scan
@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _on(table: str, run: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: run(read_table(spark, folder, table))
+    return lambda spark, folder: few_files(run(read_table(spark, folder, table)))
 
 
 def queries() -> dict[str, Query]:
