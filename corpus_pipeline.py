@@ -23,6 +23,12 @@ from courtside.llm.span_dedup import remove_repeats
 ORACLE_SQL = None
 
 
+def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns of these names renamed, and the names to give back."""
+    back = {f"__{name}": name for name in names if name in docs.columns}
+    return docs.withColumnsRenamed({name: kept for kept, name in back.items()}), back
+
+
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     size = F.length("text").cast("long")
     return docs.select(*(size.alias(c) if c == "n_chars" else F.col(c) for c in columns))
@@ -31,8 +37,9 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language that stands out; lang becomes the predicted one."""
     model = fit(docs.where(~held_out()))
-    named = identify(docs, model).where(~rejected())
-    return named.select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns))
+    others, back = _aside(docs, "lang_pred", "score")
+    named = identify(others, model).where(~rejected()).withColumn("lang", F.col("lang_pred"))
+    return named.drop("lang_pred", "score").withColumnsRenamed(back).select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +58,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut sentences that repeated spans cover; documents left without a sentence go."""
-    cut = remove_repeats(docs).where("size(removed) = 0 or size(removed) < n_sentences")
-    return _measured(cut, docs.columns)
+    others, back = _aside(docs, "n_sentences", "removed")
+    cut = remove_repeats(others).where("size(removed) = 0 or size(removed) < n_sentences")
+    return _measured(cut.drop("n_sentences", "removed").withColumnsRenamed(back), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

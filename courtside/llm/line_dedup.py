@@ -180,12 +180,13 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     Blank lines stay. Documents without any line (null, empty or blank text) and with a null key stay as they are.
     """
-    marks = repeated_lines(docs, key, text).select(F.col(key).alias("__key"), "n_lines", "removed")
-    joined = docs.join(marks, F.col(key) == F.col("__key"), "left").where("n_lines is null or n_lines > size(removed)")
+    marks = repeated_lines(docs, key, text)
+    marks = marks.select(F.col(key).alias("__key"), F.col("n_lines").alias("__lines"), F.col("removed").alias("__removed"))
+    joined = docs.join(marks, F.col(key) == F.col("__key"), "left").where("__lines is null or __lines > size(__removed)")
     split = F.split(text, "\n")
-    places = F.filter(F.sequence(F.lit(0), F.size(split) - 1), lambda i: ~F.array_contains("removed", i))
+    places = F.filter(F.sequence(F.lit(0), F.size(split) - 1), lambda i: ~F.array_contains("__removed", i))
     cut = F.array_join(F.transform(places, lambda i: F.get(split, i)), "\n")
-    return joined.select(*(F.when(F.size("removed") > 0, cut).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in docs.columns))
+    return joined.select(*(F.when(F.size("__removed") > 0, cut).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in docs.columns))
 
 
 def op9_line_dedup(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,9 @@ def table(spark, tmp_path_factory):
     near = [edited(rng, base[0], 0.005), base[1] + " " + sentence(rng)]
     texts = [*base, *near, base[2], f"{prose(rng, 5)} {passage} {prose(rng, 3)}", f"{prose(rng, 6)} {passage} {prose(rng, 2)}", None, "", "12 34"]
     folder = tmp_path_factory.mktemp("tables")
-    docs(spark, texts).withColumn("lang", F.when(F.col("doc_id") != 3, F.col("lang"))).write.parquet(f"{folder}/documents.parquet")
+    rows = docs(spark, texts).withColumn("lang", F.when(F.col("doc_id") != 3, F.col("lang")))
+    clashing = ["score", "removed", "n_sentences", "n_lines", "line", "component", "kind"]
+    rows.select("*", *[F.lit(f"own {c}").alias(c) for c in clashing]).write.parquet(f"{folder}/documents.parquet")
     return str(folder)
 
 
@@ -38,7 +40,7 @@ def test_stages(spark, table):
     assert not {8, 9} & kept[2] or kept[2] <= kept[1]
     assert kept[4] == kept[3]
     cut = {r.doc_id: r for r in spark.read.parquet(f"{table}/span_dedup").collect()}
-    assert all(r.n_chars == len(r.text) for r in cut.values())
+    assert all(r.n_chars == len(r.text) and r.score == "own score" and r.removed == "own removed" for r in cut.values())
     assert len(cut[12].text) < len(cut[11].text)
 
 
