@@ -245,8 +245,9 @@ def fit(pages: DataFrame, column: str = "html") -> BoostedTrees:
     The layouts label each block as they are made. The pages, those whose html hashes lowest, only lend words, so
     that densities and lengths are like theirs.
     """
-    chosen = pages.where(F.length(column) > 0).select(F.xxhash64(column).alias("h"), F.substring(column, 1, 20_000).alias("source"))
-    sample = chosen.orderBy("h", "source").limit(TRAIN_SAMPLE).collect()
+    rows = pages.where(F.length(column) > 0).select(F.xxhash64(column).alias("h"), F.substring(column, 1, 20_000).alias("source"))
+    last = rows.select("h").distinct().orderBy("h").limit(TRAIN_SAMPLE).agg(F.max("h").alias("h")).first()["h"]
+    sample = rows.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min("source").alias("source")).orderBy("h").collect()
     seen: dict[str, int] = {}
     words = [w for row in sample for _, _, text, _ in Page(row["source"], seen).pieces for w in text.split()] or ["word."]
     rng = np.random.default_rng(SEED)
