@@ -144,6 +144,28 @@ def distinct_runs(found: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np
 TASK_LINKS = 100_000
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each batch of links (u, v), as many as join the same nodes: each node to the smallest one it meets."""
+    for batch in batches:
+        parent: dict[int, int] = {}
+        for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = pair
+            while (up := parent.setdefault(a, a)) != a:
+                parent[a] = a = parent[up]
+            while (up := parent.setdefault(b, b)) != b:
+                parent[b] = b = parent[up]
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+        rows = []
+        for x in parent:
+            top = x
+            while parent[top] != top:
+                top = parent[top]
+            if top != x:
+                rows.append((x, top))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.int64())], ["u", "v"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): one row (node, component), component the smallest node.
 
@@ -151,7 +173,8 @@ def components(links: DataFrame) -> DataFrame:
     minimum per node, combined before the shuffle, and a join back that adaptive execution can split.
     Nodes without links are absent; null ends and self-links are ignored.
     """
-    edges = save(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    kept = links.where("a <> b").select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v"))
+    edges = save(kept.mapInArrow(_forest, "u long, v long").distinct())
     summary = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     state, before = summary(), None
     while state != before:
