@@ -21,6 +21,8 @@ WIDTH = 8
 PERCENT = 75
 BANDS, ROWS = 10, 4
 BINS = BANDS * ROWS
+#: Characters of all lines that are compared at once; larger band values are split into pairs of parts.
+UNIT_CHARS = 1 << 18
 
 
 def lines_of(text: str) -> tuple[list[int], list[str]]:
@@ -128,34 +130,94 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return with_text.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Links (a, b) between ids of different lines.
+def _units(rows: DataFrame) -> DataFrame:
+    """(unit, side, line, component, content): the units in which every two lines of a band value meet.
 
-    Lines of a band value are compared with the smallest id among them; those that don't link to it with the
-    two smallest left, then the four smallest, until each has met a line it links to or has led a round. A band
-    value's ids pass one task in order, as a stream that may spill; its lines are compared wherever the pairs fall.
+    A band value of up to UNIT_CHARS characters is one unit. A larger one is split by hash, every two parts meet in
+    a unit, and so does each part with itself.
+    """
+    loads = rows.groupBy("band").agg(F.sum(F.length("content")).alias("load"))
+    parts = loads.select("band", F.when(F.col("load") > UNIT_CHARS, F.ceil(2 * F.col("load") / UNIT_CHARS)).otherwise(1).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int")
+    placed = rows.join(parts, "band").withColumn("own", own)
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(F.least(i, F.col("own")).alias("i"), F.greatest(i, F.col("own")).alias("j")))
+    met = placed.withColumn("x", F.explode(others))
+    return met.select(F.xxhash64("band", "x.i", "x.j").alias("unit"), F.when(F.col("x.i") < F.col("x.j"), F.col("own")).alias("side"), "line", "component", "content")
+
+
+def unit_links(lines: list[str], part: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Links of lines of different parts (and sides, unless these are -1), one between any two parts that meet."""
+    flat, limits = distinct_runs(*_shingles(lines))
+    sizes, links, part = np.diff(limits), [], part.copy()
+    _, code = np.unique(flat, return_inverse=True)
+    holders = np.repeat(np.arange(len(lines)), sizes)[np.argsort(code, kind="stable")]
+    count = np.bincount(code)
+    begins = np.cumsum(count) - count
+    for i in range(1, len(lines)):
+        open_ = (part[:i] != part[i]) & ((side[:i] != side[i]) | (side[i] < 0))
+        open_ &= (100 * sizes[:i] >= PERCENT * sizes[i]) & (100 * sizes[i] >= PERCENT * sizes[:i])
+        if not open_.any():
+            continue
+        own = code[limits[i] : limits[i + 1]]
+        n = count[own]
+        at = np.repeat(begins[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(holders[at], minlength=len(lines))[:i]
+        for j in np.flatnonzero(open_ & (100 * common >= PERCENT * (sizes[i] + sizes[:i] - common))).tolist():
+            if part[j] != part[i]:
+                links.append((i, j))
+                part[part == part[j]] = part[i]
+    return links
+
+
+def _joined(units: DataFrame) -> DataFrame:
+    """Links (a, b) of components whose lines link in some unit; pairs are compared in the tasks, never written."""
+
+    def linked(unit: list[tuple]) -> list[tuple[int, int]]:
+        whole = np.array([x[2] for x in unit], np.int64)
+        if (whole == whole[0]).all():
+            return []
+        found = unit_links([x[3] for x in unit], whole, np.array([-1 if x[1] is None else x[1] for x in unit]))
+        return [(unit[i][2], unit[j][2]) for i, j in found]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit: list[tuple] = []
+        for batch in slices(batches):
+            links = []
+            for row in zip(*(x.to_pylist() for x in batch.columns)):
+                if unit and unit[0][0] != row[0]:
+                    links += linked(unit)
+                    unit = []
+                unit.append(row)
+            yield _links(links)
+        yield _links(linked(unit) if unit else [])
+
+    return units.select("unit", "side", "component", "content").repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
+
+
+def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def line_classes(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(node, component) of the ids of lines that link to others.
+
+    Lines of a band value are compared with the smallest id among them. In the band values whose other lines are not
+    one component by then, every two of them in different components are compared as well.
     """
     smallest = F.first("line").over(Window.partitionBy("band").orderBy("line"))
-    led = lambda rows: rows.withColumn("lead", smallest).where("line <> lead").distinct()
-    left = save(led(_band_rows(docs, text)))
+    left = save(_band_rows(docs, text).withColumn("lead", smallest).where("line <> lead").distinct())
     candidates = left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct()
     contents = save(_all_lines(docs, docs.columns[0], text, True).join(candidates, "line", "left_semi").dropDuplicates(["line"]))
-    links, leads = None, 1
-    in_band = Window.partitionBy("band").orderBy("line")
-    while not left.isEmpty():
-        pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
-        found = save(_verified(pairs, contents))
-        links = found if links is None else links.unionByName(found)
-        linked = found.select(F.col("a").alias("line"), F.col("b").alias("lead"))
-        met = left.join(linked, ["line", "lead"]).select("band", "line").distinct()
-        rest = left.where(F.col("place") > leads) if leads > 1 else left
-        rest = rest.select("band", "line").distinct().join(met, ["band", "line"], "left_anti")
-        leads *= 2
-        ranked = rest.withColumn("place", F.row_number().over(in_band))
-        first = ranked.where(F.col("place") <= leads).groupBy("band").agg(F.collect_list(F.struct("place", "line")).alias("first"))
-        paired = ranked.join(first, "band").select("band", "line", "place", F.explode("first").alias("x"))
-        left = save(paired.where("x.place < place").select("band", "line", "place", F.col("x.line").alias("lead")))
-    return links if links is not None else docs.sparkSession.createDataFrame([], "a long, b long")
+    pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
+    first = save(components(_verified(pairs, contents)))
+    placed = left.select("band", "line").join(first.withColumnRenamed("node", "line"), "line", "left")
+    placed = placed.select("band", "line", F.coalesce("component", "line").alias("component"))
+    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+    rows = save(placed.join(mixed, "band").join(contents, "line"))
+    second = components(_joined(_units(rows))).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    known = first.join(second, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    lone = second.withColumnRenamed("component", "node").join(first, "node", "left_anti")
+    return known.unionByName(lone.select("node", F.col("whole").alias("component")))
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,7 +227,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     count as one document given twice: what is kept of one is kept of the other.
     """
     rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
-    classes = components(line_links(rows, text)).withColumnRenamed("node", "line")
+    classes = line_classes(rows, text).withColumnRenamed("node", "line")
     every = _all_lines(rows, key, text, False).join(classes, "line", "left")
     every = save(every.select("owner", "place", F.coalesce("component", "line").alias("class")).distinct())
     kept = every.groupBy("class").agg(F.min(F.struct("owner", "place")).alias("kept"))

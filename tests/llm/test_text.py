@@ -368,6 +368,24 @@ def test_line_bands_and_check():
     assert line_dedup.alike(["a"], ["a"])[0] and not line_dedup.alike(["a"], ["b"])[0]
 
 
+@pytest.mark.parametrize("unit_chars", [1 << 18, 1500])
+def test_chains_of_lines(spark, monkeypatch, unit_chars):
+    monkeypatch.setattr(line_dedup, "UNIT_CHARS", unit_chars)
+    rng = random.Random(23)
+    lines = []
+    for _ in range(60):
+        words = [rng.choice(WORDS) + rng.choice(["", "s", "ly", "ing"]) for _ in range(36)]
+        for k in range(6):  # each differs from the one before in two words, few reach the first one
+            words[6 * k + 1] = words[6 * k + 4] = "".join(rng.choices("abcdefgh", k=5))
+            lines.append(" ".join(words))
+    values = line_dedup.bands(lines)
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a) if (values[a] == values[b]).any()]
+    linked = line_dedup.alike([lines[a] for a, _ in pairs], [lines[b] for _, b in pairs])
+    reach = smallest_reachable(range(len(lines)), [x for x, y in zip(pairs, linked) if y])
+    found = {r.doc_id: r.n_removed for r in line_dedup.op9_line_dedup(docs(spark, lines)).collect()}
+    assert not linked.all() and found == {i: int(reach[i] != i) for i in reach}
+
+
 # -- 10 -----------------------------------------------------------------------------------------------
 
 
