@@ -1,7 +1,9 @@
 """Substring deduplication by sliding sentence spans.
 
 A sentence ends with a word that ends in . ! or ?, or at a newline. From every sentence starts one span: the
-shortest run of at least MIN_SENTENCES sentences and MIN_WORDS words, or the sentence alone if it has LONG_WORDS.
+shortest run of at least MIN_SENTENCES sentences and MIN_WORDS words, or the sentence alone if it has LONG_WORDS;
+and with every other sentence ends one, the shortest such run. Together they cover what all such runs would: what
+follows the last span that starts in a repeated run is part of the one that ends with it.
 Spans are compared over all documents by their words, A-Z as a-z; all but the first place of a span (by
 document, then sentence) are repeats, and every sentence that a repeat covers is removed.
 """
@@ -41,7 +43,12 @@ def spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     ends = np.maximum(np.searchsorted(edges, begins + MIN_WORDS), at + MIN_SENTENCES)
     ends = np.where(np.diff(edges) >= LONG_WORDS, at + 1, ends)
     whole = ends <= first[1:][owner]
-    at, ends, owner = at[whole], ends[whole], owner[whole]
+    # The same backwards; a long last sentence stands alone, and spans that start before it reach it.
+    back = np.minimum(np.searchsorted(edges, edges[1:] - MIN_WORDS, side="right") - 1, np.arange(len(begins)) + 1 - MIN_SENTENCES)
+    more = (back >= first[:-1][owner]) & (np.diff(edges) < LONG_WORDS)
+    more &= (ends[back] != np.arange(len(begins)) + 1)  # not also one of the others
+    at, ends = np.concatenate([at[whole], back[more]]), np.concatenate([ends[whole], np.flatnonzero(more) + 1])
+    owner = np.concatenate([owner[whole], owner[more]])
     hashes = [range_hashes(x, edges[at], edges[ends]).view(np.int64) for x in (words, mix(words))]
     return owner, at - first[:-1][owner], ends - at, *hashes
 

@@ -305,6 +305,30 @@ def test_span_dedup(spark):
     assert all(r.text == texts[0] for r in span_dedup.op7_span_dedup(twice).collect())
 
 
+def test_spans_cover_what_all_runs_cover(spark):
+    rng = random.Random(24)
+    plain = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(10**6)) for _ in range(n)) + "."
+    texts = []
+    for sizes in ([27, 10], [14, 10, 3], [9, 3, 25, 2], [3, 3, 3], [20], [4, 12, 1, 1], [30, 1, 22, 5], *([rng.randrange(1, 26) for _ in range(rng.randrange(1, 6))] for _ in range(40))):
+        passage = " ".join(plain(n) for n in sizes)
+        texts += [f"{plain(6)} {passage} {plain(30)}", f"{plain(9)} {passage}", f"{passage} {plain(5)} {plain(4)}"]
+    texts += ["", "No.", plain(4)]
+    split = [[x.split() for x in re.findall(r"[^.]+\.", t)] for t in texts]
+    places = defaultdict(list)
+    for d, own in enumerate(split):
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                run = [w for x in own[i:j] for w in x]
+                if len(run) >= 15 and j > i + 1 or len(run) >= 20 and j == i + 1:
+                    places[tuple(run)].append((d, i, j))
+    gone = defaultdict(set)
+    for runs in places.values():
+        for d, i, j in sorted(runs)[1:]:
+            gone[d].update(range(i, j))
+    found = {r.doc_id: r.removed for r in span_dedup.op7_span_dedup(docs(spark, texts)).collect()}
+    assert found == {d: sorted(gone[d]) for d in range(len(texts))}
+
+
 # -- 8 ------------------------------------------------------------------------------------------------
 
 
