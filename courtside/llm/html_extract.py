@@ -35,6 +35,8 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = set("script style textarea title xmp iframe noembed noframes noscript template svg math object canvas audio video head".split())
 CLOSES_P = set(KIND_OF) - {"label", "button", "option", "optgroup", "select", "td", "th", "tr", "tbody", "thead", "tfoot", "legend", "summary", "body", "html", "caption"}
+#: What may stand in a head; any other element, or text, ends a head that is open.
+IN_HEAD = set("base basefont bgsound link meta title style script noscript noframes template head html".split())
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 CLOSE_STOPS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 ATTRIBUTE_KINDS = {
@@ -101,6 +103,8 @@ class Page:
             del open_[k:]
 
         def text(end: int) -> None:
+            if open_[-1][0] == "head" and source[at:end].strip():
+                close(len(open_) - 1)
             if end > at and not hidden:
                 self.pieces.append((open_[-1][1], run, html.unescape(source[at:end]), links > 0))
 
@@ -121,6 +125,13 @@ class Page:
                         close(k)
                         break
                 continue
+            if tag not in IN_HEAD:
+                for k in range(len(open_) - 1, 0, -1):
+                    if open_[k][0] == "head":
+                        close(k)
+                        break
+                    if open_[k][0] == "template" or open_[k][0] == "noscript" and tag != "body":
+                        break
             if tag in VOID:
                 if tag == "br" and not hidden:
                     self.pieces.append((open_[-1][1], run, " ", False))

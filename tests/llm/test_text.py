@@ -92,6 +92,18 @@ def test_main_text(spark, model):
     assert html_extract.op1_html_extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("head", [
+    "<head><title>t</title><body>", "<head><title>t</title>", "<head><meta charset=utf-8><script>var a='<p>';</script><link rel=x><body class=b>",
+    "<head><noscript><style>p{}</style><p>no</p></noscript><template><p>no</p></template><title>t</title></head><body>", "<title>t</title>",
+    "<head><noscript><link rel=x><title>t</title><body>",
+])
+def test_open_head_ends_where_the_body_begins(head):
+    page = html_extract.Page(f"<html>{head}<article><p>First.</p><img src=x><p>Second.", {})
+    assert page.tags == ["html", "article", "p", "p"]
+    assert page.text(np.ones(4, bool)) == "First. Second."
+    assert html_extract.Page("<head><title>t</title>\nPlain text", {}).text(np.ones(1, bool)) == "Plain text"
+
+
 def test_decoding_never_keeps_what_is_inside_something_dropped():
     rng = np.random.default_rng(5)
     for _ in range(50):
