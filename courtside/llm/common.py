@@ -83,35 +83,52 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class _Powers:
-    """Powers of the hash base and of its inverse, grown on demand."""
+    """Powers of the hash base and of its inverse, grown on demand; a worker keeps at most KEPT of each."""
+
+    KEPT = 1 << 21
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
-            steps = lambda x: np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, x, np.uint64)])
-            self.up, self.down = steps(_BASE), steps(pow(_BASE, -1, 1 << 64))
-        return self.up[:n], self.down[:n]
+        if len(self.up) >= n:
+            return self.up[:n], self.down[:n]
+        size = 1 << (n - 1).bit_length()
+        steps = lambda x: np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, x, np.uint64)])
+        up, down = steps(_BASE), steps(pow(_BASE, -1, 1 << 64))
+        if size <= self.KEPT:
+            self.up, self.down = up, down
+        return up[:n], down[:n]
 
 
 _POWERS = _Powers()
 
 
+class RangeHashes:
+    """64-bit hashes of any values[start:end]; values are 64-bit codes."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        up, self.down = _POWERS.get(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[:-1], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        lengths = (ends - starts).astype(np.uint64)
+        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
+
+
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each values[start:end]; values are 64-bit codes."""
-    up, down = _POWERS.get(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=sums[1:])
-    lengths = (ends - starts).astype(np.uint64)
-    return mix((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
+    return RangeHashes(values).of(starts, ends)
+
 
+def word_spans(texts: list[bytes], white: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' joined bytes, begin and end of each word, and each text's first word.
 
-def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The texts' joined bytes, begin and end of each word [^\\x20\\x09-\\x0D]+, and each text's first word."""
+    Words are what stands between the bytes marked in white, by default [^\\x20\\x09-\\x0D]+; a newline must be marked.
+    """
     data = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
-    white = _WHITE[data]
+    white = white[data]
     starts = np.flatnonzero(white[:-1] & ~white[1:]) + 1
     ends = np.flatnonzero(~white[:-1] & white[1:]) + 1
     limits = np.cumsum([1, *(len(x) + 1 for x in texts)])

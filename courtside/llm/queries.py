@@ -15,6 +15,7 @@ from courtside.llm.license_scan import op2_license_scan
 from courtside.llm.line_dedup import op9_line_dedup
 from courtside.llm.ngram_join import op5_ngram_join
 from courtside.llm.packing import op6_packing
+from courtside.llm.periodic_runs import op11_periodic_runs
 from courtside.llm.quality_rules import op4_quality_rules
 from courtside.llm.span_dedup import op7_span_dedup
 from courtside.llm.vector_dedup import op8_vector_dedup
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op8_vector_dedup": _on("embeddings", op8_vector_dedup),
         "op9_line_dedup": _on("documents", op9_line_dedup),
         "op10_language_id": _on("documents", op10_language_id),
+        "op11_periodic_runs": _on("documents", op11_periodic_runs),
     }
 
 
