@@ -16,6 +16,7 @@ from courtside.llm.line_dedup import op9_line_dedup
 from courtside.llm.ngram_join import op5_ngram_join
 from courtside.llm.packing import op6_packing
 from courtside.llm.periodic_runs import op11_periodic_runs
+from courtside.llm.phrase_index import op12_decontamination
 from courtside.llm.quality_rules import op4_quality_rules
 from courtside.llm.span_dedup import op7_span_dedup
 from courtside.llm.vector_dedup import op8_vector_dedup
@@ -40,6 +41,9 @@ def queries() -> dict[str, Query]:
         "op9_line_dedup": _on("documents", op9_line_dedup),
         "op10_language_id": _on("documents", op10_language_id),
         "op11_periodic_runs": _on("documents", op11_periodic_runs),
+        "op12_decontamination": lambda spark, folder: few_files(
+            op12_decontamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+        ),
     }
 
 
