@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm.byte_bpe import op3_byte_bpe
+from courtside.llm.collocations import op13_collocations
 from courtside.llm.common import few_files, read_table
 from courtside.llm.html_extract import op1_html_extract
 from courtside.llm.language_id import op10_language_id
@@ -44,6 +45,7 @@ def queries() -> dict[str, Query]:
         "op12_decontamination": lambda spark, folder: few_files(
             op12_decontamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
         ),
+        "op13_collocations": _on("documents", op13_collocations),
     }
 
 
