@@ -26,6 +26,8 @@ from courtside.llm.common import few_files, hashed_words, passes, range_hashes,
 WINDOW = 10
 #: Windows that one search sends to the tasks: at most WINDOW longs each.
 BLOCK_WINDOWS = 1 << 16
+#: A reader holds the shards of a row group at once.
+ROW_GROUP_BYTES = 8 << 20
 
 _BETWEEN = ~np.isin(np.arange(256), np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100)), np.uint8))
 _NO_TERM = -1
@@ -62,7 +64,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     schema = _index_schema(docs.schema[key].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 10_000):
+        for batch in slices(batches):
             texts = utf8(batch.column(2))
             for a, b in passes(texts):
                 found, first = terms_of(texts[a:b])
@@ -76,7 +78,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key), F.col(text))
     path = f"{shared_folder(docs.sparkSession)}/phrase-index-{uuid.uuid4()}"
-    few_files(numbered.mapInArrow(run, schema)).write.parquet(path)
+    few_files(numbered.mapInArrow(run, schema)).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
