@@ -1,16 +1,20 @@
 """Ordered computations per entity that stay distributed when one entity holds most of the rows.
 
 A window over ``partitionBy(entity)`` puts all rows of an entity into one task. ``Timeline`` never
-does: the first order column, a date, cuts each entity's rows into cells of one (entity, date), and
-
-* running values are a window inside the cell plus what earlier cells carry: one row of totals per
-  cell, combined before the shuffle, accumulated over an entity's dates and joined back;
-* windows with a fixed reach run over parts of ``PART_ROWS`` consecutive positions, each with a copy
-  of the few last rows of the part before it;
-* a run is as long as its row is away from the last row with the other flag, a running value.
-
-Which cell or part a row is in depends on the row and its position alone, so every size takes the
-same way, nothing is counted beforehand and nothing is written. Order columns must not be null.
+does. Spans of ``span_days`` days of the first order column, a date, cut each entity's rows into
+segments, and one scan serves running values, values of the whole entity, runs and windows of a
+fixed reach together:
+
+* each segment is summed up in one row that merges with others: its folds, its number of rows, the
+  place of the last row with either value of a flag, and its last rows;
+* those rows are folded over an entity's segments (dates bound how many there are), which gives what
+  a segment has to know of all before it;
+* that knowledge enters the segment as border rows in front of its own: the last rows before it, the
+  oldest of which carries the folds. One window over (entity, segment) then computes everything, and
+  the border rows go. No row is joined to anything.
+
+Which segment a row is in depends on the row alone, so nothing is counted beforehand and nothing is
+written. Order columns must not be null. A shorter span makes smaller segments and more border rows.
 """
 
 from __future__ import annotations
@@ -20,14 +24,18 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-#: Consecutive rows of an entity that one window group of a fixed reach holds.
-PART_ROWS = 4096
+#: Days of an entity's rows that one window group holds.
+SPAN_DAYS = 64
 
 SEQ = "_seq"
-PART = "_part"
+SEGMENT = "_segment"
+BORDER = "_border"
 
 _FOLDS = {"sum": F.sum, "max": F.max}
 
+Fold = tuple[str, Column]
+WindowColumn = Callable[[WindowSpec], Column]
+
 
 @dataclass(frozen=True)
 class Timeline:
@@ -36,7 +44,7 @@ class Timeline:
     rows: DataFrame
     entity: tuple[str, ...]
     order: tuple[str, ...]
-    part_rows: int = PART_ROWS
+    span_days: int = SPAN_DAYS
 
     @classmethod
     def of(cls, rows: DataFrame, entity: Sequence[str], order: Sequence[str]) -> Timeline:
@@ -53,68 +61,116 @@ class Timeline:
         return replace(self, rows=self.rows.withColumns(dict(columns)))
 
     def with_running(
-        self,
-        running: Mapping[str, tuple[str, Column]],
-        whole: Mapping[str, tuple[str, Column]] | None = None,
+        self, running: Mapping[str, Fold], whole: Mapping[str, Fold] | None = None
     ) -> Timeline:
         """Add values folded from the first row up to this one, and folded over the whole entity.
 
         A fold is ("sum" | "max", column); sums must be of whole numbers.
         """
-        whole = whole or {}
-        cell = [*self.entity, self.order[0]]
-        totals = self.rows.groupBy(*cell).agg(
-            *[_FOLDS[kind](column).alias(name) for name, (kind, column) in {**running, **whole}.items()]
-        )
-        dates = Window.partitionBy(*self.entity).orderBy(self.order[0])
-        before = dates.rowsBetween(Window.unboundedPreceding, -1)
-        everything = Window.partitionBy(*self.entity)
-        carried = totals.select(
-            *cell,
-            *[_FOLDS[k](n).over(before).alias(f"_before_{n}") for n, (k, _) in running.items()],
-            *[_FOLDS[k](n).over(everything).alias(n) for n, (k, _) in whole.items()],
-        )
-        inside = Window.partitionBy(*cell).orderBy(*self.order[1:] or self.order)
-        upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-        here = self.rows.withColumns({n: _FOLDS[k](c).over(upto) for n, (k, c) in running.items()})
-        combined = {}
-        for name, (kind, _) in running.items():
-            now, earlier = F.col(name), F.col(f"_before_{name}")
-            if kind == "sum":
-                combined[name] = F.coalesce(now + earlier, now, earlier)
-            else:
-                combined[name] = F.greatest(now, earlier)
-        joined = here.join(carried, cell)
-        return replace(self, rows=joined.withColumns(combined).drop(*[f"_before_{n}" for n in running]))
-
-    def positioned(self) -> Timeline:
-        """Number each entity's rows from 1, unless they are numbered already."""
-        if SEQ in self.rows.columns:
-            return self
-        return self.with_running({SEQ: ("sum", F.lit(1).cast("bigint"))})
+        return self.scan(running=running, whole=whole)
 
     def with_windows(
-        self, reach: int, columns: Mapping[str, Callable[[WindowSpec], Column]]
+        self, reach: int, columns: Mapping[str, WindowColumn], reads: Sequence[str] | None = None
     ) -> Timeline:
-        """Add window columns that look at most ``reach`` rows back."""
-        placed = self.positioned()
-        size = max(self.part_rows, reach + 1)
-        position = F.col(SEQ) - F.lit(1)
-        home_part = F.floor(position / F.lit(size))
-        near_end = position % F.lit(size) >= size - reach
-        parts = F.when(near_end, F.array(home_part, home_part + 1)).otherwise(F.array(home_part))
-        copied = placed.rows.withColumn(PART, F.explode(parts))
-        window = Window.partitionBy(*self.entity, PART).orderBy(SEQ)
-        computed = copied.withColumns({name: make(window) for name, make in columns.items()})
-        return replace(placed, rows=computed.where(F.col(PART) == home_part).drop(PART))
+        """Add window columns that look at most ``reach`` rows back; see ``scan``."""
+        return self.scan(reach=reach, windows=columns, reads=reads)
 
     def with_runs(self, flag: str, length: str) -> Timeline:
         """Add the position inside the run of equal 0/1 ``flag`` values that a row belongs to."""
-        ended = {f"_last_{value}": ("max", F.when(F.col(flag) == value, F.col(SEQ))) for value in (0, 1)}
-        placed = self.positioned().with_running(ended)
-        other = F.when(F.col(flag) == 1, F.col("_last_0")).otherwise(F.col("_last_1"))
-        position = F.col(SEQ) - F.coalesce(other, F.lit(0).cast("bigint"))
-        return replace(placed, rows=placed.rows.withColumn(length, position).drop(*ended))
+        return self.scan(runs={length: flag})
+
+    def scan(
+        self,
+        running: Mapping[str, Fold] | None = None,
+        whole: Mapping[str, Fold] | None = None,
+        runs: Mapping[str, str] | None = None,
+        reach: int = 0,
+        windows: Mapping[str, WindowColumn] | None = None,
+        reads: Sequence[str] | None = None,
+    ) -> Timeline:
+        """Add running and whole folds, lengths of runs (name: flag) and window columns in one pass.
+
+        ``reads`` names the columns that the windows look at, all if it isn't given. In front of an
+        entity's first rows a window may meet one row of nulls.
+        """
+        running, whole, runs, windows = dict(running or {}), dict(whole or {}), runs or {}, windows or {}
+        if runs:
+            running[SEQ] = ("sum", F.lit(1).cast("bigint"))
+        cell = [*self.entity, SEGMENT]
+        span = F.floor(F.unix_date(F.col(self.order[0]).cast("date")) / F.lit(self.span_days))
+        rows = self.rows.withColumn(SEGMENT, span)
+        seen = [c for c in self.rows.columns if windows and (reads is None or c in reads)]
+        seen = [c for c in seen if c not in cell and c not in self.order]
+        carried, borders = self._borders(rows, cell, running, whole, runs, max(reach, 1), seen)
+
+        both = rows.withColumn(BORDER, F.lit(False)).unionByName(borders, allowMissingColumns=True)
+        inside = Window.partitionBy(*cell).orderBy(*self.order)
+        upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+        part = lambda name, column: F.when(F.col(BORDER), F.col(carried[name])).otherwise(column)
+        found = both.withColumns({
+            **{name: _FOLDS[kind](part(name, column)).over(upto) for name, (kind, column) in running.items()},
+            **{name: F.first(carried[name], ignorenulls=True).over(upto) for name in whole},
+            **{name: make(inside) for name, make in windows.items()},
+        })
+        lengths, places = {}, {}
+        for name, flag in runs.items():
+            last = [F.when(F.col(flag) == value, F.col(SEQ)) for value in (0, 1)]
+            places |= {f"_{name}_{v}": F.max(part(f"{name}_{v}", last[v])).over(upto) for v in (0, 1)}
+            other = F.when(F.col(flag) == 1, F.col(f"_{name}_0")).otherwise(F.col(f"_{name}_1"))
+            lengths[name] = F.col(SEQ) - F.coalesce(other, F.lit(0).cast("bigint"))
+        if runs:
+            found = found.withColumns(places).withColumns(lengths)
+        own = found.where(~F.col(BORDER)).drop(SEGMENT, BORDER, SEQ, *carried.values(), *places)
+        return replace(self, rows=own)
+
+    def _borders(
+        self, rows: DataFrame, cell: list[str], running: Mapping[str, Fold], whole: Mapping[str, Fold],
+        runs: Mapping[str, str], keep: int, seen: list[str],
+    ) -> tuple[dict[str, str], DataFrame]:
+        """Names of the carried columns, and the border rows of every segment."""
+        folds = {**running, **whole}
+        place = F.row_number().over(Window.partitionBy(*cell).orderBy(*self.order)).cast("bigint")
+        size = F.count("*").over(Window.partitionBy(*cell))
+        row = F.struct(*self.order, *seen)
+        if runs or keep > 1:
+            rows = rows.withColumns({"_place": place, "_size": size})
+            near = F.when(F.col("_size") - F.col("_place") < keep, row)
+            tail = F.sort_array(F.collect_list(near))
+        else:
+            tail = F.array(F.max(row))
+        ends = {
+            f"_end_{name}_{v}": F.max(F.when(F.col(flag) == v, F.col("_place")))
+            for name, flag in runs.items() for v in (0, 1)
+        }
+        summed = rows.groupBy(*cell).agg(
+            tail.alias("_tail"),
+            *[_FOLDS[kind](column).alias(f"_all_{name}") for name, (kind, column) in folds.items()],
+            *[column.alias(name) for name, column in ends.items()],
+        )
+        segments = Window.partitionBy(*self.entity).orderBy(SEGMENT)
+        before = segments.rowsBetween(Window.unboundedPreceding, -1)
+        everything = Window.partitionBy(*self.entity)
+        carried = {name: f"_carry_{name}" for name in folds}
+        # Every segment before has a row, so the rows wanted lie in as many segments at most.
+        tails = F.flatten(F.collect_list("_tail").over(segments.rowsBetween(-keep, -1)))
+        known = summed.select(
+            *cell, *ends, tails.alias("_tails"),
+            *[_FOLDS[kind](f"_all_{name}").over(before).alias(carried[name]) for name, (kind, _) in running.items()],
+            *[_FOLDS[kind](f"_all_{name}").over(everything).alias(carried[name]) for name, (kind, _) in whole.items()],
+        )
+        if runs:
+            start = F.coalesce(F.col(carried[SEQ]), F.lit(0).cast("bigint"))
+            names = {f"{name}_{v}": f"_end_{name}_{v}" for name in runs for v in (0, 1)}
+            carried |= {name: f"_carry_{name}" for name in names}
+            known = known.withColumns({carried[name]: F.max(start + F.col(end)).over(before) for name, end in names.items()})
+        last = F.slice("_tails", F.greatest(F.size("_tails") - keep + 1, F.lit(1)), keep)
+        opened = known.select(*cell, *carried.values(), F.posexplode_outer(last).alias("_at", "_row"))
+        first = F.coalesce(F.col("_at"), F.lit(0)) == 0
+        borders = opened.select(
+            *cell, F.lit(True).alias(BORDER), *[F.col(f"_row.{c}").alias(c) for c in (*self.order, *seen)],
+            *[F.when(first, F.col(c)).alias(c) for c in carried.values()],
+        )
+        return carried, borders
 
 
 def trailing_mean(column: str, size: int, digits: int, carries: int = 0):

@@ -70,10 +70,12 @@ def player_timeline(player_games: DataFrame) -> Timeline:
     return Timeline.of(player_games, ["player_name"], PLAYER_ORDER)
 
 
-def _with_form(timeline: Timeline) -> Timeline:
-    rolled = timeline.with_windows(
-        max(ROLLING_SIZES) - 1,
-        {
+def _with_form(timeline: Timeline, runs: dict[str, str] | None = None) -> Timeline:
+    """Add rolling means, and the lengths of the given runs, in one ordered pass."""
+    rolled = timeline.scan(
+        runs=runs,
+        reach=max(ROLLING_SIZES) - 1,
+        windows={
             **{
                 f"{prefix}_last{size}": trailing_mean(source, size, 1)
                 for size in ROLLING_SIZES
@@ -84,6 +86,7 @@ def _with_form(timeline: Timeline) -> Timeline:
                 for size in ROLLING_SIZES
             },
         },
+        reads=list(ROLLING),
     )
     return rolled.with_columns({
         f"pts_above_avg_last{size}": round_half_up(F.col(f"_pts{size}") - F.col("pts_season_avg"), 1)
@@ -125,10 +128,9 @@ def _streak_columns() -> list[Column]:
 def player_streaks(timeline: Timeline, baseline: DataFrame) -> DataFrame:
     """Hot and cold flags and runs, for players with enough games this season."""
     regulars = baseline.where(F.col("games_played") >= MIN_STREAK_GAMES)
-    form = _with_form(timeline.joined(regulars))
-    flagged = form.with_columns({**heat_flags(), "hot_game": _hot_game()})
-    runs = flagged.with_runs("hot_game", "streak_length")
-    return runs.select(
+    flagged = timeline.joined(regulars).with_columns({"hot_game": _hot_game()})
+    form = _with_form(flagged, {"streak_length": "hot_game"}).with_columns(heat_flags())
+    return form.select(
         "player_name", "team_id", "game_id", "game_date", "points", "rebounds", "assists",
         "pts_season_avg", "pts_last3", "pts_above_avg_last3", "pts_above_avg_last5",
         *heat_flags(), *_streak_columns(),

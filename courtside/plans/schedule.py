@@ -40,6 +40,7 @@ def schedule_context(timeline: Timeline) -> DataFrame:
             "_prev_zone": _previous("timezone"),
             "prev_altitude": _previous("altitude_feet"),
         },
+        reads=["timezone", "altitude_feet"],
     ).rows
     altitude = F.col("altitude_feet")
     rows = looked_back.withColumns({
@@ -108,6 +109,7 @@ def travel_miles(timeline: Timeline) -> DataFrame:
             "_arena": _previous("arena_id"),
             **{f"_{short}": _previous(column) for short, column in here.items()},
         },
+        reads=["arena_id", *here.values()],
     ).rows
     stayed = F.col("_arena").isNull() | F.coalesce(F.col("_arena") == F.col("arena_id"), F.lit(False))
     miles = great_circle_miles(*(F.col(c) for c in ("_lat", "_lon", "latitude", "longitude")))

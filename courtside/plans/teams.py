@@ -85,7 +85,7 @@ def rolling_timeline(timeline: Timeline, names: Sequence[str] = ROLLING_COLUMNS)
         for source, prefix, digits, carries in ROLLING
         if f"{prefix}_last{size}" in names
     }
-    return timeline.with_windows(max(ROLLING_SIZES) - 1, means)
+    return timeline.with_windows(max(ROLLING_SIZES) - 1, means, [source for source, *_ in ROLLING])
 
 
 def rolling_averages(timeline: Timeline) -> DataFrame:

@@ -44,47 +44,61 @@ def brute(rows, reach):
     return out
 
 
-def computed(df, part_rows, reach):
-    timeline = replace(Timeline.of(df, ["team"], ["day", "id"]), part_rows=part_rows)
-    full = (
-        timeline.with_running(
-            {"wins": ("sum", F.col("win")), "best": ("max", F.col("pts"))},
-            whole={"games": ("sum", F.lit(1).cast("bigint"))},
+def computed(df, span_days, reach, at_once=False):
+    timeline = replace(Timeline.of(df, ["team"], ["day", "id"]), span_days=span_days)
+    running = {"wins": ("sum", F.col("win")), "best": ("max", F.col("pts"))}
+    whole = {"games": ("sum", F.lit(1).cast("bigint"))}
+    previous, mean = {"previous": lambda w: F.lag("pts").over(w)}, {"mean": trailing_mean("pts", reach, 1)}
+    if at_once:
+        full = timeline.scan(running, whole, {"length": "win"}, max(1, reach - 1), {**previous, **mean}, reads=["pts"])
+    else:
+        full = (
+            timeline.with_running(running, whole)
+            .with_windows(1, previous)
+            .with_runs("win", "length")
+            .with_windows(reach - 1, mean)
         )
-        .with_windows(1, {"previous": lambda w: F.lag("pts").over(w)})
-        .with_runs("win", "length")
-        .with_windows(reach - 1, {"mean": trailing_mean("pts", reach, 1)})
-    )
     names = ["wins", "best", "games", "previous", "length", "mean"]
     result = {(r.team, r.id): tuple(r[n] for n in names) for r in full.rows.collect()}
     return timeline, result
 
 
-@pytest.mark.parametrize("part_rows", [10_000, 40, 7])
+@pytest.mark.parametrize("at_once", [True, False])
+@pytest.mark.parametrize("span_days", [10_000, 13, 2, 1])
 @pytest.mark.parametrize("flip", [0.5, 0.02])
-def test_equal_to_brute_force(spark, part_rows, flip):
+def test_equal_to_brute_force(spark, span_days, flip, at_once):
     rows = make_rows({"A": 400, "B": 60, "C": 5, "D": 1}, flip=flip)
-    _, result = computed(spark.createDataFrame(rows, SCHEMA), part_rows, reach=10)
+    _, result = computed(spark.createDataFrame(rows, SCHEMA), span_days, 10, at_once)
     assert result == brute(rows, 10)
 
 
+def test_gaps_longer_than_a_span(spark):
+    rng = random.Random(4)
+    days = sorted(rng.sample(range(3000), 60))
+    rows = [("A", dt.date(2000, 1, 1) + dt.timedelta(days=d), f"{i:04d}", rng.randrange(2), rng.randrange(9)) for i, d in enumerate(days)]
+    _, result = computed(spark.createDataFrame(rows, SCHEMA), 7, 6, at_once=True)
+    assert result == brute(rows, 6)
+
+
 def test_one_team_holds_most_rows(spark):
     rows = make_rows({"hot": 3000, **{f"t{i}": 20 for i in range(20)}}, flip=0.1)
-    _, result = computed(spark.createDataFrame(rows, SCHEMA), 100, reach=5)
+    _, result = computed(spark.createDataFrame(rows, SCHEMA), 32, 5, at_once=True)
     assert result == brute(rows, 5)
 
 
-def test_no_window_holds_an_entity(spark):
-    """Windows over rows are within a date or a part; only totals per date are ordered by entity."""
+def test_no_window_holds_an_entity_and_no_row_is_joined(spark):
+    """Windows over rows are within a segment; only the rows that sum up segments are ordered by entity."""
     df = spark.createDataFrame(make_rows({"A": 50}), SCHEMA)
-    timeline = Timeline.of(df, ["team"], ["day", "id"]).with_runs("win", "length").with_windows(
-        4, {"mean": trailing_mean("pts", 5, 1)}
+    timeline = Timeline.of(df, ["team"], ["day", "id"]).scan(
+        {"wins": ("sum", F.col("win"))}, {"games": ("sum", F.lit(1))}, {"length": "win"}, 4, {"mean": trailing_mean("pts", 5, 1)}
     )
     plan = timeline.rows._jdf.queryExecution().optimizedPlan().toString()
-    groups = re.findall(r"Window \[.*\], \[([^\]]*)\], \[", plan)
+    groups = re.findall(r"Window \[.*\], \[([^\]]*)\]", plan)
     alone = [g for g in groups if re.fullmatch(r"team#\d+", g)]
-    below = [plan.split("\n")[i + 1] for i, line in enumerate(plan.split("\n")) if re.search(r"\], \[team#\d+\], \[", line)]
-    assert len(groups) > len(alone) and all("Aggregate [team" in line or "Project" in line or "Window" in line for line in below)
+    lines = plan.split("\n")
+    below = [lines[i + 1] for i, line in enumerate(lines) if re.search(r"Window .*\], \[team#\d+\]", line)]
+    assert "Join" not in plan and 0 < len(alone) < len(groups)
+    assert all("Aggregate [team" in line or "Project" in line or "Window" in line for line in below)
 
 
 def test_nothing_runs_while_models_are_built(spark):
@@ -93,9 +107,9 @@ def test_nothing_runs_while_models_are_built(spark):
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
 
 
-def test_reach_longer_than_a_chunk(spark):
+def test_reach_longer_than_a_segment(spark):
     rows = make_rows({"A": 100})
-    _, result = computed(spark.createDataFrame(rows, SCHEMA), 3, reach=10)
+    _, result = computed(spark.createDataFrame(rows, SCHEMA), 1, reach=10)
     assert result == brute(rows, 10)
 
 
