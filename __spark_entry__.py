@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.oracle import RETURN_DAY, SCORE_DAY, all_oracles
+from checks.oracle import RECAP_DAY, RETURN_DAY, SCORE_DAY, all_oracles
 from courtside import League
 from courtside.functions.dates import recap_monday, recap_sunday
 from courtside.functions.text import normalize_name
@@ -60,7 +60,8 @@ def league(spark: SparkSession, folder: str, **options) -> League:
 
 
 def _model(name: str, **options) -> Query:
-    day = RETURN_DAY if name == "returning_players" else SCORE_DAY
+    days = {"returning_players": RETURN_DAY, "pick_record": RECAP_DAY, "recap_lines": RECAP_DAY}
+    day = days.get(name, SCORE_DAY)
 
     def build(spark: SparkSession, folder: str) -> DataFrame:
         shared = {"work_folder": work_folder(spark)} if name == "game_card" else {}

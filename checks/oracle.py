@@ -10,7 +10,9 @@ from checks.rules import (
     GENERATION, NAME_RULES, PICK_TEXTS as PICK_INSIGHTS, PREVIEW_TEXTS as PREVIEW_INSIGHTS, PUBLISHED as PREVIEW_COLUMNS,
 )
 
-SCORE_DAY = "2024-01-14"
+# Days that the smallest tables reach as well: the last day with scored games there, and the end of that week.
+SCORE_DAY = "2024-01-03"
+RECAP_DAY = "2024-01-07"
 RETURN_DAY = "2001-07-28"
 
 
@@ -115,7 +117,7 @@ WHERE {_SPREAD_PICK} AND divergence_correct IS NOT NULL
 UNION ALL SELECT *, 'ou', model_ou_correct FROM m_latest_grades WHERE {_TOTAL_PICK} AND model_ou_correct IS NOT NULL""",
     "m_week": f"""
 SELECT CAST(sunday - 6 AS DATE) AS monday, sunday
-FROM (SELECT CAST(DATE '{SCORE_DAY}' - CAST(dayofweek(DATE '{SCORE_DAY}') AS INTEGER) AS DATE) AS sunday)""",
+FROM (SELECT CAST(DATE '{RECAP_DAY}' - CAST(dayofweek(DATE '{RECAP_DAY}') AS INTEGER) AS DATE) AS sunday)""",
 }
 
 _share = rounded("CASE WHEN total = 0 THEN 0e0 ELSE correct * 1e2 / total END", 1)
@@ -304,4 +306,4 @@ def all_oracles() -> dict[str, str]:
     return {name: assemble(sql, library) for name, sql in QUERIES.items()}
 
 
-__all__ = ["MODELS", "RAW", "RETURN_DAY", "SCORE_DAY", "all_oracles"]
+__all__ = ["MODELS", "RAW", "RECAP_DAY", "RETURN_DAY", "SCORE_DAY", "all_oracles"]
