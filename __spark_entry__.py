@@ -21,9 +21,9 @@ from courtside.functions.dates import recap_monday, recap_sunday
 from courtside.functions.text import normalize_name
 from courtside.plans import card, games, officials, picks, players, teams
 from courtside.sources import sinks
+from courtside.sources.commits import read_version, replace_table
 from courtside.sources.projection import SuppliedTables
 from courtside.sources.readers import RawTables, catalog_league
-from courtside.sources.schemas import PREVIEW_COLUMNS
 
 try:  # the text operators are an optional part
     import corpus_pipeline
@@ -72,9 +72,12 @@ def _model(name: str, **options) -> Query:
 
 def _positions(name: str, report: str, columns: list[str], *within: str) -> Query:
     """The place of each row of a model in its published order."""
-    return lambda spark, folder: sinks.with_position(_model(name)(spark, folder), report, *within).select(
-        *columns, "position"
-    )
+
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        path = None if within else work_folder(spark)
+        return sinks.with_position(_model(name)(spark, folder), report, *within, work_path=path).select(*columns, "position")
+
+    return build
 
 
 def _with_league(build: Callable[[League], DataFrame]) -> Query:
@@ -150,18 +153,34 @@ def merged_picks(lg: League) -> DataFrame:
 
 
 def preview_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Append the early batch of a day, then the late one, which leaves out what is published."""
+    """Append the early batch of a day, twice, then the late one, which leaves out what is published."""
     raw = SuppliedTables(spark, folder).raw()
     path = work_folder(spark)
-    sinks.append_previews(League(raw, as_of_date=SCORE_DAY).preview_batch("early"), path)
-    appended = lambda: spark.read.schema(raw["game_previews"].schema).parquet(path)
-    published = raw["game_previews"].unionByName(appended().select(raw["game_previews"].columns))
+    early = League(raw, as_of_date=SCORE_DAY).preview_batch("early")
+    for _ in range(2):
+        sinks.append_previews(early, path, f"{SCORE_DAY}-early")
+    published = raw["game_previews"].unionByName(sinks.read_previews(spark, path).select(raw["game_previews"].columns))
     later = RawTables.of({"scored_games": raw["scored_games"], "game_previews": published})
-    # Read before it is appended to: a batch must not read the folder that it writes.
-    late = work_folder(spark)
-    sinks.append_previews(League(later, as_of_date=SCORE_DAY).preview_batch("late"), late)
-    both = appended().unionByName(spark.read.schema(raw["game_previews"].schema).parquet(late))
-    return both.select(*PREVIEW_COLUMNS)
+    sinks.append_previews(League(later, as_of_date=SCORE_DAY).preview_batch("late"), path, f"{SCORE_DAY}-late")
+    return sinks.read_previews(spark, path)
+
+
+def merged_latest_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest versions, kept up to date from three batches that don't come in the order of time."""
+    scores, path = league(spark, folder).raw["scored_games"], work_folder(spark)
+    arrived = F.pmod(F.xxhash64("inserted_at", *KEY), F.lit(3))
+    for batch in range(3):
+        picks.update_latest_scores(scores.where(arrived == batch), path)
+    return read_version(spark, path, scores.schema)
+
+
+def replaced_seasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide games published with wrong points in some seasons, which are then replaced."""
+    scores, path = league(spark, folder).game_scores, work_folder(spark)
+    wrong = F.col("season") % 2 == 0
+    replace_table(scores.withColumn("home_points", F.when(~wrong, F.col("home_points"))), path, "season")
+    replace_table(scores.where(wrong), path, "season")
+    return read_version(spark, path, scores.schema)
 
 
 def published_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -259,6 +278,8 @@ def queries() -> dict[str, Query]:
         ),
         "merged_picks": _with_league(merged_picks),
         "preview_batches": preview_batches,
+        "merged_latest_scores": merged_latest_scores,
+        "replaced_seasons": replaced_seasons,
         "published_view": published_view,
         "published_table": published_table,
         "catalog_table": catalog_table,

@@ -251,6 +251,7 @@ SELECT DISTINCT game_date, CAST(game_date - CAST(dayofweek(game_date) AS INTEGER
     "clean_names_injury": f"SELECT doc_id, {_normalized('text', 'injury')} AS cleaned FROM documents",
     # scored games, picks, recap
     "latest_scores": "SELECT * FROM m_latest_scores",
+    "merged_latest_scores": "SELECT * FROM m_latest_scores",
     "signal_strengths": f"""
 SELECT game_date, home_team_id, away_team_id, inserted_at, {named(strengths())} FROM x_scored_games""",
     "qualified_picks": """
@@ -279,6 +280,7 @@ SELECT {_PREVIEW_LIST} FROM m_early UNION ALL SELECT {_PREVIEW_LIST} FROM m_late
     # sinks
     "published_view": "SELECT * EXCLUDE (game_recency) FROM m_record",
     "published_table": "SELECT * FROM m_scores",
+    "replaced_seasons": "SELECT * FROM m_scores",
     "catalog_table": "SELECT * FROM m_record",
     "catalog_games": "SELECT * FROM m_games",
     "published_layers": """

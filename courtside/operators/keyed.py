@@ -25,6 +25,23 @@ def newest_per_key(
     return ranked.drop(_RANK) if keep == 1 else ranked.withColumnRenamed(_RANK, "recency")
 
 
+def newest_state(rows: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
+    """The newest row of each key as a state that merges: newest by these columns, descending, nulls last.
+
+    One aggregate, combined before the shuffle. The newest row of a union is the newest row of the
+    newest rows of its parts, so a state and the rows that came later are enough, in whatever order
+    they come. Rows that are equal in ``newest_by`` are told apart by their other columns.
+    """
+    rest = [c for c in rows.columns if c not in keys and c not in newest_by]
+    newest = F.max(F.struct(*newest_by, *rest)).alias("_newest")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(rows.columns)
+
+
+def merge_newest(state: DataFrame, batch: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
+    """The state after a batch; only the two are read."""
+    return newest_state(state.unionByName(batch), keys, newest_by)
+
+
 def with_flag(df: DataFrame, flags: DataFrame, on: str, name: str) -> DataFrame:
     """Left-join one boolean column; a missing one is false."""
     return df.join(flags.select(on, name), on, "left").withColumn(

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions import pick_text as pt
 from courtside.functions.dates import as_date, minute_of_day
-from courtside.operators.keyed import newest_per_key
+from courtside.operators.keyed import merge_newest, newest_per_key
+from courtside.sources.commits import read_version, replace_table
 from courtside.sources.schemas import PICK_INSIGHTS, PREVIEW_INSIGHTS
 from courtside.sources.sinks import in_report_order
 
@@ -19,16 +20,31 @@ MODEL_COLUMNS = ["composite_score", "model_vs_market", "model_vs_line", "model_t
 LEVELS = ("STRONG", "MEDIUM")
 
 
+# Versions with one time stamp are decided by content, so that every run picks the same.
+CONTENT_ORDER = ["composite_score", "model_vs_market", "model_vs_line", "spread_home", "over_under"]
+
+
 def _content_order(df: DataFrame) -> list[Column]:
-    """Versions with one time stamp: decided by content, so that every run picks the same."""
-    model = ["composite_score", "model_vs_market", "model_vs_line", "spread_home", "over_under"]
-    return [F.col(c).desc() for c in model if c in df.columns]
+    return [F.col(c).desc() for c in CONTENT_ORDER if c in df.columns]
 
 
 def latest_scores(scores: DataFrame, stamp: str = "inserted_at") -> DataFrame:
     return newest_per_key(scores, GAME_KEY, [F.col(stamp).desc(), *_content_order(scores)])
 
 
+def update_latest_scores(batch: DataFrame, path: str, stamp: str = "inserted_at") -> int:
+    """Bring a kept table of newest versions up to date with the versions of a batch; its version number.
+
+    The table is in partitions by game date. Only the dates of the batch are read and replaced; the
+    batch's distinct dates pass the driver. Batches may come late, in any order, or twice.
+    """
+    days = [row[0] for row in batch.select("game_date").distinct().collect()]
+    parts = [f"game_date={'__HIVE_DEFAULT_PARTITION__' if day is None else day}" for day in days]
+    state = read_version(batch.sparkSession, path, batch.schema, parts)
+    newest_by = [stamp, *(c for c in CONTENT_ORDER if c in batch.columns)]
+    return replace_table(merge_newest(state, batch, GAME_KEY, newest_by), path, "game_date")
+
+
 def _in_batch(batch: str) -> Column:
     if batch not in ("early", "late"):
         raise ValueError("batch must be 'early' or 'late'")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from courtside.operators.staging import stage
+from courtside.sources.commits import append_once, read_appended
 from courtside.sources.schemas import PREVIEW_COLUMNS, RAW_SCHEMAS
 
 LAYER_SCHEMAS = {"staging": "staging", "intermediate": "intermediate", "marts": "marts"}
@@ -64,13 +66,30 @@ def in_report_order(df: DataFrame, report: str) -> DataFrame:
     return df.orderBy(*_order(report))
 
 
-def with_position(df: DataFrame, report: str, *within: str) -> DataFrame:
+def with_position(df: DataFrame, report: str, *within: str, work_path: str | None = None) -> DataFrame:
     """Add the place of each row in the report, from 1, counted anew for each value of ``within``.
 
-    A report is a list for readers, of a day or a season; without ``within`` one task numbers it.
+    With ``within`` a report is a list of a day or a kind, numbered by a window. Without it the whole
+    table is one list: rows are dealt to ranges of the order and written to ``work_path``, a folder
+    that all executors share, since a place is only right if a row's range doesn't change. Each range
+    is numbered on its own, from where the ranges before it end; one count per range passes the driver.
     """
-    place = F.row_number().over(Window.partitionBy(*within).orderBy(*_order(report)))
-    return df.withColumn("position", place.cast("bigint"))
+    order = _order(report)
+    if within:
+        place = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
+        return df.withColumn("position", place.cast("bigint"))
+    if work_path is None:
+        raise ValueError("a report without groups needs a work_path")
+    dealt = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranges = stage(dealt, work_path)
+    starts, total = [], 0
+    for number, rows in sorted(tuple(r) for r in ranges.groupBy("_range").count().collect()):
+        starts.append((number, total))
+        total += rows
+    offsets = df.sparkSession.createDataFrame(starts, "_range int, _start bigint")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = ranges.join(F.broadcast(offsets), "_range").withColumn("position", F.col("_start") + place)
+    return numbered.drop("_range", "_start")
 
 
 def preview_rows(flagged: DataFrame) -> DataFrame:
@@ -92,6 +111,14 @@ def preview_rows(flagged: DataFrame) -> DataFrame:
     return flagged.select(*columns)
 
 
-def append_previews(flagged: DataFrame, path: str) -> None:
-    """Append one batch, in folders by game date so that a day's read skips all others."""
-    preview_rows(flagged).write.mode("append").partitionBy("game_date").parquet(path)
+PREVIEW_SCHEMA = T.StructType([RAW_SCHEMAS["game_previews"][name] for name in PREVIEW_COLUMNS])
+
+
+def append_previews(flagged: DataFrame, path: str, batch: str) -> bool:
+    """Append one batch, by name, in folders by game date; a batch that is there already adds nothing."""
+    return append_once(preview_rows(flagged), path, batch, ["game_date"])
+
+
+def read_previews(spark: SparkSession, path: str) -> DataFrame:
+    """All batches appended so far."""
+    return read_appended(spark, path, PREVIEW_SCHEMA)
