@@ -48,9 +48,9 @@ def test_large_lookups_are_shuffled(large_session):
     assert all("current_season" in line for line in re.findall(r"BroadcastHashJoin.*", plan))
 
 
-def test_dates_spread_one_entity(large_session):
+def test_segments_spread_one_entity(large_session):
     plan = plan_of(registry.queries()["team_record"](large_session, FOLDER))
-    assert re.search(r"hashpartitioning\(team_id#\d+, game_date#\d+", plan)
+    assert re.search(r"hashpartitioning\(team_id#\d+, _segment#\d+", plan)
 
 
 def test_box_scores_are_scanned_once(spark):
