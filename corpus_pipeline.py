@@ -3,6 +3,7 @@
 Language identification drops what has no language, line deduplication cuts repeated lines, the n-gram join keeps
 one document of each near-duplicate group, span deduplication cuts repeated passages, packing tokenizes the rest.
 Every stage but the last returns the columns of documents, lang as predicted and n_chars as the text now is.
+The first stage bounds the session's Arrow batches for all of them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from courtside.llm.common import read_table, shared_folder
-from courtside.llm.language_id import fit, held_out, identify, rejected
+from courtside.llm.language_id import fit, held_out, identify, rejected, usual_means
 from courtside.llm.line_dedup import drop_repeated_lines
 from courtside.llm.ngram_join import near_duplicates
 from courtside.llm.packing import op6_packing
@@ -23,6 +24,17 @@ from courtside.llm.span_dedup import remove_repeats
 ORACLE_SQL = None
 
 
+#: Rows of an Arrow batch between executors and their Python workers, which both hold it while they work on it.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches: with whole texts, the default 10,000 rows are tens of megabytes a task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
     """docs with columns of these names renamed, and the names to give back."""
     back = {f"__{name}": name for name in names if name in docs.columns}
@@ -35,11 +47,14 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language that stands out; lang becomes the predicted one."""
-    model = fit(docs.where(~held_out()))
-    others, back = _aside(docs, "lang_pred", "score")
-    named = identify(others, model).where(~rejected()).withColumn("lang", F.col("lang_pred"))
-    return named.drop("lang_pred", "score").withColumnsRenamed(back).select(docs.columns)
+    """Drop documents without a language that stands out, or unlike any text of it; lang becomes the predicted one."""
+    _small_batches(spark)
+    labelled = docs.where(~held_out())
+    model = fit(labelled)
+    usual = usual_means(labelled, model)
+    others, back = _aside(docs, "lang_pred", "score", "log_mean")
+    named = identify(others, model, mean="log_mean").where(~rejected(usual, "log_mean")).withColumn("lang", F.col("lang_pred"))
+    return named.drop("lang_pred", "score", "log_mean").withColumnsRenamed(back).select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,9 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Below this share of the posterior a prediction counts as rejected.
 MIN_SCORE = 0.5
+#: Standard deviations that a text's mean log probability may lie below that of learned texts of its language and length,
+#: and how many learned texts it takes to know.
+USUAL_SPREAD, USUAL_TEXTS = 6.0, 50
 HELD_OUT_FOLD, FOLDS = 2, 4
 
 _SPACE = np.uint64(32)
@@ -69,8 +72,9 @@ class LanguageModel:
     prior: np.ndarray
     weights: np.ndarray
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        names, scores = [], np.zeros(len(texts))
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and share of the posterior of each text, and the mean log probability of its n-grams there."""
+        names, scores, means = [], np.zeros(len(texts)), np.zeros(len(texts))
         for a, b, part in _parts(texts):
             buckets, limits, letters = grams(part)
             total = np.tile(self.prior, (b - a, 1))
@@ -84,7 +88,8 @@ class LanguageModel:
             known = letters > 0
             names += [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, known)]
             scores[a:b] = np.where(known, share[np.arange(b - a), best], 0.0)
-        return names, scores
+            means[a:b] = (total[np.arange(b - a), best] - self.prior[best]) / (len(ORDERS) * np.diff(limits))
+        return names, scores, means
 
 
 def count_grams(rows: DataFrame, text: str, lang: str) -> DataFrame:
@@ -133,29 +138,63 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Language
     return LanguageModel(languages, prior, np.log(table / table.sum(axis=0)))
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """Add lang_pred and score to every row; other columns stay.
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", mean: str | None = None) -> DataFrame:
+    """Add lang_pred and score to every row, and if named the mean log probability of an n-gram; other columns stay.
 
     Null texts and texts without a letter are `und` with score 0. Equal posteriors go to the language
-    that sorts first. Columns of the same names are replaced.
+    that sorts first. Columns of the same names are replaced. A text is worked on whole, in parts of bounded size with
+    others; repeated rows get equal results.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    added = ["lang_pred", "score", *([mean] if mean else [])]
+    rest = [c for c in docs.columns if c not in added]
     schema = docs.select(rest).schema.add("lang_pred", "string").add("score", "double")
+    schema = schema.add(mean, "double") if mean else schema
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = rest.index(text)
         for batch in slices(batches):
             texts = batch.column(at).to_pylist()
-            names, scores = held.value.predict(texts) if held.value.languages else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*rest, "lang_pred", "score"])
+            none = np.zeros(len(texts))
+            names, scores, means = held.value.predict(texts) if held.value.languages else ([UNKNOWN] * len(texts), none, none)
+            columns = [pa.array(names, pa.string()), pa.array(scores), pa.array(means)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns[: len(added)]], [*rest, *added])
 
     return docs.select(rest).mapInArrow(predict, schema)
 
 
-def rejected() -> Column:
-    """Rows of identify that a filter should drop: no language found, or none ahead of all others."""
-    return (F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_SCORE)
+def _length_class(text: str) -> Column:
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def usual_means(labelled: DataFrame, model: LanguageModel, text: str = "text", lang: str = "lang") -> dict[str, dict[int, float]]:
+    """The least usual mean log probability of an n-gram, by language and class of length (powers of two).
+
+    From the learned texts whose language is found again: USUAL_SPREAD standard deviations below their mean. Classes
+    with fewer than USUAL_TEXTS texts are left out. What comes to the driver is a row per language and class.
+    """
+    usable = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    found = identify(usable, model, mean="mean").where("lang_pred = lang")
+    classes = found.groupBy("lang", _length_class("text").alias("size")).agg(F.count("*").alias("n"), F.avg("mean").alias("mean"), F.stddev("mean").alias("spread"))
+    least: dict[str, dict[int, float]] = {}
+    for row in classes.where(F.col("n") >= USUAL_TEXTS).collect():
+        least.setdefault(row["lang"], {})[row["size"]] = row["mean"] - USUAL_SPREAD * row["spread"]
+    return least
+
+
+def rejected(usual: dict[str, dict[int, float]], mean: str, text: str = "text") -> Column:
+    """Rows of identify that a filter should drop: no language found, none ahead of all others, or unusual in it.
+
+    A text is unusual if the mean log probability of its n-grams is below what is usual for its language and
+    length; longer texts than those known are held against the longest known, shorter ones against nothing.
+    """
+    low = F.lit(None).cast("double")
+    for lang, classes in sorted(usual.items()):
+        own = F.lit(None).cast("double")
+        for size, least in sorted(classes.items()):
+            own = F.when(_length_class(text) >= size, F.lit(least)).otherwise(own)
+        low = F.when(F.col("lang_pred") == lang, own).otherwise(low)
+    return (F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_SCORE) | F.coalesce(F.col(mean) < low, F.lit(False))
 
 
 def op10_language_id(docs: DataFrame) -> DataFrame:

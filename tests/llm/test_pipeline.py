@@ -57,7 +57,7 @@ def test_run_and_registry(spark, table):
     pieces = corpus_pipeline.run(spark, table)
     assert pieces.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert pieces.count() > 0
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_empty_table(spark):

@@ -73,6 +73,27 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script
 <form><label>Name</label><input><button>Send</button></form><footer>&copy; example.com</footer></body></html>"""
 
 
+def test_hidden_blocks_have_no_text():
+    shown = "<article><p>Shown text.</p>{}</article>"
+    for attributes in ("hidden", 'hidden=""', "HIDDEN", 'style="display: none"', "style='color:red;DISPLAY:none;'", 'style="visibility:hidden"'):
+        for tag in ("div", "span", "p"):
+            page = html_extract.Page(shown.format(f"<{tag} {attributes}>Unseen <b>words</b></{tag}> after"), {})
+            assert [x.strip() for _, _, x, _ in page.pieces if x.strip()] == ["Shown text.", "after"], (tag, attributes)
+    page = html_extract.Page(shown.format('<div class="hidden-gem" aria-hidden="false" style="display:block">Seen</div>'), {})
+    assert "Seen" in [x for _, _, x, _ in page.pieces]
+    assert html_extract.Page('<body style="display:none"><p>Fades in.</p></body>', {}).pieces
+
+
+def test_sampled_pages_lend_words_of_the_whole_page(spark):
+    tail = " ".join(f"late{i}" for i in range(600))
+    pages = [(1, "u", "<p>" + "early " * 9000 + "</p><p>" + tail + "</p>"), (2, "u", None), (3, "u", "")]
+    pages += [(9, "u", pages[0][2])]  # the same page again lends once
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    model = html_extract.fit(frame)
+    found = {r.page_id: r for r in html_extract.extract(frame, model).collect()}
+    assert found[1].text == found[9].text and found[2].text == found[3].text == "" and len(found) == 4
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     rng = random.Random(3)
@@ -215,6 +236,25 @@ def test_quality(spark):
     assert quality_rules.op4_quality_rules(docs(spark, clean[:5])).where("kept").count() == 5
 
 
+def test_rows_of_small_groups_are_judged(spark):
+    """A few rows of a rare source are judged by all vectors; so is a table that is small as a whole."""
+    rng = random.Random(60)
+    clean = [prose(rng, 8) for _ in range(260)]
+    junk = [re.sub(r"(\w+)", r"\1***%%%", prose(rng, 8)) for _ in range(4)]
+    rare = docs(spark, [*clean[240:], *junk], source="rare").withColumn("doc_id", F.col("doc_id") + 1000)
+    found = {r.doc_id: r for r in quality_rules.op4_quality_rules(docs(spark, clean[:240]).unionByName(rare)).collect()}
+    assert all(r.distance is not None for r in found.values()) and sorted(i for i, r in found.items() if not r.kept) == [1020, 1021, 1022, 1023]
+    small = {r.doc_id: r.kept for r in quality_rules.op4_quality_rules(docs(spark, [*clean[:90], *junk])).collect()}
+    assert [i for i, kept in small.items() if not kept] == [90, 91, 92, 93]
+
+
+def test_quality_of_ties_and_long_texts(spark):
+    text, long = prose(random.Random(61), 8), prose(random.Random(62), 3000)
+    found = quality_rules.op4_quality_rules(docs(spark, [text] * 210 + [long])).collect()
+    assert len({(r.distance, r.kept) for r in found if r.doc_id < 210}) == 1 and found[0].kept
+    assert {r.doc_id: r.n_words for r in found}[210] == len(SPACES.findall(long.encode()))
+
+
 # -- 5 ------------------------------------------------------------------------------------------------
 
 
@@ -375,6 +415,49 @@ def test_vectors_over_many_parts(spark, monkeypatch):
     assert np.mean([found[i] == reach[i] for i in found]) > 0.98
 
 
+def test_dense_groups_are_compared_completely(spark, monkeypatch):
+    """A third of the rows is one group, many times the window; a crowd close to it holds links below and above 0.95."""
+    monkeypatch.setattr(vector_dedup, "WINDOW", 32)
+    monkeypatch.setattr(vector_dedup, "BLOCK", 150)
+    rng = np.random.default_rng(14)
+    centre = rng.normal(size=24)
+    group = centre + rng.normal(size=(500, 24)) * 0.12
+    crowd = centre + rng.normal(size=(300, 24)) * 0.35
+    twins = crowd[:60] + rng.normal(size=(60, 24)) * 0.02
+    vectors = np.concatenate([group, crowd, twins, rng.normal(size=(640, 24)), group[:50]])
+    vectors = vectors[rng.permutation(len(vectors))]
+    rows = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in vector_dedup.op8_vector_dedup(rows).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    reach = smallest_reachable(range(len(vectors)), [(a, b) for a, b in zip(*np.nonzero(near)) if b < a])
+    counted = np.array([found[i].n_links for i in range(len(vectors))])
+    assert (counted <= near.sum(axis=1)).all() and counted.sum() >= 0.999 * near.sum() > 50_000
+    assert np.mean([found[i].component_id == reach[i] for i in found]) > 0.995
+
+
+def test_block_counts_and_components():
+    rng = np.random.default_rng(15)
+    units = rng.normal(size=(6, 8))[rng.integers(0, 6, 90)] + rng.normal(size=(90, 8)) * 0.05
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    crowds, copies = rng.integers(0, 3, (90, 4)), rng.integers(1, 4, 90)
+    near = units @ units.T >= 0.95
+    np.fill_diagonal(near, False)
+    earlier = ((crowds[:, None, :2] == crowds[None, :, :2]) & (crowds[:, None, :2] != 0)).any(axis=2)
+    for left, right in ((np.arange(90), None), (np.arange(40), np.arange(40, 90))):
+        met = np.zeros((90, 90), bool)
+        if right is None:
+            right = left
+            met[:] = True
+        else:
+            met[:40, 40:] = met[40:, :40] = True
+        counts, label = vector_dedup._linked(units, crowds, copies, 2, left, right)
+        assert (counts == (near & met & ~earlier) @ copies).all()
+        reach = smallest_reachable(range(90), [(a, b) for a, b in zip(*np.nonzero(near & met)) if b < a])
+        assert label.tolist() == [reach[i] for i in range(90)]
+
+
 # -- 9 ------------------------------------------------------------------------------------------------
 
 
@@ -437,6 +520,29 @@ def test_language_id(spark):
     assert np.mean([found[i].lang_pred == made[i][0] for i in held]) >= 0.97 and held
     assert [(found[i].lang_pred, found[i].score) for i in (900, 901, 902)] == [("und", 0.0)] * 3
     assert all(0 <= r.score <= 1 for r in found.values()) and found[903].lang_pred in alphabets
+
+
+def test_texts_unlike_any_language_are_rejected(spark):
+    rng = random.Random(17)
+    syllables = {"aa": "ba ce di fo gu ha".split(), "bb": "lem nor pis quo rat sel".split()}
+    made = lambda lang, n: " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    clean = [(lang, made(lang, rng.choice([8, 15, 40, 200, 900]))) for lang in syllables for _ in range(400)]
+    junk = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3000)), " ".join("".join(rng.choice("xzvwjk") for _ in range(5)) for _ in range(300)), "ж и й " * 200]
+    rows = docs(spark, []).unionByName(spark.createDataFrame(
+        [(i, t, lang, "s", 0) for i, (lang, t) in enumerate(clean)] + [(9000 + i, t, None, "s", 0) for i, t in enumerate([*junk, None, "12 34", "ba"])], DOCS))
+    model = language_id.fit(rows)
+    usual = language_id.usual_means(rows, model)
+    assert set(usual) == set(syllables) and all(len(x) >= 3 for x in usual.values())
+    found = language_id.identify(rows, model, mean="m").withColumn("gone", language_id.rejected(usual, "m")).collect()
+    assert sorted(r.doc_id for r in found if r.gone) == [9000, 9001, 9002, 9003, 9004]
+    assert language_id.identify(rows, language_id.LanguageModel([], np.zeros(0), np.zeros((1, 0))), mean="m").where(language_id.rejected({}, "m")).count() == len(found)
+
+
+def test_language_of_ties_repeated_rows_and_long_texts(spark):
+    rows = docs(spark, ["ab ab"] * 8, "aa").unionByName(docs(spark, ["ab ab"] * 8, "bb")).unionByName(docs(spark, ["ab " * 700_000], None))
+    learned = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 4 != 2)
+    found = language_id.op10_language_id(rows.withColumn("doc_id", F.lit(learned).cast("long"))).collect()
+    assert len(found) == 17 and {(r.lang_pred, round(r.score, 6)) for r in found} == {("aa", 0.5)}
     nothing = language_id.op10_language_id(spark.createDataFrame(rows[-3:], DOCS).withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
     assert language_id.op10_language_id(docs(spark, [])).count() == 0
