@@ -51,8 +51,17 @@ def save(df: DataFrame) -> DataFrame:
     return saved
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most so many rows, to bound what a Python worker holds of them."""
+#: What a Python worker keeps from one task to the next, by name: bounded by whoever puts it there.
+KEPT: dict[str, object] = {}
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, keep: str = "") -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows, to bound what a Python worker holds of them.
+
+    Workers are reused, so what tasks of another kind left in KEPT is dropped first, except what is named keep.
+    """
+    for name in [x for x in KEPT if x != keep]:
+        del KEPT[name]
     for batch in batches:
         for first in range(0, batch.num_rows, rows):
             yield batch.slice(first, rows)

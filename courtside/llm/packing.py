@@ -20,14 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tokenizers import Tokenizer
 
-from courtside.llm.common import passes, save, slices, utf8
+from courtside.llm.common import KEPT, passes, save, slices, utf8
 
 CAPACITY = 2048
 UNIT = 16
 CLASSES = CAPACITY // UNIT
 END_ID = 1
-#: Words whose ids a Python worker remembers; beyond it the memory starts anew.
-KNOWN_WORDS = 800_000
+#: Bytes of words and their ids that a Python worker remembers, about; beyond it the memory starts anew.
+KNOWN_BYTES = 160 << 20
+#: What a remembered word takes besides its characters: its object, its place in the dictionary, its ids.
+WORD_BYTES = 200
 #: Bytes of text split into words at once.
 SPLIT_BYTES = 4 << 20
 
@@ -45,8 +47,6 @@ class WordTokenizer:
     split there beforehand and fewer are distinct. An apostrophe isn't one of these marks: it can join.
     """
 
-    _open: dict[str, "WordTokenizer"] = {}
-
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
@@ -55,15 +55,17 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.size = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)  # where the ids of the k-th known word end
 
     @classmethod
     def of(cls, path: str) -> "WordTokenizer":
-        """One for each Python worker, so that later tasks find the words known."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        """One for each Python worker, so that later tasks of the same kind find the words known."""
+        held = KEPT.get("tokenizer")
+        if held is None or held[0] != path:
+            KEPT["tokenizer"] = held = (path, cls(path))
+        return held[1]
 
     def _learn(self, words: list[str]) -> None:
         for i in range(0, len(words), 4096):
@@ -81,9 +83,11 @@ class WordTokenizer:
 
     def _codes(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KNOWN_WORDS:
+        size = sum(map(len, new)) + WORD_BYTES * len(new)
+        if self.known and self.size + size > KNOWN_BYTES:
             self._forget()
-            new = words
+            new, size = words, sum(map(len, words)) + WORD_BYTES * len(words)
+        self.size += size
         self._learn(new)
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
@@ -118,7 +122,7 @@ def cut(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.of(tokenizer_path)
-        for batch in slices(batches, 2000):
+        for batch in slices(batches, 2000, keep="tokenizer"):
             whole = utf8(batch.column(1))
             for first, last in passes(whole, SPLIT_BYTES):
                 texts = whole[first:last]
