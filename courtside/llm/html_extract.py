@@ -20,6 +20,8 @@ from courtside.llm.page_layouts import MARK, labelled_page
 
 #: Pages whose words make the training layouts, and layouts made of them.
 TRAIN_SAMPLE, TRAIN_PAGES = 200, 900
+#: Consecutive words that a sampled page lends at most, from a place that its hash chooses.
+LENT_WORDS = 500
 SEED = 11
 
 # Elements of HTML by their role.
@@ -82,6 +84,17 @@ def _attribute_kinds(text: str, seen: dict[str, int]) -> int:
     return seen[text]
 
 
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+
+
+def _unseen(text: str) -> bool:
+    """Whether attributes hide an element: `hidden`, or a style that doesn't display it."""
+    lower = text.lower()
+    if "hidden" not in lower and "none" not in lower:
+        return False
+    return any(name.lower() == "hidden" or name.lower() == "style" and _UNSEEN.search(value) for name, value in _ATTRIBUTE.findall(text))
+
+
 class Page:
     """Block elements in document order, and text pieces with the element and the run that hold them.
 
@@ -91,14 +104,14 @@ class Page:
     def __init__(self, source: str, seen: dict[str, int]) -> None:
         self.tags, self.parents, self.kinds, self.marks = ["html"], [-1], [0], [False]
         self.pieces: list[tuple[int, int, str, bool]] = []
-        open_: list[tuple[str, int]] = [("html", 0)]  # tag, block element
+        open_: list[tuple[str, int, bool]] = [("html", 0, False)]  # tag, block element, whether its text is hidden
         run = links = hidden = at = 0
 
         def close(k: int) -> None:
             nonlocal links, hidden, run
-            for tag, _ in open_[k:]:
+            for tag, _, hides in open_[k:]:
                 links -= tag == "a"
-                hidden -= tag in HIDDEN
+                hidden -= hides
                 run += tag in KIND_OF
             del open_[k:]
 
@@ -166,9 +179,10 @@ class Page:
                 if tag in HIDDEN:
                     at = end.start() if end else len(source)
             if not attributes.endswith("/") or tag in KIND_OF or tag in RAW:
-                open_.append((tag, block))
+                hides = tag in HIDDEN or tag not in ("html", "body") and _unseen(attributes)
+                open_.append((tag, block, hides))
                 links += tag == "a"
-                hidden += tag in HIDDEN
+                hidden += hides
 
     def features(self) -> np.ndarray:
         """A row for each block element."""
@@ -254,13 +268,21 @@ def fit(pages: DataFrame, column: str = "html") -> BoostedTrees:
     """Train on TRAIN_PAGES generated layouts filled with the words of at most TRAIN_SAMPLE pages.
 
     The layouts label each block as they are made. The pages, those whose html hashes lowest, only lend words, so
-    that densities and lengths are like theirs.
+    that densities and lengths are like theirs: at most LENT_WORDS each, taken from the whole page.
     """
-    rows = pages.where(F.length(column) > 0).select(F.xxhash64(column).alias("h"), F.substring(column, 1, 20_000).alias("source"))
+    rows = pages.where(F.length(column) > 0).select(F.xxhash64(column).alias("h"), F.col(column).alias("source"))
     last = rows.select("h").distinct().orderBy("h").limit(TRAIN_SAMPLE).agg(F.max("h").alias("h")).first()["h"]
-    sample = rows.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min("source").alias("source")).orderBy("h").collect()
+
+    def lend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, source in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = [w for _, _, text, _ in Page(source.as_py(), {}).pieces for w in text.split()]
+                at = h % max(1, len(words) - LENT_WORDS + 1)
+                yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([words[at : at + LENT_WORDS]], pa.list_(pa.string()))], ["h", "words"])
+
+    sample = rows.where(F.col("h") <= F.lit(last)).mapInArrow(lend, "h long, words array<string>").dropDuplicates(["h"]).orderBy("h").collect()
+    words = [w for row in sample for w in row["words"]] or ["word."]
     seen: dict[str, int] = {}
-    words = [w for row in sample for _, _, text, _ in Page(row["source"], seen).pieces for w in text.split()] or ["word."]
     rng = np.random.default_rng(SEED)
     made = [Page(labelled_page(rng, words), seen) for _ in range(TRAIN_PAGES)]
     return train(np.concatenate([p.features() for p in made]), np.concatenate([p.labels() for p in made]))

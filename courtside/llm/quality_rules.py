@@ -192,15 +192,16 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     """Columns of docs without the text, COUNTS, base_failed, distance and kept.
 
     Null texts have no words and fail the base rules; failing rows have a null distance. A null language or source is a
-    group of its own. Groups under MIN_ROWS are estimated together, and if even these are fewer than that, all pass.
+    group of its own. Rows of groups under MIN_ROWS are judged by the estimate over all vectors of the table.
     """
     counted = save(with_counts(docs, text))
     group = F.to_json(F.struct(lang, source))
     fine = counted.where("not base_failed").withColumn("v", F.array(*features())).withColumn("own", group)
     large = fine.groupBy("own").agg(F.count("*").alias("rows")).where(F.col("rows") >= MIN_ROWS).select("own", F.col("own").alias("group"))
     grouped = fine.join(large, "own", "left").withColumn("group", F.coalesce("group", F.lit("")))
-    few = grouped.where("group = ''").count() < MIN_ROWS
-    vectors = grouped.select("group", "v").where("group <> ''") if few else grouped.select("group", "v")
+    vectors = grouped.select("group", "v").where("group <> ''")
+    if not grouped.where("group = ''").isEmpty():
+        vectors = vectors.unionByName(fine.select(F.lit("").alias("group"), "v"))
     found = estimates(vectors)
     off, distance = _distance()
     rest = counted.columns
