@@ -59,11 +59,16 @@ def with_total(df: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def in_season(df: DataFrame, season_now: Season) -> DataFrame:
-    """Rows of one season; a given year is a literal, which reaches the scan."""
+    """Rows of one season; a given year is a literal, which reaches the scan.
+
+    A season that is known at run time only is joined by equality, so that folders by season of other
+    seasons are skipped once it is known. Dynamic pruning asks for a filter on that side; seasons are
+    years, so this one drops nothing.
+    """
     if isinstance(season_now, int):
         return df.where(F.col("season") == F.lit(season_now).cast("bigint"))
-    current = with_total(df, season_now).where(F.col("season") == F.col("current_season"))
-    return current.drop("current_season")
+    current = F.broadcast(season_now.where(F.col("current_season") > 0))
+    return df.join(current, F.col("season") == F.col("current_season")).drop("current_season")
 
 
 def with_season_age(df: DataFrame, season_now: Season, name: str) -> DataFrame:

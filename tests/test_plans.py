@@ -69,6 +69,17 @@ def test_a_given_season_reaches_the_scan(spark, tmp_path):
     assert re.search(r"FileScan parquet.*PartitionFilters: \[isnotnull\(season", plan)
 
 
+def test_the_newest_season_prunes_folders_at_run_time(spark, tmp_path):
+    raw = registry.SuppliedTables(spark, "/root/testdata/sf0.001").raw()
+    raw["games"].write.partitionBy("season").parquet(f"{tmp_path}/games")
+    raw["team_game_stats"].write.parquet(f"{tmp_path}/team_game_stats")
+    league = registry.League(read_league(spark, str(tmp_path)))
+    pairs = registry.card.season_pairs(league.boxes, league.season_now)
+    assert "SubqueryAdaptiveBroadcast dynamicpruning" in plan_of(pairs)
+    whole = registry.card.season_pairs(registry.League(raw).boxes, registry.League(raw).season_now)
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(registry.queries()["head_to_head"](spark, FOLDER))
     assert "l_tax" not in plan and "l_extendedprice" not in plan and "o_totalprice" not in plan
