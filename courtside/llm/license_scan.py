@@ -1,8 +1,9 @@
-"""License scans: TF-IDF cosine of lines to license templates, then inheritance from the nearest directory.
+"""License scans: TF-IDF cosine of headers and license files to templates, then inheritance from the nearest directory.
 
-Every line of every file is a candidate header or notice. A license file (LICENSE, COPYING or NOTICE, with any
-extension) speaks for its directory and all below; a file without a license of its own takes that of its nearest
-ancestor directory that has one.
+Of every file these stretches are compared with titles, notices and whole texts of licenses: the whole file, its
+header (comment lines it starts with), every paragraph, and every one to three consecutive lines. An SPDX tag says
+what it says. A license file (LICENSE, COPYING or NOTICE, with any extension) speaks for its directory and all
+below; a file without a license of its own takes that of its nearest ancestor directory that has one.
 """
 
 from __future__ import annotations
@@ -11,32 +12,24 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Least cosine of a line and a template.
+from courtside.llm.license_texts import TEMPLATES, TEXTS, TITLES
+
+#: Least cosine of a stretch and a template.
 MIN_COSINE = 0.7
+#: Most consecutive lines that are compared on their own, wherever they stand.
+LINES = 3
 #: Consecutive doc_ids that share the digits of a path.
 FILES = 20
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\.[^/]*)?$"
-
-# License ids and the usual short notices.
-TEMPLATES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("MIT", "Released under the MIT License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license (3-clause BSD license)."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "Released under CC0 1.0 Universal, dedicated to the public domain."),
-]
+SPDX_TAG = "SPDX-License-Identifier:"
+SPDX_NAME = r"[ \t]*\(?([A-Za-z0-9.+-]+(?: (?:OR|AND|WITH) [A-Za-z0-9.+-]+)*)"
+#: A line that a header may hold: without a word, or marked as a comment.
+COMMENT = r"^\s*(?:#|//|/\*|\*|--|;|%|<!--)|^[^A-Za-z0-9]*$"
 
 
 def templates_table(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """(license, notice) rows."""
+    """(license, notice) rows; a license may have several."""
     rows = F.array(*(F.struct(F.lit(a).alias("license"), F.lit(b).alias("notice")) for a, b in templates))
     return spark.range(1).select(F.inline(rows))
 
@@ -46,32 +39,32 @@ def _words(text: Column) -> Column:
 
 
 def weights(files: DataFrame, templates: DataFrame, text: str) -> tuple[DataFrame, DataFrame, float]:
-    """(term, idf) of all template terms, (license, term, weight) unit vectors, and the idf of any other term.
+    """(term, idf) of all template terms, (license, notice, term, idf, weight) unit vectors, and the idf of any other term.
 
     The document frequencies are counted over all files. Only the template terms come to the driver.
     """
-    terms = templates.select("license", F.explode(_words(F.col("notice"))).alias("term"))
+    terms = templates.select("license", F.xxhash64("license", "notice").alias("notice"), F.explode(_words(F.col("notice"))).alias("term"))
     names = [row["term"] for row in terms.select("term").distinct().orderBy("term").collect()]
     rows = files.count()
     known = F.array_intersect(_words(F.col(text)), F.array(*map(F.lit, names)))
     counts = files.select(F.explode(known).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     frequency = F.coalesce("df", F.lit(0))
     idf = terms.select("term").distinct().join(counts, "term", "left").select("term", (F.log((1 + F.lit(rows)) / (1 + frequency)) + 1).alias("idf"))
-    vectors = terms.groupBy("license", "term").agg(F.count("*").alias("tf")).join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norms = vectors.groupBy("license").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    vectors = terms.groupBy("license", "notice", "term").agg(F.count("*").alias("tf")).join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    norms = vectors.groupBy("notice").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     other = math.log(1 + rows) + 1
-    return idf, vectors.join(norms, "license").select("license", "term", (F.col("raw") / F.col("norm")).alias("weight")), other
+    return idf, vectors.join(norms, "notice").select("license", "notice", "term", "idf", (F.col("raw") / F.col("norm")).alias("weight")), other
 
 
 def cues(vectors: DataFrame) -> list[str]:
-    """Terms without any of which no line reaches MIN_COSINE: of each template the heaviest, until the rest is too light."""
-    by_license: dict[str, list[tuple[float, str]]] = {}
+    """Terms without any of which nothing reaches MIN_COSINE: of each template the rarest, until the rest is too light."""
+    by_notice: dict[int, list[tuple[float, float, str]]] = {}
     for row in vectors.collect():  # bounded by the templates
-        by_license.setdefault(row["license"], []).append((row["weight"], row["term"]))
+        by_notice.setdefault(row["notice"], []).append((row["idf"], row["weight"], row["term"]))
     found = set()
-    for pairs in by_license.values():
+    for terms in by_notice.values():
         left = 1.0
-        for weight, term in sorted(pairs, reverse=True):
+        for _, weight, term in sorted(terms, reverse=True):
             if left < MIN_COSINE**2 - 1e-9:
                 break
             found.add(term)
@@ -79,24 +72,55 @@ def cues(vectors: DataFrame) -> list[str]:
     return sorted(found)
 
 
+def stretches(text: Column) -> Column:
+    """Array of (line, lines, content): the stretches of a text that are compared; those that coincide are given once.
+
+    A paragraph is a run of lines with words. Work and size grow in proportion to the text.
+    """
+    parts = F.split(text, "\n")
+    count = F.size(parts)
+    worded = lambda i: F.get(parts, i).rlike("[A-Za-z0-9]")
+    every = F.sequence(F.lit(0), count - 1)
+    first = F.filter(every, lambda i: worded(i) & ((i == 0) | ~worded(i - 1)))
+    last = F.filter(every, lambda i: worded(i) & ((i == count - 1) | ~worded(i + 1)))
+    header = F.coalesce(F.get(F.filter(every, lambda i: ~F.get(parts, i).rlike(COMMENT)), 0), count)
+    span = lambda at, n: F.struct(at.cast("int").alias("line"), n.cast("int").alias("lines"))
+    spans = F.concat(
+        F.array(span(F.lit(0), count), span(F.lit(0), header)),
+        F.zip_with(first, last, lambda a, b: span(a, b - a + 1)),
+        *(F.transform(every, lambda i, n=n: span(i, F.lit(n))) for n in range(1, LINES + 1)),
+    )
+    kept = F.filter(F.array_distinct(spans), lambda x: (x["lines"] > 0) & (x["line"] + x["lines"] <= count))
+    return F.transform(kept, lambda x: F.struct(x["line"], x["lines"], F.array_join(F.slice(parts, x["line"] + 1, x["lines"]), "\n").alias("content")))
+
+
+def declared(text: Column) -> tuple[Column, Column]:
+    """What the first SPDX tag of a text says, else null, and the line that it stands in."""
+    before = F.substring_index(text, SPDX_TAG, 1)
+    name = F.regexp_extract(F.substr(text, F.length(before) + 1), "^" + SPDX_TAG + SPDX_NAME, 1)
+    return F.when(name != "", name), F.when(name != "", F.size(F.split(before, "\n")) - 1)
+
+
 def scan_lines(files: DataFrame, templates: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """(path, digest, license, score, line): the best notice of each text that has one; ties go to the first line.
+    """(path, digest, license, score, line): the best template of each text that has one, and where its stretch begins.
 
-    Rows with the same path and text give one row.
+    Ties go to the first line, then to fewer lines. Rows with the same path and text give one row.
     """
     idf, vectors, other = weights(files, templates, text)
     pattern = r"(?<![a-z0-9])(" + "|".join(x.replace(".", r"\.") for x in cues(vectors)) + ")(?![a-z0-9])"
     marked = files.where(F.lower(text).rlike(pattern)).select(path, F.xxhash64(text).alias("digest"), text).distinct()
-    lines = marked.select(path, "digest", F.posexplode(F.split(text, "\n")).alias("line", "content"))
-    words = lines.where(F.lower("content").rlike(pattern)).select(path, "digest", "line", F.explode(_words(F.col("content"))).alias("term"))
-    counted = words.groupBy(path, "digest", "line", "term").agg(F.count("*").alias("tf"))
+    parts = marked.select(path, "digest", F.inline(stretches(F.col(text)))).where(F.lower("content").rlike(pattern))
+    words = parts.select(path, "digest", "line", "lines", F.explode(_words(F.col("content"))).alias("term"))
+    names = [path, "digest", "line", "lines"]
+    counted = words.groupBy(*names, "term").agg(F.count("*").alias("tf"))
     weighed = counted.join(F.broadcast(idf), "term", "left").withColumn("raw", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    key = [F.col(path), F.col("digest"), F.col("line")]
-    norms = weighed.groupBy(*key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")).withColumnsRenamed({path: "p", "digest": "d", "line": "l"})
-    dots = weighed.join(F.broadcast(vectors), "term").groupBy(*key, "license").agg(F.sum(F.col("raw") * F.col("weight")).alias("dot"))
-    same = dots[path].eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")) & (F.col("line") == F.col("l"))
+    aside = {path: "p", "digest": "d", "line": "l", "lines": "n"}
+    norms = weighed.groupBy(*names).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")).withColumnsRenamed(aside)
+    shared = weighed.join(F.broadcast(vectors.select("license", "notice", "term", "weight")), "term")
+    dots = shared.groupBy(*names, "license", "notice").agg(F.sum(F.col("raw") * F.col("weight")).alias("dot"))
+    same = dots[path].eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")) & (F.col("line") == F.col("l")) & (F.col("lines") == F.col("n"))
     scored = dots.join(norms, same).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= MIN_COSINE)
-    best = F.max(F.struct("score", (-F.col("line")).alias("before"), "license")).alias("best")
+    best = F.max(F.struct("score", (-F.col("line")).alias("before"), (-F.col("lines")).alias("shorter"), "license")).alias("best")
     return scored.groupBy(path, "digest").agg(best).select(path, "digest", "best.license", "best.score", (-F.col("best.before")).alias("line"))
 
 
@@ -124,14 +148,20 @@ def inherit(found: DataFrame, path: str = "path") -> DataFrame:
 def scan_licenses(files: DataFrame, templates: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """The other columns of files with own_license, score, line, dir, inherited, inherited_from and license.
 
-    license is the own one, else the inherited one, else null. Null and empty texts have none of their own. Columns of
-    those names are replaced.
+    The own license is what an SPDX tag says (score 1), else the best template's; license is the own one, else the
+    inherited one, else null. Null and empty texts have none of their own. Repeated rows are kept, each with the same
+    result. Columns of those names are replaced.
     """
     added = ("own_license", "score", "line", "dir", "inherited", "inherited_from", "license", "digest")
     rest = [c for c in files.columns if c not in (*added, text)]
     own = scan_lines(files, templates, path, text).withColumnsRenamed({path: "p", "digest": "d"})
-    rows = files.select(*rest, F.xxhash64(text).alias("digest"))
-    joined = rows.join(own, rows[path].eqNullSafe(own["p"]) & (rows["digest"] == own["d"]), "left").drop("p", "d", "digest")
+    tag, at = declared(F.col(text))
+    rows = files.select(*rest, F.xxhash64(text).alias("digest"), F.struct(tag.alias("name"), at.alias("line")).alias("own_license"))
+    joined = rows.join(own, rows[path].eqNullSafe(own["p"]) & (rows["digest"] == own["d"]), "left").select(
+        *(rows[c] for c in rest), F.coalesce("own_license.name", "license").alias("license"),
+        F.when(F.col("own_license.name").isNotNull(), 1.0).otherwise(F.col("score")).alias("score"),
+        F.coalesce("own_license.line", "line").alias("line"),
+    )
     return inherit(joined, path).select(
         *rest, F.col("license").alias("own_license"), "score", "line", "dir", "inherited", "inherited_from",
         F.coalesce("license", "inherited").alias("license"),
@@ -156,5 +186,5 @@ def document_paths(docs: DataFrame) -> DataFrame:
 def op2_license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, path, own_license, score, line, inherited, inherited_from, license of every document."""
     files = document_paths(docs.select("doc_id", "source", "text"))
-    found = scan_licenses(files, templates_table(docs.sparkSession))
+    found = scan_licenses(files, templates_table(docs.sparkSession, TEMPLATES + TITLES + TEXTS))
     return found.select("doc_id", "path", "own_license", "score", "line", "inherited", "inherited_from", "license")
