@@ -12,10 +12,15 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from courtside.llm.common import save
 from courtside.llm.license_texts import TEMPLATES, TEXTS, TITLES
 
 #: Least cosine of a stretch and a template.
 MIN_COSINE = 0.7
+#: A stretch is compared with templates of at least this part of its words: prose that mentions a license isn't one.
+LEAST_PART = 0.5
+#: Share of a template's squared weights that the terms sought in a stretch may leave out.
+SPARE = 0.2
 #: Most consecutive lines that are compared on their own, wherever they stand.
 LINES = 3
 #: Consecutive doc_ids that share the digits of a path.
@@ -39,7 +44,7 @@ def _words(text: Column) -> Column:
 
 
 def weights(files: DataFrame, templates: DataFrame, text: str) -> tuple[DataFrame, DataFrame, float]:
-    """(term, idf) of all template terms, (license, notice, term, idf, weight) unit vectors, and the idf of any other term.
+    """(term, idf) of all template terms, (license, notice, size, term, idf, weight) unit vectors, and the idf of any other term.
 
     The document frequencies are counted over all files. Only the template terms come to the driver.
     """
@@ -50,26 +55,42 @@ def weights(files: DataFrame, templates: DataFrame, text: str) -> tuple[DataFram
     counts = files.select(F.explode(known).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     frequency = F.coalesce("df", F.lit(0))
     idf = terms.select("term").distinct().join(counts, "term", "left").select("term", (F.log((1 + F.lit(rows)) / (1 + frequency)) + 1).alias("idf"))
+    idf = save(idf)  # bounded by the templates; the texts are read for it once
     vectors = terms.groupBy("license", "notice", "term").agg(F.count("*").alias("tf")).join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norms = vectors.groupBy("notice").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    norms = vectors.groupBy("notice").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"), F.sum("tf").alias("size"))
     other = math.log(1 + rows) + 1
-    return idf, vectors.join(norms, "notice").select("license", "notice", "term", "idf", (F.col("raw") / F.col("norm")).alias("weight")), other
+    return idf, vectors.join(norms, "notice").select("license", "notice", "size", "term", "idf", (F.col("raw") / F.col("norm")).alias("weight")), other
 
 
-def cues(vectors: DataFrame) -> list[str]:
-    """Terms without any of which nothing reaches MIN_COSINE: of each template the rarest, until the rest is too light."""
-    by_notice: dict[int, list[tuple[float, float, str]]] = {}
+def needed_terms(vectors: DataFrame) -> list[tuple[int, int, set[str], set[str]]]:
+    """(n, size, one, some): a match has, for one of them, at most size words, a term of `one`, and n of `some`.
+
+    A cosine of MIN_COSINE needs MIN_COSINE^2 of a template's squared weights in shared terms. The first set leaves less
+    outside, so one of its terms is shared; the second leaves SPARE, so at least as many as make up the rest are.
+    Both take the rarest terms of each template, so that prose has few.
+    """
+    by_notice: dict[tuple[int, int], list[tuple[float, float, str]]] = {}
     for row in vectors.collect():  # bounded by the templates
-        by_notice.setdefault(row["notice"], []).append((row["idf"], row["weight"], row["term"]))
-    found = set()
-    for terms in by_notice.values():
-        left = 1.0
+        by_notice.setdefault((row["notice"], row["size"]), []).append((row["idf"], row["weight"], row["term"]))
+    found: dict[tuple[int, int], tuple[set[str], set[str], set[int]]] = {}
+    for (_, size), terms in by_notice.items():
+        least = MIN_COSINE**2 - 1e-9
+        left, one, some = 1.0, set(), {}
         for _, weight, term in sorted(terms, reverse=True):
-            if left < MIN_COSINE**2 - 1e-9:
-                break
-            found.add(term)
-            left -= weight**2
-    return sorted(found)
+            if left >= least:
+                one.add(term)
+            if left >= SPARE:
+                some[term] = weight**2
+                left -= weight**2
+        n, rest = 0, least - max(left, 0.0)
+        for mass in sorted(some.values(), reverse=True):
+            if rest > 0:
+                n, rest = n + 1, rest - mass
+        most = int(size / LEAST_PART)
+        sets = found.setdefault((n, most.bit_length()), (set(), set(), set()))  # like sizes together
+        for own, more in zip(sets, (one, some, {most})):
+            own.update(more)
+    return [(n, max(sizes), one, some) for (n, _), (one, some, sizes) in sorted(found.items())]
 
 
 def stretches(text: Column) -> Column:
@@ -77,21 +98,26 @@ def stretches(text: Column) -> Column:
 
     A paragraph is a run of lines with words. Work and size grow in proportion to the text.
     """
-    parts = F.split(text, "\n")
-    count = F.size(parts)
-    worded = lambda i: F.get(parts, i).rlike("[A-Za-z0-9]")
-    every = F.sequence(F.lit(0), count - 1)
-    first = F.filter(every, lambda i: worded(i) & ((i == 0) | ~worded(i - 1)))
-    last = F.filter(every, lambda i: worded(i) & ((i == count - 1) | ~worded(i + 1)))
-    header = F.coalesce(F.get(F.filter(every, lambda i: ~F.get(parts, i).rlike(COMMENT)), 0), count)
     span = lambda at, n: F.struct(at.cast("int").alias("line"), n.cast("int").alias("lines"))
-    spans = F.concat(
-        F.array(span(F.lit(0), count), span(F.lit(0), header)),
-        F.zip_with(first, last, lambda a, b: span(a, b - a + 1)),
-        *(F.transform(every, lambda i, n=n: span(i, F.lit(n))) for n in range(1, LINES + 1)),
-    )
-    kept = F.filter(F.array_distinct(spans), lambda x: (x["lines"] > 0) & (x["line"] + x["lines"] <= count))
-    return F.transform(kept, lambda x: F.struct(x["line"], x["lines"], F.array_join(F.slice(parts, x["line"] + 1, x["lines"]), "\n").alias("content")))
+
+    def cut(parts: Column) -> Column:
+        count = F.size(parts)
+        every = F.sequence(F.lit(0), count - 1)
+        worded = F.transform(parts, lambda x: x.rlike("[A-Za-z0-9]"))
+        # Lines with words after, and before, one without.
+        first = F.filter(F.transform(worded, lambda x, i: F.when(x & ((i == 0) | ~F.get(parts, i - 1).rlike("[A-Za-z0-9]")), i)), F.isnotnull)
+        last = F.filter(F.transform(worded, lambda x, i: F.when(x & ((i == count - 1) | ~F.get(parts, i + 1).rlike("[A-Za-z0-9]")), i)), F.isnotnull)
+        header = F.coalesce(F.array_position(F.transform(parts, lambda x: x.rlike(COMMENT)), False) - 1, count)
+        spans = F.concat(
+            F.array(span(F.lit(0), count), span(F.lit(0), F.when(header < 0, count).otherwise(header))),
+            F.zip_with(first, last, lambda a, b: span(a, b - a + 1)),
+            *(F.transform(every, lambda i, n=n: span(i, F.lit(n))) for n in range(1, LINES + 1)),
+        )
+        kept = F.filter(F.array_distinct(spans), lambda x: (x["lines"] > 0) & (x["line"] + x["lines"] <= count))
+        return F.transform(kept, lambda x: F.struct(x["line"], x["lines"], F.array_join(F.slice(parts, x["line"] + 1, x["lines"]), "\n").alias("content")))
+
+    # The lines are bound once: an expression inside a lambda is computed for every element.
+    return F.get(F.transform(F.array(F.split(text, "\n")), cut), 0)
 
 
 def declared(text: Column) -> tuple[Column, Column]:
@@ -104,23 +130,41 @@ def declared(text: Column) -> tuple[Column, Column]:
 def scan_lines(files: DataFrame, templates: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """(path, digest, license, score, line): the best template of each text that has one, and where its stretch begins.
 
-    Ties go to the first line, then to fewer lines. Rows with the same path and text give one row.
+    Only templates of at least LEAST_PART of a stretch's words count. Ties go to the first line, then to fewer
+    lines. Rows with the same path and text give one row.
     """
     idf, vectors, other = weights(files, templates, text)
-    pattern = r"(?<![a-z0-9])(" + "|".join(x.replace(".", r"\.") for x in cues(vectors)) + ")(?![a-z0-9])"
+    needed = needed_terms(vectors)
+    cues = sorted(set().union(*(one for _, _, one, _ in needed)))
+    pattern = r"(?<![a-z0-9])(" + "|".join(x.replace(".", r"\.") for x in cues) + ")(?![a-z0-9])"
+    literal = lambda terms: F.array(*map(F.lit, sorted(terms)))
+
+    def enough(words: Column) -> Column:
+        found = F.lit(False)
+        for n, size, one, some in needed:
+            found |= (F.size(words) <= size) & F.arrays_overlap(words, literal(one)) & (F.size(F.array_intersect(words, literal(some))) >= n)
+        return found
+
     marked = files.where(F.lower(text).rlike(pattern)).select(path, F.xxhash64(text).alias("digest"), text).distinct()
     parts = marked.select(path, "digest", F.inline(stretches(F.col(text)))).where(F.lower("content").rlike(pattern))
-    words = parts.select(path, "digest", "line", "lines", F.explode(_words(F.col("content"))).alias("term"))
-    names = [path, "digest", "line", "lines"]
-    counted = words.groupBy(*names, "term").agg(F.count("*").alias("tf"))
-    weighed = counted.join(F.broadcast(idf), "term", "left").withColumn("raw", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    aside = {path: "p", "digest": "d", "line": "l", "lines": "n"}
-    norms = weighed.groupBy(*names).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")).withColumnsRenamed(aside)
-    shared = weighed.join(F.broadcast(vectors.select("license", "notice", "term", "weight")), "term")
-    dots = shared.groupBy(*names, "license", "notice").agg(F.sum(F.col("raw") * F.col("weight")).alias("dot"))
-    same = dots[path].eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")) & (F.col("line") == F.col("l")) & (F.col("lines") == F.col("n"))
-    scored = dots.join(norms, same).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= MIN_COSINE)
-    best = F.max(F.struct("score", (-F.col("line")).alias("before"), (-F.col("lines")).alias("shorter"), "license")).alias("best")
+    names = [path, "digest", "line", "lines", "size"]
+    # All groups below hold one stretch each: they are made where this puts it.
+    chosen = parts.where(F.exists(F.array(_words(F.col("content"))), enough))  # binds the words once
+    worded = chosen.select(*names[:4], _words(F.col("content")).alias("words"))
+    placed = worded.select("*", F.size("words").alias("size")).repartition(*names)
+    counted = placed.select(*names, F.explode("words").alias("term")).groupBy(*names, "term").agg(F.count("*").alias("tf"))
+    use = vectors.groupBy("term").agg(F.collect_list(F.struct("notice", "license", F.col("size").alias("long"), "weight")).alias("uses"))  # bounded by the templates
+    raw = F.col("tf") * F.coalesce("idf", F.lit(other))
+    weighed = counted.join(F.broadcast(idf.join(use, "term")), "term", "left").withColumn("raw", raw)
+    length = F.struct(F.lit(None).cast("long").alias("notice"), F.lit(None).cast("string").alias("license"), (F.col("raw") * F.col("raw")).alias("value"))
+    compared = F.filter("uses", lambda x: F.col("size") * LEAST_PART <= x["long"])
+    products = F.transform(compared, lambda x: F.struct(x["notice"], x["license"], (F.col("raw") * x["weight"]).alias("value")))
+    values = weighed.select(*names, F.inline(F.concat(F.array(length), F.coalesce(products, F.slice(F.array(length), 1, 0)))))
+    sums = values.groupBy(*names, "notice", "license").agg(F.sum("value").alias("value"))
+    nearest = F.max(F.when(F.col("notice").isNotNull(), F.struct(F.round("value", 9).alias("dot"), "license"))).alias("near")
+    scored = sums.groupBy(*names).agg(F.max(F.when(F.col("notice").isNull(), F.sqrt("value"))).alias("norm"), nearest)
+    scored = scored.withColumn("score", F.round(F.col("near.dot") / F.col("norm"), 9)).where(F.col("score") >= MIN_COSINE)
+    best = F.max(F.struct("score", (-F.col("line")).alias("before"), (-F.col("lines")).alias("shorter"), "near.license")).alias("best")
     return scored.groupBy(path, "digest").agg(best).select(path, "digest", "best.license", "best.score", (-F.col("best.before")).alias("line"))
 
 
