@@ -125,6 +125,11 @@ class RangeHashes:
         lengths = (ends - starts).astype(np.uint64)
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
 
+    def of_width(self, width: int) -> np.ndarray:
+        """The hashes of all stretches of that many values, by their starts."""
+        found = (self.sums[width:] - self.sums[:-width]) * self.down[: len(self.sums) - width]
+        return mix(found + np.uint64(width * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each values[start:end]; values are 64-bit codes."""

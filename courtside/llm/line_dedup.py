@@ -11,9 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from courtside.llm.common import components, distinct_runs, mix, passes, range_hashes, save, slices
+from courtside.llm.common import RangeHashes, components, distinct_runs, mix, passes, save, slices
 
 #: Characters in a shingle; a shorter line is one shingle.
 WIDTH = 8
@@ -24,10 +24,14 @@ BINS = BANDS * ROWS
 #: Characters of all lines that are compared at once; larger band values are split into pairs of parts.
 UNIT_CHARS = 1 << 18
 
+#: The spread codes of the characters that most texts consist of.
+_CODES = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
 
 def lines_of(text: str) -> tuple[list[int], list[str]]:
     """Places and normal forms of the lines that aren't blank."""
-    lines = [(i, x) for i, x in enumerate(" ".join(line.lower().split()) for line in text.split("\n")) if x]
+    lines = [(i, x) for i, x in enumerate(" ".join(line.split()) for line in text.lower().split("\n")) if x]
     return [i for i, _ in lines], [x for _, x in lines]
 
 
@@ -37,30 +41,36 @@ def line_id(line: str) -> int:
 
 def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all lines, with repeats, and their limits."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    codes = np.frombuffer("".join([*lines, "\0" * WIDTH]).encode("utf-32-le", "surrogatepass"), "<u4")
     sizes = np.array([len(x) for x in lines], np.int64)
     begins = np.cumsum(sizes) - sizes
     count = np.maximum(sizes - WIDTH + 1, 1)
     limits = np.concatenate([[0], np.cumsum(count)])
-    starts = np.repeat(begins - limits[:-1], count) + np.arange(limits[-1])
-    return range_hashes(mix(codes + np.uint64(1)), starts, starts + np.repeat(np.minimum(sizes, WIDTH), count)), limits
+    hashes = RangeHashes(_CODES[codes] if codes.max() < len(_CODES) else mix(codes.astype(np.uint64) + np.uint64(1)))
+    found = hashes.of_width(WIDTH)[np.repeat(begins - limits[:-1], count) + np.arange(limits[-1])]
+    short = np.flatnonzero(sizes < WIDTH)
+    found[limits[short]] = hashes.of(begins[short], begins[short] + sizes[short])
+    return found, limits
 
 
 def bands(lines: list[str]) -> np.ndarray:
     """The band values (lines x BANDS) of one-permutation MinHash signatures; lines aren't empty."""
     found, limits = _shingles(lines)
-    owner = np.repeat(np.arange(len(lines)), np.diff(limits))
-    bins = ((found >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    owner = np.repeat(np.arange(len(lines)) * BINS, np.diff(limits))
+    bins = ((found >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).view(np.int64)
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
     lowest = np.full(len(lines) * BINS, empty)
-    np.minimum.at(lowest, owner * BINS + bins, mix(found) >> np.uint64(1))
+    np.minimum.at(lowest, owner + bins, found * _SPREAD >> np.uint64(1))  # within a bin, low bits decide
     known = lowest.reshape(len(lines), BINS)
-    lowest, draw = known.copy(), np.random.default_rng(BINS)
-    while len(rows := np.flatnonzero((lowest == empty).any(axis=1))):
+    lowest, draw = lowest.copy(), np.random.default_rng(BINS)
+    cells = np.flatnonzero(lowest == empty)
+    while len(cells):
         # An empty bin takes the value of another one, drawn anew for each bin until that one has any. The draws
         # are the same for all lines, so that like lines draw alike, but the bins of a line draw apart.
-        drawn = known[rows][:, draw.integers(0, BINS, BINS)]
-        lowest[rows] = np.where(lowest[rows] == empty, drawn, lowest[rows])
+        row, bin_ = np.divmod(cells, BINS)
+        drawn = known[row, draw.integers(0, BINS, BINS)[bin_]]
+        lowest[cells] = drawn
+        cells = cells[drawn == empty]
     weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64))
     values = (mix(lowest).reshape(len(lines), BANDS, ROWS) * weights).sum(axis=2, dtype=np.uint64)
     return mix(values + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
@@ -204,8 +214,9 @@ def line_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     Lines of a band value are compared with the smallest id among them. In the band values whose other lines are not
     one component by then, every two of them in different components are compared as well.
     """
-    smallest = F.first("line").over(Window.partitionBy("band").orderBy("line"))
-    left = save(_band_rows(docs, text).withColumn("lead", smallest).where("line <> lead").distinct())
+    rows = _band_rows(docs, text).repartition("band")  # both uses read the one shuffle; no sort, no window
+    shared = rows.groupBy("band").agg(F.min("line").alias("lead"), F.max("line").alias("last")).where("lead < last").select("band", "lead")
+    left = save(rows.join(shared.hint("shuffle_hash"), "band").where("line <> lead").distinct())
     candidates = left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct()
     contents = save(_all_lines(docs, docs.columns[0], text, True).join(candidates, "line", "left_semi").dropDuplicates(["line"]))
     pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
