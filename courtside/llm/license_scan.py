@@ -198,7 +198,7 @@ def scan_licenses(files: DataFrame, templates: DataFrame, path: str = "path", te
     """
     added = ("own_license", "score", "line", "dir", "inherited", "inherited_from", "license", "digest")
     rest = [c for c in files.columns if c not in (*added, text)]
-    own = scan_lines(files, templates, path, text).withColumnsRenamed({path: "p", "digest": "d"})
+    own = save(scan_lines(files, templates, path, text)).withColumnsRenamed({path: "p", "digest": "d"})  # read three times
     tag, at = declared(F.col(text))
     rows = files.select(*rest, F.xxhash64(text).alias("digest"), F.struct(tag.alias("name"), at.alias("line")).alias("own_license"))
     joined = rows.join(own, rows[path].eqNullSafe(own["p"]) & (rows["digest"] == own["d"]), "left").select(
