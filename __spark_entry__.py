@@ -19,6 +19,7 @@ from checks.oracle import RECAP_DAY, RETURN_DAY, SCORE_DAY, all_oracles
 from courtside import League
 from courtside.functions.dates import recap_monday, recap_sunday
 from courtside.functions.text import normalize_name
+from courtside.operators.staging import stage
 from courtside.plans import card, games, officials, picks, players, teams
 from courtside.sources import sinks
 from courtside.sources.commits import read_version, replace_table
@@ -47,6 +48,7 @@ MODELS = [
     "pick_record", "recap_lines", "returning_players",
 ]
 KEY = ["game_date", "home_team_id", "away_team_id"]
+FACT_BUCKETS = 16
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -183,6 +185,26 @@ def replaced_seasons(spark: SparkSession, folder: str) -> DataFrame:
     return read_version(spark, path, scores.schema)
 
 
+def merged_official_record(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of teams under officials from published season states, of which even seasons came later."""
+    lg, path = league(spark, folder), work_folder(spark)
+    states = stage(lg.official_states(), f"{path}/computed")
+    even = F.col("season") % 2 == 0
+    wrong = states.withColumn("wins", F.when(~even, F.col("wins")))
+    officials.publish_states(wrong, f"{path}/states")
+    officials.publish_states(states.where(even), f"{path}/states")
+    return officials.effect_of_states(officials.read_states(spark, f"{path}/states"), lg.season_now)
+
+
+def colocated_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide games from game facts that are stored in buckets of the game id."""
+    tables = ["games", "team_game_stats", "team_quarter_stats"]
+    database = sinks.publish_facts(
+        SuppliedTables(spark, folder).raw(), f"facts_{uuid.uuid4().hex}", FACT_BUCKETS, tables
+    )
+    return League(catalog_league(spark, database)).game_scores
+
+
 def published_view(spark: SparkSession, folder: str) -> DataFrame:
     view = sinks.publish_view(league(spark, folder).team_record(), "team_record", "intermediate")
     return spark.sql(f"SELECT * EXCEPT (game_recency) FROM {view}")
@@ -280,6 +302,9 @@ def queries() -> dict[str, Query]:
         "preview_batches": preview_batches,
         "merged_latest_scores": merged_latest_scores,
         "replaced_seasons": replaced_seasons,
+        "merged_official_record": merged_official_record,
+        "colocated_scores": colocated_scores,
+        "key_report": _with_league(lambda lg: lg.key_report()),
         "published_view": published_view,
         "published_table": published_table,
         "catalog_table": catalog_table,

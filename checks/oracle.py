@@ -41,6 +41,22 @@ def _total_side(suffix: str) -> str:
     )
 
 
+# Raw tables and what tells their rows apart.
+_ROW_KEYS = {
+    "games": "game_id", "game_results": "game_id", "team_game_stats": "game_id, home_away",
+    "player_game_stats": "game_id, team_id, player_name", "team_quarter_stats": "game_id, home_away, quarter",
+    "player_quarter_stats": "game_id, team_id, player_name, quarter", "referee_assignments": "game_id",
+    "broadcast_schedule": "game_id", "dim_arenas": "arena_id", "dim_referees": "referee_id",
+    "scored_games": "game_date, home_team_id, away_team_id, inserted_at",
+}
+_KEY_REPORT = " UNION ALL ".join(
+    f"""
+SELECT '{table}' AS table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count, count(*) FILTER (WHERE known) AS key_count,
+  count(*) FILTER (WHERE known AND n > 1) AS repeated_keys, CAST(coalesce(sum(n) FILTER (WHERE NOT known), 0) AS BIGINT) AS rows_without_key
+FROM (SELECT count(*) AS n, {' AND '.join(f'{key} IS NOT NULL' for key in keys.split(', '))} AS known FROM x_{table} GROUP BY {keys})"""
+    for table, keys in _ROW_KEYS.items()
+)
+
 _SIDES = named({
     "spread_pick_side": f"CASE WHEN {_edge} >= 1e-1 THEN 'HOME' ELSE 'AWAY' END",
     "spread_pick_team": f"CASE WHEN {_edge} >= 1e-1 THEN home_team_id ELSE away_team_id END",
@@ -281,6 +297,9 @@ SELECT {_PREVIEW_LIST} FROM m_early UNION ALL SELECT {_PREVIEW_LIST} FROM m_late
     "published_view": "SELECT * EXCLUDE (game_recency) FROM m_record",
     "published_table": "SELECT * FROM m_scores",
     "replaced_seasons": "SELECT * FROM m_scores",
+    "merged_official_record": "SELECT * FROM m_team_referee_record",
+    "colocated_scores": "SELECT * FROM m_scores",
+    "key_report": _KEY_REPORT,
     "catalog_table": "SELECT * FROM m_record",
     "catalog_games": "SELECT * FROM m_games",
     "published_layers": """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Spelling rules applied one after the other, first row first.
@@ -28,8 +30,8 @@ NOT_PLAIN = r"[^\x00-\x7F]"
 SUFFIX = r"\s+(III|II|IV|V|II)\z"
 
 NAME_PROFILES = {
-    "box_score": MOJIBAKE_SPELLING + COMMON_SPELLING + [(NOT_PLAIN, "")],
-    "injury": COMMON_SPELLING + MOJIBAKE_SPELLING + [(NOT_PLAIN, "")],
+    "box_score": MOJIBAKE_SPELLING + COMMON_SPELLING,
+    "injury": COMMON_SPELLING + MOJIBAKE_SPELLING,
 }
 
 # Characters after which a new word starts; an apostrophe does not start one.
@@ -45,15 +47,44 @@ def title_case(text: Column) -> Column:
     return F.array_join(capitalized, "")
 
 
+def compile_spelling(rules: list[tuple[str, str]]) -> tuple[str, str, str]:
+    """(dropped, letters, replacements) that do in one pass what ordered spelling rules do one by one.
+
+    Each rule replaces single characters or pairs of them, all outside ASCII, by ASCII. A rule for
+    a pair holds only if none before it takes one of its characters; then the pair's second character
+    stands for the whole. ``dropped`` is an alternation of all that goes: the first characters of pairs,
+    second ones without their first, and whatever no rule knows. What is left is translated letter by letter.
+    """
+    singles: dict[str, str] = {}
+    pairs: dict[str, str] = {}
+    for pattern, replacement in rules:
+        # Alternatives are literals or classes of single characters.
+        for whole in re.findall(r"\[[^\]]*\]|[^|]+", pattern):
+            for unit in whole[1:-1] if whole.startswith("[") else [whole]:
+                if len(unit) == 1:
+                    singles.setdefault(unit, replacement)
+                elif not any(c in singles for c in unit):
+                    pairs.setdefault(unit, replacement)
+    seconds = {pair[1]: replacement for pair, replacement in pairs.items()}
+    if len(seconds) < len(pairs) or seconds.keys() & {*singles, *(pair[0] for pair in pairs)}:
+        raise ValueError("pairs share a character, so that one pass can't tell them apart")
+    known = "".join([*singles, *seconds, *dict.fromkeys(pair[0] for pair in pairs)])
+    dropped = [part for first, second in pairs for part in (f"{first}(?={second})", f"(?<!{first}){second}")]
+    # A first character without its second one goes as well, unless a rule knows it.
+    dropped += [first for first in dict.fromkeys(pair[0] for pair in pairs) if first not in singles]
+    letters = {**singles, **seconds}
+    return "|".join([*dropped, rf"[^\x00-\x7F{known}]"]), "".join(letters), "".join(letters.values())
+
+
 def normalize_name(text: Column | str, profile: str) -> Column:
     """Plain-letter, suffix-free, title-cased player name; the profile fixes the rule order.
 
-    Every spelling rule needs a character outside ASCII, so plain names skip them all.
+    Every spelling rule needs a character outside ASCII, so plain names skip them all; others are
+    read once to drop characters and once to translate them, however many rules there are.
     """
     name = F.col(text) if isinstance(text, str) else text
-    spelled = name
-    for pattern, replacement in NAME_PROFILES[profile]:
-        spelled = F.regexp_replace(spelled, pattern, replacement)
+    dropped, letters, replacements = compile_spelling(NAME_PROFILES[profile])
+    spelled = F.translate(F.regexp_replace(name, dropped, ""), letters, replacements)
     plain = F.when(name.rlike(NOT_PLAIN), spelled).otherwise(name)
     return title_case(F.regexp_replace(plain, SUFFIX, ""))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -42,6 +44,23 @@ def merge_newest(state: DataFrame, batch: DataFrame, keys: Sequence[str], newest
     return newest_state(state.unionByName(batch), keys, newest_by)
 
 
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``row_count``, ``key_count``, ``repeated_keys`` (in several rows) and ``rows_without_key``.
+
+    A key with a null column is none: joins never find it. Only keys are read; each is counted before
+    the shuffle, so that one key in many rows is no burden to a task.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    whole = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    zero = F.lit(0).cast("bigint")
+    return counts.agg(
+        F.coalesce(F.sum("_rows"), zero).alias("row_count"),
+        F.count_if(whole).alias("key_count"),
+        F.count_if(whole & (F.col("_rows") > 1)).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(~whole, F.col("_rows"))), zero).alias("rows_without_key"),
+    )
+
+
 def with_flag(df: DataFrame, flags: DataFrame, on: str, name: str) -> DataFrame:
     """Left-join one boolean column; a missing one is false."""
     return df.join(flags.select(on, name), on, "left").withColumn(

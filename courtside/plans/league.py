@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from courtside.operators.keyed import Season
+from courtside.operators.keyed import Season, key_counts
 from courtside.operators.staging import stage
 from courtside.operators.timeline import Timeline
 from courtside.plans import card, games, officials, picks, players, recap, schedule, staging, teams
 from courtside.sources.readers import RawTables
+from courtside.sources.schemas import RAW_KEYS
 
 
 class League:
@@ -50,6 +51,14 @@ class League:
             return self.season
         return self.stg("games").agg(F.max("season").alias("current_season"))
 
+    def key_report(self) -> DataFrame:
+        """How far the keys of the raw tables hold, one row per table."""
+        counts = [
+            key_counts(self.raw[name], keys).select(F.lit(name).alias("table_name"), "*")
+            for name, keys in RAW_KEYS.items()
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
     # -- games ------------------------------------------------------------------------------
 
     @cached_property
@@ -115,12 +124,19 @@ class League:
         crews = teams.crew_average(self.stg("referee_assignments"), self.referee_tendencies())
         return teams.performance_by_pace(self.paced_timeline, crews, self.season_now)
 
+    @cached_property
+    def _team_form(self) -> DataFrame:
+        return teams.rolling_timeline(self.timeline, ["win_pct_last10"]).rows
+
     def team_referee_record(self) -> DataFrame:
-        rolling = teams.rolling_timeline(self.timeline, ["win_pct_last10"]).rows
         return officials.team_official_effect(
-            rolling, self.stg("referee_assignments"), self.season_now
+            self._team_form, self.stg("referee_assignments"), self.season_now
         )
 
+    def official_states(self) -> DataFrame:
+        """Mergeable moments per team, official and season, from which ``team_referee_record`` follows."""
+        return officials.season_states(self._team_form, self.stg("referee_assignments"))
+
     def team_summary(self) -> DataFrame:
         return teams.team_summary(games.team_rows(self.paced), self.stg("team_quarter_stats"))
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from courtside.functions.numeric import (
     as_units, bucketize, one_if, ratio, round_half_up, round_mean,
 )
 from courtside.operators.keyed import Season, newest_per_key, versus_population, with_season_age
 from courtside.operators.shape import unpivot_slots
+from courtside.sources.commits import read_version, replace_table
 
 SLOTS = ["referee_1", "referee_2", "referee_3"]
 
@@ -153,47 +157,108 @@ def _season_weight(age: Column) -> Column:
     return chain.otherwise(F.lit(0)).cast("bigint")
 
 
-def team_official_effect(
-    rolling: DataFrame, assignments: DataFrame, season_now: Season
-) -> DataFrame:
-    """Season-weighted record of each team under each official.
+# What a season of a team under an official adds up to: whole numbers, so that states merge in any order.
+_ADDED = (
+    "games", "effect", "effect_squares", "wins", "known", "points", "allowed", "home_games", "home_wins",
+)
+STATE_SCHEMA = T.StructType([
+    T.StructField("team_id", T.StringType()), T.StructField("referee_id", T.StringType()),
+    T.StructField("season", T.LongType()), *[T.StructField(name, T.LongType()) for name in _ADDED],
+])
 
-    ``rolling`` holds team games with ``win_pct_last10``. Only games of the current season and those
-    before it that have a weight count. The effect of a game is its win minus the last-10 share (which includes
-    that game). All sums are of whole numbers (weights in hundredths, shares in thousandths), so
-    that they do not depend on the order of the rows.
+
+def season_states(rolling: DataFrame, assignments: DataFrame) -> DataFrame:
+    """One row per team, official and season: moments of its games, to be merged and weighted later.
+
+    ``rolling`` holds team games with ``win_pct_last10``. The effect of a game is its win minus that
+    share (which includes the game), in thousandths; ``known`` is the sum of the shares.
     """
-    recent = with_season_age(
+    rows = by_official(
         rolling.select(
             "team_id", "game_id", "season", "home_away", "win", "team_points", "opp_points",
             "win_pct_last10",
         ),
-        season_now,
-        "_age",
-    ).where(F.col("_age").between(min(SEASON_WEIGHTS), max(SEASON_WEIGHTS)))
+        assignments,
+    )
     expected = as_units(F.coalesce("win_pct_last10", F.lit(EVEN_CHANCE)), 3)
-    rows = by_official(recent, assignments).withColumns({
+    effect, home = F.col("win") * 1000 - expected, F.col("home_away") == "home"
+    return rows.groupBy("team_id", "referee_id", "season").agg(
+        F.count("*").alias("games"),
+        F.sum(effect).alias("effect"),
+        F.sum(effect * effect).alias("effect_squares"),
+        F.sum("win").alias("wins"),
+        F.sum(as_units("win_pct_last10", 3)).alias("known"),
+        F.sum("team_points").alias("points"),
+        F.sum("opp_points").alias("allowed"),
+        F.count_if(home).alias("home_games"),
+        F.sum(F.when(home, F.col("win")).otherwise(F.lit(0).cast("bigint"))).alias("home_wins"),
+    )
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """The states of the games of all inputs together, which must not share a game."""
+    every = reduce(DataFrame.unionByName, states)
+    return every.groupBy("team_id", "referee_id", "season").agg(*[F.sum(name).alias(name) for name in _ADDED])
+
+
+def publish_states(states: DataFrame, path: str) -> int:
+    """Publish the states of whole seasons; those of other seasons stay as they are.
+
+    A season is replaced, not added to, so that publishing it again changes nothing.
+    """
+    return replace_table(states, path, "season")
+
+
+def read_states(spark: SparkSession, path: str, seasons: Sequence[int] | None = None) -> DataFrame:
+    """Published states; of given seasons only their folders are read."""
+    parts = None if seasons is None else [f"season={season}" for season in seasons]
+    return read_version(spark, path, STATE_SCHEMA, parts)
+
+
+def team_official_effect(
+    rolling: DataFrame, assignments: DataFrame, season_now: Season
+) -> DataFrame:
+    """Season-weighted record of each team under each official.
+
+    ``rolling`` holds team games with ``win_pct_last10``. Only games of the current season and those
+    before it that have a weight count.
+    """
+    recent = _weighted_seasons(rolling, season_now).drop("_age")
+    return effect_of_states(season_states(recent, assignments), season_now)
+
+
+def _weighted_seasons(rows: DataFrame, season_now: Season) -> DataFrame:
+    aged = with_season_age(rows, season_now, "_age")
+    return aged.where(F.col("_age").between(min(SEASON_WEIGHTS), max(SEASON_WEIGHTS)))
+
+
+def effect_of_states(states: DataFrame, season_now: Season) -> DataFrame:
+    """The season-weighted record of each team under each official from its season states.
+
+    A weight belongs to a season, so sums are weighted after the games were added up. All sums are of
+    whole numbers (weights in hundredths, shares in thousandths), so that they do not depend on the
+    order of the rows.
+    """
+    weighed = _weighted_seasons(states, season_now).withColumns({
         "_weight": _season_weight(F.col("_age")),
-        "_effect": F.col("win") * 1000 - expected,
-        "_known": as_units("win_pct_last10", 3),
         "_now": F.col("_age") == 0,
-        "_home": F.col("home_away") == "home",
     })
     weighted = lambda column: F.sum(F.col(column) * F.col("_weight"))
-    sums = rows.groupBy("team_id", "referee_id").agg(
-        F.count("*").alias("games_with_referee"),
-        F.count_if("_now").alias("current_season_games"),
-        F.sum(F.when(F.col("_now"), F.col("win"))).alias("_now_wins"),
-        F.sum("_weight").alias("_weight"),
-        weighted("_effect").alias("_effect"),
-        F.sum("_effect").alias("_effect_sum"),
-        F.sum(F.col("_effect") * F.col("_effect")).alias("_effect_squares"),
-        weighted("win").alias("_wins"),
-        weighted("_known").alias("_expected"),
-        weighted("team_points").alias("_points"),
-        weighted("opp_points").alias("_allowed"),
-        F.count_if("_home").alias("home_games"),
-        F.sum(F.when(F.col("_home"), F.col("win")).otherwise(F.lit(0).cast("bigint"))).alias("home_wins"),
+    of_now = lambda column: F.sum(F.when(F.col("_now"), F.col(column)))
+    sums = weighed.groupBy("team_id", "referee_id").agg(
+        F.sum("games").alias("games_with_referee"),
+        F.coalesce(of_now("games"), F.lit(0).cast("bigint")).alias("current_season_games"),
+        of_now("wins").alias("_now_wins"),
+        weighted("games").alias("_weight"),
+        weighted("effect").alias("_effect"),
+        F.sum("effect").alias("_effect_sum"),
+        F.sum("effect_squares").alias("_effect_squares"),
+        weighted("wins").alias("_wins"),
+        weighted("known").alias("_expected"),
+        weighted("points").alias("_points"),
+        weighted("allowed").alias("_allowed"),
+        F.sum("home_games").alias("home_games"),
+        F.sum("home_wins").alias("home_wins"),
     )
     per_weight = lambda column, scale, digits: round_half_up(
         ratio(column, F.col("_weight")) / scale, digits

@@ -366,3 +366,20 @@ PREVIEW_COLUMNS = [
     "posted_reddit",
     "generated_at",
 ]
+
+#: What tells the rows of a raw table apart; joins take it for granted. Injuries and odds come in versions.
+RAW_KEYS: dict[str, list[str]] = {
+    "games": ["game_id"],
+    "game_results": ["game_id"],
+    "team_game_stats": ["game_id", "home_away"],
+    "player_game_stats": ["game_id", "team_id", "player_name"],
+    "team_quarter_stats": ["game_id", "home_away", "quarter"],
+    "player_quarter_stats": ["game_id", "team_id", "player_name", "quarter"],
+    "referee_assignments": ["game_id"],
+    "broadcast_schedule": ["game_id"],
+    "dim_arenas": ["arena_id"],
+    "dim_referees": ["referee_id"],
+    "scored_games": ["game_date", "home_team_id", "away_team_id", "inserted_at"],
+}
+#: Raw tables with rows by game, which meet on the game id.
+GAME_FACTS = [name for name, schema in RAW_SCHEMAS.items() if "game_id" in schema.names]

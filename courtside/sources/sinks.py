@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from courtside.operators.staging import stage
 from courtside.sources.commits import append_once, read_appended
-from courtside.sources.schemas import PREVIEW_COLUMNS, RAW_SCHEMAS
+from courtside.sources.readers import RawTables
+from courtside.sources.schemas import GAME_FACTS, PREVIEW_COLUMNS, RAW_SCHEMAS
 
 LAYER_SCHEMAS = {"staging": "staging", "intermediate": "intermediate", "marts": "marts"}
 
@@ -46,6 +47,25 @@ def publish_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def publish_facts(
+    raw: RawTables, database: str, buckets: int, tables: Sequence[str] = tuple(GAME_FACTS)
+) -> str:
+    """Raw tables by game as managed tables in buckets of the game id, sorted by it.
+
+    Read from there (``catalog_league``), they meet on the game id and are grouped by it without a
+    shuffle. One task reads a bucket of all of them, so ``buckets`` follows from the size of the largest
+    table over what a task should hold; a game id's rows are few, so buckets are alike in size.
+    """
+    if not tables:
+        return database
+    raw[tables[0]].sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name in tables:
+        dealt = raw[name].repartition(buckets, "game_id")  # as buckets are dealt: one file for each
+        writer = dealt.write.mode("overwrite").bucketBy(buckets, "game_id").sortBy("game_id")
+        writer.saveAsTable(f"{database}.{name}")
+    return database
+
+
 # Final orders of published reports; ties are decided by the keys that follow.
 REPORT_ORDERS = {
     "returning_players": ["days_since_last_game DESC", "player_name", "team_id"],

@@ -1,5 +1,7 @@
 import datetime as dt
 import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,8 @@ from courtside.functions.numeric import (
     bucketize, flag, greatest_or_null, least_or_null, one_if, ratio, round_half_up,
 )
 from courtside.functions.text import (
-    clock_to_minutes, match_key, normalize_name, season_end_year, title_case,
+    NAME_PROFILES, NOT_PLAIN, clock_to_minutes, compile_spelling, match_key, normalize_name, season_end_year,
+    title_case,
 )
 
 
@@ -84,6 +87,29 @@ def test_names(spark, raw, box_score, injury):
     assert apply(spark, lambda v: normalize_name(v, "injury"), [raw], "string") == [injury]
 
 
+@pytest.mark.parametrize("profile", ["box_score", "injury"])
+def test_one_pass_equals_the_rules_one_by_one(spark, profile):
+    rules = [*NAME_PROFILES[profile], (NOT_PLAIN, "")]
+    letters = sorted(set("".join(pattern for pattern, _ in rules[:-1])) - set("[]|")) + ["a", "\u4e2d", "\U0001f600", "\u0301"]
+    draw = random.Random(profile)
+    names = ["".join(draw.choices(letters, k=draw.randint(0, 6))) for _ in range(3000)]
+    names += [a + b for a in letters for b in letters]
+
+    def one_by_one(name):
+        for pattern, replacement in rules:
+            name = re.sub(pattern, replacement, name)
+        return name
+
+    dropped, known, replacements = compile_spelling(NAME_PROFILES[profile])
+    found = apply(spark, lambda v: F.translate(F.regexp_replace(v, dropped, ""), known, replacements), names, "string")
+    assert found == [one_by_one(name) for name in names]
+
+
+def test_pairs_that_one_pass_cannot_tell_apart():
+    with pytest.raises(ValueError):
+        compile_spelling([("\u00e9\u00ea", "a"), ("\u00e8\u00ea", "b")])
+
+
 def test_title_case_keeps_every_character(spark):
     values = ["KARL-ANTHONY o'neal", "  two  blanks ", "a\tb\nc", "x/y|z", "", None]
     assert apply(spark, title_case, values, "string") == [

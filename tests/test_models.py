@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from courtside import League
 from courtside.operators.pairs import pair_record
+from courtside.plans import officials
+from courtside.sources.schemas import RAW_KEYS
 
 
 def days(n, start="2025-11-01"):
@@ -248,6 +250,28 @@ def test_season_weights(spark):
     assert row.home_games == 4 and row.home_win_pct == 0.5
 
 
+def test_merged_states_equal_the_whole(spark, tmp_path):
+    league = officials_league(spark)
+    whole = sorted(map(tuple, league.team_referee_record().collect()), key=str)
+    states = league.official_states().cache()
+    # Games in two parts that share no game, whatever seasons they belong to.
+    form, crews = league._team_form, league.stg("referee_assignments")
+    first = F.pmod(F.xxhash64("game_id"), F.lit(2)) == 0
+    parts = [officials.season_states(form.where(x), crews) for x in (first, ~first)]
+    assert sorted(map(tuple, officials.merge_states(*parts).collect()), key=str) == sorted(map(tuple, states.collect()), key=str)
+    # Seasons published one by one, one of them twice.
+    path = str(tmp_path / "states")
+    seasons = sorted(r.season for r in states.select("season").distinct().collect())
+    for season in [*seasons, seasons[0]]:
+        officials.publish_states(states.where(F.col("season") == season), path)
+    published = officials.read_states(spark, path)
+    assert sorted(map(tuple, officials.effect_of_states(published, league.season_now).collect()), key=str) == whole
+    # Only seasons with a weight are needed.
+    newest = officials.read_states(spark, path, [2026, 2025, 2024])
+    assert sorted(map(tuple, officials.effect_of_states(newest, 2026).collect()), key=str) == whole
+    assert newest.count() < states.count()
+
+
 def test_official_named_twice(spark):
     league = officials_league(spark)
     tendencies = as_dicts(league.referee_tendencies(), "referee_id")
@@ -284,6 +308,19 @@ def test_team_summary_without_home_games(spark):
     assert row["BBB"]["avg_margin_away"] == 2.5 and row["BBB"]["current_streak"] == "W1"
 
 
+def test_key_report(spark):
+    games, stats = series([(100, 90), (80, 95)])
+    lost = {**stats[1], "game_id": None}
+    league = League(league_tables(spark, games=games, team_game_stats=[*stats, stats[0], stats[0], lost, lost]))
+    report = as_dicts(league.key_report(), "table_name")
+    assert report["games"] == {
+        "table_name": "games", "row_count": 2, "key_count": 2, "repeated_keys": 0, "rows_without_key": 0,
+    }
+    box = report["team_game_stats"]
+    assert [box[c] for c in ("row_count", "key_count", "repeated_keys", "rows_without_key")] == [8, 4, 1, 2]
+    assert report["dim_arenas"]["row_count"] == 0 and set(report) == set(RAW_KEYS)
+
+
 def test_key_columns_are_unique(spark):
     """The models take one raw row per key; this is what they produce from such rows."""
     league = officials_league(spark)

@@ -48,6 +48,23 @@ def test_catalog_tables_and_layers(spark):
     assert sinks.publish_view(league.stg("games"), "games") == "games"
 
 
+def test_facts_in_buckets_meet_without_a_shuffle(spark):
+    raw = SuppliedTables(spark, FOLDER).raw()
+    tables = ["games", "game_results", "team_game_stats", "team_quarter_stats"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        database = sinks.publish_facts(raw, "bucketed_facts", 4, tables)
+        stored = League(catalog_league(spark, database))
+        plan = stored.played._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+        assert "Exchange" in League(raw).played._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, stored.played.collect())) == sorted(map(tuple, League(raw).played.collect()))
+        assert sinks.publish_facts(raw, database, 4, ["games"]) == database  # replaces
+        assert spark.table(f"{database}.games").count() == raw["games"].count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_schema_names():
     assert sinks.schema_name(" marts ", "default") == "marts"
     assert sinks.schema_name(None, "default") == "default"
