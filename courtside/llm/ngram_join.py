@@ -3,9 +3,10 @@
 Sets are 64-bit hashes of word n-grams. Equal sets are joined first and stand as one. A prefix of each set in
 hash order must then hold a few n-grams that some other set's prefix holds as well, else the set links with
 nothing; this leaves out nearly all sets by counting alone. What is left is grouped by its rarest shared n-grams,
-and within each group the whole sets, frequent n-grams first, form a prefix tree: walking it, sets with a common
-start share the overlaps counted so far, and a branch is left when the rest of it is too short to reach the
-threshold. Every test is a bound, so no link of two sets is lost.
+and within each unit of a group the whole sets form a prefix tree, in one order of n-grams for the unit, frequent
+ones first. Walking it, sets with a common start share the overlaps counted so far, and a subtree is left unseen when
+the longest rest in it is too short for any set outside to reach the threshold. Every test is a bound, so no link of
+two sets is lost.
 """
 
 from __future__ import annotations
@@ -88,62 +89,110 @@ def _groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     return components(blocks.join(first, "gram").select(F.col("node").alias("a"), "b"))
 
 
-def trie_links(ids: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links (id, id) of sets that join them as all links would: one link between any two parts that meet.
+def _wanted(sizes: np.ndarray, size: int) -> np.ndarray:
+    """Fewest common members of sets of these sizes with a set of this size that they link to."""
+    return -(-PERCENT * (sizes + size) // (100 + PERCENT))
 
-    Sets are walked in the order of their prefix tree, frequent members first. counts holds the overlap of
-    the walked path with every set; a set adds what it doesn't share with its neighbours, unless no set
-    outside its part can reach the threshold with the members left.
-    """
+
+def _paths(sets: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Each set's members that others have too, as ranks, frequent ones first; the holders of each rank and their limits."""
     sizes = np.array([len(x) for x in sets], np.int64)
-    flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), sizes)
-    members, code, df = np.unique(flat, return_inverse=True, return_counts=True)
+    members, code, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.empty(len(members), np.int64)
     order[np.lexsort((members, -df))] = np.arange(len(members))
     rank = order[code]
-    by_rank = np.argsort(rank, kind="stable")
-    holders = owner[by_rank]
-    limits = np.concatenate([[0], np.cumsum(np.sort(df)[::-1])])
+    holders = owner[np.argsort(rank, kind="stable")]
     last = int((df > 1).sum())  # members of one set only come last; they overlap with nothing
-    limits = limits[: last + 1]
+    limits = np.concatenate([[0], np.cumsum(np.sort(df)[::-1])])[: last + 1]
     chosen = rank < last
     paths = np.split(rank[chosen], np.cumsum(np.bincount(owner[chosen], minlength=len(sets)))[:-1])
-    paths = [np.sort(x) for x in paths]
+    return [np.sort(x) for x in paths], holders, limits
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    m = min(len(a), len(b))
+    differs = np.flatnonzero(a[:m] != b[:m])
+    return int(differs[0]) if len(differs) else m
+
+
+def trie_links(ids: np.ndarray, sets: list[np.ndarray], seen: dict[str, int] | None = None) -> list[tuple[int, int]]:
+    """Links (id, id) of sets that join them as all links would: one link between any two parts that meet.
+
+    Sets are the paths of a prefix tree, one order for all sets of a unit, frequent members first. Going down to
+    a node adds its members to the overlaps of the path with every set, once for all sets below. A node is
+    left, with everything below, when its longest path leaves too few members for any set outside their
+    part, by its overlap so far, to reach the threshold with even its smallest set. ``seen`` counts the sets
+    compared and those that were left unseen below a node.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    paths, holders, limits = _paths(sets)
     walk = sorted(range(len(sets)), key=lambda i: paths[i].astype(">i4").tobytes())
+    lengths = np.array([len(paths[i]) for i in walk], np.int64)
+    in_order = sizes[walk]
+    # Members that a set shares with the one before it; none with what follows the last.
+    shared = np.array([0, *(_common(paths[i], paths[j]) for i, j in zip(walk, walk[1:])), 0], np.int64)
+    lower = np.zeros(len(shared), np.int64)  # the next place with a smaller number; none after the last
+    rising: list[int] = []
+    for i, length in enumerate(shared.tolist()):
+        while rising and shared[rising[-1]] > length:
+            lower[rising.pop()] = i
+        rising.append(i)
     part = np.arange(len(sets))
     counts = np.zeros(len(sets), np.int32)
     stack: list[int] = []
     links: list[tuple[int, int]] = []
-
-    def common(a: np.ndarray, b: np.ndarray) -> int:
-        m = min(len(a), len(b))
-        differs = np.flatnonzero(a[:m] != b[:m])
-        return int(differs[0]) if len(differs) else m
-
-    least = _least(sizes)
-    for at, s in enumerate(walk):
-        path = paths[s]
-        open_ = (part != part[s]) & (sizes >= least[s]) & (sizes[s] >= least)
-        if not len(path) or not open_.any():
+    seen = {} if seen is None else seen
+
+    def add(overlap: np.ndarray, members: np.ndarray, by: int) -> None:
+        for t in members.tolist():
+            overlap[holders[limits[t] : limits[t + 1]]] += by
+
+    def hopeless(first: int, end: int, depth: int) -> bool:
+        """Whether nothing below a node can add a link: the sets walk[first:end], whose paths share its depth."""
+        own = part[walk[first:end]]
+        small, large = in_order[first:end].min(), in_order[first:end].max()
+        open_ = (sizes >= _least(small)) & (large >= _least(sizes))
+        open_ &= counts + (lengths[first:end].max() - depth) >= _wanted(sizes, small)
+        if (own == own[0]).all():
+            open_ &= part != own[0]
+        return not open_.any()
+
+    def descend(first: int) -> int:
+        """Go down the nodes above walk[first] that hold more sets; where one is left, the end of its sets, else first."""
+        path = paths[walk[first]]
+        # The nodes are where the least common length of the sets from here on grows smaller.
+        ends: list[tuple[int, int]] = []
+        i = first + 1
+        while shared[i] > len(stack):
+            ends.append((int(shared[i]), int(lower[i])))
+            i = lower[i]
+        for node, end in reversed(ends):
+            add(counts, path[len(stack) : node], 1)
+            stack.extend(path[len(stack) : node].tolist())
+            if hopeless(first, end, node):
+                return end
+        return first
+
+    at = 0
+    while at < len(walk):
+        gone = stack[shared[at] :]
+        add(counts, np.array(gone, np.int64), -1)
+        del stack[shared[at] :]
+        end = descend(at)
+        if end > at:
+            seen["left"] = seen.get("left", 0) + end - at
+            at = end
             continue
-        shared = common(path, np.array(stack, np.int64)) if stack else 0
-        for t in stack[shared:]:
-            counts[holders[limits[t] : limits[t + 1]]] -= 1
-        del stack[shared:]
-        ahead = common(path, paths[walk[at + 1]]) if at + 1 < len(walk) else 0
-        for t in path[shared:ahead].tolist():
-            counts[holders[limits[t] : limits[t + 1]]] += 1
-            stack.append(t)
-        rest = path[max(shared, ahead) :]
-        wanted = -(-PERCENT * (sizes + sizes[s]) // (100 + PERCENT))
-        open_ &= counts + len(rest) >= wanted
-        if not open_.any():
+        s = walk[at]
+        at += 1
+        if not lengths[at - 1] or hopeless(at - 1, at, len(stack)):
             continue
+        seen["compared"] = seen.get("compared", 0) + 1
         overlap = counts.copy()
-        for t in rest.tolist():
-            overlap[holders[limits[t] : limits[t + 1]]] += 1
-        for o in np.flatnonzero(open_ & (100 * overlap >= PERCENT * (sizes + sizes[s] - overlap))).tolist():
+        add(overlap, paths[s][len(stack) :], 1)
+        open_ = (part != part[s]) & (100 * overlap >= PERCENT * (sizes + sizes[s] - overlap))
+        for o in np.flatnonzero(open_).tolist():
             if part[o] != part[s]:
                 links.append((int(ids[s]), int(ids[o])))
                 part[part == part[o]] = part[s]
