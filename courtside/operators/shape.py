@@ -56,16 +56,14 @@ def quarter_profile(
     return df.groupBy(entity).agg(*means)
 
 
-def bucket_record(
-    rows: DataFrame, entity: str, bucket: str, labels: Mapping[str, str]
-) -> DataFrame:
-    """Games, wins and win share of each bucket, side by side.
+def bucket_columns(bucket: Column, labels: Mapping[str, str]) -> list[Column]:
+    """Aggregates of games, wins and win share of each bucket, side by side.
 
     ``labels`` maps a bucket value to its column prefix. A bucket without games gives nulls.
     """
     columns = []
     for value, prefix in labels.items():
-        here = F.col(bucket) == value
+        here = bucket == value
         games = F.nullif(F.count_if(here), F.lit(0).cast("bigint"))
         wins = F.sum(F.when(here, F.col("win")))
         columns += [
@@ -73,4 +71,4 @@ def bucket_record(
             wins.alias(f"{prefix}_wins"),
             round_mean(F.when(here, F.col("win")), 3).alias(f"{prefix}_win_pct"),
         ]
-    return rows.groupBy(entity).agg(*columns)
+    return columns

@@ -41,12 +41,11 @@ PACE_RECORD = [
 
 def team_profile(rows: DataFrame, season_now: Season) -> DataFrame:
     """What the card shows of a team, one narrow row per team, so that a card joins it twice."""
-    season = teams.season_record(rows, season_now).drop("games_played")
+    season = teams.season_profile(rows, season_now).drop("games_played")
     return (
         teams.current_rolling(rows)
         .join(teams.current_streak(rows), "team_id")
         .join(season, "team_id", "left")
-        .join(teams.pace_record(rows, season_now), "team_id", "left")
     )
 
 
@@ -70,8 +69,7 @@ def game_card(
     games: DataFrame,
     played: DataFrame,
     broadcasts: DataFrame,
-    context: DataFrame,
-    travel: DataFrame,
+    features: DataFrame,
     rows: DataFrame,
     season_now: Season,
     assignments: DataFrame,
@@ -95,8 +93,7 @@ def game_card(
     card = (
         games.select(*GAME)
         .join(results, "game_id", "left")
-        .join(context.select("game_id", *REST, *ZONES, *ALTITUDE), "game_id", "left")
-        .join(travel.select("game_id", *TRAVEL), "game_id", "left")
+        .join(features.select("game_id", *REST, *ZONES, *ALTITUDE, *TRAVEL), "game_id", "left")
         .join(assignments.select("game_id", "referee_1", "referee_2", "referee_3"), "game_id", "left")
     )
     for side in SIDES:

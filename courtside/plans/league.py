@@ -19,8 +19,9 @@ from courtside.sources.schemas import RAW_KEYS
 class League:
     """Models by name; all of them are lazy.
 
-    With ``work_folder``, a folder that all executors share, ``played`` (wide games with pace, on which
-    much of the card stands) is written there once and read back.
+    With ``work_folder``, a folder that all executors share, the schedule and ``played`` (wide games
+    with pace, on which much of the card stands) are written there once and read back, and the newest season
+    is looked up in the schedule, so that it is a literal in all filters.
     """
 
     def __init__(
@@ -44,12 +45,23 @@ class League:
             self._staging[name] = getattr(staging, name)(self.raw[name])
         return self._staging[name]
 
+    def _shared(self, df: DataFrame, name: str) -> DataFrame:
+        """df, written once if the league has a work folder."""
+        return stage(df, f"{self.work_folder}/{name}-{uuid.uuid4().hex}") if self.work_folder else df
+
+    @cached_property
+    def schedule(self) -> DataFrame:
+        """All games, played or not."""
+        return self._shared(self.stg("games"), "games")
+
     @cached_property
     def season_now(self) -> Season:
-        """The current season: the given year, else the newest in the schedule as one row."""
+        """The current season: the given year, else the newest in the schedule as one row or, if written, a year."""
         if self.season is not None:
             return self.season
-        return self.stg("games").agg(F.max("season").alias("current_season"))
+        newest = self.schedule.agg(F.max("season").alias("current_season"))
+        year = newest.first()["current_season"] if self.work_folder else None
+        return newest if year is None else year
 
     def key_report(self) -> DataFrame:
         """How far the keys of the raw tables hold, one row per table."""
@@ -67,7 +79,7 @@ class League:
 
         The optimizer keeps an unused left join, so leaving it out saves a scan and a shuffle.
         """
-        return games.box_scores(self.stg("games"), self.stg("team_game_stats"))
+        return games.box_scores(self.schedule, self.stg("team_game_stats"))
 
     @cached_property
     def paced(self) -> DataFrame:
@@ -80,9 +92,8 @@ class League:
 
     @cached_property
     def played(self) -> DataFrame:
-        """Wide games with pace, written once if the league has a work folder."""
-        wide = games.with_pace(self.game_scores, self.stg("game_results"))
-        return stage(wide, f"{self.work_folder}/played-{uuid.uuid4().hex}") if self.work_folder else wide
+        """Wide games with pace."""
+        return self._shared(games.with_pace(self.game_scores, self.stg("game_results")), "played")
 
     def game_pace(self) -> DataFrame:
         return games.game_pace(self.boxes, self.stg("game_results"))
@@ -144,7 +155,7 @@ class League:
 
     @cached_property
     def _schedule_rows(self) -> DataFrame:
-        return schedule.schedule_rows(self.stg("games"), self.stg("dim_arenas"))
+        return schedule.schedule_rows(self.schedule, self.stg("dim_arenas"))
 
     @cached_property
     def schedule_context(self) -> DataFrame:
@@ -226,18 +237,21 @@ class League:
     # -- card and picks ---------------------------------------------------------------------
 
     def game_card(self) -> DataFrame:
-        assignments = self.stg("referee_assignments")
+        assignments, rows = self.stg("referee_assignments"), games.team_rows(self.played)
+        form = teams.rolling_timeline(teams.team_timeline(rows), ["win_pct_last10"]).rows
         return card.game_card(
-            games=self.stg("games"),
+            games=self.schedule,
             played=self.played,
             broadcasts=self.stg("broadcast_schedule"),
-            context=self.schedule_context,
-            travel=self.travel(),
-            rows=games.team_rows(self.played),
+            features=schedule.schedule_features(
+                schedule.schedule_timeline(self._schedule_rows),
+                schedule.travel_timeline(self._schedule_rows, self.travel_scope),
+            ),
+            rows=rows,
             season_now=self.season_now,
             assignments=assignments,
             tendencies=officials.official_tendencies(assignments, self.played),
-            official_effect=self.team_referee_record(),
+            official_effect=officials.team_official_effect(form, assignments, self.season_now),
         )
 
     def unpublished_games(self, batch: str) -> DataFrame:

@@ -28,8 +28,20 @@ def schedule_timeline(rows: DataFrame) -> Timeline:
     return Timeline.of(rows, ["team_id"], TEAM_ORDER)
 
 
-def schedule_context(timeline: Timeline) -> DataFrame:
-    """Rest, zone shift and altitude change of both sides, one row per game.
+def _of_sides(*names: str) -> dict[str, tuple[str, str]]:
+    return {name: (f"home_{name}", f"away_{name}") for name in names}
+
+
+# Columns of a side's row and their names on the game's row.
+CONTEXT_SIDES = {
+    **_of_sides("days_rest", "timezone_shift", "prev_altitude", "altitude_change"),
+    "altitude_feet": ("home_arena_altitude", "away_arena_altitude"),
+}
+TRAVEL_SIDES = _of_sides("travel_miles")
+
+
+def context_rows(timeline: Timeline) -> DataFrame:
+    """Rest, zone shift and altitude change, one row per side.
 
     One ordered pass serves all three; unused columns are pruned by the optimizer.
     """
@@ -43,23 +55,14 @@ def schedule_context(timeline: Timeline) -> DataFrame:
         reads=["timezone", "altitude_feet"],
     ).rows
     altitude = F.col("altitude_feet")
-    rows = looked_back.withColumns({
+    return looked_back.withColumns({
         "days_rest": (F.date_diff("game_date", "_prev_date") - 1).cast("bigint"),
         "timezone_shift": zone_shift(F.col("_prev_zone"), F.col("timezone")),
         "altitude_change": altitude - F.coalesce("prev_altitude", altitude),
     })
-    sides = lambda pattern: tuple(pattern.format(side) for side in ("home", "away"))
-    wide = attach_both_sides(
-        rows,
-        GAME_KEYS,
-        {
-            "days_rest": sides("{}_days_rest"),
-            "timezone_shift": sides("{}_timezone_shift"),
-            "altitude_feet": sides("{}_arena_altitude"),
-            "prev_altitude": sides("{}_prev_altitude"),
-            "altitude_change": sides("{}_altitude_change"),
-        },
-    )
+
+
+def _with_context_advantages(wide: DataFrame) -> DataFrame:
     return wide.withColumns({
         "rest_advantage": _away_minus_home("days_rest"),
         "timezone_lag_advantage": F.col("away_timezone_shift"),
@@ -67,6 +70,11 @@ def schedule_context(timeline: Timeline) -> DataFrame:
     })
 
 
+def schedule_context(timeline: Timeline) -> DataFrame:
+    """Rest, zone shift and altitude change of both sides, one row per game."""
+    return _with_context_advantages(attach_both_sides(context_rows(timeline), GAME_KEYS, CONTEXT_SIDES))
+
+
 def _away_minus_home(name: str) -> Column:
     return F.col(f"away_{name}") - F.col(f"home_{name}")
 
@@ -100,8 +108,8 @@ def travel_timeline(rows: DataFrame, scope: str = "side") -> Timeline:
     return Timeline.of(rows, entity, TEAM_ORDER)
 
 
-def travel_miles(timeline: Timeline) -> DataFrame:
-    """Great-circle miles from the previous arena; 0 for the first game or the same arena."""
+def travel_rows(timeline: Timeline) -> DataFrame:
+    """Great-circle miles from the previous arena, one row per side; 0 for the first game or the same arena."""
     here = {"lat": "latitude", "lon": "longitude"}
     rows = timeline.with_windows(
         1,
@@ -113,13 +121,32 @@ def travel_miles(timeline: Timeline) -> DataFrame:
     ).rows
     stayed = F.col("_arena").isNull() | F.coalesce(F.col("_arena") == F.col("arena_id"), F.lit(False))
     miles = great_circle_miles(*(F.col(c) for c in ("_lat", "_lon", "latitude", "longitude")))
-    moved = rows.withColumn("travel_miles", F.when(stayed, F.lit(0.0)).otherwise(miles))
-    wide = attach_both_sides(
-        moved, GAME_KEYS, {"travel_miles": ("home_travel_miles", "away_travel_miles")}
-    )
+    return rows.withColumn("travel_miles", F.when(stayed, F.lit(0.0)).otherwise(miles))
+
+
+def _with_travel_advantage(wide: DataFrame) -> DataFrame:
     return wide.withColumn("travel_advantage", _away_minus_home("travel_miles"))
 
 
+def travel_miles(timeline: Timeline) -> DataFrame:
+    """Miles travelled by both sides, one row per game."""
+    return _with_travel_advantage(attach_both_sides(travel_rows(timeline), GAME_KEYS, TRAVEL_SIDES))
+
+
+def schedule_features(context: Timeline, travel: Timeline) -> DataFrame:
+    """Context and travel of both sides by game id: their side rows are folded in one shuffle.
+
+    The result is partitioned by game id, as a join by game needs it.
+    """
+    sides = [
+        context_rows(context).select("game_id", "home_away", *CONTEXT_SIDES),
+        travel_rows(travel).select("game_id", "home_away", *TRAVEL_SIDES),
+    ]
+    every = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    folded = attach_both_sides(every, ["game_id"], {**CONTEXT_SIDES, **TRAVEL_SIDES})
+    return _with_travel_advantage(_with_context_advantages(folded))
+
+
 # Context of a quarter row, as (output, home or away column).
 ALTITUDE_CONTEXT = [
     ("game_altitude", "arena_altitude"),

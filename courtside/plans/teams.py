@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions.numeric import bucketize, flag, ratio, round_half_up, round_mean
 from courtside.operators.keyed import Season, in_season, newest_per_key, with_season_age
-from courtside.operators.shape import bucket_record, quarter_profile
+from courtside.operators.shape import bucket_columns, quarter_profile
 from courtside.operators.timeline import Timeline, current_run, trailing_mean
 
 TEAM_ORDER = ("game_date", "game_id")
@@ -132,11 +132,13 @@ def performance_by_pace(timeline: Timeline, crews: DataFrame, season_now: Season
     )
 
 
+def _pace_columns() -> list[Column]:
+    return bucket_columns(pace_bucket("game_pace"), PACE_PREFIXES)
+
+
 def pace_record(rows: DataFrame, season_now: Season) -> DataFrame:
     """Current-season record per team in each pace class, as columns."""
-    current = in_season(rows, season_now)
-    paced = current.select("team_id", "win", pace_bucket("game_pace").alias("pace_bucket"))
-    return bucket_record(paced, "team_id", "pace_bucket", PACE_PREFIXES)
+    return in_season(rows, season_now).groupBy("team_id").agg(*_pace_columns())
 
 
 def current_rolling(rows: DataFrame) -> DataFrame:
@@ -176,9 +178,9 @@ def record(rows: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def season_record(rows: DataFrame, season_now: Season) -> DataFrame:
-    """Record in the current season only."""
-    return record(in_season(rows, season_now))
+def season_profile(rows: DataFrame, season_now: Season) -> DataFrame:
+    """Record in the current season only, whole and in each pace class, from one aggregate."""
+    return record(in_season(rows, season_now), *_pace_columns())
 
 
 def _splits() -> list[Column]:

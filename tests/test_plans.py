@@ -84,3 +84,13 @@ def test_only_needed_columns_are_read(spark):
     plan = plan_of(registry.queries()["head_to_head"](spark, FOLDER))
     assert "l_tax" not in plan and "l_extendedprice" not in plan and "o_totalprice" not in plan
 
+
+def test_the_card_reads_what_it_shares_once(spark, tmp_path):
+    """Box scores, results and quarters are read for the written games alone, and the season is a literal."""
+    raw = registry.SuppliedTables(spark, "/root/testdata/sf0.001").raw()
+    league = registry.League(raw, work_folder=str(tmp_path))
+    plan = plan_of(league.game_card())
+    assert league.season_now == league.schedule.agg({"season": "max"}).first()[0]
+    assert "lineitem" not in plan and "current_season#" not in plan
+    # Side features of games are folded by one shuffle on the game id, which the join by game uses as it is.
+    assert len(re.findall(r"(?<!Broadcast)Exchange ", plan)) <= 32
