@@ -123,6 +123,14 @@ def _all_lines(docs: DataFrame, key: str, text: str, with_line: bool) -> DataFra
     return docs.select(key, text).mapInArrow(run, "line long, content string" if with_line else f"line long, owner {kind}, place int")
 
 
+def _led(docs: DataFrame, text: str) -> DataFrame:
+    """(band, line, lead): the lines of every band value with several, with the smallest one, which has no row."""
+    # Both uses read the one shuffle, since the filter that the join asks for stands in both; no sort, no window.
+    rows = _band_rows(docs, text).where("band is not null and line is not null").repartition("band")
+    shared = rows.groupBy("band").agg(F.min("line").alias("lead"), F.max("line").alias("last")).where("lead < last").select("band", "lead")
+    return rows.join(shared.hint("shuffle_hash"), "band").where("line <> lead").distinct()
+
+
 def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """The pairs (a, b) of lines that link."""
     with_text = (
@@ -214,9 +222,7 @@ def line_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     Lines of a band value are compared with the smallest id among them. In the band values whose other lines are not
     one component by then, every two of them in different components are compared as well.
     """
-    rows = _band_rows(docs, text).repartition("band")  # both uses read the one shuffle; no sort, no window
-    shared = rows.groupBy("band").agg(F.min("line").alias("lead"), F.max("line").alias("last")).where("lead < last").select("band", "lead")
-    left = save(rows.join(shared.hint("shuffle_hash"), "band").where("line <> lead").distinct())
+    left = save(_led(docs, text))
     candidates = left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct()
     contents = save(_all_lines(docs, docs.columns[0], text, True).join(candidates, "line", "left_semi").dropDuplicates(["line"]))
     pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
