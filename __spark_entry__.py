@@ -169,7 +169,9 @@ def preview_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 def merged_latest_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The newest versions, kept up to date from three batches that don't come in the order of time."""
-    scores, path = league(spark, folder).raw["scored_games"], work_folder(spark)
+    path = work_folder(spark)
+    scores = stage(league(spark, folder).raw["scored_games"], f"{path}/scored")  # read six times
+    path = f"{path}/latest"
     arrived = F.pmod(F.xxhash64("inserted_at", *KEY), F.lit(3))
     for batch in range(3):
         picks.update_latest_scores(scores.where(arrived == batch), path)

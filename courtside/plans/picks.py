@@ -16,6 +16,7 @@ from courtside.sources.sinks import in_report_order
 GAME_KEY = ["game_date", "home_team_id", "away_team_id"]
 EARLY_BEFORE = 18 * 60  # minutes of the day
 TAG_CHARACTERS = 15
+MONTH = "_month"  # the folders of the kept newest versions
 MODEL_COLUMNS = ["composite_score", "model_vs_market", "model_vs_line", "model_total", "spread_home", "over_under"]
 LEVELS = ("STRONG", "MEDIUM")
 
@@ -35,14 +36,17 @@ def latest_scores(scores: DataFrame, stamp: str = "inserted_at") -> DataFrame:
 def update_latest_scores(batch: DataFrame, path: str, stamp: str = "inserted_at") -> int:
     """Bring a kept table of newest versions up to date with the versions of a batch; its version number.
 
-    The table is in partitions by game date. Only the dates of the batch are read and replaced; the
-    batch's distinct dates pass the driver. Batches may come late, in any order, or twice.
+    The table is in partitions by month of the game date, since a day has too few games for a file. Only
+    the months of the batch are read and replaced; its distinct months pass the driver. Batches may come
+    late, in any order, or twice.
     """
-    days = [row[0] for row in batch.select("game_date").distinct().collect()]
-    parts = [f"game_date={'__HIVE_DEFAULT_PARTITION__' if day is None else day}" for day in days]
+    month = F.date_format("game_date", "yyyy-MM")
+    months = [row[0] for row in batch.select(month).distinct().collect()]
+    parts = [f"{MONTH}={'__HIVE_DEFAULT_PARTITION__' if name is None else name}" for name in months]
     state = read_version(batch.sparkSession, path, batch.schema, parts)
     newest_by = [stamp, *(c for c in CONTENT_ORDER if c in batch.columns)]
-    return replace_table(merge_newest(state, batch, GAME_KEY, newest_by), path, "game_date")
+    merged = merge_newest(state, batch, GAME_KEY, newest_by)
+    return replace_table(merged.withColumn(MONTH, month), path, MONTH)
 
 
 def _in_batch(batch: str) -> Column:
