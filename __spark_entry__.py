@@ -180,7 +180,9 @@ def merged_latest_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def replaced_seasons(spark: SparkSession, folder: str) -> DataFrame:
     """Wide games published with wrong points in some seasons, which are then replaced."""
-    scores, path = league(spark, folder).game_scores, work_folder(spark)
+    path = work_folder(spark)
+    scores = stage(league(spark, folder).game_scores, f"{path}/computed")
+    path = f"{path}/scores"
     wrong = F.col("season") % 2 == 0
     replace_table(scores.withColumn("home_points", F.when(~wrong, F.col("home_points"))), path, "season")
     replace_table(scores.where(wrong), path, "season")
