@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from courtside.operators.keyed import Season, in_season, with_flag
@@ -75,16 +77,20 @@ def game_card(
     assignments: DataFrame,
     tendencies: DataFrame,
     official_effect: DataFrame,
+    shared: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """One row per scheduled game, played or not.
 
     Tables by game meet on the game id. Team, pair and official tables are aggregated to one row
     per key; adaptive execution broadcasts those that turn out small and splits hot keys of others.
+    ``shared`` may write a table (with a name) once: profile and effect are joined twice, and the sizes
+    of all four are then known before the card's wide rows would be shuffled by their keys.
     """
-    profile = team_profile(rows, season_now)
-    pairs = season_pairs(played, season_now)
-    chiefs = crew_chiefs(tendencies)
+    profile = shared(team_profile(rows, season_now), "profile")
+    pairs = shared(season_pairs(played, season_now), "pairs")
+    chiefs = shared(crew_chiefs(tendencies), "chiefs")
     effect = official_effect.select("team_id", "referee_id", "games_with_referee", "weighted_ref_effect")
+    effect = shared(effect, "effect")
 
     scored = with_flag(played, broadcasts, "game_id", "is_national_broadcast")
     results = scored.select(

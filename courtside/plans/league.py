@@ -252,6 +252,7 @@ class League:
             assignments=assignments,
             tendencies=officials.official_tendencies(assignments, self.played),
             official_effect=officials.team_official_effect(form, assignments, self.season_now),
+            shared=self._shared,
         )
 
     def unpublished_games(self, batch: str) -> DataFrame:
