@@ -47,6 +47,8 @@ MODELS = [
     "team_summary", "player_summary", "referee_summary", "game_card", "season_team_record",
     "pick_record", "recap_lines", "returning_players",
 ]
+# Models that read a table of the league several times: it is written once.
+SHARING = ["game_card", "player_rolling_averages", "player_streaks", "player_summary", "player_referee_stats", "returning_players"]
 KEY = ["game_date", "home_team_id", "away_team_id"]
 FACT_BUCKETS = 16
 
@@ -66,7 +68,7 @@ def _model(name: str, **options) -> Query:
     day = days.get(name, SCORE_DAY)
 
     def build(spark: SparkSession, folder: str) -> DataFrame:
-        shared = {"work_folder": work_folder(spark)} if name == "game_card" else {}
+        shared = {"work_folder": work_folder(spark)} if name in SHARING else {}
         return getattr(league(spark, folder, as_of_date=day, **shared, **options), name)()
 
     return build

@@ -19,9 +19,10 @@ from courtside.sources.schemas import RAW_KEYS
 class League:
     """Models by name; all of them are lazy.
 
-    With ``work_folder``, a folder that all executors share, the schedule and ``played`` (wide games
-    with pace, on which much of the card stands) are written there once and read back, and the newest season
-    is looked up in the schedule, so that it is a literal in all filters.
+    With ``work_folder``, a folder that all executors share, the schedule, ``played`` (wide games
+    with pace, on which much of the card stands), the card's tables by team, pair and official and, for the models of players, their appearances and season
+    means are written there once and read back, and the newest season is looked up in the schedule, so that it
+    is a literal in all filters.
     """
 
     def __init__(
@@ -202,12 +203,13 @@ class League:
     @cached_property
     def appearances(self) -> DataFrame:
         """Player games with time on the court."""
-        return players.appearances(self.stg("player_game_stats"), self.boxes)
+        dates = self._shared(self.boxes.select("game_id", "game_date", "season"), "dates")
+        return self._shared(players.appearances(self.stg("player_game_stats"), dates), "appearances")
 
     @cached_property
     def baseline(self) -> DataFrame:
         """Season means, one row per player."""
-        return players.season_baseline(self.appearances, self.season_now)
+        return self._shared(players.season_baseline(self.appearances, self.season_now), "baseline")
 
     def player_rolling_averages(self) -> DataFrame:
         return players.player_rolling_averages(self.player_timeline, self.baseline)
