@@ -1,36 +1,29 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
+"""Byte-level BPE encoding and decoding of whole texts.
 
-A word is an array of byte ids; a fold merges its best-ranked pair until none is left. The distinct
-words that are most frequent in the corpus are folded once into a dictionary of bounded size; any
-other word is folded where it stands, so no occurrence of a word is shuffled or dropped. Rank map and
-dictionary are one-row tables that reach the tasks as literals (scalar subqueries): arrays of small
-maps, one map for each hash bucket, because a lookup in a Spark map scans it.
+Spark's regular expressions split a text into words. A task folds each distinct word that it meets once: its
+bytes' ids are merged, the pair of lowest rank first, until no pair has a rank. A Python worker remembers a
+bounded number of folded words; when more come, it starts anew. Only the rank file is sent to the tasks.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+import heapq
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from courtside.llm.common import save
+from courtside.llm.common import KEPT, slices
 
-#: Most words that the dictionary takes from the corpus. It bounds the literal to about 100 MB.
-MAX_WORDS = 1 << 20
-_PAIR_BUCKETS = 1 << 17
-_WORD_BUCKETS = 1 << 20
-_KNOWN, _PAIRS, _PIECES = "__known", "__pairs", "__pieces"
+#: Most words that a Python worker remembers, and their most bytes; a longer word is folded each time.
+MAX_WORDS = 1 << 18
+MAX_WORD_BYTES = 64
+_WORDS = "__words"
 _SPACES = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
-Let = Callable[[Column], Column]
-
-
-def let(value: Column, body: Let) -> Column:
-    """body(value), with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
 
 def java_pattern(pattern: str) -> str:
     r"""The split pattern with \s and \S as Unicode white space, as the tokenizer's library has them."""
@@ -42,146 +35,118 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def _hashed(rows: DataFrame, buckets: int) -> Column:
-    """(key, value) rows as one array of maps, the map of a key at its hash."""
-    by_bucket = (
-        rows.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("id"), F.struct("key", "value").alias("entry"))
-        .groupBy("id").agg(F.collect_list("entry").alias("entries"))
-    )
-    every = rows.sparkSession.range(buckets).join(by_bucket, "id", "left")
-    entries = F.coalesce("entries", F.slice(F.array(F.struct(*(F.lit(None).cast(t).alias(n) for n, t in rows.select("key", "value").dtypes))), 1, 0))
-    ordered = every.agg(F.array_sort(F.collect_list(F.struct("id", entries.alias("entries")))).alias("all"))
-    return ordered.select(F.transform("all", lambda x: F.map_from_entries(x["entries"]))).scalar()
-
-
-def _found(table: Column, key: Column, buckets: int) -> Column:
-    return F.try_element_at(F.get(table, F.pmod(F.xxhash64(key), F.lit(buckets))), key)
+def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word: the adjacent pair of lowest rank, leftmost first, is merged until none has a rank."""
+    parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
+    n = len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[p], i, p) for i in range(n - 1) if (p := word[i : i + 2]) in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, pair = heapq.heappop(heap)
+        j = after[i]
+        if parts[i] is None or j >= n or len(parts[i]) + len(parts[j]) != len(pair):
+            continue  # one of the two was merged with another since
+        parts[i], parts[j] = pair, None
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if (p := pair + parts[k]) in ranks:
+                heapq.heappush(heap, (ranks[p], i, p))
+        if (h := before[i]) >= 0 and (p := parts[h] + pair) in ranks:
+            heapq.heappush(heap, (ranks[p], h, p))
+    return [ranks[p] for p in parts if p is not None]
+
+
+class _Words:
+    """The ids of distinct words, folded when first met."""
+
+    def __init__(self, ranks: dict[bytes, int], max_words: int) -> None:
+        self.ranks, self.max_words = ranks, max_words
+        self.known: dict[str, np.ndarray] = {}
+
+    def ids(self, word: str) -> np.ndarray:
+        found = self.known.get(word)
+        if found is None:
+            data = word.encode()
+            whole = self.ranks.get(data)
+            found = np.array([whole] if whole is not None else fold(data, self.ranks), np.int32)
+            if len(data) <= MAX_WORD_BYTES and self.max_words > 0:
+                if len(self.known) >= self.max_words:
+                    self.known.clear()
+                self.known[word] = found
+        return found
+
+    def encode(self, words: pa.ListArray) -> pa.ListArray:
+        """The ids of each list of words, a batch of lists at once."""
+        flat = words.flatten().dictionary_encode()
+        found = [self.ids(w) for w in flat.dictionary.to_pylist()]
+        sizes = np.array([len(x) for x in found], np.int64)
+        pool = np.concatenate([*found, np.zeros(0, np.int32)])
+        begins = np.cumsum(sizes) - sizes
+        at = flat.indices.to_numpy(zero_copy_only=False)
+        size = sizes[at]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = pool[np.repeat(begins[at] - upto[:-1], size) + np.arange(upto[-1])]
+        offsets = words.offsets.to_numpy()
+        return pa.ListArray.from_arrays(pa.array(upto[offsets - offsets[0]], pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _joined(ids: pa.ListArray, pieces: pa.BinaryArray) -> pa.BinaryArray:
+    """The pieces of each list of ids, concatenated."""
+    taken = pieces.take(ids.flatten())
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy(zero_copy_only=False))])
+    limits = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+    data = taken.buffers()[2] or pa.py_buffer(b"")
+    rows = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends[limits].astype(np.int32)), data])
+    return pc.if_else(ids.is_null(), pa.scalar(None, pa.binary()), rows)
 
 
 class ByteBPE:
     """Encoder and decoder for a rank file (base64 of a token and its rank on each line)."""
 
     def __init__(self, spark: SparkSession, rank_file: str, pattern: str) -> None:
-        self.spark, self.pattern = spark, pattern
+        self.rank_file, self.pattern = rank_file, pattern
         with open(rank_file, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.ranks = ranks
-        size = 1 << 20
-        pairs = [
-            (ranks[t[:i]] * size + ranks[t[i:]], r)
-            for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
-        ]
-        self._pairs = spark.createDataFrame(pd.DataFrame(pairs, columns=["key", "value"]), "key long, value int")
-        self._bytes = F.array(*(F.lit(ranks[bytes([i])]) for i in range(256)))
-        pieces = pd.DataFrame(((r, t.hex()) for t, r in ranks.items()), columns=["id", "piece"])
-        self._pieces = spark.createDataFrame(pieces, "id int, piece string")
-
-    def _rank(self, table: Column, left: Column, right: Column) -> Column:
-        return _found(table, left.cast("long") * (1 << 20) + right, _PAIR_BUCKETS)
-
-    def _fold(self, table: Column, word: Column) -> Column:
-        """The ids of a word: the pair of lowest rank, leftmost first, is merged until none has a rank."""
-        rank = lambda a, b: self._rank(table, a, b)
-
-        def merged(ids: Column, ranks: Column, low: Column, at: Column) -> Column:
-            end = F.size(ids)
-            before = F.when(at > 1, F.array(rank(F.get(ids, at - 2), low))).otherwise(F.array().cast("array<int>"))
-            return F.struct(
-                F.concat(F.slice(ids, 1, at - 1), F.array(low), F.slice(ids, at + 2, end)).alias("ids"),
-                F.concat(
-                    F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), before,
-                    F.array(rank(low, F.get(ids, at + 1))), F.slice(ranks, at + 2, end),
-                ).alias("ranks"),
-            )
-
-        def step(state: Column, _: Column) -> Column:
-            return let(
-                F.array_min(state["ranks"]),
-                lambda low: F.when(low.isNull(), state).otherwise(
-                    let(
-                        F.array_position(state["ranks"], low).cast("int"),
-                        lambda at: merged(state["ids"], state["ranks"], low, at),
-                    )
-                ),
-            )
-
-        latin = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-        letters = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.ascii(F.substr(latin, i, F.lit(1))))
-        return let(
-            F.transform(letters, lambda x: F.get(self._bytes, x)),
-            lambda ids: F.aggregate(
-                F.slice(ids, 2, F.size(ids)),
-                F.struct(
-                    ids.alias("ids"),
-                    F.zip_with(ids, F.slice(ids, 2, F.size(ids)), rank).alias("ranks"),
-                ),
-                step,
-                lambda state: state["ids"],
-            ),
-        )
-
-    def _vocabulary(self) -> DataFrame:
-        """Words that are a token as they are; their bytes may merge otherwise."""
-        rows = []
-        for token, rank in self.ranks.items():
-            try:
-                rows.append((token.decode(), [rank]))
-            except UnicodeDecodeError:
-                pass
-        return self.spark.createDataFrame(pd.DataFrame(rows, columns=["key", "value"]), "key string, value array<int>")
-
-    def dictionary(self, docs: DataFrame, text: str, max_words: int = MAX_WORDS) -> DataFrame:
-        """(key, value): the vocabulary and the most frequent distinct words of all texts, with their ids.
-
-        Words are taken by whole counts, from the highest, while they fit into max_words.
-        """
-        words = docs.select(F.explode(words_of(F.col(text), self.pattern)).alias("key"))
-        counts = save(words.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-        by_count = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n"))
-        least, total = 1 << 62, 0
-        for row in by_count.collect():
-            total += row["words"]
-            if total > max_words:
-                break
-            least = row["n"]
-        vocabulary = self._vocabulary()
-        frequent = counts.where(F.col("n") >= least).join(F.broadcast(vocabulary), "key", "left_anti")
-        pairs = _hashed(self._pairs, _PAIR_BUCKETS)
-        folded = frequent.withColumn("pairs", pairs).select(
-            "key", let(F.col("pairs"), lambda t: self._fold(t, F.col("key"))).alias("value")
-        )
-        return save(vocabulary.unionByName(folded))
+        self._ranks = spark.sparkContext.broadcast(ranks)
 
     def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids", max_words: int = MAX_WORDS) -> DataFrame:
-        """Add the ids of each whole text; null and empty texts have none."""
-        known = _hashed(self.dictionary(docs, text, max_words), _WORD_BUCKETS)
-        pairs = _hashed(self._pairs, _PAIR_BUCKETS)
-        # Spark takes no subquery inside a higher-order function; the optimizer merges the two projections.
-        tables = docs.select(*docs.columns, known.alias(_KNOWN), pairs.alias(_PAIRS))
-        encoded = let(
-            F.struct(F.col(_KNOWN).alias("known"), F.col(_PAIRS).alias("pairs")),
-            lambda t: F.flatten(
-                F.transform(
-                    words_of(F.col(text), self.pattern),
-                    lambda w: F.coalesce(_found(t["known"], w, _WORD_BUCKETS), self._fold(t["pairs"], w)),
-                )
-            ),
-        )
-        return tables.select(*(F.col(c) for c in docs.columns if c != ids), encoded.alias(ids))
+        """Add the ids of each whole text; null and empty texts have none. A worker remembers max_words words."""
+        ranks, others = self._ranks, [c for c in docs.columns if c != ids]
+        split = docs.select(*others, words_of(F.col(text), self.pattern).alias(_WORDS))
+        name = (self.rank_file, max_words)
+        schema = T.StructType([*docs.select(*others).schema, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 200, keep="byte_bpe"):
+                held = KEPT.get("byte_bpe")
+                if held is None or held[0] != name:
+                    KEPT["byte_bpe"] = held = (name, _Words(ranks.value, max_words))
+                coded = held[1].encode(batch.column(len(others)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], coded], schema.names)
+
+        return split.mapInArrow(run, schema)
 
     def decode(self, coded: DataFrame, ids: str = "ids", data: str = "data") -> DataFrame:
         """Add the bytes of each array of ids: their pieces, concatenated. Null ids give null."""
-        pieces = self._pieces.agg(F.array_sort(F.collect_list(F.struct("id", "piece"))).alias("all"))
-        table = pieces.select(F.transform("all", lambda x: x["piece"])).scalar()
-        pieced = coded.select(*coded.columns, table.alias(_PIECES))
-        joined = let(F.col(_PIECES), lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), ""))
-        return pieced.select(*(F.col(c) for c in coded.columns if c != data), F.unhex(joined).alias(data))
+        ranks, others = self._ranks, [c for c in coded.columns if c != data]
+        schema = T.StructType([*coded.select(*others).schema, T.StructField(data, T.BinaryType())])
+        place = others.index(ids)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            by_id = {rank: token for token, rank in ranks.value.items()}
+            pieces = pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.binary())
+            for batch in slices(batches, 200, keep="byte_bpe"):
+                yield pa.RecordBatch.from_arrays([*batch.columns, _joined(batch.column(place), pieces)], schema.names)
+
+        return coded.select(*others).mapInArrow(run, schema)
 
 
 def op3_byte_bpe(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text."""
     coder = ByteBPE(docs.sparkSession, rank_file, pattern)
-    coded = coder.decode(coder.encode(docs.select("doc_id", "text")))
+    coded = coder.decode(coder.encode(docs.select("doc_id", "text")).select("doc_id", "ids"))
     joined = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
