@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,27 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
+def _fold_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same by a search for each merge, which is faster for few bytes."""
+    get, none = ranks.get, 1 << 62
+    parts = [word[i : i + 1] for i in range(len(word))]
+    found = [get(word[i : i + 2], none) for i in range(len(word) - 1)]
+    while found and (low := min(found)) < none:
+        i = found.index(low)
+        pair = parts[i] + parts[i + 1]
+        parts[i : i + 2] = [pair]
+        del found[i]
+        if i < len(found):
+            found[i] = get(pair + parts[i + 1], none)
+        if i:
+            found[i - 1] = get(parts[i - 1] + pair, none)
+    return [ranks[p] for p in parts]
+
+
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of a word: the adjacent pair of lowest rank, leftmost first, is merged until none has a rank."""
+    if len(word) <= MAX_WORD_BYTES:
+        return _fold_short(word, ranks)
     parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
     n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -63,14 +83,14 @@ class _Words:
 
     def __init__(self, ranks: dict[bytes, int], max_words: int) -> None:
         self.ranks, self.max_words = ranks, max_words
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, list[int]] = {}
 
-    def ids(self, word: str) -> np.ndarray:
+    def ids(self, word: str) -> list[int]:
         found = self.known.get(word)
         if found is None:
             data = word.encode()
             whole = self.ranks.get(data)
-            found = np.array([whole] if whole is not None else fold(data, self.ranks), np.int32)
+            found = [whole] if whole is not None else fold(data, self.ranks)
             if len(data) <= MAX_WORD_BYTES and self.max_words > 0:
                 if len(self.known) >= self.max_words:
                     self.known.clear()
@@ -82,7 +102,7 @@ class _Words:
         flat = words.flatten().dictionary_encode()
         found = [self.ids(w) for w in flat.dictionary.to_pylist()]
         sizes = np.array([len(x) for x in found], np.int64)
-        pool = np.concatenate([*found, np.zeros(0, np.int32)])
+        pool = np.fromiter(chain.from_iterable(found), np.int32)
         begins = np.cumsum(sizes) - sizes
         at = flat.indices.to_numpy(zero_copy_only=False)
         size = sizes[at]
@@ -119,7 +139,7 @@ class ByteBPE:
         schema = T.StructType([*docs.select(*others).schema, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, 200, keep="byte_bpe"):
+            for batch in slices(batches, keep="byte_bpe"):
                 held = KEPT.get("byte_bpe")
                 if held is None or held[0] != name:
                     KEPT["byte_bpe"] = held = (name, _Words(ranks.value, max_words))
@@ -137,7 +157,7 @@ class ByteBPE:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             by_id = {rank: token for token, rank in ranks.value.items()}
             pieces = pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.binary())
-            for batch in slices(batches, 200, keep="byte_bpe"):
+            for batch in slices(batches, keep="byte_bpe"):
                 yield pa.RecordBatch.from_arrays([*batch.columns, _joined(batch.column(place), pieces)], schema.names)
 
         return coded.select(*others).mapInArrow(run, schema)
