@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding of whole texts.
 
-Spark's regular expressions split a text into words. A task folds each distinct word that it meets once: its
-bytes' ids are merged, the pair of lowest rank first, until no pair has a rank. A Python worker remembers a
-bounded number of folded words; when more come, it starts anew. Only the rank file is sent to the tasks.
+Spark's regular expressions split a text into words. A task folds the distinct words of a batch of texts: the ids
+of their bytes are merged, the pair of lowest rank first, until no pair has a rank. Words of one length are folded
+together, a merge in each of them at a time. Only the rank file is sent to the tasks.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from courtside.llm.common import KEPT, slices
 
-#: Most words that a Python worker remembers, and their most bytes; a longer word is folded each time.
-MAX_WORDS = 1 << 18
+#: Most words that are folded at once, and their most bytes; a longer word is folded on its own, and so are few words.
+MAX_WORDS = 1 << 15
 MAX_WORD_BYTES = 64
+FEW_WORDS = 16
 _WORDS = "__words"
 _SPACES = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -78,31 +78,96 @@ def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-class _Words:
-    """The ids of distinct words, folded when first met."""
-
-    def __init__(self, ranks: dict[bytes, int], max_words: int) -> None:
-        self.ranks, self.max_words = ranks, max_words
-        self.known: dict[str, list[int]] = {}
-
-    def ids(self, word: str) -> list[int]:
-        found = self.known.get(word)
-        if found is None:
-            data = word.encode()
-            whole = self.ranks.get(data)
-            found = [whole] if whole is not None else fold(data, self.ranks)
-            if len(data) <= MAX_WORD_BYTES and self.max_words > 0:
-                if len(self.known) >= self.max_words:
-                    self.known.clear()
-                self.known[word] = found
-        return found
-
-    def encode(self, words: pa.ListArray) -> pa.ListArray:
+class _Merges:
+    """Folds many words at once; two adjacent ids give the rank of their token, if there is one."""
+
+    NONE = np.int64(1) << 40
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks, self.missing = ranks, max(ranks.values()) + 1
+        self.base = self.missing + 1
+        self.tokens, self.of_token = pa.array(list(ranks), pa.binary()), np.array(list(ranks.values()), np.int64)
+        self.of_byte = np.array([ranks.get(bytes([x]), self.missing) for x in range(256)], np.int64)
+        pairs = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token) if len(token) <= MAX_WORD_BYTES else 0):
+                if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None:
+                    pairs[left * self.base + right] = rank
+        keys = np.array(sorted(pairs), np.int64)
+        self.keys = np.append(keys, np.iinfo(np.int64).max)  # a last one that no pair has
+        self.found = np.array([*(pairs[x] for x in keys.tolist()), self.NONE], np.int64)
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left * self.base + right
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, self.found[at], self.NONE)
+
+    def fold(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The rows that are done and their ids, from the ids of the bytes of words of one length, a word a row.
+
+        Each round merges one pair in every row that has a ranked one, so that all rows left are equally long.
+        """
+        rows = np.arange(len(ids))
+        found = self.ranks_of(ids[:, :-1], ids[:, 1:])
+        while found.shape[1]:
+            at = found.argmin(axis=1)
+            low = found[np.arange(len(rows)), at]
+            if (done := low >= self.NONE).any():
+                yield rows[done], ids[done]
+                rows, ids, found, at, low = (x[~done] for x in (rows, ids, found, at, low))
+                if not len(rows):
+                    return
+            n, width = ids.shape
+            each = np.arange(n)
+            ids[each, at] = low
+            kept = np.ones((n, width), bool)
+            kept[each, at + 1] = False
+            ids = ids[kept].reshape(n, width - 1)
+            kept = np.ones((n, width - 1), bool)
+            kept[each, at] = False
+            found = found[kept].reshape(n, width - 2)
+            for side in (at - 1, at):  # the pairs that the merged one is now in
+                x = np.flatnonzero((side >= 0) & (side < width - 2))
+                y = side[x]
+                found[x, y] = self.ranks_of(ids[x, y], ids[x, y + 1])
+        yield rows, ids
+
+    def words(self, words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each word, one after the other, and their limits."""
+        whole = pc.index_in(words, value_set=self.tokens)
+        known = whole.is_valid().to_numpy(zero_copy_only=False)
+        limits = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset).astype(np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        lengths = np.diff(limits)
+        sizes = np.ones(len(words), np.int64)
+        parts = [(np.flatnonzero(known), self.of_token[whole.drop_null().to_numpy()][:, None])]
+        other = np.flatnonzero(~known)
+        other = other[np.argsort(lengths[other], kind="stable")]
+        for same in np.split(other, np.flatnonzero(np.diff(lengths[other])) + 1):
+            length = int(lengths[same[0]]) if len(same) else 0
+            if len(same) < FEW_WORDS or length > MAX_WORD_BYTES:
+                for x in same.tolist():
+                    parts.append((np.array([x]), np.array([fold(data[limits[x] : limits[x + 1]].tobytes(), self.ranks)], np.int64)))
+            else:
+                folded = self.fold(self.of_byte[data[limits[same][:, None] + np.arange(length)]])
+                parts += ((same[rows], ids) for rows, ids in folded)
+        for own, ids in parts:
+            sizes[own] = ids.shape[1]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        pool = np.empty(ends[-1], np.int32)
+        for own, ids in parts:
+            pool[ends[own][:, None] + np.arange(ids.shape[1])] = ids
+        if (pool == self.missing).any():
+            raise KeyError("a byte has no rank")
+        return pool, ends
+
+    def encode(self, words: pa.ListArray, max_words: int = MAX_WORDS) -> pa.ListArray:
         """The ids of each list of words, a batch of lists at once."""
         flat = words.flatten().dictionary_encode()
-        found = [self.ids(w) for w in flat.dictionary.to_pylist()]
-        sizes = np.array([len(x) for x in found], np.int64)
-        pool = np.fromiter(chain.from_iterable(found), np.int32)
+        distinct, step = flat.dictionary.cast(pa.binary()), max(1, max_words)
+        done = [self.words(distinct.slice(i, step)) for i in range(0, len(distinct), step)]
+        pool = np.concatenate([x for x, _ in done] or [np.empty(0, np.int32)])
+        sizes = np.concatenate([np.diff(x) for _, x in done] or [np.empty(0, np.int64)])
         begins = np.cumsum(sizes) - sizes
         at = flat.indices.to_numpy(zero_copy_only=False)
         size = sizes[at]
@@ -132,18 +197,18 @@ class ByteBPE:
         self._ranks = spark.sparkContext.broadcast(ranks)
 
     def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids", max_words: int = MAX_WORDS) -> DataFrame:
-        """Add the ids of each whole text; null and empty texts have none. A worker remembers max_words words."""
+        """Add the ids of each whole text; null and empty texts have none. At most max_words words are folded at once."""
         ranks, others = self._ranks, [c for c in docs.columns if c != ids]
         split = docs.select(*others, words_of(F.col(text), self.pattern).alias(_WORDS))
-        name = (self.rank_file, max_words)
+        name = self.rank_file
         schema = T.StructType([*docs.select(*others).schema, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, keep="byte_bpe"):
                 held = KEPT.get("byte_bpe")
                 if held is None or held[0] != name:
-                    KEPT["byte_bpe"] = held = (name, _Words(ranks.value, max_words))
-                coded = held[1].encode(batch.column(len(others)))
+                    KEPT["byte_bpe"] = held = (name, _Merges(ranks.value))
+                coded = held[1].encode(batch.column(len(others)), max_words)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], coded], schema.names)
 
         return split.mapInArrow(run, schema)

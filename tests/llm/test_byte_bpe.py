@@ -34,3 +34,19 @@ def test_no_dictionary_passes_the_driver(spark):
     coded = byte_bpe.op3_byte_bpe(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" not in plan and "Exchange" not in plan
+
+
+def test_words_of_one_length_are_folded_together(monkeypatch):
+    """Few words of a batch are folded on their own, however many distinct words it has."""
+    with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    rng = random.Random(5)
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for letters in ("ab", "thein ", "é日a ") for _ in range(1500)]
+    words = sorted({*words, "x" * 65, "thein" * 30, "\U0001f600" * 20})
+    want = [[ranks[w.encode()]] if w.encode() in ranks else plain_fold(w.encode(), ranks) for w in words]
+    alone, plain = [], byte_bpe.fold
+    monkeypatch.setattr(byte_bpe, "fold", lambda word, known: alone.append(word) or plain(word, known))
+    lists = byte_bpe.pa.array([[], [w for w in words], words[::-1], None], byte_bpe.pa.list_(byte_bpe.pa.string()))
+    found = byte_bpe._Merges(ranks).encode(lists.slice(1, 2)).to_pylist()
+    assert found == [sum(want, []), sum(want[::-1], [])]
+    assert len(alone) < len(words) // 4
