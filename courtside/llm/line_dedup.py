@@ -7,12 +7,14 @@ joined by links, over all documents, the first one (by document, then place) is
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from courtside.llm.collocations import bitmap
 from courtside.llm.common import RangeHashes, components, distinct_runs, mix, passes, save, slices
 
 #: Characters in a shingle; a shorter line is one shingle.
@@ -24,6 +26,16 @@ BINS = BANDS * ROWS
 #: Characters of all lines that are compared at once; larger band values are split into pairs of parts.
 UNIT_CHARS = 1 << 18
 
+#: White space that a normal form does not have.
+_ODD_ASCII = ["  ", *(x for x in map(chr, range(128)) if x.isspace() and x not in " \n")]
+_ODD = [*_ODD_ASCII, *(x for x in map(chr, range(128, sys.maxunicode + 1)) if x.isspace())]
+#: Most lines of a small unit, and the bits of the bins by which its lines are told apart.
+SMALL_UNIT, BOUND_BITS = 128, 9
+#: Lines, their parts and their sides.
+Unit = tuple[list[str], np.ndarray, np.ndarray]
+#: Bits of the bitmap that chooses the lines whose contents are needed, at most 2^BITMAP_BITS.
+BITMAP_BITS = 25
+
 #: The spread codes of the characters that most texts consist of.
 _CODES = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -31,8 +43,13 @@ _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 def lines_of(text: str) -> tuple[list[int], list[str]]:
     """Places and normal forms of the lines that aren't blank."""
-    lines = [(i, x) for i, x in enumerate(" ".join(line.split()) for line in text.lower().split("\n")) if x]
-    return [i for i, _ in lines], [x for _, x in lines]
+    text = text.lower()
+    spaces = _ODD_ASCII if text.isascii() else _ODD
+    if any(x in text for x in spaces):
+        parts = [" ".join(line.split()) for line in text.split("\n")]
+    else:  # between words there are single spaces only
+        parts = [line.strip(" ") for line in text.split("\n")]
+    return [i for i, x in enumerate(parts) if x], [x for x in parts if x]
 
 
 def line_id(line: str) -> int:
@@ -103,24 +120,34 @@ def _band_rows(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(run, "band long, line long")
 
 
-def _all_lines(docs: DataFrame, key: str, text: str, with_line: bool) -> DataFrame:
-    """(line, key, place) of every line, or (line, content)."""
+def _contents(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """(line, content) of the wanted lines, with repeats, and perhaps of some others."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, ["line"], BITMAP_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            lines = list({x for text in batch.column(0).to_pylist() for x in lines_of(text or "")[1]})
+            own = np.array([line_id(x) for x in lines], np.int64)
+            chosen = np.flatnonzero(bits.value.holds([own.view(np.uint64)]))
+            yield pa.RecordBatch.from_arrays([pa.array(own[chosen]), pa.array([lines[i] for i in chosen.tolist()], pa.string())], ["line", "content"])
+
+    return docs.select(text).mapInArrow(run, "line long, content string")
+
+
+def _all_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(line, key, place) of every line."""
     kind = docs.select(F.col(key).alias("owner")).schema["owner"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = [lines_of(x or "") for x in batch.column(1).to_pylist()]
-            if with_line:
-                lines = list({x for _, own in rows for x in own})
-                yield pa.RecordBatch.from_arrays([pa.array([line_id(x) for x in lines], pa.int64()), pa.array(lines, pa.string())], ["line", "content"])
-            else:
-                at = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([line_id(x) for _, own in rows for x in own], pa.int64()),
-                    batch.column(0).take(pa.array(at)), pa.array([i for own, _ in rows for i in own], pa.int32()),
-                ], ["line", "owner", "place"])
+            at = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([line_id(x) for _, own in rows for x in own], pa.int64()),
+                batch.column(0).take(pa.array(at)), pa.array([i for own, _ in rows for i in own], pa.int32()),
+            ], ["line", "owner", "place"])
 
-    return docs.select(key, text).mapInArrow(run, "line long, content string" if with_line else f"line long, owner {kind}, place int")
+    return docs.select(key, text).mapInArrow(run, f"line long, owner {kind}, place int")
 
 
 def _led(docs: DataFrame, text: str) -> DataFrame:
@@ -187,27 +214,70 @@ def unit_links(lines: list[str], part: np.ndarray, side: np.ndarray) -> list[tup
     return links
 
 
+def small_links(units: list[Unit], seen: dict[str, int] | None = None) -> list[list[tuple[int, int]]]:
+    """The unit_links of each of many small units, whose shingles are made and counted in bins at once.
+
+    Two lines share at most what they share in each bin; only those are compared that could link by that bound.
+    ``seen`` counts these.
+    """
+    flat, limits = distinct_runs(*_shingles([x for lines, _, _ in units for x in lines]))
+    sizes, seen = np.diff(limits), {} if seen is None else seen
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bins = owner << BOUND_BITS | (flat >> np.uint64(64 - BOUND_BITS)).view(np.int64)
+    held = np.bincount(bins, minlength=len(sizes) << BOUND_BITS).reshape(len(sizes), -1).astype(np.int32)
+    links, first = [], 0
+
+    def link(common, i: int, j):
+        return 100 * common >= PERCENT * (sizes[i] + sizes[j] - common)
+
+    for lines, part, side in units:
+        found, own, part = [], sizes[first : first + len(lines)], part.copy()
+        for i in range(1, len(lines)):
+            open_ = (part[:i] != part[i]) & ((side[:i] != side[i]) | (side[i] < 0))
+            open_ = first + np.flatnonzero(open_ & (100 * own[:i] >= PERCENT * own[i]) & (100 * own[i] >= PERCENT * own[:i]))
+            if not len(open_):
+                continue
+            x = first + i
+            for y in open_[link(np.minimum(held[open_], held[x]).sum(axis=1), x, open_)].tolist():
+                if part[y - first] == part[i]:
+                    continue
+                seen["compared"] = seen.get("compared", 0) + 1
+                mine, other = flat[limits[x] : limits[x + 1]], flat[limits[y] : limits[y + 1]]
+                at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
+                if link(np.count_nonzero(mine[at] == other), x, y):
+                    found.append((i, y - first))
+                    part[part == part[y - first]] = part[i]
+        links.append(found)
+        first += len(lines)
+    return links
+
+
 def _joined(units: DataFrame) -> DataFrame:
     """Links (a, b) of components whose lines link in some unit; pairs are compared in the tasks, never written."""
 
-    def linked(unit: list[tuple]) -> list[tuple[int, int]]:
-        whole = np.array([x[2] for x in unit], np.int64)
-        if (whole == whole[0]).all():
-            return []
-        found = unit_links([x[3] for x in unit], whole, np.array([-1 if x[1] is None else x[1] for x in unit]))
-        return [(unit[i][2], unit[j][2]) for i, j in found]
+    def linked(units: list[list[tuple]]) -> pa.RecordBatch:
+        units = [x for x in units if len({row[2] for row in x}) > 1]
+        args = [([x[3] for x in unit], np.array([x[2] for x in unit], np.int64), np.array([-1 if x[1] is None else x[1] for x in unit])) for unit in units]
+        small = [k for k, unit in enumerate(units) if len(unit) <= SMALL_UNIT]
+        found = dict(zip(small, small_links([args[k] for k in small]))) if small else {}
+        found |= {k: unit_links(*args[k]) for k in range(len(units)) if k not in found}
+        return _links([(units[k][i][2], units[k][j][2]) for k, pairs in found.items() for i, j in pairs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit: list[tuple] = []
+        whole: list[list[tuple]] = []
+        chars = 0
         for batch in slices(batches):
-            links = []
             for row in zip(*(x.to_pylist() for x in batch.columns)):
                 if unit and unit[0][0] != row[0]:
-                    links += linked(unit)
+                    whole.append(unit)
                     unit = []
+                    if chars >= UNIT_CHARS:
+                        yield linked(whole)
+                        whole, chars = [], 0
                 unit.append(row)
-            yield _links(links)
-        yield _links(linked(unit) if unit else [])
+                chars += len(row[3])
+        yield linked([*whole, unit] if unit else whole)
 
     return units.select("unit", "side", "component", "content").repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
 
@@ -223,8 +293,8 @@ def line_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     one component by then, every two of them in different components are compared as well.
     """
     left = save(_led(docs, text))
-    candidates = left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct()
-    contents = save(_all_lines(docs, docs.columns[0], text, True).join(candidates, "line", "left_semi").dropDuplicates(["line"]))
+    candidates = save(left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct())
+    contents = save(_contents(docs, text, candidates).dropDuplicates(["line"]))
     pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
     first = save(components(_verified(pairs, contents)))
     placed = left.select("band", "line").join(first.withColumnRenamed("node", "line"), "line", "left")
@@ -245,7 +315,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
     classes = line_classes(rows, text).withColumnRenamed("node", "line")
-    every = _all_lines(rows, key, text, False).join(classes, "line", "left")
+    every = _all_lines(rows, key, text).join(classes, "line", "left")
     every = save(every.select("owner", "place", F.coalesce("component", "line").alias("class")).distinct())
     kept = every.groupBy("class").agg(F.min(F.struct("owner", "place")).alias("kept"))
     marked = every.join(kept, "class").select("owner", "place", (F.struct("owner", "place") != F.col("kept")).alias("gone"))

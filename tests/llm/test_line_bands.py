@@ -1,4 +1,8 @@
-"""Band values of lines are computed once."""
+"""Band values of lines are computed once, and only what could link is compared."""
+
+import random
+
+import numpy as np
 
 from courtside.llm import line_dedup
 
@@ -11,3 +15,37 @@ def test_bands_are_shuffled_once(spark):
     final = led._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("MapInArrow") == 1 and "ReusedExchange" in final
     assert all(r.lead < r.line for r in found)
+
+
+def test_normal_forms_of_lines():
+    odd = ["a\x85b", " x 　y ", "a\r\nb\t", " \n \n", "a  b", "İ\n \xdf ", "\x1c\n\x1f", "a \n b", "", " A", "b "]
+    for text in [*odd, "\n".join(odd)]:
+        plain = [(i, y) for i, x in enumerate(text.lower().split("\n")) if (y := " ".join(x.split()))]
+        assert list(zip(*line_dedup.lines_of(text))) == plain
+
+
+def test_small_units_link_like_single_ones():
+    """The bound leaves out most pairs, and no link."""
+    rng, units = random.Random(9), []
+    for n in (1, 2, 5, 12, 30):
+        start = "".join(rng.choices("abcdefgh ", k=300))
+        lines = []
+        for _ in range(n):
+            at = rng.randrange(280)
+            start = start[:at] + "".join(rng.choices("ijklmnop", k=rng.choice([2, 20, 60]))) + start[at + 10 :]
+            lines.append(rng.choice([start, start, start, "".join(rng.choices("abc ", k=200)), "x"]))
+        part, side = np.array([rng.randrange(n) for _ in lines]), np.array([rng.randrange(2) for _ in lines])
+        units += [(lines, part, side), (lines, part, np.full(n, -1)), (lines, np.arange(n), np.full(n, -1))]
+    seen = {}
+    links = line_dedup.small_links(units, seen)
+    assert links == [line_dedup.unit_links(*x) for x in units] and sum(map(len, links)) > 20
+    assert seen["compared"] < sum(len(x) * (len(x) - 1) // 2 for x, _, _ in units) // 2
+
+
+def test_only_wanted_contents_are_dealt_out(spark):
+    """Lines that meet no other one are not written with their contents."""
+    docs = spark.createDataFrame([(i, f"line {i} of the text number {i}\nand one more {i * i}") for i in range(500)], "doc_id long, text string")
+    lines = [f"line {i} of the text number {i}" for i in (3, 77)]
+    wanted = spark.createDataFrame([(line_dedup.line_id(x),) for x in lines], "line long")
+    found = {r.line: r.content for r in line_dedup._contents(docs, "text", wanted).collect()}
+    assert {line_dedup.line_id(x): x for x in lines}.items() <= found.items() and len(found) < 100
