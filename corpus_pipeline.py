@@ -13,7 +13,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from courtside.llm.common import read_table, shared_folder
+from courtside.llm.common import read_table, shared_folder, small_batches
 from courtside.llm.language_id import fit, held_out, identify, rejected, usual_means
 from courtside.llm.line_dedup import drop_repeated_lines
 from courtside.llm.ngram_join import near_duplicates
@@ -24,17 +24,6 @@ from courtside.llm.span_dedup import remove_repeats
 ORACLE_SQL = None
 
 
-#: Rows of an Arrow batch between executors and their Python workers, which both hold it while they work on it.
-BATCH_ROWS = 1000
-
-
-def _small_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches: with whole texts, the default 10,000 rows are tens of megabytes a task."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
-
-
 def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
     """docs with columns of these names renamed, and the names to give back."""
     back = {f"__{name}": name for name in names if name in docs.columns}
@@ -48,7 +37,7 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language that stands out, or unlike any text of it; lang becomes the predicted one."""
-    _small_batches(spark)
+    small_batches(spark)
     labelled = docs.where(~held_out())
     model = fit(labelled)
     usual = usual_means(labelled, model)

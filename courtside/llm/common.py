@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 FILES_PER_CORE = 8
 #: Bytes of text that one numpy pass holds at once; a longer text is a pass of its own.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 18
+#: Rows of an Arrow batch between executors and their Python workers, which both hold it while they work on it.
+BATCH_ROWS = 1000
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -34,6 +36,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches: with whole texts, the default 10,000 rows are tens of megabytes a task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def few_files(df: DataFrame) -> DataFrame:
     """df in at most FILES_PER_CORE parts for each core: small tables shouldn't become many small files."""
     return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
@@ -58,13 +67,16 @@ KEPT: dict[str, object] = {}
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, keep: str = "") -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most so many rows, to bound what a Python worker holds of them.
 
-    Workers are reused, so what tasks of another kind left in KEPT is dropped first, except what is named keep.
+    Workers are reused, so what tasks of another kind left in KEPT is dropped first, except what is named keep, and
+    Arrow's unused memory is given back at the end.
     """
     for name in [x for x in KEPT if x != keep]:
         del KEPT[name]
     for batch in batches:
         for first in range(0, batch.num_rows, rows):
             yield batch.slice(first, rows)
+    batch = None
+    pa.default_memory_pool().release_unused()
 
 
 def passes(texts: list[bytes], size: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
@@ -175,10 +187,25 @@ def distinct_runs(found: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np
 TASK_LINKS = 100_000
 
 
+#: Nodes that a task holds at once when it leaves out links.
+FOREST_NODES = 1 << 14
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each batch of links (u, v), as many as join the same nodes: each node to the smallest one it meets."""
+    """Of every FOREST_NODES nodes' links (u, v), as many as join the same nodes: each node to the smallest one it meets."""
+    parent: dict[int, int] = {}
+
+    def stars() -> pa.RecordBatch:
+        rows = []
+        for x in parent:
+            top = x
+            while parent[top] != top:
+                top = parent[top]
+            if top != x:
+                rows.append((x, top))
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.int64())], ["u", "v"])
+
     for batch in batches:
-        parent: dict[int, int] = {}
         for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             a, b = pair
             while (up := parent.setdefault(a, a)) != a:
@@ -187,14 +214,10 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parent[b] = b = parent[up]
             if a != b:
                 parent[max(a, b)] = min(a, b)
-        rows = []
-        for x in parent:
-            top = x
-            while parent[top] != top:
-                top = parent[top]
-            if top != x:
-                rows.append((x, top))
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.int64())], ["u", "v"])
+        if len(parent) >= FOREST_NODES:
+            yield stars()
+            parent.clear()
+    yield stars()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from courtside.llm.common import components, distinct_runs, passes, range_hashes, save, slices, utf8, word_hashes
+from courtside.llm.common import components, distinct_runs, passes, range_hashes, save, slices, small_batches, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT * |union| <= 100 * |intersection|.
@@ -244,7 +244,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Rows link when PERCENT * |union| <= 100 * |intersection| of their sets; component_id is the smallest key
     reachable. Null and empty texts have no n-grams and stand alone, as do rows with a null key (component
     null unless others have their set). Rows that share a key are one node. Keys are whole numbers.
+    The session's Arrow batches are bounded, since the executors hold them beside their heap.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(key, text)
     group = _groups(rows, key, text)
     chosen = rows.join(group.withColumnRenamed("node", key), key)
