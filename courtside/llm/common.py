@@ -192,7 +192,10 @@ FOREST_NODES = 1 << 14
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of every FOREST_NODES nodes' links (u, v), as many as join the same nodes: each node to the smallest one it meets."""
+    """Of every FOREST_NODES nodes' links (u, v), as many as join the same nodes: each node to the smallest one it meets.
+
+    These are never more than the links given, so links that come once each bound them, however many tasks there are.
+    """
     parent: dict[int, int] = {}
 
     def stars() -> pa.RecordBatch:
@@ -225,10 +228,11 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps. No node's neighbours are gathered: each step is a
     minimum per node, combined before the shuffle, and a join back that adaptive execution can split.
-    Nodes without links are absent; null ends and self-links are ignored.
+    Nodes without links are absent; null ends and self-links are ignored. Links may repeat: they are made distinct
+    first, since each task would otherwise give a link to nearly every node of a group again.
     """
     kept = links.where("a <> b").select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v"))
-    edges = save(kept.mapInArrow(_forest, "u long, v long").distinct())
+    edges = save(kept.distinct().mapInArrow(_forest, "u long, v long"))
     summary = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     state, before = summary(), None
     while state != before:

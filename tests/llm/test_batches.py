@@ -1,6 +1,8 @@
 """What a task holds at once: Arrow batches, links of the component step."""
 
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from courtside.llm import common, ngram_join
 
@@ -29,3 +31,19 @@ def test_links_are_left_out_across_batches(monkeypatch):
             for u, v in out:
                 top[u] = min(top[u], top[v])
         assert top == [0] * 60 and (rows is None or len(out) == rows)
+
+
+@pytest.mark.parametrize("tasks", (5, 20))
+def test_links_of_a_group_come_once_from_all_tasks(spark, monkeypatch, tasks):
+    """A group of 40 nodes whose links repeat in every task, as those of near copies do with every n-gram they share."""
+    forest, made = common._forest, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in forest(batches):
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(common, "_forest", counted)
+    repeated = spark.range(0, 40 * tasks, 1, tasks).select((F.col("id") % 40 + 1).alias("a"), F.lit(0).cast("long").alias("b"))
+    found = {r.node: r.component for r in common.components(repeated).collect()}
+    assert found == dict.fromkeys(range(41), 0) and made.value == 40
