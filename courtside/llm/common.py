@@ -187,8 +187,8 @@ def distinct_runs(found: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np
 TASK_LINKS = 100_000
 
 
-#: Nodes that a task holds at once when it leaves out links.
-FOREST_NODES = 1 << 14
+#: Links that a task takes when it leaves out links, about, and nodes that it holds at once.
+FOREST_NODES = 1 << 17
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +232,8 @@ def components(links: DataFrame) -> DataFrame:
     first, since each task would otherwise give a link to nearly every node of a group again.
     """
     kept = links.where("a <> b").select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v"))
-    edges = save(kept.distinct().mapInArrow(_forest, "u long, v long"))
+    distinct = save(kept.distinct())
+    edges = save(distinct.coalesce(1 + distinct.count() // FOREST_NODES).mapInArrow(_forest, "u long, v long"))
     summary = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     state, before = summary(), None
     while state != before:

@@ -47,3 +47,24 @@ def test_links_of_a_group_come_once_from_all_tasks(spark, monkeypatch, tasks):
     repeated = spark.range(0, 40 * tasks, 1, tasks).select((F.col("id") % 40 + 1).alias("a"), F.lit(0).cast("long").alias("b"))
     found = {r.node: r.component for r in common.components(repeated).collect()}
     assert found == dict.fromkeys(range(41), 0) and made.value == 40
+
+
+def test_links_of_few_nodes_are_left_out_together(spark, monkeypatch):
+    """Distinct links of 40 nodes to 20 others, dealt over tasks that know nothing of each other."""
+    forest, made = common._forest, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in forest(batches):
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(common, "_forest", counted)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        links = spark.range(0, 800, 1, 8).select((F.col("id") % 40 + 20).alias("a"), F.floor(F.col("id") / 40).alias("b"))
+        found = {r.node: r.component for r in common.components(links).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert found == dict.fromkeys(range(60), 0) and made.value == 59
