@@ -31,6 +31,8 @@ _ODD_ASCII = ["  ", *(x for x in map(chr, range(128)) if x.isspace() and x not i
 _ODD = [*_ODD_ASCII, *(x for x in map(chr, range(128, sys.maxunicode + 1)) if x.isspace())]
 #: Most lines of a small unit, and the bits of the bins by which its lines are told apart.
 SMALL_UNIT, BOUND_BITS = 128, 9
+#: Pairs of lines whose bins are compared at once, about, and lines whose empty bins are filled at once.
+BOUND_PAIRS, FILLED_LINES = 1 << 9, 1 << 12
 #: Lines, their parts and their sides.
 Unit = tuple[list[str], np.ndarray, np.ndarray]
 #: Bits of the bitmap that chooses the lines whose contents are needed, at most 2^BITMAP_BITS.
@@ -39,6 +41,7 @@ BITMAP_BITS = 25
 #: The spread codes of the characters that most texts consist of.
 _CODES = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def lines_of(text: str) -> tuple[list[int], list[str]]:
@@ -53,7 +56,12 @@ def lines_of(text: str) -> tuple[list[int], list[str]]:
 
 
 def line_id(line: str) -> int:
-    return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return int(line_ids([line])[0])
+
+
+def line_ids(lines: list[str]) -> np.ndarray:
+    blake = hashlib.blake2b
+    return np.frombuffer(b"".join([blake(x.encode("utf-8", "surrogatepass"), digest_size=8).digest() for x in lines]), "<i8")
 
 
 def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,41 +78,87 @@ def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return found, limits
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """The band values (lines x BANDS) of one-permutation MinHash signatures; lines aren't empty."""
+def _lowest(lines: list[str]) -> np.ndarray:
+    """The lowest value of each bin (lines x BINS), EMPTY where there is none."""
     found, limits = _shingles(lines)
     owner = np.repeat(np.arange(len(lines)) * BINS, np.diff(limits))
     bins = ((found >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).view(np.int64)
-    empty = np.uint64(0xFFFFFFFFFFFFFFFF)
-    lowest = np.full(len(lines) * BINS, empty)
+    lowest = np.full(len(lines) * BINS, EMPTY)
     np.minimum.at(lowest, owner + bins, found * _SPREAD >> np.uint64(1))  # within a bin, low bits decide
-    known = lowest.reshape(len(lines), BINS)
-    lowest, draw = lowest.copy(), np.random.default_rng(BINS)
-    cells = np.flatnonzero(lowest == empty)
+    return lowest.reshape(len(lines), BINS)
+
+
+def _filled(known: np.ndarray) -> np.ndarray:
+    """The bins of lines, the empty ones filled.
+
+    An empty bin takes the value of another one, drawn anew for each bin until that one has any. The draws are the
+    same for all lines, so that like lines draw alike, but the bins of a line draw apart.
+    """
+    lowest, draw = known.ravel().copy(), np.random.default_rng(BINS)
+    cells = np.flatnonzero(lowest == EMPTY)
     while len(cells):
-        # An empty bin takes the value of another one, drawn anew for each bin until that one has any. The draws
-        # are the same for all lines, so that like lines draw alike, but the bins of a line draw apart.
         row, bin_ = np.divmod(cells, BINS)
         drawn = known[row, draw.integers(0, BINS, BINS)[bin_]]
         lowest[cells] = drawn
-        cells = cells[drawn == empty]
+        cells = cells[drawn == EMPTY]
+    return lowest
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """The band values (lines x BANDS) of one-permutation MinHash signatures; lines aren't empty."""
     weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64))
-    values = (mix(lowest).reshape(len(lines), BANDS, ROWS) * weights).sum(axis=2, dtype=np.uint64)
-    return mix(values + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    found = [np.empty((0, BANDS), np.int64)]
+    for first in range(0, len(lines), FILLED_LINES):
+        some = lines[first : first + FILLED_LINES]
+        lowest = _filled(np.concatenate([_lowest(some[a:b]) for a, b in _passes(some)]))  # few rounds for many lines
+        values = (mix(lowest).reshape(len(some), BANDS, ROWS) * weights).sum(axis=2, dtype=np.uint64)
+        found.append(mix(values + np.arange(BANDS, dtype=np.uint64)).view(np.int64))
+    return np.concatenate(found)
+
+
+class Sets:
+    """The shingle sets of lines, and their sizes in bins: two lines share at most what they share in each bin."""
+
+    def __init__(self, lines: list[str]) -> None:
+        self.flat, self.limits = distinct_runs(*_shingles(lines))
+        self.sizes = np.diff(self.limits)
+        owner = np.repeat(np.arange(len(lines)), self.sizes)
+        bins = owner << BOUND_BITS | (self.flat >> np.uint64(64 - BOUND_BITS)).view(np.int64)
+        held = np.bincount(bins, minlength=len(lines) << BOUND_BITS).reshape(len(lines), -1)
+        self.held = held.astype(np.uint8 if held.max() < 256 else np.int32)
+
+    def _enough(self, common, x, y):
+        return 100 * common >= PERCENT * (self.sizes[x] + self.sizes[y] - common)
+
+    def may_link(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether each two lines could link by what they share in bins; all that link do."""
+        found = self._enough(np.minimum(self.sizes[x], self.sizes[y]), x, y)
+        at = np.flatnonzero(found)
+        for first in range(0, len(at), BOUND_PAIRS):
+            some = at[first : first + BOUND_PAIRS]
+            common = np.minimum(self.held[x[some]], self.held[y[some]]).sum(axis=1, dtype=np.int64)
+            found[some] = self._enough(common, x[some], y[some])
+        return found
+
+    def link(self, x: int, y: int) -> bool:
+        both = np.concatenate([self.flat[self.limits[i] : self.limits[i + 1]] for i in (x, y)])
+        both.sort(kind="stable")  # two sorted runs are merged
+        return bool(self._enough(np.count_nonzero(both[1:] == both[:-1]), x, y))
 
 
 def alike(left: list[str], right: list[str]) -> np.ndarray:
     """Whether each two lines link, by their exact shingle sets."""
-    a, b = (distinct_runs(*_shingles(x)) for x in (left, right))
-    sizes = np.diff(a[1]) + np.diff(b[1])
-    limits = np.concatenate([[0], np.cumsum(sizes)])
-    both = np.concatenate([x for i in range(len(left)) for x in (a[0][a[1][i] : a[1][i + 1]], b[0][b[1][i] : b[1][i + 1]])])
-    union = np.diff(distinct_runs(both, limits)[1])
-    return 100 * (sizes - union) >= PERCENT * union
+    place = {x: i for i, x in enumerate(dict.fromkeys([*left, *right]))}
+    sets = Sets(list(place))
+    x, y = (np.array([place[line] for line in lines], np.int64) for lines in (left, right))
+    found = sets.may_link(x, y)
+    for i in np.flatnonzero(found & (x != y)).tolist():
+        found[i] = sets.link(x[i], y[i])
+    return found
 
 
 def _passes(lines: list[str]) -> Iterator[tuple[int, int]]:
-    return passes([b" " * (8 * len(x)) for x in lines])
+    return passes([range(8 * len(x)) for x in lines])
 
 
 def _band_rows(docs: DataFrame, text: str) -> DataFrame:
@@ -113,41 +167,61 @@ def _band_rows(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             lines = list({x for text in batch.column(0).to_pylist() for x in lines_of(text or "")[1]})
-            for a, b in _passes(lines):
-                own = np.array([line_id(x) for x in lines[a:b]], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(bands(lines[a:b]).ravel()), pa.array(np.repeat(own, BANDS))], ["band", "line"])
+            for first in range(0, len(lines), FILLED_LINES):
+                some = lines[first : first + FILLED_LINES]
+                yield pa.RecordBatch.from_arrays([pa.array(bands(some).ravel()), pa.array(np.repeat(line_ids(some), BANDS))], ["band", "line"])
 
     return docs.select(text).mapInArrow(run, "band long, line long")
 
 
-def _contents(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(line, content) of the wanted lines, with repeats, and perhaps of some others."""
+def _contents(docs: DataFrame, text: str, wanted: DataFrame, key: str | None = None) -> DataFrame:
+    """(line, content) of the wanted lines, with repeats, and perhaps of some others.
+
+    With a key, (owner, lines, places) of every text with lines as well, in rows of their own.
+    """
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, ["line"], BITMAP_BITS))
+    docs = docs.select(text, (F.lit(None).cast("long") if key is None else F.col(key)).alias("owner"))
+    kind = docs.schema["owner"].dataType.simpleString()
+    lists = [pa.list_(pa.int64()), pa.list_(pa.int32())]
+    names = ["owner", "lines", "places", "line", "content"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            lines = list({x for text in batch.column(0).to_pylist() for x in lines_of(text or "")[1]})
-            own = np.array([line_id(x) for x in lines], np.int64)
-            chosen = np.flatnonzero(bits.value.holds([own.view(np.uint64)]))
-            yield pa.RecordBatch.from_arrays([pa.array(own[chosen]), pa.array([lines[i] for i in chosen.tolist()], pa.string())], ["line", "content"])
-
-    return docs.select(text).mapInArrow(run, "line long, content string")
-
-
-def _all_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(line, key, place) of every line."""
-    kind = docs.select(F.col(key).alias("owner")).schema["owner"].dataType.simpleString()
+            rows = [lines_of(x or "") for x in batch.column(0).to_pylist()]
+            lines, sizes = [x for _, own in rows for x in own], np.array([len(x) for x, _ in rows], np.int64)
+            owner, own = batch.column(1), line_ids(lines)
+            chosen = np.zeros(len(lines), bool)
+            chosen[np.unique(own, return_index=True)[1]] = True
+            at = np.flatnonzero(chosen)
+            at = at[bits.value.holds([own[at].view(np.uint64)])]
+            empty = [pa.nulls(len(at), x) for x in (owner.type, *lists)]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(own[at]), pa.array([lines[i] for i in at.tolist()], pa.string())], names)
+            if key is not None:
+                some = np.flatnonzero(sizes)
+                limits = pa.array(np.concatenate([[0], np.cumsum(sizes[some])]).astype(np.int32))
+                parts = [pa.array(own), pa.array([i for x, _ in rows for i in x], pa.int32())]
+                arrays = [owner.take(pa.array(some)), *(pa.ListArray.from_arrays(limits, x) for x in parts)]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.string())], names)
+
+    return docs.mapInArrow(run, f"owner {kind}, lines array<long>, places array<int>, line long, content string")
+
+
+def _repeated(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(line, owner, place) of all lines that come twice or have a class, and perhaps of some others."""
+    every = texts.select("owner", F.explode("lines").alias("line"))
+    twice = every.groupBy("line").count().where("count > 1").select("line")
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(save(twice.unionByName(classes.select("line"))), ["line"], BITMAP_BITS))
+    kind = texts.schema["owner"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [lines_of(x or "") for x in batch.column(1).to_pylist()]
-            at = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
-            yield pa.RecordBatch.from_arrays([
-                pa.array([line_id(x) for _, own in rows for x in own], pa.int64()),
-                batch.column(0).take(pa.array(at)), pa.array([i for own, _ in rows for i in own], pa.int32()),
-            ], ["line", "owner", "place"])
+            own, place = (batch.column(i).flatten() for i in (1, 2))
+            at = np.flatnonzero(bits.value.holds([own.to_numpy().view(np.uint64)]))
+            row = pa.array(np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy())[at])
+            at = pa.array(at)
+            yield pa.RecordBatch.from_arrays([own.take(at), batch.column(0).take(row), place.take(at)], ["line", "owner", "place"])
 
-    return docs.select(key, text).mapInArrow(run, f"line long, owner {kind}, place int")
+    return texts.select("owner", "lines", "places").mapInArrow(run, f"line long, owner {kind}, place int")
 
 
 def _led(docs: DataFrame, text: str) -> DataFrame:
@@ -217,38 +291,34 @@ def unit_links(lines: list[str], part: np.ndarray, side: np.ndarray) -> list[tup
 def small_links(units: list[Unit], seen: dict[str, int] | None = None) -> list[list[tuple[int, int]]]:
     """The unit_links of each of many small units, whose shingles are made and counted in bins at once.
 
-    Two lines share at most what they share in each bin; only those are compared that could link by that bound.
-    ``seen`` counts these.
+    Only those lines are compared that could link by their bins. ``seen`` counts these.
     """
-    flat, limits = distinct_runs(*_shingles([x for lines, _, _ in units for x in lines]))
-    sizes, seen = np.diff(limits), {} if seen is None else seen
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    bins = owner << BOUND_BITS | (flat >> np.uint64(64 - BOUND_BITS)).view(np.int64)
-    held = np.bincount(bins, minlength=len(sizes) << BOUND_BITS).reshape(len(sizes), -1).astype(np.int32)
-    links, first = [], 0
-
-    def link(common, i: int, j):
-        return 100 * common >= PERCENT * (sizes[i] + sizes[j] - common)
-
-    for lines, part, side in units:
-        found, own, part = [], sizes[first : first + len(lines)], part.copy()
-        for i in range(1, len(lines)):
-            open_ = (part[:i] != part[i]) & ((side[:i] != side[i]) | (side[i] < 0))
-            open_ = first + np.flatnonzero(open_ & (100 * own[:i] >= PERCENT * own[i]) & (100 * own[i] >= PERCENT * own[:i]))
-            if not len(open_):
+    sets, seen = Sets([x for lines, _, _ in units for x in lines]), {} if seen is None else seen
+    part, side = (np.concatenate([unit[k] for unit in units]) for k in (1, 2))
+    count = np.array([len(x) for x, _, _ in units])
+    unit = np.repeat(np.arange(len(units)), count)
+    begin = np.cumsum(count) - count
+    before = np.arange(len(unit)) - begin[unit]  # lines of the unit before each one
+    ends = np.cumsum(before)
+    links: list[list[tuple[int, int]]] = [[] for _ in units]
+    a = 0
+    while a < len(unit):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - before[a] + 16 * BOUND_PAIRS, "right")))
+        x = np.repeat(np.arange(a, b), before[a:b])
+        y = np.arange(len(x)) - np.repeat(ends[a:b] - before[a:b] - ends[a] + before[a] - begin[unit[a:b]], before[a:b])
+        open_ = (part[x] != part[y]) & ((side[x] != side[y]) | (side[x] < 0))
+        x, y = x[open_], y[open_]
+        maybe = sets.may_link(x, y)
+        for i, j in zip(x[maybe].tolist(), y[maybe].tolist()):
+            if part[i] == part[j]:
                 continue
-            x = first + i
-            for y in open_[link(np.minimum(held[open_], held[x]).sum(axis=1), x, open_)].tolist():
-                if part[y - first] == part[i]:
-                    continue
-                seen["compared"] = seen.get("compared", 0) + 1
-                mine, other = flat[limits[x] : limits[x + 1]], flat[limits[y] : limits[y + 1]]
-                at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
-                if link(np.count_nonzero(mine[at] == other), x, y):
-                    found.append((i, y - first))
-                    part[part == part[y - first]] = part[i]
-        links.append(found)
-        first += len(lines)
+            seen["compared"] = seen.get("compared", 0) + 1
+            if sets.link(i, j):
+                first = begin[unit[i]]
+                links[unit[i]].append((int(i - first), int(j - first)))
+                own = part[first : first + count[unit[i]]]
+                own[own == part[j]] = part[i]
+        a = b
     return links
 
 
@@ -286,15 +356,16 @@ def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def line_classes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(node, component) of the ids of lines that link to others.
+def line_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of the ids of lines that link to others, and (owner, lines, places) of the texts with lines.
 
     Lines of a band value are compared with the smallest id among them. In the band values whose other lines are not
     one component by then, every two of them in different components are compared as well.
     """
     left = save(_led(docs, text))
     candidates = save(left.select("line").unionByName(left.select(F.col("lead").alias("line"))).distinct())
-    contents = save(_contents(docs, text, candidates).dropDuplicates(["line"]))
+    read = save(_contents(docs, text, candidates, key))
+    contents = save(read.where("line is not null").select("line", "content").dropDuplicates(["line"]))
     pairs = left.select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct()
     first = save(components(_verified(pairs, contents)))
     placed = left.select("band", "line").join(first.withColumnRenamed("node", "line"), "line", "left")
@@ -304,7 +375,8 @@ def line_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     second = components(_joined(_units(rows))).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     known = first.join(second, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
     lone = second.withColumnRenamed("component", "node").join(first, "node", "left_anti")
-    return known.unionByName(lone.select("node", F.col("whole").alias("component")))
+    classes = known.unionByName(lone.select("node", F.col("whole").alias("component")))
+    return classes, read.where("lines is not null").select("owner", "lines", "places")
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -314,14 +386,25 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     count as one document given twice: what is kept of one is kept of the other.
     """
     rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
-    classes = line_classes(rows, text).withColumnRenamed("node", "line")
-    every = _all_lines(rows, key, text).join(classes, "line", "left")
-    every = save(every.select("owner", "place", F.coalesce("component", "line").alias("class")).distinct())
+    classes, texts = line_classes(rows, key, text)
+    classes = save(classes.withColumnRenamed("node", "line"))
+    owners = save(texts.groupBy("owner").agg(F.count("*").alias("texts"), F.sum(F.size("lines")).alias("lines")))
+    # Lines that come once and link to none stay: of these, only those of shared keys must be told apart.
+    found, shared = _repeated(texts, classes), owners.where("texts > 1").select("owner")
+    if together := not shared.isEmpty():
+        whole = texts.join(shared, "owner", "left_semi").select("owner", F.inline(F.arrays_zip(F.col("lines").alias("line"), F.col("places").alias("place"))))
+        found = found.unionByName(whole)
+    found = found.join(classes, "line", "left").select("owner", "place", F.coalesce("component", "line").alias("class"))
+    every = save(found.distinct() if together else found)
     kept = every.groupBy("class").agg(F.min(F.struct("owner", "place")).alias("kept"))
     marked = every.join(kept, "class").select("owner", "place", (F.struct("owner", "place") != F.col("kept")).alias("gone"))
-    return marked.groupBy("owner").agg(
-        F.count("*").alias("n_lines"), F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("place")))).alias("removed")
-    ).withColumnRenamed("owner", key)
+    marks = marked.groupBy("owner").agg(
+        F.count("*").alias("told"), F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("place")))).alias("removed")
+    )
+    return owners.join(marks, "owner", "left").select(
+        F.col("owner").alias(key), F.when(F.col("texts") > 1, F.col("told")).otherwise(F.col("lines")).alias("n_lines"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+    )
 
 
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
