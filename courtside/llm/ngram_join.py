@@ -1,12 +1,17 @@
 """Jaccard self-join of word n-gram sets by prefix trees.
 
-Sets are 64-bit hashes of word n-grams. Equal sets are joined first and stand as one. A prefix of each set in
-hash order must then hold a few n-grams that some other set's prefix holds as well, else the set links with
-nothing; this leaves out nearly all sets by counting alone. What is left is grouped by its rarest shared n-grams,
-and within each unit of a group the whole sets form a prefix tree, in one order of n-grams for the unit, frequent
-ones first. Walking it, sets with a common start share the overlaps counted so far, and a subtree is left unseen when
-the longest rest in it is too short for any set outside to reach the threshold. Every test is a bound, so no link of
-two sets is lost.
+Sets are 64-bit hashes of word n-grams. Equal sets are found by their digests and stand as one. A prefix of each set
+in hash order must then hold some n-grams that other sets' prefixes hold as well, else the set links with nothing;
+this leaves out most sets by counting alone. Of what is left, two sets that share an n-gram of few holders are a pair,
+which must share enough of them; sets that could link by n-grams of many holders alone are grouped by the rarest of
+these. So sets that share a little with ever others, by chance or by a common passage, form no group, and groups
+don't grow together with the table. Within each unit of a group the whole sets form a prefix tree, in one order of
+n-grams for the unit, frequent ones first. Walking it, sets with a common start share the overlaps counted so far, and
+a subtree is left unseen when the longest rest in it is too short for any set outside to reach the threshold. Every
+test is a bound, so no link of two sets is lost.
+
+Texts are never shuffled, and of n-grams only the prefixes, once, and the whole sets of groups: tasks read the texts
+again and take what a bitmap of the wanted keys holds.
 """
 
 from __future__ import annotations
@@ -15,15 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F
 
+from courtside.llm.collocations import Bitmap, bitmap
 from courtside.llm.common import components, distinct_runs, passes, range_hashes, save, slices, small_batches, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT * |union| <= 100 * |intersection|.
 PERCENT = 75
 #: One in SPARE n-grams is added to the prefix, so that a pair must share about as many there.
-SPARE = 32
+SPARE = 8
+#: N-grams of up to so many rows make pairs of their holders.
+PAIRED = 8
 #: N-grams of all sets that one task joins; larger groups are split into pairs of parts.
 TASK_GRAMS = 1 << 20
 
@@ -47,46 +56,112 @@ def _least(n):
     return (PERCENT * n + 99) // 100
 
 
-def _sets(docs: DataFrame, keep: str, key: str = "doc_id", text: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
-    """key, extra, n, two digest longs, and grams: `none`, `prefix` or `all` of the set."""
-    schema = docs.select(key, *extra).schema
+def _shingled(batches: Iterator[pa.RecordBatch], wanted: Bitmap | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some rows (text, key) at a time, their sets one after the other, and the limits; only rows of wanted keys, and perhaps others."""
+    for batch in slices(batches):
+        if wanted is not None:
+            batch = batch.filter(pa.array(wanted.holds([batch.column(1).to_numpy().view(np.uint64)])))
+        texts = utf8(batch.column(0))
+        for a, b in passes(texts):
+            yield batch.slice(a, b - a), *shingle_sets(texts[a:b])
+
+
+def _digests(grams: np.ndarray, limits: np.ndarray) -> list[pa.Array]:
+    return [pa.array(range_hashes(x, limits[:-1], limits[1:]).view(np.int64)) for x in (grams, grams ^ (grams >> np.uint64(7)))]
+
+
+def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, n and two digest longs of every row."""
+    schema = docs.select(key).schema
     for name in ("n", "d1", "d2"):
         schema = schema.add(name, "long")
-    if keep != "none":
-        schema = schema.add("grams", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            texts = utf8(batch.column(0))
-            for a, b in passes(texts):
-                grams, limits = shingle_sets(texts[a:b])
-                n = np.diff(limits)
-                digests = (range_hashes(x, limits[:-1], limits[1:]).view(np.int64) for x in (grams, grams ^ (grams >> np.uint64(7))))
-                columns = [*(batch.column(i).slice(a, b - a) for i in range(1, batch.num_columns)), pa.array(n), *map(pa.array, digests)]
-                if keep != "none":
-                    taken = n if keep == "all" else np.minimum(n, n - _least(n) + n // SPARE + 1)
-                    ends = np.concatenate([[0], np.cumsum(taken)])
-                    at = np.arange(ends[-1]) + np.repeat(limits[:-1] - ends[:-1], taken)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams[at].view(np.int64))))
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    return docs.select(text, key, *extra).mapInArrow(run, schema)
-
-
-def _groups(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(node, component): groups outside which a set of the group links with nothing."""
-    sets = _sets(docs.where(F.col(key).isNotNull()), "prefix", key, text).where("n > 0")
-    # Counted over all rows, without the shuffle that joins equal sets; those only make n-grams look shared.
-    common = sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    distinct = sets.groupBy("n", "d1", "d2").agg(F.min(key).alias("node"), F.first("grams").alias("grams"))
-    shared = distinct.select("node", "n", F.explode("grams").alias("gram")).join(common, "gram")
-    needed = F.expr(f"({PERCENT} * n + 99) div 100 div {SPARE} + 1")
-    rare_first = F.array_sort(F.collect_list(F.struct("df", "gram")))
-    sets = shared.groupBy("node", "n").agg(rare_first.alias("grams")).where(F.size("grams") >= needed)
-    kept = F.slice("grams", F.lit(1), (F.size("grams") - needed + 1).cast("int"))
-    blocks = save(sets.select("node", F.explode(kept).alias("x")).select("node", F.col("x.gram").alias("gram")))
+        for rows, grams, limits in _shingled(batches):
+            yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(np.diff(limits)), *_digests(grams, limits)], schema.names)
+
+    return docs.select(text, key).mapInArrow(run, schema)
+
+
+def _of_nodes(docs: DataFrame, key: str, text: str, nodes: DataFrame) -> tuple[DataFrame, Broadcast[Bitmap]]:
+    """text and node of the rows with a key, and the bitmap of nodes."""
+    return docs.where(F.col(key).isNotNull()).select(text, F.col(key).cast("long").alias("node")), docs.sparkSession.sparkContext.broadcast(bitmap(nodes, ["node"]))
+
+
+def _whole(docs: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
+    """node, n, two digest longs and grams of the rows of these nodes, and perhaps of others."""
+    rows, wanted = _of_nodes(docs, key, text, nodes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, grams, limits in _shingled(batches, wanted.value):
+            lists = pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(grams.view(np.int64)))
+            columns = [rows.column(1), pa.array(np.diff(limits)), *_digests(grams, limits), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "d1", "d2", "grams"])
+
+    return rows.mapInArrow(run, "node long, n long, d1 long, d2 long, grams array<long>")
+
+
+def _prefixes(docs: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
+    """(gram, node): the prefix of the set of each row of these nodes, and perhaps of others."""
+    rows, wanted = _of_nodes(docs, key, text, nodes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, grams, limits in _shingled(batches, wanted.value):
+            n = np.diff(limits)
+            taken = np.minimum(n, n - _least(n) + n // SPARE + 1)
+            at = np.arange(taken.sum()) + np.repeat(limits[:-1] - np.cumsum(taken) + taken, taken)
+            owner = rows.column(1).take(pa.array(np.repeat(np.arange(len(n)), taken)))
+            yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), owner], ["gram", "node"])
+
+    return rows.mapInArrow(run, "gram long, node long")
+
+
+def _holders(docs: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
+    """node, the sizes low and high of its sets, its prefixes' n-grams that others hold: few (up to PAIRED rows), and many (df, gram).
+
+    Nodes that share too few of them to link are left out. Nodes are those of nodes (node, n), which may repeat.
+    """
+    # Both uses read the one shuffle, since the filter that the join asks for stands in both.
+    grams = _prefixes(docs, key, text, nodes).where("gram is not null and node is not null").repartition("gram")
+    ends = grams.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("df"))
+    shared = ends.where("low < high").select("gram", "df")
+    paired = F.col("df") <= PAIRED
+    held = grams.join(shared.hint("shuffle_hash"), "gram").groupBy("node").agg(
+        F.collect_set(F.when(paired, F.col("gram"))).alias("few"), F.collect_set(F.when(~paired, F.struct("df", "gram"))).alias("many")
+    )
+    sizes = nodes.groupBy("node").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    needed = F.expr(f"cast(({PERCENT} * low + 99) div 100 div {SPARE} + 1 as int)")
+    return held.join(sizes, "node").withColumn("needed", needed).where("size(few) + size(many) >= needed")
+
+
+def _pairs(held: DataFrame) -> DataFrame:
+    """Nodes (a, b) that share n-grams of few holders, and enough to link if all those of many holders that the lesser has are shared."""
+    holders = held.select("node", F.explode("few").alias("gram")).repartition("gram").groupBy("gram")
+    places = holders.agg(F.array_sort(F.collect_set("node")).alias("nodes")).where("size(nodes) > 1").select("nodes", F.posexplode("nodes").alias("i", "a"))
+    pairs = places.select("a", F.explode(F.slice("nodes", F.col("i") + 2, F.size("nodes"))).alias("b")).groupBy("a", "b").agg(F.count("*").alias("common"))
+    for x in ("a", "b"):
+        own = held.select(F.col("node").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}"), F.size("many").alias(f"many_{x}"))
+        pairs = pairs.join(own, x)
+    alike = f"100 * high_a >= {PERCENT} * low_b and 100 * high_b >= {PERCENT} * low_a"
+    return pairs.where(f"{alike} and common + least(many_a, many_b) >= least(low_a, low_b) div {SPARE} + 1").select("a", "b")
+
+
+def _stars(held: DataFrame) -> DataFrame:
+    """Nodes (a, b) of which a could link by n-grams of many holders alone: b is the smallest such node with one of a's rarest, which joins them."""
+    kept = F.slice(F.array_sort("many"), F.lit(1), F.greatest(F.size("many") - F.col("needed") + 1, F.lit(0)))
+    blocks = held.where("size(many) >= needed").select("node", F.explode(kept).alias("x")).select("node", F.col("x.gram").alias("gram"))
     first = blocks.groupBy("gram").agg(F.min("node").alias("b"))
-    return components(blocks.join(first, "gram").select(F.col("node").alias("a"), "b"))
+    return blocks.join(first, "gram").select(F.col("node").alias("a"), "b")
+
+
+def _groups(docs: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
+    """(node, component): groups outside which a set of the group links with nothing.
+
+    Sets that link share at least `n div SPARE + 1` n-grams of their prefixes, with n of the smaller one: each prefix is as much
+    longer than what the other may lack. If none of these has few holders, the rarest is among those that _stars keeps of both.
+    """
+    held = save(_holders(docs, key, text, nodes))
+    return components(_pairs(held).unionByName(_stars(held)))
 
 
 def _wanted(sizes: np.ndarray, size: int) -> np.ndarray:
@@ -200,7 +275,7 @@ def trie_links(ids: np.ndarray, sets: list[np.ndarray], seen: dict[str, int] | N
 
 
 def _units(sets: DataFrame) -> DataFrame:
-    """Give each set the units of work it takes part in, so that every pair of a group that could link meets.
+    """The sets (node, n, d1, d2, component) with the units of work they take part in, so that every pair of a group that could link meets.
 
     A group of up to TASK_GRAMS members is one unit. In a larger one, sets are banded by size, such that
     links stay within a band and its neighbours; bands are split by hash, and every two parts meet in a unit.
@@ -227,7 +302,7 @@ def _units(sets: DataFrame) -> DataFrame:
     )
     units = F.when(F.col("parts") == 0, F.array(unit(none, none, none, none))).otherwise(meets)
     placed = banded.join(known, ["component", "band"]).withColumn("own", own)
-    return placed.select("component", "node", "grams", F.explode(units).alias("unit"))
+    return placed.select("node", "n", "d1", "d2", "component", units.alias("units"))
 
 
 def _join_unit(table: pa.Table) -> pa.Table:
@@ -248,14 +323,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     small_batches(docs.sparkSession)
     rows = docs.select(key, text)
-    group = _groups(rows, key, text)
-    chosen = rows.join(group.withColumnRenamed("node", key), key)
-    sets = _sets(chosen, "all", key, text, ("component",)).withColumnRenamed(key, "node").where("n > 0")
-    once = sets.groupBy("component", "n", "d1", "d2").agg(F.min("node").alias("node"), F.first("grams").alias("grams"))
-    links = _units(once).groupBy("component", "unit").applyInArrow(_join_unit, "a long, b long")
-    linked = components(links)
-    every = save(_sets(rows, "none", key, text))
-    first = every.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(key).alias("node"))
+    every = save(_sets(rows, key, text))
+    first = save(every.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(key).cast("long").alias("node")))
+    group = _groups(rows, key, text, first.where("node is not null"))
+    sets = every.where("n > 0").select(F.col(key).cast("long").alias("node"), "n", "d1", "d2").join(group, "node")
+    once = save(sets.groupBy("component", "n", "d1", "d2").agg(F.min("node").alias("node")))
+    same = ["node", "n", "d1", "d2"]
+    whole = _whole(rows, key, text, once).dropDuplicates(same).join(_units(once), same)
+    met = whole.select("component", "node", "grams", F.explode("units").alias("unit"))
+    linked = components(met.groupBy("component", "unit").applyInArrow(_join_unit, "a long, b long"))
     component = (
         first.join(linked, "node", "left")
         .select(F.col("n").alias("n0"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.coalesce("component", "node").alias("found"))
