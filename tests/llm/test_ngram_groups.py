@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from courtside.llm import ngram_join
 
 
@@ -29,8 +30,8 @@ def lowest(texts, keys):
             return reach
 
 
-def run(spark, monkeypatch, texts, keys=None):
-    """The component of each key, and how many sets were given to tasks that compare them."""
+def run(spark, monkeypatch, texts, keys=None, step=ngram_join.op5_ngram_join, value="component_id"):
+    """That value of each key, and how many sets were given to tasks that compare them."""
     joined, met = ngram_join._join_unit, spark.sparkContext.accumulator(0)
 
     def counted(table):
@@ -40,9 +41,8 @@ def run(spark, monkeypatch, texts, keys=None):
     monkeypatch.setattr(ngram_join, "_join_unit", counted)
     keys = list(range(len(texts))) if keys is None else keys
     rows = spark.createDataFrame(list(zip(keys, texts)), "doc_id long, text string").repartition(3)
-    found = ngram_join.op5_ngram_join(rows).select("doc_id", "component_id").collect()
+    found = step(rows).select("doc_id", value).collect()
     monkeypatch.setattr(ngram_join, "_join_unit", joined)
-    assert len(found) == len(texts)
     return dict(map(tuple, found)), met.value
 
 
@@ -71,6 +71,12 @@ def test_sets_that_share_a_little_with_many_meet_none(spark, monkeypatch, made):
     assert found == {k: k for k in range(len(texts))} and met == 0
 
 
+def test_sets_that_share_a_little_stay_in_the_pipeline(spark, monkeypatch):
+    texts = chain(random.Random(8))
+    near_copies = lambda rows: corpus_pipeline.near_copies(spark, rows, "")
+    assert run(spark, monkeypatch, [*texts, texts[3] + " more"], step=near_copies, value="text") == (dict(enumerate(texts)), 2)
+
+
 def test_copies_of_a_table_make_nothing_meet(spark, monkeypatch):
     """Each row comes again with another key, and again as it is."""
     rng = random.Random(6)
